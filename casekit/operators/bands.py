@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from casekit.config import BANDS, QUESTION_FEEDBACK
@@ -22,25 +22,23 @@ from casekit.functions.sentiment import parse_range
 
 def band_thresholds(questions: DataFrame, question_ids: Sequence[str],
                     bands: Sequence[tuple[str, int]] = BANDS) -> DataFrame:
-    """One row: ``<qid>_<i>_lo`` / ``<qid>_<i>_hi`` for band ``i`` of each question."""
+    """One row: ``<qid>_<i>_lo`` / ``<qid>_<i>_hi`` for band ``i`` of each question.
+
+    A question listed more than once raises when the row is computed.
+    """
     parsed = questions.select("question_id", *[parse_range(c).alias(c) for c, _ in bands])
-    aggs = []
+    aggs, out = [], []
     for q in question_ids:
-        is_q = F.col("question_id") == q
-        aggs.append(F.count(F.when(is_q, 1)).alias(f"{q}_n"))
+        is_q = f"question_id = '{q}'"
+        aggs.append(f"count(CASE WHEN {is_q} THEN 1 END) AS `{q}_n`")
         for i, (c, _) in enumerate(bands):
-            aggs.append(F.max(F.when(is_q, F.col(c)["lo"])).alias(f"{q}_{i}_lo"))
-            aggs.append(F.max(F.when(is_q, F.col(c)["hi"])).alias(f"{q}_{i}_hi"))
-    one = parsed.agg(*aggs)
-    out = []
-    for q in question_ids:
-        dup = F.col(f"{q}_n") > 1
-        err = F.raise_error(F.lit(f"survey question {q} is defined more than once"))
-        for i in range(len(bands)):
             for end in ("lo", "hi"):
                 name = f"{q}_{i}_{end}"
-                out.append(F.when(dup, err).otherwise(F.col(name)).cast("int").alias(name))
-    return one.select(*out)
+                aggs.append(f"max(CASE WHEN {is_q} THEN {c}.{end} END) AS `{name}`")
+                out.append(f"CAST(CASE WHEN `{q}_n` > 1 THEN raise_error("
+                           f"'survey question {q} is defined more than once') "
+                           f"ELSE `{name}` END AS INT) AS `{name}`")
+    return parsed.selectExpr(*aggs).selectExpr(*out)
 
 
 def score_bands(df: DataFrame, questions: DataFrame,
@@ -57,13 +55,12 @@ def score_bands(df: DataFrame, questions: DataFrame,
     qids = list(mapping)
     thresholds = band_thresholds(questions, qids, bands)
     row = thresholds.select(F.struct(*thresholds.columns).alias("t")).scalar()
+    df = df.withColumn("__bands", row)
     scores = {}
     for q, out_name in mapping.items():
-        ans = F.col(answer_cols[q])
-        expr: Column | None = None
-        for i, (_, score) in enumerate(bands):
-            lo, hi = row[f"{q}_{i}_lo"], row[f"{q}_{i}_hi"]
-            cond = ans.between(lo, hi)
-            expr = F.when(cond, F.lit(score)) if expr is None else expr.when(cond, F.lit(score))
-        scores[out_name] = expr.cast("int")
-    return df.withColumns(scores)
+        ans = f"`{answer_cols[q]}`"
+        whens = " ".join(
+            f"WHEN {ans} BETWEEN __bands.`{q}_{i}_lo` AND __bands.`{q}_{i}_hi` THEN {score}"
+            for i, (_, score) in enumerate(bands))
+        scores[out_name] = F.expr(f"CAST(CASE {whens} END AS INT)")
+    return df.withColumns(scores).drop("__bands")

@@ -1,10 +1,19 @@
 """Guarded dimension lookups.
 
 ``enrich`` left-joins a fact to any number of dimensions.  Each dimension is
-checked before use: its key must be unique (a repeated key would multiply fact
-rows and inflate every KPI), and it is broadcast only when a bounded probe has
-shown it to be small; a larger dimension takes an ordinary shuffle join, which
-AQE may still turn into a broadcast at run time.
+guarded: its key must be unique, since a repeated key would multiply fact rows
+and inflate every KPI.  The guard is part of the query plan (the dimension is
+aggregated by key and a repeated key raises an error), so it costs no extra
+job.  Broadcast is decided per dimension:
+
+* ``broadcast="probe"`` (default) counts at most ``max_broadcast_rows + 1``
+  rows of the guarded dimension and broadcasts only under that bound; beyond
+  it the join is a shuffle (sort-merge) join.  The probes of all dimensions of
+  one ``enrich`` call run together as a single job;
+* ``broadcast=None`` leaves it to Catalyst's size estimate
+  (``spark.sql.autoBroadcastJoinThreshold``; estimates of joined dimensions
+  can be far off, hence not the default);
+* ``broadcast=True`` forces it, for tables whose size the caller guarantees.
 """
 
 from __future__ import annotations
@@ -34,7 +43,8 @@ class DimSpec:
     ``rename`` new names for brought columns; ``prefix`` is applied after it
     ``how``    ``left`` keeps every fact row; ``inner`` drops unmatched ones
     ``on_duplicate`` ``error`` | ``first`` (keep the smallest row) | ``ignore``
-    ``broadcast`` ``True``/``False`` to force, ``None`` to decide by a probe
+    ``broadcast`` ``"probe"`` (bounded row count first), ``None`` (Catalyst
+    decides by estimated size), ``True`` (forced) or ``False`` (never)
     """
     df: DataFrame
     left: Sequence[str | Column]
@@ -44,7 +54,7 @@ class DimSpec:
     prefix: str = ""
     how: str = "left"
     on_duplicate: str = "error"
-    broadcast: bool | None = None
+    broadcast: bool | str | None = "probe"
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
     name: str = "dimension"
 
@@ -58,71 +68,119 @@ def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
     return df.limit(max_rows + 1).count() <= max_rows
 
 
-def key_profile(df: DataFrame, keys: Sequence[str]) -> tuple[int, int, tuple | None]:
-    """One job: (rows, largest number of rows sharing a non-null key, that key)."""
+def _profile_frame(df: DataFrame, keys: Sequence[str], tag: int) -> DataFrame:
+    """One row: tag, total rows, largest count of one non-null key, that key."""
     nonnull = F.lit(True)
     for k in keys:
         nonnull = nonnull & F.col(k).isNotNull()
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                    nonnull.alias("__nn"))
-    row = per_key.agg(
-        F.coalesce(F.sum("__n"), F.lit(0)).alias("rows"),
-        F.coalesce(F.max(F.when(F.col("__nn"), F.col("__n"))), F.lit(0)).alias("dup"),
-        F.max_by(F.struct(*keys), F.when(F.col("__nn"), F.col("__n"))).alias("key"),
-    ).first()
-    return int(row["rows"]), int(row["dup"]), (tuple(row["key"]) if row["key"] else None)
+    per_key = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                                  nonnull.alias("__nn"))
+    n_key = F.when(F.col("__nn"), F.col("__n"))
+    return per_key.agg(
+        F.lit(tag).alias("tag"),
+        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"),
+        F.coalesce(F.max(n_key), F.lit(0)).cast("long").alias("dup"),
+        F.to_json(F.max_by(F.struct(*keys), n_key)).alias("key"))
+
+
+def profile_keys(items: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[tuple[int, int, str]]:
+    """Row count and worst key multiplicity of several tables in one job.
+
+    The per-table aggregates are unioned, so Spark runs them as parallel
+    stages of a single job.  Returns ``(rows, dup, key_json)`` per input.
+    """
+    if not items:
+        return []
+    frames = [_profile_frame(df, keys, i) for i, (df, keys) in enumerate(items)]
+    u = frames[0]
+    for f in frames[1:]:
+        u = u.unionByName(f)
+    got = {r["tag"]: (int(r["rows"]), int(r["dup"]), r["key"]) for r in u.collect()}
+    return [got[i] for i in range(len(items))]
 
 
 def check_unique(df: DataFrame, keys: Sequence[str], name: str = "dimension") -> int:
     """Raise ``DuplicateKeyError`` if a non-null key occurs twice; return the row count."""
-    rows, dup, key = key_profile(df.select(*keys), keys)
+    rows, dup, key = profile_keys([(df, keys)])[0]
     if dup > 1:
-        raise DuplicateKeyError(f"{name}: key {dict(zip(keys, key))} occurs {dup} times")
+        raise DuplicateKeyError(f"{name}: key {key} occurs {dup} times")
     return rows
 
 
-def prepare_dim(spec: DimSpec) -> tuple[DataFrame, list[str]]:
-    """Select, rename, de-duplicate and size-check one dimension.
+def guard_unique(dim: DataFrame, keys: Sequence[str], cols: Sequence[str],
+                 name: str = "dimension") -> DataFrame:
+    """``dim`` reduced to one row per key, failing the query on a repeated key.
 
-    With ``on_duplicate='error'`` the uniqueness check also yields the exact
-    row count, which then decides the broadcast: one job per dimension.
+    Rows with a NULL key never match a join and are dropped.  The check runs
+    inside the query that uses the dimension: no separate job.
     """
+    nonnull = dim
+    for k in keys:
+        nonnull = nonnull.where(F.col(k).isNotNull())
+    per_key = nonnull.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
+                                         *[F.first(c).alias(c) for c in cols])
+    msg = F.concat(F.lit(f"{name}: key "), F.to_json(F.struct(*keys)),
+                   F.lit(" occurs more than once"))
+    ok = F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.lit(True))
+    return per_key.where(ok).drop("__n")
+
+
+def prepare_dim(spec: DimSpec) -> tuple[DataFrame, list[str]]:
+    """Select, rename, guard and (maybe) broadcast one dimension."""
+    if spec.on_duplicate not in ("error", "first", "ignore"):
+        raise ValueError(f"on_duplicate must be error|first|ignore, not {spec.on_duplicate!r}")
     dim = spec.df
     keys = list(spec.right)
     cols = list(spec.columns) if spec.columns is not None else [
         c for c in dim.columns if c not in keys]
-    rows = None
     if spec.on_duplicate == "error":
-        rows = check_unique(dim, keys, spec.name)
+        dim = guard_unique(dim.select(*keys, *cols), keys, cols, spec.name)
     elif spec.on_duplicate == "first":
         dim = latest_per_key(dim.select(*keys, *cols), keys, order=[])
-    elif spec.on_duplicate != "ignore":
-        raise ValueError(f"on_duplicate must be error|first|ignore, not {spec.on_duplicate!r}")
-    tmp_keys = [f"__dk{i}" for i in range(len(keys))]
+    tmp_keys = [f"__dk{j}" for j in range(len(keys))]
     out_names = [spec.prefix + spec.rename.get(c, c) for c in cols]
     dim = dim.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp_keys)],
                      *[F.col(c).alias(n) for c, n in zip(cols, out_names)])
-    use_broadcast = spec.broadcast
-    if use_broadcast is None:
-        use_broadcast = (rows <= spec.max_broadcast_rows if rows is not None
-                         else fits_broadcast(dim, spec.max_broadcast_rows))
-    if use_broadcast:
-        dim = F.broadcast(dim)
     return dim, tmp_keys
 
 
+def probe_rows(items: Sequence[tuple[DataFrame, int]]) -> list[bool]:
+    """For each ``(df, max_rows)``: does ``df`` hold at most ``max_rows`` rows?
+
+    Every probe reads at most ``max_rows + 1`` rows; all probes are unioned
+    into one job so their stages run side by side.
+    """
+    if not items:
+        return []
+    parts = [df.limit(n + 1).groupBy().count().select(F.lit(i).alias("tag"), "count")
+             for i, (df, n) in enumerate(items)]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    got = {r["tag"]: r["count"] for r in u.collect()}
+    return [got[i] <= n for i, (_, n) in enumerate(items)]
+
+
 def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     """Left-join (or inner-join) ``fact`` to each dimension in turn.
 
     Fact-side keys are converted to the dimension key type with ``try_cast``,
     so a text key that is not a number (``"x"`` against an int key) simply
-    matches nothing instead of failing the query.
+    matches nothing instead of failing the query.  Broadcast dimensions are
+    all joined inside one stage: the fact is not shuffled at all.
     """
     out = fact
     for spec in dims:
         if len(spec.left) != len(spec.right):
             raise ValueError(f"{spec.name}: left and right keys differ in length")
-        dim, tmp_keys = prepare_dim(spec)
+    prepared = [prepare_dim(spec) for spec in dims]
+    probe_idx = [i for i, spec in enumerate(dims) if spec.broadcast == "probe"]
+    # Probe the raw key columns: the guarded dimension has at most as many rows.
+    fits = dict(zip(probe_idx, probe_rows([(dims[i].df.select(*dims[i].right),
+                                            dims[i].max_broadcast_rows) for i in probe_idx])))
+    for i, (spec, (dim, tmp_keys)) in enumerate(zip(dims, prepared)):
+        if spec.broadcast is True or fits.get(i, False):
+            dim = F.broadcast(dim)
         types = {f.name: f.dataType for f in dim.schema.fields}
         for expr, t in zip(spec.left, tmp_keys):
             c = F.col(expr) if isinstance(expr, str) else expr

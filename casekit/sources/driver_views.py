@@ -30,8 +30,17 @@ SURVEY_INCR_FROM = "2024-01-15 00:00:00"
 AS_OF = _dt.datetime(2001, 11, 4, 0, 0, 0)
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    """Read one benchmark table; the (immutable) DataFrame is reused per session,
+    which saves repeated file listing and footer reads when building plans."""
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
