@@ -29,7 +29,17 @@ from casekit.operators.kpi import (CASE_WINDOW_NAMES, RESPONSE_COUNT_NAMES,  # n
                                    SURVEY_WINDOW_NAMES)
 from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,  # noqa: E402
                                 latest_surveys, score_feedback, wide_dim_specs)
+from casekit.functions.jsonio import (decode_json, encode_arrays, encode_rows,  # noqa: E402
+                                      text_fields)
+from casekit.session import scratch_path  # noqa: E402
 from casekit.sources import driver_views as dv  # noqa: E402
+from casekit.sources.delimited import read_delimited, write_delimited  # noqa: E402
+from casekit.sources.tables import overwrite_partitions, read_landing, write_table  # noqa: E402
+from casekit.streaming.join import (dedup_stream, forward_files,  # noqa: E402
+                                    join_case_survey, publish_json)
+from casekit.streaming.live import (LiveSinks, decode_cases, decode_surveys,  # noqa: E402
+                                    enrich_stream, land_stream, run_live_kpis)
+from casekit.streaming.sources import stream_files, stream_messages  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = dv.AS_OF
@@ -240,6 +250,139 @@ def q_live_priority_counts(spark, d):
     return live_priority_counts(_live_batch(spark, d))
 
 
+# ------------------------------------------------ JSON, files and streams
+
+SURVEY_TS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
+ONCE = {"availableNow": True}
+
+
+def _case_messages(spark, d):
+    return encode_arrays(text_fields(dv.cases(spark, d)), 20)
+
+
+def _survey_messages(frame):
+    return encode_arrays(text_fields(frame, SURVEY_TS), 20)
+
+
+def _write_text(frame, path, mode="overwrite"):
+    frame.write.mode(mode).text(path)
+
+
+def q_json_decode_explode(spark, d):
+    return decode_cases(_case_messages(spark, d))
+
+
+def q_json_publish_rows(spark, d):
+    return decode_json(encode_rows(_fact(spark, d)), schemas.FACT)
+
+
+def q_json_publish_array(spark, d):
+    return decode_json(encode_arrays(_fact(spark, d), 20), schemas.FACT)
+
+
+def q_csv_round_trip(spark, d):
+    base = scratch_path(spark, "csv_round_trip")
+    write_delimited(text_fields(dv.cases(spark, d)), f"{base}/cases")
+    return read_delimited(spark, f"{base}/cases", schemas.CASE)
+
+
+_FACT_BY_MONTH = schemas.struct(*[(f.name, f.dataType) for f in schemas.FACT.fields],
+                                ("create_month", schemas.D))
+
+
+def q_partition_overwrite(spark, d):
+    """Write the fact partitioned by month, then replace the 1998 months only.
+
+    (Monthly rather than daily partitions keep this small-data check from
+    writing thousands of six-row files; the operator is the same.)
+    """
+    base = scratch_path(spark, "partition_overwrite")
+    fact = _fact(spark, d).withColumn("create_month", F.trunc("create_date", "month"))
+    write_table(fact, f"{base}/fact", ["create_month"])
+    changed = (fact.where(F.year("create_date") == 1998)
+               .withColumn("status", F.upper("status")))
+    overwrite_partitions(changed, f"{base}/fact", _FACT_BY_MONTH, ["create_month"])
+    return read_landing(spark, f"{base}/fact", _FACT_BY_MONTH)
+
+
+def q_stream_land_cases(spark, d):
+    base = scratch_path(spark, "stream_land_cases")
+    _write_text(_case_messages(spark, d), f"{base}/in")
+    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
+    land_stream(cases, f"{base}/landing", f"{base}/ckpt", trigger=ONCE).awaitTermination()
+    return read_landing(spark, f"{base}/landing", schemas.CASE)
+
+
+def _lookup(spark):
+    return priority_lookup(dv.case_category(spark), dv.case_priority(spark), how="inner")
+
+
+def q_stream_enrich(spark, d):
+    base = scratch_path(spark, "stream_enrich")
+    _write_text(_case_messages(spark, d), f"{base}/in")
+    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
+    out = enrich_stream(cases, _lookup(spark)).select(
+        "case_no", "status", "category", "sub_category", "last_modified_timestamp",
+        "Priority_key", "priority", "severity")
+    land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE).awaitTermination()
+    return spark.read.parquet(f"{base}/landing")
+
+
+def q_stream_kpi_batches(spark, d):
+    base = scratch_path(spark, "stream_kpi_batches")
+    _write_text(_case_messages(spark, d), f"{base}/in")
+    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
+    sinks = LiveSinks(f"{base}/kpi_status", f"{base}/kpi_priority")
+    run_live_kpis(enrich_stream(cases, _lookup(spark)), sinks, f"{base}/ckpt",
+                  trigger=ONCE).awaitTermination()
+    return spark.read.parquet(sinks.status_path).select("Case_Type", "Cases_numbers")
+
+
+def _survey_stream_input(spark, d, path):
+    _write_text(_survey_messages(dv.survey_history(spark, d)), path)
+    _write_text(_survey_messages(dv.survey_increment(spark, d)), path, mode="append")
+
+
+def _stream_join(spark, d, mode):
+    base = scratch_path(spark, f"stream_join_{mode}")
+    _write_text(_case_messages(spark, d), f"{base}/cases_in")
+    _write_text(_survey_messages(dv.surveys(spark, d)), f"{base}/surveys_in")
+    cases = decode_cases(stream_messages(spark, "text", f"{base}/cases_in"))
+    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/surveys_in"))
+    joined = join_case_survey(cases, surveys, within="15 seconds", watermark="1 minute",
+                              mode=mode)
+    publish_json(joined, f"{base}/ckpt", fmt="text", path=f"{base}/out",
+                 trigger=ONCE).awaitTermination()
+    return decode_json(spark.read.text(f"{base}/out"), schemas.CASE_SURVEY)
+
+
+def q_stream_join_interval(spark, d):
+    return _stream_join(spark, d, "interval")
+
+
+def q_stream_join_bucket(spark, d):
+    return _stream_join(spark, d, "bucket")
+
+
+def q_stream_dedup(spark, d):
+    """History and increment overlap by five days; redelivered surveys dropped."""
+    base = scratch_path(spark, "stream_dedup")
+    _survey_stream_input(spark, d, f"{base}/in")
+    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/in"))
+    out = dedup_stream(surveys, ["survey_id"], "survey_timestamp", "1 hour")
+    land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE).awaitTermination()
+    return read_landing(spark, f"{base}/landing", schemas.SURVEY)
+
+
+def q_file_forward(spark, d):
+    base = scratch_path(spark, "file_forward")
+    _write_text(_case_messages(spark, d), f"{base}/in")
+    lines = stream_files(spark, f"{base}/in", archive_dir=f"{base}/done")
+    forward_files(lines, f"{base}/ckpt", fmt="text", path=f"{base}/out",
+                  trigger=ONCE).awaitTermination()
+    return decode_cases(spark.read.text(f"{base}/out"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_cast": q_conform_cast,
     "event_date": q_event_date,
@@ -274,6 +417,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "kpi_report": q_kpi_report,
     "live_status_counts": q_live_status_counts,
     "live_priority_counts": q_live_priority_counts,
+    "json_decode_explode": q_json_decode_explode,
+    "json_publish_rows": q_json_publish_rows,
+    "json_publish_array": q_json_publish_array,
+    "csv_round_trip": q_csv_round_trip,
+    "partition_overwrite": q_partition_overwrite,
+    "stream_land_cases": q_stream_land_cases,
+    "stream_enrich": q_stream_enrich,
+    "stream_kpi_batches": q_stream_kpi_batches,
+    "stream_join_interval": q_stream_join_interval,
+    "stream_join_bucket": q_stream_join_bucket,
+    "stream_dedup": q_stream_dedup,
+    "file_forward": q_file_forward,
 }
 
 
@@ -476,6 +631,30 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["fact_from_merged"] = _fact_over(_MERGED_CASES, _MERGED_SURVEYS)
 
+_STREAM_JOIN = """SELECT c.status, c.category, c.sub_category, c.last_modified_timestamp,
+        c.case_no, c.create_timestamp, c.created_employee_key, c.call_center_id, c.product_code,
+        c.country_cd, c.communication_mode, s.Q1, s.Q3, s.Q2, s.Q5, s.Q4, s.survey_timestamp,
+        s.survey_id FROM cases c JOIN surveys s ON c.case_no = s.case_no AND {cond}"""
+ORACLE.update({
+    "json_decode_explode": "SELECT * FROM cases",
+    "json_publish_rows": "SELECT * FROM fact",
+    "json_publish_array": "SELECT * FROM fact",
+    "csv_round_trip": "SELECT * FROM cases",
+    "partition_overwrite": """SELECT * REPLACE (CASE WHEN year(create_date) = 1998
+        THEN upper(status) ELSE status END AS status),
+        CAST(date_trunc('month', create_date) AS DATE) AS create_month FROM fact""",
+    "stream_land_cases": "SELECT * FROM cases",
+    "stream_enrich": _cases_priority_sql("cat_pri_inner"),
+    "stream_kpi_batches": ORACLE["live_status_counts"],
+    "stream_join_interval": _STREAM_JOIN.format(
+        cond="s.survey_timestamp BETWEEN c.last_modified_timestamp - INTERVAL 15 SECOND "
+             "AND c.last_modified_timestamp + INTERVAL 15 SECOND"),
+    "stream_join_bucket": _STREAM_JOIN.format(
+        cond="floor(epoch(s.survey_timestamp) / 15) = floor(epoch(c.last_modified_timestamp) / 15)"),
+    "stream_dedup": "SELECT * FROM surveys",
+    "file_forward": "SELECT * FROM cases",
+})
+
 
 # ------------------------------------------------------------------ contract
 
