@@ -8,6 +8,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from casekit.functions.casting import conform
@@ -18,22 +19,28 @@ def _is_path(target: str) -> bool:
 
 
 def spread_for_write(df: DataFrame, partition_by: Sequence[str],
-                     spread_by: Sequence[str] = ()) -> DataFrame:
-    """Range-partition by the partition columns (then ``spread_by``).
+                     spread_by: Sequence[str] | None = None) -> DataFrame:
+    """Range-partition by the partition columns, then by ``spread_by``.
 
     Each task then holds a contiguous range of partition values and writes a
-    few files per value instead of one per task and value; a value holding a
-    large share of the rows is split across several tasks by ``spread_by``
-    (range boundaries come from a sample, so a hot value gets many ranges).
+    few files per value, instead of every task writing a file into every
+    partition.  The secondary key (default: a hash of the other columns)
+    lets the sampled range boundaries cut a value that holds a large share of
+    the rows into several tasks, so one hot date is never one task.
     """
     if not partition_by:
         return df
-    return df.repartitionByRange(*partition_by, *spread_by)
+    if spread_by is None:
+        rest = [c for c in df.columns if c not in partition_by]
+        spread = [F.xxhash64(*rest)] if rest else []
+    else:
+        spread = [F.col(c) for c in spread_by]
+    return df.repartitionByRange(*[F.col(c) for c in partition_by], *spread)
 
 
 def write_table(df: DataFrame, target: str, partition_by: Sequence[str] = (),
                 mode: str = "overwrite", fmt: str = "parquet",
-                spread_by: Sequence[str] = ()) -> None:
+                spread_by: Sequence[str] | None = None) -> None:
     """Write a (partitioned) table; schema from the frame."""
     out = spread_for_write(df, partition_by, spread_by)
     w = out.write.mode(mode).format(fmt)
@@ -53,7 +60,7 @@ def refresh_staging(df: DataFrame, target: str, partition_by: Sequence[str] = ()
 
 def overwrite_partitions(df: DataFrame, target: str, schema: T.StructType,
                          partition_by: Sequence[str], fmt: str = "parquet",
-                         spread_by: Sequence[str] = ()) -> None:
+                         spread_by: Sequence[str] | None = None) -> None:
     """Replace exactly the partitions present in ``df``; others stay.
 
     Columns are matched to ``schema`` by name and cast (never by position),

@@ -20,23 +20,29 @@ from casekit.functions.jsonio import encode_arrays, encode_rows
 
 def _event_time(df: DataFrame, col: str, name: str, watermark: str | None) -> DataFrame:
     # Watermarks need TIMESTAMP (not TIMESTAMP_NTZ); the session time zone maps it.
+    if watermark is None and name in df.columns:
+        return df          # event time and its watermark were set upstream
     out = df.withColumn(name, F.col(col).cast("timestamp"))
     return out.withWatermark(name, watermark) if watermark else out
 
 
 def join_case_survey(cases: DataFrame, surveys: DataFrame, within: str = "15 seconds",
-                     watermark: str | None = "1 minute", mode: str = "interval") -> DataFrame:
+                     watermark: str | None | tuple = "1 minute",
+                     mode: str = "interval") -> DataFrame:
     """Inner join on ``case_no`` under an event-time bound; 18 flat columns.
 
-    ``watermark=None`` keeps watermarks already set upstream (for example by
-    ``dedup_stream``) instead of defining new ones.  Both modes keep the
-    interval bound in the condition, which is what lets Spark drop old state;
+    ``watermark`` is one delay for both sides or a ``(cases, surveys)`` pair.
+    ``None`` for a side keeps what was set upstream: a stream that already
+    carries ``__cts`` / ``__sts`` (e.g. from ``dedup_stream(...,
+    keep_event_time='__sts')``) is used as is.  Both modes keep the interval
+    bound in the condition, which is what lets Spark drop old state;
     ``bucket`` additionally requires the same ``within``-wide time bucket.
     """
     if mode not in ("interval", "bucket"):
         raise ValueError("mode must be 'interval' or 'bucket'")
-    c = _event_time(cases, "last_modified_timestamp", "__cts", watermark)
-    s = _event_time(surveys, "survey_timestamp", "__sts", watermark)
+    cw, sw = watermark if isinstance(watermark, tuple) else (watermark, watermark)
+    c = _event_time(cases, "last_modified_timestamp", "__cts", cw)
+    s = _event_time(surveys, "survey_timestamp", "__sts", sw)
     if mode == "bucket":
         c = c.withColumn("__bucket", F.window("__cts", within)["start"])
         s = s.withColumn("__bucket", F.window("__sts", within)["start"])
