@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from casekit import schemas
 from casekit.sources.literal import literal_frame
+from casekit.sources.tables import ensure_parallelism
 
 # history/increment split points (the increment overlaps one
 # year of history), and the benchmark's newest case timestamp used as as_of.
@@ -39,7 +40,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     key = (id(spark), path)
     if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
+        _TABLES[key] = ensure_parallelism(spark.read.parquet(path))
     return _TABLES[key]
 
 

@@ -92,6 +92,21 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{part}")
 
 
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spread a scan that yields fewer partitions than the cluster has cores.
+
+    A file written as one row group is read by one task, so all work up to
+    the first shuffle would run on one core.  Below ``min_partitions``
+    (default: the default parallelism) the rows are redistributed round-robin;
+    a large input already has enough splits and is returned unchanged.
+    Filters and column pruning still reach the scan below the repartition.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < target:
+        return df.repartition(target)
+    return df
+
+
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
     """Read a table by path or name (optionally with a declared schema)."""
