@@ -157,3 +157,8 @@ def live_priority_counts(batch: DataFrame) -> DataFrame:
     """Distinct cases per (priority, severity); unmatched cases form (NULL, NULL)."""
     return batch.groupBy("priority", "severity").agg(
         F.count_distinct("case_no").alias("Cases_numbers"))
+
+
+def show_kpis(df: DataFrame, n: int = 100) -> None:
+    """Print up to ``n`` KPI rows in full width (only those rows reach the driver)."""
+    df.show(n, truncate=False)

@@ -99,7 +99,11 @@ def test_stream_join_and_publish(spark, tmp_dir):
     s = decode_surveys(stream_messages(spark, "text", f"{tmp_dir}/s"))
     s = dedup_stream(s, ["survey_id"], "survey_timestamp", "1 hour", keep_event_time="__sts")
     j = join_case_survey(c, s, within="15 seconds", watermark=("1 minute", None))
-    publish_json(j, f"{tmp_dir}/ck", path=f"{tmp_dir}/out", trigger=ONCE).awaitTermination()
+    q = publish_json(j, f"{tmp_dir}/ck", path=f"{tmp_dir}/out", trigger=ONCE)
+    q.awaitTermination()
+    observed = [p["observedMetrics"]["published"]["rows"] for p in q.recentProgress
+                if "published" in p.get("observedMetrics", {})]
+    assert sum(observed) == 1
     out = decode_json(spark.read.text(f"{tmp_dir}/out"), schemas.CASE_SURVEY).collect()
     # case 0 versions at +0s and +30s; survey s0 at +5s joins only the first;
     # survey s1 at +5min is too far from case 1 (+10s, +40s); the duplicate s0 is dropped.
