@@ -42,6 +42,21 @@ def answer_to_int(c: Column | str) -> Column:
     return _col(c).try_cast("double").try_cast("int")
 
 
+def _conform_sql(src: T.StructField | None, f: T.StructField) -> str:
+    name = f"`{f.name}`"
+    target = f.dataType.simpleString()
+    if src is None:
+        return f"CAST(NULL AS {target}) AS {name}"
+    c = f"`{src.name}`"
+    if src.dataType == f.dataType:
+        return f"{c} AS {name}"
+    if isinstance(f.dataType, T.TimestampNTZType) and isinstance(src.dataType, T.TimestampType):
+        return f"CAST({c} AS timestamp_ntz) AS {name}"
+    if isinstance(f.dataType, T.IntegralType) and isinstance(src.dataType, T.StringType):
+        return f"try_cast(try_cast({c} AS double) AS {target}) AS {name}"
+    return f"try_cast({c} AS {target}) AS {name}"
+
+
 def conform(df: DataFrame, schema: T.StructType, *, strict: bool = True) -> DataFrame:
     """Pick, order and cast columns to ``schema``.
 
@@ -50,22 +65,13 @@ def conform(df: DataFrame, schema: T.StructType, *, strict: bool = True) -> Data
     convert become NULL.  With ``strict=False`` a missing column becomes NULL.
     """
     present = {f.name.lower(): f for f in df.schema.fields}
-    cols = []
+    exprs = []
     for f in schema.fields:
         src = present.get(f.name.lower())
-        if src is None:
-            if strict:
-                raise ValueError(f"conform: input has no column {f.name!r}")
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif src.dataType == f.dataType:
-            cols.append(F.col(src.name).alias(f.name))
-        elif isinstance(f.dataType, T.TimestampNTZType):
-            cols.append(to_ntz(F.col(src.name), src.dataType).alias(f.name))
-        elif isinstance(f.dataType, T.IntegralType) and isinstance(src.dataType, T.StringType):
-            cols.append(F.col(src.name).try_cast("double").try_cast(f.dataType).alias(f.name))
-        else:
-            cols.append(F.col(src.name).try_cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+        if src is None and strict:
+            raise ValueError(f"conform: input has no column {f.name!r}")
+        exprs.append(_conform_sql(src, f))
+    return df.selectExpr(*exprs)
 
 
 def with_event_date(df: DataFrame, ts: str, name: str) -> DataFrame:

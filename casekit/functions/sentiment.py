@@ -24,15 +24,21 @@ def parse_range(c: Column | str) -> Column:
 
 def score_label(score: Column | str) -> Column:
     """-1 / 0 / 1 -> Negative / Neutral / Positive; anything else NULL."""
-    s = F.col(score) if isinstance(score, str) else score
+    if isinstance(score, str):
+        whens = " ".join(f"WHEN `{score}` = {v} THEN '{lab}'" for v, lab in SCORE_LABELS.items())
+        return F.expr(f"CASE {whens} END")
     out = F.lit(None).cast("string")
     for value, label in SCORE_LABELS.items():
-        out = F.when(s == value, label).otherwise(out)
+        out = F.when(score == value, label).otherwise(out)
     return out
 
 
 def overall_label(*scores: Column | str) -> Column:
     """Sign of the sum of the scores; NULL when any score is NULL."""
+    if all(isinstance(s, str) for s in scores):
+        t = " + ".join(f"`{s}`" for s in scores)
+        return F.expr(f"CASE WHEN {t} > 0 THEN 'Positive' WHEN {t} = 0 THEN 'Neutral' "
+                      f"WHEN {t} < 0 THEN 'Negative' END")
     total = None
     for s in scores:
         c = F.col(s) if isinstance(s, str) else s

@@ -26,9 +26,19 @@ def in_last(ts: Column | str, interval: str, as_of: _dt.datetime | str | None =
     ``"1 MONTH"`` (a calendar month: 31 March minus one month is 29 February
     in a leap year).
     """
-    c = F.col(ts) if isinstance(ts, str) else ts
-    end = as_of_literal(as_of)
-    return c.between(end - F.expr(f"INTERVAL {interval}"), end)
+    return F.expr(in_last_sql(ts, interval, as_of)) if isinstance(ts, str) else \
+        ts.between(as_of_literal(as_of) - F.expr(f"INTERVAL {interval}"), as_of_literal(as_of))
+
+
+def as_of_sql(as_of: _dt.datetime | str | None) -> str:
+    """``as_of`` as SQL text: a TIMESTAMP_NTZ literal, or the query's now."""
+    return "localtimestamp()" if as_of is None else f"TIMESTAMP_NTZ '{as_of}'"
+
+
+def in_last_sql(ts: str, interval: str, as_of: _dt.datetime | str | None = None) -> str:
+    """SQL text of ``in_last`` for a column name (one expression to build)."""
+    end = as_of_sql(as_of)
+    return f"(`{ts}` BETWEEN {end} - INTERVAL {interval} AND {end})"
 
 
 def hours_between(start: Column | str, end: Column | str) -> Column:

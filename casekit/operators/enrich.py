@@ -114,17 +114,19 @@ def guard_unique(dim: DataFrame, keys: Sequence[str], cols: Sequence[str],
     Rows with a NULL key never match a join and are dropped.  The check runs
     inside the query that uses the dimension: no separate job.
     """
-    nonnull = dim
-    for k in keys:
-        nonnull = nonnull.where(F.col(k).isNotNull())
-    per_key = nonnull.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                         *[F.first(c).alias(c) for c in cols])
-    msg = F.concat(F.lit(f"{name}: key "), F.to_json(F.struct(*keys)),
-                   F.lit(" occurs more than once"))
-    ok = F.when(F.col("__n") > 1, F.raise_error(msg)).otherwise(F.lit(True))
+    nonnull = dim.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+    per_key = nonnull.groupBy(*keys).agg(F.expr("count(1) AS __n"),
+                                         *[F.expr(f"first(`{c}`) AS `{c}`") for c in cols])
+    key_json = "to_json(named_struct(" + ", ".join(f"'{k}', `{k}`" for k in keys) + "))"
+    ok = (f"CASE WHEN __n > 1 THEN raise_error(concat('{name}: key ', {key_json}, "
+          f"' occurs more than once')) ELSE true END")
     return per_key.where(ok).drop("__n")
 
 
+def spec_tag(spec: DimSpec) -> str:
+    return "".join(ch for ch in spec.name if ch.isalnum())[:20]
+
+
 def prepare_dim(spec: DimSpec) -> tuple[DataFrame, list[str]]:
     """Select, rename, guard and (maybe) broadcast one dimension."""
     if spec.on_duplicate not in ("error", "first", "ignore"):
@@ -137,10 +139,10 @@ def prepare_dim(spec: DimSpec) -> tuple[DataFrame, list[str]]:
         dim = guard_unique(dim.select(*keys, *cols), keys, cols, spec.name)
     elif spec.on_duplicate == "first":
         dim = latest_per_key(dim.select(*keys, *cols), keys, order=[])
-    tmp_keys = [f"__dk{j}" for j in range(len(keys))]
+    tmp_keys = [f"__dk{spec_tag(spec)}_{j}" for j in range(len(keys))]
     out_names = [spec.prefix + spec.rename.get(c, c) for c in cols]
-    dim = dim.select(*[F.col(k).alias(t) for k, t in zip(keys, tmp_keys)],
-                     *[F.col(c).alias(n) for c, n in zip(cols, out_names)])
+    dim = dim.selectExpr(*[f"`{k}` AS `{t}`" for k, t in zip(keys, tmp_keys)],
+                         *[f"`{c}` AS `{n}`" for c, n in zip(cols, out_names)])
     return dim, tmp_keys
 
 
@@ -178,15 +180,22 @@ def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     # Probe the raw key columns: the guarded dimension has at most as many rows.
     fits = dict(zip(probe_idx, probe_rows([(dims[i].df.select(*dims[i].right),
                                             dims[i].max_broadcast_rows) for i in probe_idx])))
+    # All fact-side keys in one projection, then the joins, then one drop.
+    key_cols, all_tmp = [], []
+    for spec, (dim, tmp_keys) in zip(dims, prepared):
+        types = {f.name: f.dataType for f in dim.schema.fields}
+        for expr, t in zip(spec.left, tmp_keys):
+            if isinstance(expr, str):
+                key_cols.append(F.expr(f"try_cast(`{expr}` AS {types[t].simpleString()}) AS `{t}`"))
+            else:
+                key_cols.append(expr.try_cast(types[t]).alias(t))
+            all_tmp.append(t)
+    out = out.select("*", *key_cols)
     for i, (spec, (dim, tmp_keys)) in enumerate(zip(dims, prepared)):
         if spec.broadcast is True or fits.get(i, False):
             dim = F.broadcast(dim)
-        types = {f.name: f.dataType for f in dim.schema.fields}
-        for expr, t in zip(spec.left, tmp_keys):
-            c = F.col(expr) if isinstance(expr, str) else expr
-            out = out.withColumn(t, c.try_cast(types[t]))
-        out = out.join(dim, on=tmp_keys, how=spec.how).drop(*tmp_keys)
-    return out
+        out = out.join(dim, on=tmp_keys, how=spec.how)
+    return out.drop(*all_tmp)
 
 
 def priority_lookup(category: DataFrame, priority: DataFrame, how: str = "left") -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casekit.config import KPI_WINDOWS, KpiWindow
-from casekit.functions.timewin import in_last
+from casekit.functions.timewin import in_last, in_last_sql
 
 LM = "last_modified_timestamp"
 
@@ -31,34 +31,31 @@ RESPONSE_COUNT_NAMES = {"1HR": "Total_Response_Count",
                         "1Month": "Total_Response_Count_Last_1Month"}
 
 
-def _count_where(cond: Column) -> Column:
-    return F.count(F.when(cond, F.col("case_no")))
+def _count_where(cond: str) -> Column:
+    return F.expr(f"count(CASE WHEN {cond} THEN case_no END)")
 
 
-def status_in_window(status: str, w: KpiWindow, as_of) -> Column:
-    return (F.col("status") == status) & in_last(LM, w.interval, as_of)
-
-
-def survey_in_window(w: KpiWindow, as_of) -> Column:
-    return F.col("survey_timestamp").isNotNull() & in_last(LM, w.interval, as_of)
+def scalar_kpi_predicates(as_of: _dt.datetime | str | None,
+                          windows: Sequence[KpiWindow] = KPI_WINDOWS) -> dict[str, str | None]:
+    """The 15 scalar KPIs as SQL predicates over the wide table (None = all rows)."""
+    k: dict[str, str | None] = {"Total_Numbers_of_Cases": None}
+    for status in ("Open", "Closed"):
+        for w in windows:
+            k[f"Total_{status}_Cases_{CASE_WINDOW_NAMES.get(w.label, w.label)}"] = \
+                f"status = '{status}' AND {in_last_sql(LM, w.interval, as_of)}"
+    k["Total_Piority_1_Cases"] = "Priority_key = 'P1'"
+    k["Total_High_Piority_Cases"] = "priority IN ('High', 'Highest')"
+    for w in windows:
+        k[f"Total_Surveys_{SURVEY_WINDOW_NAMES.get(w.label, w.label)}"] = \
+            f"survey_timestamp IS NOT NULL AND {in_last_sql(LM, w.interval, as_of)}"
+    return k
 
 
 def scalar_kpis(as_of: _dt.datetime | str | None,
                 windows: Sequence[KpiWindow] = KPI_WINDOWS) -> dict[str, Column]:
     """The 15 scalar KPIs as aggregate expressions, keyed by output name."""
-    k: dict[str, Column] = {"Total_Numbers_of_Cases": F.count("case_no")}
-    for w in windows:
-        k[f"Total_Open_Cases_{CASE_WINDOW_NAMES.get(w.label, w.label)}"] = \
-            _count_where(status_in_window("Open", w, as_of))
-    for w in windows:
-        k[f"Total_Closed_Cases_{CASE_WINDOW_NAMES.get(w.label, w.label)}"] = \
-            _count_where(status_in_window("Closed", w, as_of))
-    k["Total_Piority_1_Cases"] = _count_where(F.col("Priority_key") == "P1")
-    k["Total_High_Piority_Cases"] = _count_where(F.col("priority").isin("High", "Highest"))
-    for w in windows:
-        k[f"Total_Surveys_{SURVEY_WINDOW_NAMES.get(w.label, w.label)}"] = \
-            _count_where(survey_in_window(w, as_of))
-    return k
+    return {n: (F.count("case_no") if p is None else _count_where(p))
+            for n, p in scalar_kpi_predicates(as_of, windows).items()}
 
 
 def response_kpis(as_of, windows: Sequence[KpiWindow] = KPI_WINDOWS) -> dict[str, Column]:
@@ -66,8 +63,9 @@ def response_kpis(as_of, windows: Sequence[KpiWindow] = KPI_WINDOWS) -> dict[str
     k = {}
     for label in ("Positive", "Negative"):
         for w in windows:
-            cond = (F.col("overall_feedback") == label) & in_last(LM, w.interval, as_of)
-            k[f"{label}_{RESPONSE_COUNT_NAMES.get(w.label, w.label)}"] = F.count(F.when(cond, 1))
+            cond = f"overall_feedback = '{label}' AND {in_last_sql(LM, w.interval, as_of)}"
+            k[f"{label}_{RESPONSE_COUNT_NAMES.get(w.label, w.label)}"] = \
+                F.expr(f"count(CASE WHEN {cond} THEN 1 END)")
     return k
 
 
@@ -90,14 +88,12 @@ def kpi_feedback(wide: DataFrame, as_of=None,
     reaches the scan), then counted per class with one conditional count per
     window.
     """
-    any_window = None
-    for w in windows:
-        c = in_last(LM, w.interval, as_of)
-        any_window = c if any_window is None else (any_window | c)
-    base = wide.where(F.col("overall_feedback").isNotNull()
-                      & (F.col("overall_feedback") != "Neutral") & any_window)
+    any_window = " OR ".join(in_last_sql(LM, w.interval, as_of) for w in windows)
+    base = wide.where(f"overall_feedback IS NOT NULL AND overall_feedback <> 'Neutral' "
+                      f"AND ({any_window})")
     counts = base.groupBy(F.col("overall_feedback").alias("Response")).agg(
-        *[F.count(F.when(in_last(LM, w.interval, as_of), 1)).alias(w.label) for w in windows])
+        *[F.expr(f"count(CASE WHEN {in_last_sql(LM, w.interval, as_of)} THEN 1 END) "
+                 f"AS `{w.label}`") for w in windows])
     long = counts.unpivot("Response", [w.label for w in windows], "window",
                           "Total_Response_Count")
     return long.where(F.col("Total_Response_Count") > 0)
@@ -122,7 +118,8 @@ def kpi_statements(wide: DataFrame, as_of=None,
 
     Kept for parity checks against ``kpi_report``; prefer ``kpi_report``.
     """
-    out = {n: wide.agg(c.alias(n)) for n, c in scalar_kpis(as_of, windows).items()}
+    out = {n: (wide if p is None else wide.where(p)).agg(F.count("case_no").alias(n))
+           for n, p in scalar_kpi_predicates(as_of, windows).items()}
     for w in windows:
         name = RESPONSE_COUNT_NAMES.get(w.label, w.label)
         out[name] = (wide.where(F.col("overall_feedback").isNotNull()

@@ -36,5 +36,6 @@ def literal_frame(spark: SparkSession, rows: Iterable[Sequence], schema: T.Struc
         return spark.createDataFrame([], schema)
     values = ", ".join("(" + ", ".join(_sql_literal(v) for v in r) + ")" for r in rows)
     cols = ", ".join(f"`{n}`" for n in names)
-    df = spark.sql(f"SELECT * FROM VALUES {values} AS t({cols})")
-    return df.select(*[df[f"`{f.name}`"].cast(f.dataType).alias(f.name) for f in schema.fields])
+    casts = ", ".join(f"CAST(`{f.name}` AS {f.dataType.simpleString()}) AS `{f.name}`"
+                      for f in schema.fields)
+    return spark.sql(f"SELECT {casts} FROM VALUES {values} AS t({cols})")
