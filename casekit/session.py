@@ -21,6 +21,31 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(executors: int = 1000, cores_per_executor: int = 8) -> dict[str, str]:
+    """Settings for a large cluster (pass to ``spark-submit --conf`` or the builder).
+
+    Shuffle width starts high and AQE coalesces it to ~256 MB partitions, so
+    one setting serves jobs of any size; skewed partitions (one case number or
+    one date holding a third of the rows) are split by AQE's skew join; scan
+    splits of 256 MB keep task counts manageable on 100 TB inputs.
+    """
+    cores = executors * cores_per_executor
+    return {
+        **{k: v for k, v in RECOMMENDED_CONF.items() if k != "spark.ui.enabled"},
+        "spark.sql.shuffle.partitions": str(4 * cores),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(4 * cores),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+        "spark.sql.files.maxPartitionBytes": "256m",
+        "spark.sql.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+        "spark.sql.parquet.filterPushdown": "true",
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "casekit", extra: dict | None = None) -> SparkSession:
     """A local session for tests and benchmarks (never used by library code)."""

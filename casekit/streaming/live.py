@@ -88,3 +88,20 @@ def run_live_kpis(enriched_cases: DataFrame, sinks: LiveSinks, checkpoint: str,
     return (enriched_cases.writeStream.foreachBatch(kpi_batch_writer(sinks))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "15 seconds"})).start())
+
+
+def cumulative_status_counts(cases: DataFrame, rsd: float = 0.01) -> DataFrame:
+    """Running distinct cases in total / Open / Closed across all batches.
+
+    Exact distinct counts over an unbounded stream would keep every case
+    number in state; HyperLogLog sketches (``approx_count_distinct``, relative
+    error ``rsd``) keep a few kilobytes instead.  Run it in ``complete`` or
+    ``update`` output mode.  The exact per-batch form is ``live_status_counts``
+    inside ``foreachBatch``.
+    """
+    return cases.agg(
+        F.approx_count_distinct("case_no", rsd).alias("Total Cases"),
+        F.approx_count_distinct(F.when(F.col("status") == "Open", F.col("case_no")), rsd)
+         .alias("Open Cases"),
+        F.approx_count_distinct(F.when(F.col("status") == "Closed", F.col("case_no")), rsd)
+         .alias("Closed Cases"))
