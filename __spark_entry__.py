@@ -305,6 +305,28 @@ def q_partition_overwrite(spark, d):
     return read_landing(spark, f"{base}/fact", _FACT_BY_MONTH)
 
 
+def _reference_tsv(spark, d, key, frame):
+    """JOB-1 without the database: a dimension as a delimited text file (all
+    text, header, columns in another order), read back typed by name."""
+    from casekit.plans.jobs import reference_frame
+    base = scratch_path(spark, f"reference_{key}")
+    cols = list(reversed(frame.columns))
+    write_delimited(text_fields(frame.select(*cols)), f"{base}/{key}")
+    return reference_frame(spark, key, f"{base}/{key}")
+
+
+def q_reference_employee_tsv(spark, d):
+    return _reference_tsv(spark, d, "employee", dv.employee(spark, d))
+
+
+def q_reference_calendar_tsv(spark, d):
+    return _reference_tsv(spark, d, "calendar", dv.calendar(spark, d))
+
+
+def q_reference_case_history_tsv(spark, d):
+    return _reference_tsv(spark, d, "case_stg", dv.case_history(spark, d))
+
+
 def q_stream_land_cases(spark, d):
     base = scratch_path(spark, "stream_land_cases")
     _write_text(_case_messages(spark, d), f"{base}/in")
@@ -422,6 +444,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_publish_array": q_json_publish_array,
     "csv_round_trip": q_csv_round_trip,
     "partition_overwrite": q_partition_overwrite,
+    "reference_employee_tsv": q_reference_employee_tsv,
+    "reference_calendar_tsv": q_reference_calendar_tsv,
+    "reference_case_history_tsv": q_reference_case_history_tsv,
     "stream_land_cases": q_stream_land_cases,
     "stream_enrich": q_stream_enrich,
     "stream_kpi_batches": q_stream_kpi_batches,
@@ -644,6 +669,12 @@ ORACLE.update({
         THEN upper(status) ELSE status END AS status),
         CAST(date_trunc('month', create_date) AS DATE) AS create_month FROM fact""",
     "stream_land_cases": "SELECT * FROM cases",
+    "reference_employee_tsv": "SELECT * FROM employee",
+    "reference_calendar_tsv": "SELECT * FROM calendar",
+    "reference_case_history_tsv": """SELECT case_no, create_timestamp, last_modified_timestamp,
+        created_employee_key, call_center_id, status, category, sub_category,
+        communication_mode, country_cd, product_code,
+        TRY_CAST(create_timestamp AS DATE) AS create_date FROM case_hist""",
     "stream_enrich": _cases_priority_sql("cat_pri_inner"),
     "stream_kpi_batches": ORACLE["live_status_counts"],
     "stream_join_interval": _STREAM_JOIN.format(

@@ -71,21 +71,27 @@ HISTORY_DATES = {"case_stg": ("create_timestamp", "create_date"),
                  "survey_stg": ("survey_timestamp", "survey_date")}
 
 
+def reference_frame(spark: SparkSession, key: str, path: str) -> DataFrame:
+    """One delimited reference file read as text and conformed to its schema;
+    history extracts also get their partition date from the event time."""
+    schema = REFERENCE_FILES[key]
+    src = schema
+    if key in HISTORY_DATES:
+        src = T.StructType([f for f in schema.fields if f.name != HISTORY_DATES[key][1]])
+    df = read_delimited(spark, path, src)
+    if key in HISTORY_DATES:
+        ts, d = HISTORY_DATES[key]
+        df = with_event_date(df, ts, d)
+    return df
+
+
 def load_reference_tables(spark: SparkSession, files: dict[str, str], url: str,
                           properties: dict, names: TableNames | None = None,
                           mode: str = "errorifexists") -> None:
     """JOB-1: each delimited file (key -> path) conformed and written over JDBC."""
     names = names or TableNames()
     for key, path in files.items():
-        schema = REFERENCE_FILES[key]
-        src = schema
-        if key in HISTORY_DATES:
-            src = T.StructType([f for f in schema.fields if f.name != HISTORY_DATES[key][1]])
-        df = read_delimited(spark, path, src)
-        if key in HISTORY_DATES:
-            ts, d = HISTORY_DATES[key]
-            df = with_event_date(df, ts, d)
-        write_jdbc(df, url, names.name(key), properties, mode=mode)
+        write_jdbc(reference_frame(spark, key, path), url, names.name(key), properties, mode=mode)
 
 
 def load_dimensions(spark: SparkSession, url: str, properties: dict, wh: Warehouse,
@@ -237,6 +243,6 @@ def stored_kpis(spark: SparkSession, wh: Warehouse, as_of) -> DataFrame:
     return kpi_job(spark, wh, as_of)
 
 
-__all__ = ["Warehouse", "load_reference_tables", "load_dimensions", "load_history",
+__all__ = ["Warehouse", "reference_frame", "load_reference_tables", "load_dimensions", "load_history",
            "build_increment", "merge_history", "build_fact_job", "build_wide_job", "kpi_job",
            "run_live", "forward_files_job", "stored_kpis", "warehouse_dims"]
