@@ -25,8 +25,7 @@ from casekit.operators import (DimSpec, enrich, kpi_counts, kpi_feedback,  # noq
                                kpi_report, latest_per_key, live_priority_counts,
                                live_status_counts, merge_distinct, priority_lookup,
                                score_bands)
-from casekit.operators.kpi import (CASE_WINDOW_NAMES, RESPONSE_COUNT_NAMES,  # noqa: E402
-                                   SURVEY_WINDOW_NAMES)
+from casekit.operators.kpi import kpi_name  # noqa: E402
 from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,  # noqa: E402
                                 latest_surveys, score_feedback, wide_dim_specs)
 from casekit.functions.jsonio import (decode_json, encode_arrays, encode_rows,  # noqa: E402
@@ -209,12 +208,11 @@ def q_kpi_total(spark, d):
 
 
 def q_kpi_open(spark, d):
-    return _kpis(spark, d, [f"Total_Open_Cases_{CASE_WINDOW_NAMES[w.label]}" for w in KPI_WINDOWS])
+    return _kpis(spark, d, [kpi_name("open", w.label) for w in KPI_WINDOWS])
 
 
 def q_kpi_closed(spark, d):
-    return _kpis(spark, d, [f"Total_Closed_Cases_{CASE_WINDOW_NAMES[w.label]}"
-                            for w in KPI_WINDOWS])
+    return _kpis(spark, d, [kpi_name("closed", w.label) for w in KPI_WINDOWS])
 
 
 def q_kpi_p1(spark, d):
@@ -226,8 +224,7 @@ def q_kpi_high(spark, d):
 
 
 def q_kpi_surveys(spark, d):
-    return _kpis(spark, d, [f"Total_Surveys_{SURVEY_WINDOW_NAMES[w.label]}"
-                            for w in KPI_WINDOWS])
+    return _kpis(spark, d, [kpi_name("surveys", w.label) for w in KPI_WINDOWS])
 
 
 def q_kpi_feedback(spark, d):
@@ -474,12 +471,12 @@ _WIN = {w.label: w.interval for w in KPI_WINDOWS}
 
 
 def _open_closed(status):
-    return [(f"Total_{status}_Cases_{CASE_WINDOW_NAMES[k]}",
+    return [(kpi_name(status.lower(), k),
              f"status = '{status}' AND {ov.in_last_sql(v)}") for k, v in _WIN.items()]
 
 
 def _survey_items():
-    return [(f"Total_Surveys_{SURVEY_WINDOW_NAMES[k]}",
+    return [(kpi_name("surveys", k),
              f"survey_timestamp IS NOT NULL AND {ov.in_last_sql(v)}") for k, v in _WIN.items()]
 
 
@@ -502,7 +499,7 @@ def _report_union():
              + (f" WHERE {c}" if c else "") for n, c in items]
     for label in ("Positive", "Negative"):
         for k, v in _WIN.items():
-            parts.append(f"SELECT '{label}_{RESPONSE_COUNT_NAMES[k]}' AS kpi, count(*) AS value "
+            parts.append(f"SELECT '{label}_{kpi_name('response', k)}' AS kpi, count(*) AS value "
                          f"FROM wide WHERE overall_feedback = '{label}' AND {ov.in_last_sql(v)}")
     return " UNION ALL ".join(parts)
 
@@ -518,11 +515,6 @@ def _cases_priority_sql(view):
             f"ON c.category = p.category_key AND c.sub_category = p.sub_category_key")
 
 
-_SCORES = (f"{ov.score_sql('Q1')} AS support_process_feedback, "
-           f"{ov.score_sql('Q2')} AS employee_conversation_feedback, "
-           f"{ov.score_sql('Q3')} AS employee_technical_feedback, "
-           f"{ov.score_sql('Q5')} AS referral_feedback")
-
 _MERGED_CASES = f"""SELECT DISTINCT status, category, sub_category,
          CAST(last_modified_timestamp AS TIMESTAMP) AS last_modified_timestamp, case_no,
          CAST(create_timestamp AS TIMESTAMP) AS create_timestamp, created_employee_key,
@@ -601,37 +593,33 @@ ORACLE: dict[str, str] = {
     "fact_case_survey": "SELECT * FROM fact",
     "priority_inner": _cases_priority_sql("cat_pri_inner"),
     "priority_left": _cases_priority_sql("cat_pri_left"),
-    "enrich_calendar": """SELECT A.case_no, A.create_timestamp,
-        B.date_desc AS case_create_date_desc, B.week_day_nbr AS case_create_week_day_nbr,
-        B.week_number AS case_create_week_number, B.week_name AS case_create_week_name,
-        B.year_week_number AS case_create_year_week_number,
-        B.month_number AS case_create_month_number, B.month_name AS case_create_month_name,
-        B.quarter_number AS case_create_quarter_number, B.quarter_name AS case_create_quarter_name,
-        B.half_year_number AS case_create_half_year_number,
-        B.half_year_name AS case_create_half_year_name
-        FROM fact A LEFT JOIN calendar B ON CAST(A.create_timestamp AS DATE) = B.calendar_date""",
-    "enrich_center_employee_product": """SELECT A.case_no, A.call_center_id,
-        A.created_employee_key, A.product_code, C.call_center_vendor, C.location,
-        C.country AS call_center_country, E.first_name, E.last_name, E.email, E.gender, E.ldap,
-        E.manager, E.hire_date, F.department, F.brand, F.commodity_desc, F.sub_commodity_desc
-        FROM fact A LEFT JOIN call_center C ON A.call_center_id = C.call_center_id
-        LEFT JOIN employee E ON TRY_CAST(A.created_employee_key AS INTEGER) = E.emp_key
-        LEFT JOIN product F ON A.product_code = F.product_id""",
-    "enrich_category": """SELECT A.case_no, A.category, A.sub_category, D.category_description,
-        D.sub_category_description, D.Priority_key, D.priority, D.severity, D.SLA AS sla_hours
-        FROM fact A LEFT JOIN cat_pri_left D
-        ON A.category = D.category_key AND A.sub_category = D.sub_category_key""",
-    "bands_score": f"SELECT survey_id, Q1, Q2, Q3, Q5, {_SCORES} FROM surveys",
-    "feedback_labels": f"""SELECT survey_id, {ov.label_sql('sp')} AS support_process_feedback,
-        {ov.label_sql('ec')} AS employee_conversation_feedback,
-        {ov.label_sql('et')} AS employee_technical_feedback,
-        {ov.label_sql('rf')} AS referral_feedback
-        FROM (SELECT survey_id, {ov.score_sql('Q1')} AS sp, {ov.score_sql('Q2')} AS ec,
-              {ov.score_sql('Q3')} AS et, {ov.score_sql('Q5')} AS rf FROM surveys) s""",
-    "feedback_overall": f"""SELECT survey_id, {ov.overall_sql('sp', 'ec', 'et', 'rf')}
-        AS overall_feedback
-        FROM (SELECT survey_id, {ov.score_sql('Q1')} AS sp, {ov.score_sql('Q2')} AS ec,
-              {ov.score_sql('Q3')} AS et, {ov.score_sql('Q5')} AS rf FROM surveys) s""",
+    "enrich_calendar": """SELECT case_no, create_timestamp,
+        case_create_date_desc, case_create_week_day_nbr, case_create_week_number,
+        case_create_week_name, case_create_year_week_number, case_create_month_number,
+        case_create_month_name, case_create_quarter_number, case_create_quarter_name,
+        case_create_half_year_number, case_create_half_year_name FROM wide""",
+    "enrich_center_employee_product": """SELECT f.case_no, f.call_center_id,
+        f.created_employee_key, f.product_code, w.call_center_vendor, w.location,
+        w.call_center_country, w.first_name, w.last_name, w.email, w.gender, w.ldap,
+        w.manager, w.hire_date, w.department, w.brand, w.commodity_desc, w.sub_commodity_desc
+        FROM fact f JOIN wide w ON w.case_no IS NOT DISTINCT FROM f.case_no""",
+    "enrich_category": """SELECT f.case_no, f.category, f.sub_category,
+        w.category_description, w.sub_category_description, w.Priority_key, w.priority,
+        w.severity, w.sla_hours
+        FROM fact f JOIN wide w ON w.case_no IS NOT DISTINCT FROM f.case_no""",
+    "bands_score": f"""SELECT survey_id, Q1, Q2, Q3, Q5, support_process_feedback,
+        employee_conversation_feedback, employee_technical_feedback, referral_feedback
+        FROM ({ov.scored('surveys', 'sv')}) x""",
+    "feedback_labels": f"""SELECT survey_id,
+        {ov.label_sql('support_process_feedback')} AS support_process_feedback,
+        {ov.label_sql('employee_conversation_feedback')} AS employee_conversation_feedback,
+        {ov.label_sql('employee_technical_feedback')} AS employee_technical_feedback,
+        {ov.label_sql('referral_feedback')} AS referral_feedback
+        FROM ({ov.scored('surveys', 'sv')}) x""",
+    "feedback_overall": f"""SELECT survey_id, {ov.overall_sql(
+        'support_process_feedback', 'employee_conversation_feedback',
+        'employee_technical_feedback', 'referral_feedback')} AS overall_feedback
+        FROM ({ov.scored('surveys', 'sv')}) x""",
     "hours_to_close": """SELECT case_no, status, round(CASE WHEN status = 'Closed' THEN
         (epoch(last_modified_timestamp) - epoch(create_timestamp)) / 3600 END, 6)
         AS hours_to_close FROM fact""",

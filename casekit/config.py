@@ -11,7 +11,7 @@ from dataclasses import dataclass, field
 @dataclass(frozen=True)
 class TableNames:
     """Warehouse table names (or paths) used by the batch jobs."""
-    prefix: str = "futurecart"
+    prefix: str = "cases"
     calendar: str = "dim_calendar"
     call_center: str = "dim_call_center"
     case_category: str = "dim_case_category"

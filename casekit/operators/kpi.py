@@ -19,16 +19,35 @@ from casekit.functions.timewin import in_last, in_last_sql
 
 LM = "last_modified_timestamp"
 
-# KPI output names per window (note "Week" for cases and
-# "1Week" for surveys and responses).
-CASE_WINDOW_NAMES = {"1HR": "Last_1HR", "1Day": "Last_1Day", "Week": "Last_Week",
-                     "1Month": "Last_1Month"}
-SURVEY_WINDOW_NAMES = {"1HR": "Last_1HR", "1Day": "Last_1Day", "Week": "Last_1Week",
-                       "1Month": "Last_1Month"}
-RESPONSE_COUNT_NAMES = {"1HR": "Total_Response_Count",
-                        "1Day": "Total_Response_Count_Last_1Day",
-                        "Week": "Total_Response_Count_Last_1Week",
-                        "1Month": "Total_Response_Count_Last_1Month"}
+# Output names of the KPI catalogue, in catalogue order, as
+# (family, window label, name); a window label of None means all rows.
+KPI_NAMES = [
+    ("total", None, "Total_Numbers_of_Cases"),
+    ("open", "1HR", "Total_Open_Cases_Last_1HR"),
+    ("closed", "1HR", "Total_Closed_Cases_Last_1HR"),
+    ("p1", None, "Total_Piority_1_Cases"),
+    ("high", None, "Total_High_Piority_Cases"),
+    ("response", "1HR", "Total_Response_Count"),
+    ("surveys", "1HR", "Total_Surveys_Last_1HR"),
+    ("open", "1Day", "Total_Open_Cases_Last_1Day"),
+    ("open", "Week", "Total_Open_Cases_Last_Week"),
+    ("open", "1Month", "Total_Open_Cases_Last_1Month"),
+    ("closed", "1Day", "Total_Closed_Cases_Last_1Day"),
+    ("closed", "Week", "Total_Closed_Cases_Last_Week"),
+    ("closed", "1Month", "Total_Closed_Cases_Last_1Month"),
+    ("response", "1Day", "Total_Response_Count_Last_1Day"),
+    ("response", "Week", "Total_Response_Count_Last_1Week"),
+    ("response", "1Month", "Total_Response_Count_Last_1Month"),
+    ("surveys", "1Day", "Total_Surveys_Last_1Day"),
+    ("surveys", "Week", "Total_Surveys_Last_1Week"),
+    ("surveys", "1Month", "Total_Surveys_Last_1Month"),
+]
+_NAME = {(fam, win): name for fam, win, name in KPI_NAMES}
+
+
+def kpi_name(family: str, window: str | None = None) -> str:
+    """Output name of a KPI; windows outside the catalogue get a derived name."""
+    return _NAME.get((family, window)) or f"Total_{family}_Last_{window}"
 
 
 def _count_where(cond: str) -> Column:
@@ -38,15 +57,15 @@ def _count_where(cond: str) -> Column:
 def scalar_kpi_predicates(as_of: _dt.datetime | str | None,
                           windows: Sequence[KpiWindow] = KPI_WINDOWS) -> dict[str, str | None]:
     """The 15 scalar KPIs as SQL predicates over the wide table (None = all rows)."""
-    k: dict[str, str | None] = {"Total_Numbers_of_Cases": None}
+    k: dict[str, str | None] = {kpi_name("total"): None}
     for status in ("Open", "Closed"):
         for w in windows:
-            k[f"Total_{status}_Cases_{CASE_WINDOW_NAMES.get(w.label, w.label)}"] = \
+            k[kpi_name(status.lower(), w.label)] = \
                 f"status = '{status}' AND {in_last_sql(LM, w.interval, as_of)}"
-    k["Total_Piority_1_Cases"] = "Priority_key = 'P1'"
-    k["Total_High_Piority_Cases"] = "priority IN ('High', 'Highest')"
+    k[kpi_name("p1")] = "Priority_key = 'P1'"
+    k[kpi_name("high")] = "priority IN ('High', 'Highest')"
     for w in windows:
-        k[f"Total_Surveys_{SURVEY_WINDOW_NAMES.get(w.label, w.label)}"] = \
+        k[kpi_name("surveys", w.label)] = \
             f"survey_timestamp IS NOT NULL AND {in_last_sql(LM, w.interval, as_of)}"
     return k
 
@@ -64,7 +83,7 @@ def response_kpis(as_of, windows: Sequence[KpiWindow] = KPI_WINDOWS) -> dict[str
     for label in ("Positive", "Negative"):
         for w in windows:
             cond = f"overall_feedback = '{label}' AND {in_last_sql(LM, w.interval, as_of)}"
-            k[f"{label}_{RESPONSE_COUNT_NAMES.get(w.label, w.label)}"] = \
+            k[f"{label}_{kpi_name('response', w.label)}"] = \
                 F.expr(f"count(CASE WHEN {cond} THEN 1 END)")
     return k
 
@@ -121,7 +140,7 @@ def kpi_statements(wide: DataFrame, as_of=None,
     out = {n: (wide if p is None else wide.where(p)).agg(F.count("case_no").alias(n))
            for n, p in scalar_kpi_predicates(as_of, windows).items()}
     for w in windows:
-        name = RESPONSE_COUNT_NAMES.get(w.label, w.label)
+        name = kpi_name("response", w.label)
         out[name] = (wide.where(F.col("overall_feedback").isNotNull()
                                 & (F.col("overall_feedback") != "Neutral")
                                 & in_last(LM, w.interval, as_of))
