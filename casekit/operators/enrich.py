@@ -14,6 +14,9 @@ job.  Broadcast is decided per dimension:
   (``spark.sql.autoBroadcastJoinThreshold``; estimates of joined dimensions
   can be far off, hence not the default);
 * ``broadcast=True`` forces it, for tables whose size the caller guarantees.
+
+A dimension that is local data already (``DataFrame.isLocal()``, such as a
+``VALUES`` table) is broadcast without a probe.
 """
 
 from __future__ import annotations
@@ -176,7 +179,9 @@ def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
         if len(spec.left) != len(spec.right):
             raise ValueError(f"{spec.name}: left and right keys differ in length")
     prepared = [prepare_dim(spec) for spec in dims]
-    probe_idx = [i for i, spec in enumerate(dims) if spec.broadcast == "probe"]
+    # Data already held by the driver (e.g. a VALUES table) is bounded as is.
+    local = {i for i, spec in enumerate(dims) if spec.broadcast == "probe" and spec.df.isLocal()}
+    probe_idx = [i for i, spec in enumerate(dims) if spec.broadcast == "probe" and i not in local]
     # Probe the raw key columns: the guarded dimension has at most as many rows.
     fits = dict(zip(probe_idx, probe_rows([(dims[i].df.select(*dims[i].right),
                                             dims[i].max_broadcast_rows) for i in probe_idx])))
@@ -192,7 +197,7 @@ def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
             all_tmp.append(t)
     out = out.select("*", *key_cols)
     for i, (spec, (dim, tmp_keys)) in enumerate(zip(dims, prepared)):
-        if spec.broadcast is True or fits.get(i, False):
+        if spec.broadcast is True or i in local or fits.get(i, False):
             dim = F.broadcast(dim)
         out = out.join(dim, on=tmp_keys, how=spec.how)
     return out.drop(*all_tmp)
