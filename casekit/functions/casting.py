@@ -28,8 +28,17 @@ def to_ntz(c: Column | str, dtype: T.DataType | None = None) -> Column:
 
 
 def trunc_seconds(c: Column | str) -> Column:
-    """Cut sub-seconds, keeping the wall-clock type TIMESTAMP_NTZ."""
-    return F.date_trunc("second", _col(c)).cast("timestamp_ntz")
+    """Cut sub-seconds, keeping the wall-clock type TIMESTAMP_NTZ.
+
+    Rebuilt from its own fields, so no session time zone is involved (a
+    round trip through TIMESTAMP could move wall times inside a DST gap).
+    """
+    if isinstance(c, str):
+        n = f"`{c}`"
+        return F.expr(f"make_timestamp_ntz(year({n}), month({n}), day({n}), hour({n}), "
+                      f"minute({n}), second({n}))")
+    return F.make_timestamp_ntz(F.year(c), F.month(c), F.dayofmonth(c), F.hour(c),
+                                F.minute(c), F.second(c))
 
 
 def now_seconds() -> Column:

@@ -83,3 +83,14 @@ def test_event_date_and_stamp(spark):
     assert st.row_insertion_dttm == dt.datetime(2001, 11, 4) and st.load_date == dt.date(2001, 11, 4)
     now = with_load_stamp(df).first().row_insertion_dttm
     assert now.microsecond == 0
+
+
+def test_trunc_seconds_ignores_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        # 02:30 on 10 March 2024 does not exist in New York (clocks jump 02:00 -> 03:00)
+        df = spark.createDataFrame([(dt.datetime(2024, 3, 10, 2, 30, 5, 700000),)],
+                                   "ts timestamp_ntz")
+        assert df.select(trunc_seconds("ts")).first()[0] == dt.datetime(2024, 3, 10, 2, 30, 5)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
