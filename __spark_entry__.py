@@ -36,8 +36,9 @@ from casekit.sources.delimited import read_delimited, write_delimited  # noqa: E
 from casekit.sources.tables import overwrite_partitions, read_landing, write_table  # noqa: E402
 from casekit.streaming.join import (dedup_stream, forward_files,  # noqa: E402
                                     join_case_survey, publish_json)
-from casekit.streaming.live import (LiveSinks, decode_cases, decode_surveys,  # noqa: E402
-                                    enrich_stream, land_stream, run_live_kpis)
+from casekit.streaming.live import (LiveSinks, cumulative_status_counts,  # noqa: E402
+                                    decode_cases, decode_surveys, enrich_stream, land_stream,
+                                    run_live_kpis)
 from casekit.streaming.sources import stream_files, stream_messages  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -393,6 +394,30 @@ def q_stream_dedup(spark, d):
     return read_landing(spark, f"{base}/landing", schemas.SURVEY)
 
 
+def q_stream_publish_array(spark, d):
+    """Case stream published as bounded JSON arrays from foreachBatch, read back."""
+    base = scratch_path(spark, "stream_publish_array")
+    _write_text(_case_messages(spark, d), f"{base}/in")
+    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
+    publish_json(cases, f"{base}/ckpt", fmt="text", path=f"{base}/out", envelope="array",
+                 max_rows=500, trigger=ONCE).awaitTermination()
+    return decode_cases(spark.read.text(f"{base}/out"))
+
+
+def q_stream_cumulative_counts(spark, d):
+    """Running distinct cases (HyperLogLog state) over the case stream.
+
+    Approximate by design, so it has no exact oracle (rows-only check)."""
+    base = scratch_path(spark, "stream_cumulative_counts")
+    _write_text(_case_messages(spark, d), f"{base}/in")
+    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
+    q = (cumulative_status_counts(cases).writeStream.outputMode("complete")
+         .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{base}/out"))
+         .option("checkpointLocation", f"{base}/ckpt").trigger(**ONCE).start())
+    q.awaitTermination()
+    return spark.read.parquet(f"{base}/out")
+
+
 def q_file_forward(spark, d):
     base = scratch_path(spark, "file_forward")
     _write_text(_case_messages(spark, d), f"{base}/in")
@@ -451,6 +476,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_join_bucket": q_stream_join_bucket,
     "stream_dedup": q_stream_dedup,
     "file_forward": q_file_forward,
+    "stream_publish_array": q_stream_publish_array,
+    "stream_cumulative_counts": q_stream_cumulative_counts,
 }
 
 
@@ -672,6 +699,7 @@ ORACLE.update({
         cond="floor(epoch(s.survey_timestamp) / 15) = floor(epoch(c.last_modified_timestamp) / 15)"),
     "stream_dedup": "SELECT * FROM surveys",
     "file_forward": "SELECT * FROM cases",
+    "stream_publish_array": "SELECT * FROM cases",
 })
 
 
