@@ -37,8 +37,8 @@ from casekit.sources.tables import overwrite_partitions, read_landing, write_tab
 from casekit.streaming.join import (dedup_stream, forward_files,  # noqa: E402
                                     join_case_survey, publish_json)
 from casekit.streaming.live import (LiveSinks, cumulative_status_counts,  # noqa: E402
-                                    decode_cases, decode_surveys, enrich_stream, land_stream,
-                                    run_live_kpis)
+                                    decode_cases, decode_surveys, enrich_stream,
+                                    fan_out_writer, land_stream)
 from casekit.streaming.sources import stream_files, stream_messages  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -353,8 +353,10 @@ def q_stream_kpi_batches(spark, d):
     _write_text(_case_messages(spark, d), f"{base}/in")
     cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
     sinks = LiveSinks(f"{base}/kpi_status", f"{base}/kpi_priority")
-    run_live_kpis(enrich_stream(cases, _lookup(spark)), sinks, f"{base}/ckpt",
-                  trigger=ONCE).awaitTermination()
+    lookup = _lookup(spark)
+    fan_out = fan_out_writer(f"{base}/landing", sinks, lambda b: enrich_stream(b, lookup))
+    (cases.writeStream.foreachBatch(fan_out).option("checkpointLocation", f"{base}/ckpt")
+     .trigger(**ONCE).start().awaitTermination())
     return spark.read.parquet(sinks.status_path).select("Case_Type", "Cases_numbers")
 
 

@@ -42,7 +42,7 @@ from casekit.sources.tables import (overwrite_partitions, read_landing, read_tab
                                     refresh_staging, write_table)
 from casekit.streaming.join import forward_files, join_case_survey, publish_json
 from casekit.streaming.live import (LiveSinks, decode_cases, decode_surveys, enrich_stream,
-                                    land_stream, run_live_kpis)
+                                    fan_out_writer, land_stream)
 from casekit.streaming.sources import stream_files
 
 
@@ -200,9 +200,13 @@ def run_live(spark: SparkSession, case_messages: DataFrame, survey_messages: Dat
              within: str = "15 seconds", watermark: str = "1 minute") -> LiveJob:
     """JOB-4: the live job over two message streams.
 
-    Starts four queries: case landing, survey landing, per-batch KPIs on the
-    enriched cases, and the case/survey join published as JSON (to files at
-    ``out_path`` or, with ``publish_options``, to a Kafka topic).
+    Starts three queries:
+    * the case stream, decoded once per batch, fanned out in ``foreachBatch``
+      to the case landing table (partitioned by ``batch_id``) and to the
+      per-batch KPIs of the enriched cases;
+    * the survey landing (file sink, exactly once);
+    * the case/survey join published as JSON (to files at ``out_path`` or,
+      with ``publish_options``, to a Kafka topic).
     """
     trig = trigger or {"processingTime": "15 seconds"}
     dims = warehouse_dims(spark, wh)
@@ -210,13 +214,14 @@ def run_live(spark: SparkSession, case_messages: DataFrame, survey_messages: Dat
     cases = decode_cases(case_messages)
     surveys = decode_surveys(survey_messages)
     ck = checkpoint_root.rstrip("/")
+    sinks = LiveSinks(f"{wh.root}/live_status", f"{wh.root}/live_priority")
+    fan_out = fan_out_writer(wh.path("case_dly") + "_landing", sinks,
+                             lambda b: enrich_stream(b, lookup))
     qs = [
-        land_stream(cases, wh.path("case_dly") + "_landing", f"{ck}/land_cases", trigger=trig),
+        cases.writeStream.foreachBatch(fan_out).option("checkpointLocation", f"{ck}/cases")
+        .trigger(**trig).start(),
         land_stream(surveys, wh.path("survey_dly") + "_landing", f"{ck}/land_surveys",
                     trigger=trig),
-        run_live_kpis(enrich_stream(cases, lookup),
-                      LiveSinks(f"{wh.root}/live_status", f"{wh.root}/live_priority"),
-                      f"{ck}/kpis", trigger=trig),
     ]
     joined = join_case_survey(cases, surveys, within=within, watermark=watermark)
     if publish_options:

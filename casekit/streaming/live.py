@@ -82,6 +82,32 @@ def kpi_batch_writer(sinks: LiveSinks) -> Callable[[DataFrame, int], None]:
     return handle
 
 
+def fan_out_writer(landing_path: str, sinks: LiveSinks,
+                   enrich: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` handler: decode once, then every output of a batch.
+
+    The batch is cached once and feeds (1) the landing table and (2) both
+    live KPIs of the enriched batch.  Each output replaces its own
+    ``batch_id`` partition, so a replayed batch leaves exactly one copy.
+    """
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        if batch.isEmpty():
+            return
+        batch = batch.persist()
+        try:
+            outputs = [(batch, landing_path)]
+            enriched = enrich(batch)
+            outputs += [(live_status_counts(enriched), sinks.status_path),
+                        (live_priority_counts(enriched), sinks.priority_path)]
+            for frame, path in outputs:
+                (frame.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+                 .parquet(path))
+        finally:
+            batch.unpersist()
+    return handle
+
+
 def run_live_kpis(enriched_cases: DataFrame, sinks: LiveSinks, checkpoint: str,
                   trigger: dict | None = None) -> StreamingQuery:
     """Per-batch live KPIs of the enriched case stream."""

@@ -78,6 +78,7 @@ def test_run_live_smoke(spark, tmp_dir):
     job.await_all()
     landed = spark.read.parquet(wh.path("case_dly") + "_landing")
     assert landed.count() == cases.count()
+    landed = landed.drop("batch_id")
     status = spark.read.parquet(f"{wh.root}/live_status")
     assert status.where("Case_Type = 'Total Cases'").first().Cases_numbers == \
         cases.select("case_no").distinct().count()
