@@ -7,7 +7,8 @@ aggregated by key and a repeated key raises an error), so it costs no extra
 job.  Broadcast is decided per dimension:
 
 * ``broadcast="probe"`` (default) counts at most ``max_broadcast_rows + 1``
-  rows of the guarded dimension and broadcasts only under that bound; beyond
+  rows of the dimension's key columns (the guarded dimension has at most as
+  many rows) and broadcasts only under that bound; beyond
   it the join is a shuffle (sort-merge) join.  The probes of all dimensions of
   one ``enrich`` call run together as a single job;
 * ``broadcast=None`` leaves it to Catalyst's size estimate
@@ -126,12 +127,9 @@ def guard_unique(dim: DataFrame, keys: Sequence[str], cols: Sequence[str],
     return per_key.where(ok).drop("__n")
 
 
-def spec_tag(spec: DimSpec) -> str:
-    return "".join(ch for ch in spec.name if ch.isalnum())[:20]
-
-
-def prepare_dim(spec: DimSpec) -> tuple[DataFrame, list[str]]:
-    """Select, rename, guard and (maybe) broadcast one dimension."""
+def prepare_dim(spec: DimSpec, position: int = 0) -> tuple[DataFrame, list[str]]:
+    """Select, rename and guard one dimension; its keys get names unique to
+    ``position`` (the spec's place in one ``enrich`` call)."""
     if spec.on_duplicate not in ("error", "first", "ignore"):
         raise ValueError(f"on_duplicate must be error|first|ignore, not {spec.on_duplicate!r}")
     dim = spec.df
@@ -142,7 +140,7 @@ def prepare_dim(spec: DimSpec) -> tuple[DataFrame, list[str]]:
         dim = guard_unique(dim.select(*keys, *cols), keys, cols, spec.name)
     elif spec.on_duplicate == "first":
         dim = latest_per_key(dim.select(*keys, *cols), keys, order=[])
-    tmp_keys = [f"__dk{spec_tag(spec)}_{j}" for j in range(len(keys))]
+    tmp_keys = [f"__dk{position}_{j}" for j in range(len(keys))]
     out_names = [spec.prefix + spec.rename.get(c, c) for c in cols]
     dim = dim.selectExpr(*[f"`{k}` AS `{t}`" for k, t in zip(keys, tmp_keys)],
                          *[f"`{c}` AS `{n}`" for c, n in zip(cols, out_names)])
@@ -178,7 +176,7 @@ def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     for spec in dims:
         if len(spec.left) != len(spec.right):
             raise ValueError(f"{spec.name}: left and right keys differ in length")
-    prepared = [prepare_dim(spec) for spec in dims]
+    prepared = [prepare_dim(spec, i) for i, spec in enumerate(dims)]
     # Data already held by the driver (e.g. a VALUES table) is bounded as is.
     local = {i for i, spec in enumerate(dims) if spec.broadcast == "probe" and spec.df.isLocal()}
     probe_idx = [i for i, spec in enumerate(dims) if spec.broadcast == "probe" and i not in local]

@@ -162,3 +162,11 @@ def test_driver_views_counts(spark):
     assert dv.case_history(spark, d).count() == 43975
     assert dv.case_increment(spark, d).count() == 24614
     assert dv.calendar(spark, d).count() == 2399
+
+
+def test_enrich_two_unnamed_dims(spark):
+    fact = spark.createDataFrame([("1", "a", "x")], "case_no string, k1 string, k2 string")
+    d1 = spark.createDataFrame([("a", 1)], "k string, v1 int")
+    d2 = spark.createDataFrame([("x", 2)], "k string, v2 int")
+    out = enrich(fact, [DimSpec(d1, ["k1"], ["k"], ["v1"]), DimSpec(d2, ["k2"], ["k"], ["v2"])])
+    assert [tuple(r) for r in out.collect()] == [("1", "a", "x", 1, 2)]
