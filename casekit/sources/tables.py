@@ -40,12 +40,24 @@ def spread_for_write(df: DataFrame, partition_by: Sequence[str],
 
 def write_table(df: DataFrame, target: str, partition_by: Sequence[str] = (),
                 mode: str = "overwrite", fmt: str = "parquet",
-                spread_by: Sequence[str] | None = None) -> None:
-    """Write a (partitioned) table; schema from the frame."""
-    out = spread_for_write(df, partition_by, spread_by)
+                spread_by: Sequence[str] | None = None,
+                bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
+    """Write a (partitioned) table; schema from the frame.
+
+    ``bucket_by=(n, cols)`` (catalog tables only) stores rows hashed into
+    ``n`` buckets by ``cols``: two tables bucketed alike on a join key are
+    joined without shuffling either side, the remedy for a dimension too
+    large to broadcast.
+    """
+    if bucket_by and _is_path(target):
+        raise ValueError("bucketing needs a catalog table name, not a path")
+    out = df if bucket_by else spread_for_write(df, partition_by, spread_by)
     w = out.write.mode(mode).format(fmt)
     if partition_by:
         w = w.partitionBy(*partition_by)
+    if bucket_by:
+        n, cols = bucket_by
+        w = w.bucketBy(n, *cols).sortBy(*cols)
     if _is_path(target):
         w.save(target)
     else:
@@ -101,10 +113,12 @@ def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> Data
     a large input already has enough splits and is returned unchanged.
     Filters and column pruning still reach the scan below the repartition.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
+        return df
+    return df.repartition(target) if splits < target else df
 
 
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None,

@@ -91,3 +91,18 @@ def test_no_local_paths_in_library():
             if f.endswith(".py"):
                 text = open(os.path.join(dirpath, f)).read()
                 assert "/root/testdata" not in text or f == "driver_views.py"
+
+
+def test_bucketed_tables_join_without_shuffle(spark):
+    a = spark.range(1000).selectExpr("cast(id as string) AS k", "id AS v")
+    b = spark.range(1000).selectExpr("cast(id as string) AS k", "id * 2 AS w")
+    write_table(a, "ck_bucket_a", bucket_by=(4, ["k"]))
+    write_table(b, "ck_bucket_b", bucket_by=(4, ["k"]))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = spark.table("ck_bucket_a").join(spark.table("ck_bucket_b"), "k")
+        plan = j._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange hashpartitioning" not in plan
+        assert j.count() == 1000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
