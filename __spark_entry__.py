@@ -30,7 +30,7 @@ from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,
                                 latest_surveys, score_feedback, wide_dim_specs)
 from casekit.functions.jsonio import (decode_json, encode_arrays, encode_rows,  # noqa: E402
                                       text_fields)
-from casekit.session import scratch_path  # noqa: E402
+from casekit.session import scratch_path, state_partitions  # noqa: E402
 from casekit.sources import driver_views as dv  # noqa: E402
 from casekit.sources.delimited import read_delimited, write_delimited  # noqa: E402
 from casekit.sources.tables import overwrite_partitions, read_landing, write_table  # noqa: E402
@@ -373,8 +373,9 @@ def _stream_join(spark, d, mode):
     surveys = decode_surveys(stream_messages(spark, "text", f"{base}/surveys_in"))
     joined = join_case_survey(cases, surveys, within="15 seconds", watermark="1 minute",
                               mode=mode)
-    publish_json(joined, f"{base}/ckpt", fmt="text", path=f"{base}/out",
-                 trigger=ONCE).awaitTermination()
+    with state_partitions(spark):
+        q = publish_json(joined, f"{base}/ckpt", fmt="text", path=f"{base}/out", trigger=ONCE)
+    q.awaitTermination()
     return decode_json(spark.read.text(f"{base}/out"), schemas.CASE_SURVEY)
 
 
@@ -392,7 +393,9 @@ def q_stream_dedup(spark, d):
     _survey_stream_input(spark, d, f"{base}/in")
     surveys = decode_surveys(stream_messages(spark, "text", f"{base}/in"))
     out = dedup_stream(surveys, ["survey_id"], "survey_timestamp", "1 hour")
-    land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE).awaitTermination()
+    with state_partitions(spark):
+        q = land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE)
+    q.awaitTermination()
     return read_landing(spark, f"{base}/landing", schemas.SURVEY)
 
 
@@ -413,9 +416,10 @@ def q_stream_cumulative_counts(spark, d):
     base = scratch_path(spark, "stream_cumulative_counts")
     _write_text(_case_messages(spark, d), f"{base}/in")
     cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
-    q = (cumulative_status_counts(cases).writeStream.outputMode("complete")
-         .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{base}/out"))
-         .option("checkpointLocation", f"{base}/ckpt").trigger(**ONCE).start())
+    with state_partitions(spark):
+        q = (cumulative_status_counts(cases).writeStream.outputMode("complete")
+             .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{base}/out"))
+             .option("checkpointLocation", f"{base}/ckpt").trigger(**ONCE).start())
     q.awaitTermination()
     return spark.read.parquet(f"{base}/out")
 

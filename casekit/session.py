@@ -5,6 +5,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -80,3 +82,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique sub-folder of the checkpoint root for one run."""
     return f"{checkpoint_root(spark)}/casekit/{name}-{uuid.uuid4().hex[:12]}"
+
+
+@contextmanager
+def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[int]:
+    """Number of state partitions for stateful streaming queries started inside.
+
+    A streaming query takes its state partition count from
+    ``spark.sql.shuffle.partitions`` when it first starts and keeps it in its
+    checkpoint for good; size it to the state (cluster cores for large state,
+    a handful for small).  Default: the default parallelism.
+    """
+    key = "spark.sql.shuffle.partitions"
+    old = spark.conf.get(key)
+    n = n or spark.sparkContext.defaultParallelism
+    spark.conf.set(key, str(n))
+    try:
+        yield n
+    finally:
+        spark.conf.set(key, old)

@@ -37,6 +37,8 @@ def join_case_survey(cases: DataFrame, surveys: DataFrame, within: str = "15 sec
     keep_event_time='__sts')``) is used as is.  Both modes keep the interval
     bound in the condition, which is what lets Spark drop old state;
     ``bucket`` additionally requires the same ``within``-wide time bucket.
+    The join state is split into ``spark.sql.shuffle.partitions`` parts at the
+    query's first start (see ``casekit.session.state_partitions``).
     """
     if mode not in ("interval", "bucket"):
         raise ValueError("mode must be 'interval' or 'bucket'")
