@@ -19,12 +19,11 @@ from pyspark.sql import functions as F  # noqa: E402
 import oracle_views as ov  # noqa: E402
 from casekit import schemas  # noqa: E402
 from casekit.config import KPI_WINDOWS  # noqa: E402
-from casekit.functions import (conform, hours_between, in_last, overall_label,  # noqa: E402
-                               score_label, with_event_date, with_load_stamp)
+from casekit.functions import (conform, hours_between, in_last, score_label,  # noqa: E402
+                               with_event_date, with_load_stamp)
 from casekit.operators import (DimSpec, enrich, kpi_counts, kpi_feedback,  # noqa: E402
-                               kpi_report, latest_per_key, live_priority_counts,
-                               live_status_counts, merge_distinct, priority_lookup,
-                               score_bands)
+                               kpi_report, live_priority_counts, live_status_counts,
+                               merge_distinct, priority_lookup, score_bands)
 from casekit.operators.kpi import kpi_name  # noqa: E402
 from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,  # noqa: E402
                                 latest_surveys, score_feedback, wide_dim_specs)

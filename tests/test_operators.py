@@ -3,7 +3,6 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException  # noqa: F401
 
 from casekit import schemas
 from casekit.operators import (DimSpec, enrich, latest_per_key, live_priority_counts,

@@ -1,10 +1,7 @@
 """SURVEY §5 layer 4: properties of the operators."""
 
-import datetime as dt
-
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from casekit import schemas
 from casekit.operators import kpi_report, kpi_statements, latest_per_key, merge_distinct
