@@ -104,17 +104,20 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{part}")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
+                       cap: int = 200) -> DataFrame:
     """Spread a scan that yields fewer partitions than the cluster has cores.
 
     A file written as one row group is read by one task, so all work up to
     the first shuffle would run on one core.  Below ``min_partitions``
-    (default: the default parallelism) the rows are redistributed round-robin;
-    a large input already has enough splits and is returned unchanged.
-    Filters and column pruning still reach the scan below the repartition.
+    (default: the default parallelism, at most ``cap`` so a small file on a
+    large cluster does not become thousands of tiny tasks) the rows are
+    redistributed round-robin; an input that already has enough splits is
+    returned unchanged.  Filters and column pruning still reach the scan
+    below the repartition.
     """
     try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, cap)
         splits = df.rdd.getNumPartitions()
     except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
         return df
