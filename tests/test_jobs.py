@@ -83,3 +83,7 @@ def test_run_live_smoke(spark, tmp_dir):
     assert status.where("Case_Type = 'Total Cases'").first().Cases_numbers == \
         cases.select("case_no").distinct().count()
     assert schemas.CASE.fieldNames() == landed.columns
+    from casekit.sources.tables import read_landing
+    typed = read_landing(spark, wh.path("case_dly") + "_landing", schemas.CASE)
+    assert typed.columns == schemas.CASE.fieldNames()
+    assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, cases.collect()))
