@@ -65,3 +65,20 @@ def test_latest_per_key_one_row_per_key_any_order(spark, rows, parts):
         assert r.t == best_t
         # ties broken by v ascending
         assert r.v == min(x[2] for x in group if x[1] == best_t)
+
+
+fact_keys = st.lists(st.sampled_from(["1", "2", "3", "x", None]), min_size=1, max_size=20)
+dim_keys = st.sets(st.integers(1, 4), max_size=4)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(keys=fact_keys, dkeys=dim_keys)
+def test_enrich_keeps_rows_matches_brute_force(spark, keys, dkeys):
+    from casekit.operators import DimSpec, enrich
+    fact = spark.createDataFrame([(i, k) for i, k in enumerate(keys)], "id int, k string")
+    dim = spark.createDataFrame([(d, f"v{d}") for d in sorted(dkeys)] or [(0, "v0")],
+                                "dk int, v string")
+    out = {r.id: r.v for r in enrich(fact, [DimSpec(dim, ["k"], ["dk"], ["v"])]).collect()}
+    want = {i: (f"v{int(k)}" if k is not None and k.isdigit() and int(k) in dkeys else None)
+            for i, k in enumerate(keys)}
+    assert out == want
