@@ -71,10 +71,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = spark.sparkContext.getCheckpointDir()
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+            root = None
     if not root:
         root = tempfile.mkdtemp(prefix="casekit-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
+        try:
+            spark.sparkContext.setCheckpointDir(root)
+        except Exception:  # noqa: BLE001
+            pass
         spark.conf.set("spark.checkpoint.dir", root)
     return root.rstrip("/")
 
@@ -95,7 +101,11 @@ def state_partitions(spark: SparkSession, n: int | None = None) -> Iterator[int]
     """
     key = "spark.sql.shuffle.partitions"
     old = spark.conf.get(key)
-    n = n or spark.sparkContext.defaultParallelism
+    if not n:
+        try:
+            n = spark.sparkContext.defaultParallelism
+        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
+            n = int(old)
     spark.conf.set(key, str(n))
     try:
         yield n
