@@ -572,23 +572,25 @@ _MERGED_SURVEYS = """SELECT DISTINCT TRY_CAST(TRY_CAST(Q1 AS DOUBLE) AS INTEGER)
 def _fact_over(cases_view, surveys_view):
     return f"""
 WITH ml AS (
-  SELECT * EXCLUDE (rn) FROM (
+  SELECT * EXCLUDE (rn, raw_ts) FROM (
     SELECT *, row_number() OVER (PARTITION BY case_no
-             ORDER BY last_modified_timestamp DESC NULLS LAST,
+             ORDER BY last_modified_timestamp DESC NULLS LAST, raw_ts DESC NULLS LAST,
                       {', '.join(c + ' ASC NULLS LAST' for c in ov.CASE_ORDER)}) AS rn
     FROM (SELECT status, category, sub_category,
                  date_trunc('second', last_modified_timestamp) AS last_modified_timestamp,
                  case_no, date_trunc('second', create_timestamp) AS create_timestamp,
                  created_employee_key, call_center_id, product_code, country_cd,
-                 communication_mode FROM ({cases_view}) a) t) t1 WHERE rn = 1),
+                 communication_mode, last_modified_timestamp AS raw_ts
+          FROM ({cases_view}) a) t) t1 WHERE rn = 1),
 sl AS (
-  SELECT * EXCLUDE (rn) FROM (
+  SELECT * EXCLUDE (rn, raw_ts) FROM (
     SELECT *, row_number() OVER (PARTITION BY case_no
-             ORDER BY survey_timestamp DESC NULLS LAST, survey_id ASC NULLS LAST,
-                      Q1 ASC NULLS LAST, Q3 ASC NULLS LAST, Q2 ASC NULLS LAST,
-                      Q5 ASC NULLS LAST, Q4 ASC NULLS LAST) AS rn
+             ORDER BY survey_timestamp DESC NULLS LAST, raw_ts DESC NULLS LAST,
+                      survey_id ASC NULLS LAST, Q1 ASC NULLS LAST, Q3 ASC NULLS LAST,
+                      Q2 ASC NULLS LAST, Q5 ASC NULLS LAST, Q4 ASC NULLS LAST) AS rn
     FROM (SELECT Q1, Q3, Q2, Q5, Q4, case_no,
-                 date_trunc('second', survey_timestamp) AS survey_timestamp, survey_id
+                 date_trunc('second', survey_timestamp) AS survey_timestamp, survey_id,
+                 survey_timestamp AS raw_ts
           FROM ({surveys_view}) b) t) t1 WHERE rn = 1)
 SELECT c.status, c.category, c.sub_category, c.last_modified_timestamp, c.case_no,
        c.create_timestamp, c.created_employee_key, c.call_center_id, c.product_code,

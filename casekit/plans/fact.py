@@ -41,15 +41,28 @@ def typed_surveys(surveys: DataFrame) -> DataFrame:
 
 
 def latest_cases(cases: DataFrame) -> DataFrame:
-    """Newest version per case; ties broken by the other columns in order."""
-    return latest_per_key(typed_cases(cases), ["case_no"],
-                          [("last_modified_timestamp", "desc")])
+    """Newest version per case (timestamps cut to whole seconds).
+
+    Two versions in the same second are told apart by their original
+    sub-second time (the newer wins), then by the other columns in order.
+    """
+    c = conform(cases, schemas.CASE).withColumn("__raw_ts", F.col("last_modified_timestamp"))
+    c = c.withColumns({"last_modified_timestamp": trunc_seconds("last_modified_timestamp"),
+                       "create_timestamp": trunc_seconds("create_timestamp")})
+    return latest_per_key(c, ["case_no"], [("last_modified_timestamp", "desc"),
+                                           ("__raw_ts", "desc")]).drop("__raw_ts")
 
 
 def latest_surveys(surveys: DataFrame) -> DataFrame:
-    """Newest survey per case; ties broken by survey id, then the answers."""
-    return latest_per_key(typed_surveys(surveys), ["case_no"], [("survey_timestamp", "desc")],
-                          tiebreak=["survey_id", "Q1", "Q3", "Q2", "Q5", "Q4"])
+    """Newest survey per case (timestamps cut to whole seconds).
+
+    Same-second surveys are told apart by their original sub-second time,
+    then by survey id and the answers.
+    """
+    s = conform(surveys, schemas.SURVEY).withColumn("__raw_ts", F.col("survey_timestamp"))
+    s = s.withColumn("survey_timestamp", trunc_seconds("survey_timestamp"))
+    return latest_per_key(s, ["case_no"], [("survey_timestamp", "desc"), ("__raw_ts", "desc")],
+                          tiebreak=["survey_id", "Q1", "Q3", "Q2", "Q5", "Q4"]).drop("__raw_ts")
 
 
 def build_fact(cases: DataFrame, surveys: DataFrame,

@@ -122,20 +122,21 @@ VIEWS = {
     "survey_incr": f"""
   SELECT * FROM surveys WHERE survey_timestamp >= TIMESTAMP '{dv.SURVEY_INCR_FROM}'""",
     "case_latest": f"""
-  SELECT * EXCLUDE (rn) FROM (
+  SELECT * EXCLUDE (rn, raw_ts) FROM (
     SELECT *, row_number() OVER (PARTITION BY case_no
-             ORDER BY last_modified_timestamp DESC NULLS LAST,
+             ORDER BY last_modified_timestamp DESC NULLS LAST, raw_ts DESC NULLS LAST,
                       {', '.join(c + ' ASC NULLS LAST' for c in CASE_ORDER)}) AS rn
-    FROM (SELECT {_case_cols_typed()} FROM cases) t) t1
+    FROM (SELECT {_case_cols_typed()}, last_modified_timestamp AS raw_ts FROM cases) t) t1
   WHERE rn = 1""",
     "survey_latest": """
-  SELECT * EXCLUDE (rn) FROM (
+  SELECT * EXCLUDE (rn, raw_ts) FROM (
     SELECT *, row_number() OVER (PARTITION BY case_no
-             ORDER BY survey_timestamp DESC NULLS LAST, survey_id ASC NULLS LAST,
-                      Q1 ASC NULLS LAST, Q3 ASC NULLS LAST, Q2 ASC NULLS LAST,
-                      Q5 ASC NULLS LAST, Q4 ASC NULLS LAST) AS rn
+             ORDER BY survey_timestamp DESC NULLS LAST, raw_ts DESC NULLS LAST,
+                      survey_id ASC NULLS LAST, Q1 ASC NULLS LAST, Q3 ASC NULLS LAST,
+                      Q2 ASC NULLS LAST, Q5 ASC NULLS LAST, Q4 ASC NULLS LAST) AS rn
     FROM (SELECT Q1, Q3, Q2, Q5, Q4, case_no,
-                 date_trunc('second', survey_timestamp) AS survey_timestamp, survey_id
+                 date_trunc('second', survey_timestamp) AS survey_timestamp, survey_id,
+                 survey_timestamp AS raw_ts
           FROM surveys) t) t1
   WHERE rn = 1""",
     "fact": f"""
