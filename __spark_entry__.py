@@ -359,6 +359,19 @@ def q_stream_kpi_batches(spark, d):
     return spark.read.parquet(sinks.status_path).select("Case_Type", "Cases_numbers")
 
 
+def q_stream_fan_out_landing(spark, d):
+    """The case landing written by the foreachBatch fan-out (one decode per batch)."""
+    base = scratch_path(spark, "stream_fan_out_landing")
+    _write_text(_case_messages(spark, d), f"{base}/in")
+    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
+    lookup = _lookup(spark)
+    fan_out = fan_out_writer(f"{base}/landing", LiveSinks(f"{base}/st", f"{base}/pr"),
+                             lambda b: enrich_stream(b, lookup))
+    (cases.writeStream.foreachBatch(fan_out).option("checkpointLocation", f"{base}/ckpt")
+     .trigger(**ONCE).start().awaitTermination())
+    return read_landing(spark, f"{base}/landing", schemas.CASE)
+
+
 def _survey_stream_input(spark, d, path):
     _write_text(_survey_messages(dv.survey_history(spark, d)), path)
     _write_text(_survey_messages(dv.survey_increment(spark, d)), path, mode="append")
@@ -477,6 +490,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_land_cases": q_stream_land_cases,
     "stream_enrich": q_stream_enrich,
     "stream_kpi_batches": q_stream_kpi_batches,
+    "stream_fan_out_landing": q_stream_fan_out_landing,
     "stream_join_interval": q_stream_join_interval,
     "stream_join_bucket": q_stream_join_bucket,
     "stream_dedup": q_stream_dedup,
@@ -699,6 +713,7 @@ ORACLE.update({
         TRY_CAST(create_timestamp AS DATE) AS create_date FROM case_hist""",
     "stream_enrich": _cases_priority_sql("cat_pri_inner"),
     "stream_kpi_batches": ORACLE["live_status_counts"],
+    "stream_fan_out_landing": "SELECT * FROM cases",
     "stream_join_interval": _STREAM_JOIN.format(
         cond="s.survey_timestamp BETWEEN c.last_modified_timestamp - INTERVAL 15 SECOND "
              "AND c.last_modified_timestamp + INTERVAL 15 SECOND"),
