@@ -106,3 +106,40 @@ def test_bucketed_tables_join_without_shuffle(spark):
         assert j.count() == 1000
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+class _Recorder:
+    """Stands in for Spark's reader/writer builders: records every call."""
+
+    def __init__(self):
+        self.calls = []
+
+    def __getattr__(self, name):
+        def call(*args, **kwargs):
+            self.calls.append((name, args, kwargs))
+            return self
+        return call
+
+
+def test_jdbc_reader_and_writer_wiring():
+    from casekit.sources.jdbc import read_jdbc, write_jdbc
+
+    class FakeSpark:
+        read = _Recorder()
+
+    class FakeFrame:
+        write = _Recorder()
+
+    read_jdbc(FakeSpark, "jdbc:db://h/x", query="select a from t", properties={"user": "u"},
+              partition_column="a", lower_bound=1, upper_bound=100, num_partitions=8)
+    opts = [c for c in FakeSpark.read.calls if c[0] == "options"][0][2]
+    assert FakeSpark.read.calls[0] == ("format", ("jdbc",), {})
+    assert opts["dbtable"] == "(select a from t) q" and opts["partitionColumn"] == "a"
+    assert opts["numPartitions"] == "8" and opts["user"] == "u"
+    assert FakeSpark.read.calls[-1][0] == "load"
+
+    write_jdbc(FakeFrame, "jdbc:db://h/x", "cases_dim", {"user": "u"})
+    names = [c[0] for c in FakeFrame.write.calls]
+    assert names[0] == "format" and names[-1] == "save"
+    assert ("mode", ("errorifexists",), {}) in FakeFrame.write.calls
+    assert ("option", ("dbtable", "cases_dim"), {}) in FakeFrame.write.calls
