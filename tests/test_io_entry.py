@@ -143,3 +143,17 @@ def test_jdbc_reader_and_writer_wiring():
     assert names[0] == "format" and names[-1] == "save"
     assert ("mode", ("errorifexists",), {}) in FakeFrame.write.calls
     assert ("option", ("dbtable", "cases_dim"), {}) in FakeFrame.write.calls
+
+
+def test_kafka_source_wiring(spark):
+    from casekit.streaming.sources import stream_messages
+
+    class FakeSpark:
+        readStream = _Recorder()
+
+    stream_messages(FakeSpark, "kafka", options={"kafka.bootstrap.servers": "b:9092",
+                                                 "subscribe": "cases,cases_replay"})
+    calls = FakeSpark.readStream.calls
+    assert calls[0] == ("format", ("kafka",), {})
+    assert calls[1][2]["subscribe"] == "cases,cases_replay"
+    assert [c[0] for c in calls[2:]] == ["load", "select"]
