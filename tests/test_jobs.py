@@ -87,3 +87,16 @@ def test_run_live_smoke(spark, tmp_dir):
     typed = read_landing(spark, wh.path("case_dly") + "_landing", schemas.CASE)
     assert typed.columns == schemas.CASE.fieldNames()
     assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, cases.collect()))
+
+
+def test_cli_kpi_over_stored_wide(spark, tmp_dir, capsys):
+    from casekit.__main__ import main
+    wh = Warehouse(f"{tmp_dir}/wh")
+    wide = build_wide(build_fact(dv.cases(spark, SF), dv.surveys(spark, SF), AS_OF), WideDims(
+        dv.calendar(spark, SF), dv.call_center(spark, SF), dv.case_category(spark),
+        dv.case_priority(spark), dv.employee(spark, SF), dv.product(spark, SF),
+        dv.survey_questions(spark)))
+    write_table(wide, wh.path("wide"))
+    assert main(["kpi", "--warehouse", wh.root, "--as-of", str(AS_OF)]) == 0
+    out = capsys.readouterr().out
+    assert "Total_Numbers_of_Cases" in out and "Total_Surveys_Last_1Month" in out
