@@ -41,9 +41,22 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--bootstrap", help="run-live: kafka.bootstrap.servers")
     p.add_argument("--publish-topic", help="run-live: topic for the joined records")
     p.add_argument("--trigger", default="15 seconds", help="processing-time trigger")
+    p.add_argument("--checkpoint", help="streams: checkpoint folder (default: under "
+                   "spark.checkpoint.dir, one per warehouse / source folder)")
+    p.add_argument("--once", action="store_true",
+                   help="streams: process what is available, then stop (catch-up run)")
     return p
 
 
+def _checkpoint(spark: SparkSession, args, job: str, scope: str) -> str:
+    """The stream's checkpoint: given, or one stable folder per job and scope, so
+    a restart resumes its own progress and nothing else's."""
+    if args.checkpoint:
+        return args.checkpoint
+    tag = "".join(ch if ch.isalnum() else "_" for ch in scope).strip("_")[-120:]
+    return f"{checkpoint_root(spark)}/casekit/{job}/{tag}"
+
+
 def _messages(spark: SparkSession, args, what: str):
     if args.format == "kafka":
         return stream_messages(spark, "kafka", options={
@@ -55,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"casekit-{args.job}").getOrCreate()
     wh = jobs.Warehouse(args.warehouse)
-    trigger = {"processingTime": args.trigger}
+    trigger = {"availableNow": True} if args.once else {"processingTime": args.trigger}
     if args.job == "build-increment":
         jobs.build_increment(spark, args.landing_cases, args.landing_surveys, wh, args.as_of)
     elif args.job == "merge-history":
@@ -67,7 +80,7 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "kpi":
         show_kpis(jobs.kpi_job(spark, wh, args.as_of))
     elif args.job == "forward-files":
-        ck = f"{checkpoint_root(spark)}/casekit/forward-files"
+        ck = _checkpoint(spark, args, "forward-files", args.source_dir)
         jobs.forward_files_job(spark, args.source_dir, args.archive_dir, ck, path=args.out,
                                trigger=trigger).awaitTermination()
     elif args.job == "run-live":
@@ -75,7 +88,7 @@ def main(argv: list[str] | None = None) -> int:
                    if args.publish_topic else None)
         live = jobs.run_live(spark, _messages(spark, args, args.cases),
                              _messages(spark, args, args.surveys), wh,
-                             f"{checkpoint_root(spark)}/casekit/live", out_path=args.out,
+                             _checkpoint(spark, args, "live", args.warehouse), out_path=args.out,
                              publish_options=publish, trigger=trigger)
         live.await_all()
     return 0

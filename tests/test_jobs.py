@@ -100,3 +100,24 @@ def test_cli_kpi_over_stored_wide(spark, tmp_dir, capsys):
     assert main(["kpi", "--warehouse", wh.root, "--as-of", str(AS_OF)]) == 0
     out = capsys.readouterr().out
     assert "Total_Numbers_of_Cases" in out and "Total_Surveys_Last_1Month" in out
+
+
+def test_cli_run_live_once(spark, tmp_dir):
+    from casekit.__main__ import main
+    wh = Warehouse(f"{tmp_dir}/wh")
+    for k, df in {"calendar": dv.calendar(spark, SF), "call_center": dv.call_center(spark, SF),
+                  "case_category": dv.case_category(spark),
+                  "case_priority": dv.case_priority(spark), "employee": dv.employee(spark, SF),
+                  "product": dv.product(spark, SF),
+                  "questions": dv.survey_questions(spark)}.items():
+        write_table(df, wh.path(k))
+    cases = _in_quarter(dv.cases(spark, SF), "create_timestamp")
+    encode_arrays(text_fields(cases), 20).write.text(f"{tmp_dir}/cin")
+    encode_arrays(text_fields(dv.surveys(spark, SF), "yyyy-MM-dd HH:mm:ss.SSSSSS"), 20) \
+        .write.text(f"{tmp_dir}/sin")
+    assert main(["run-live", "--warehouse", wh.root, "--format", "text",
+                 "--cases", f"{tmp_dir}/cin", "--surveys", f"{tmp_dir}/sin",
+                 "--out", f"{tmp_dir}/joined", "--once"]) == 0
+    assert spark.read.parquet(wh.path("case_dly") + "_landing").count() == cases.count()
+    assert spark.read.parquet(wh.path("survey_dly") + "_landing").count() == \
+        dv.surveys(spark, SF).count()
