@@ -130,3 +130,24 @@ def test_stream_files_archive(spark, tmp_dir):
          .writeStream.format("memory").queryName("fwd_test").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.value for r in spark.table("fwd_test").collect()) == ["a", "b"]
+
+
+def test_stream_join_interval_vs_bucket(spark, tmp_dir):
+    base = dt.datetime(2024, 1, 1, 0, 0, 0)
+    case_rows = [("Open", "A", "A0", (base + dt.timedelta(seconds=s)).isoformat(" "), "0",
+                  base.isoformat(" "), "1", "2", "3", "US", "mail") for s in (0, 10, 20)]
+    survey = [("5", "4", "3", "2", "x", "0", (base + dt.timedelta(seconds=5)).isoformat(" "),
+               "s0")]
+    got = {}
+    for mode in ("interval", "bucket"):
+        d = f"{tmp_dir}/{mode}"
+        encode_rows(spark.createDataFrame(case_rows, schemas.CASE_MESSAGE)).write.text(f"{d}/c")
+        encode_rows(spark.createDataFrame(survey, schemas.SURVEY_MESSAGE)).write.text(f"{d}/s")
+        j = join_case_survey(decode_cases(stream_messages(spark, "text", f"{d}/c")),
+                             decode_surveys(stream_messages(spark, "text", f"{d}/s")),
+                             within="15 seconds", watermark="1 minute", mode=mode)
+        publish_json(j, f"{d}/ck", path=f"{d}/out", trigger=ONCE).awaitTermination()
+        got[mode] = sorted(r.last_modified_timestamp.second for r in
+                           decode_json(spark.read.text(f"{d}/out"), schemas.CASE_SURVEY).collect())
+    # within 15 s of +5 s: +0, +10, +20; same 15-second bucket [0, 15): +0, +10
+    assert got == {"interval": [0, 10, 20], "bucket": [0, 10]}
