@@ -43,6 +43,7 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--trigger", default="15 seconds", help="processing-time trigger")
     p.add_argument("--checkpoint", help="streams: checkpoint folder (default: under "
                    "spark.checkpoint.dir, one per warehouse / source folder)")
+    p.add_argument("--show", action="store_true", help="run-live: print the KPIs per batch")
     p.add_argument("--once", action="store_true",
                    help="streams: process what is available, then stop (catch-up run)")
     return p
@@ -89,7 +90,7 @@ def main(argv: list[str] | None = None) -> int:
         live = jobs.run_live(spark, _messages(spark, args, args.cases),
                              _messages(spark, args, args.surveys), wh,
                              _checkpoint(spark, args, "live", args.warehouse), out_path=args.out,
-                             publish_options=publish, trigger=trigger)
+                             publish_options=publish, trigger=trigger, show=args.show)
         live.await_all()
     return 0
 

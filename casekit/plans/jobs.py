@@ -197,7 +197,8 @@ class LiveJob:
 def run_live(spark: SparkSession, case_messages: DataFrame, survey_messages: DataFrame,
              wh: Warehouse, checkpoint_root: str, out_path: str | None = None,
              publish_options: dict | None = None, trigger: dict | None = None,
-             within: str = "15 seconds", watermark: str = "1 minute") -> LiveJob:
+             within: str = "15 seconds", watermark: str = "1 minute",
+             show: bool = False) -> LiveJob:
     """JOB-4: the live job over two message streams.
 
     Starts three queries:
@@ -216,7 +217,7 @@ def run_live(spark: SparkSession, case_messages: DataFrame, survey_messages: Dat
     ck = checkpoint_root.rstrip("/")
     sinks = LiveSinks(f"{wh.root}/live_status", f"{wh.root}/live_priority")
     fan_out = fan_out_writer(wh.path("case_dly") + "_landing", sinks,
-                             lambda b: enrich_stream(b, lookup))
+                             lambda b: enrich_stream(b, lookup), show=show)
     qs = [
         cases.writeStream.foreachBatch(fan_out).option("checkpointLocation", f"{ck}/cases")
         .trigger(**trig).start(),

@@ -21,7 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from casekit import schemas
 from casekit.functions.jsonio import decode_json
 from casekit.operators.enrich import DimSpec, enrich
-from casekit.operators.kpi import live_priority_counts, live_status_counts
+from casekit.operators.kpi import live_priority_counts, live_status_counts, show_kpis
 
 
 def decode_cases(messages: DataFrame, bad: str = "drop", keep: tuple[str, ...] = ()):
@@ -65,8 +65,9 @@ class LiveSinks:
     priority_path: str
 
 
-def kpi_batch_writer(sinks: LiveSinks) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` handler: both live KPIs from one cached batch."""
+def kpi_batch_writer(sinks: LiveSinks, show: bool = False) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` handler: both live KPIs from one cached batch
+    (``show=True`` also prints them, a few rows per batch)."""
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
@@ -74,6 +75,8 @@ def kpi_batch_writer(sinks: LiveSinks) -> Callable[[DataFrame, int], None]:
         try:
             for frame, path in ((live_status_counts(batch), sinks.status_path),
                                 (live_priority_counts(batch), sinks.priority_path)):
+                if show:
+                    show_kpis(frame)
                 (frame.withColumn("batch_id", F.lit(batch_id)).coalesce(1).write
                  .mode("overwrite").option("partitionOverwriteMode", "dynamic")
                  .partitionBy("batch_id").parquet(path))
@@ -83,12 +86,14 @@ def kpi_batch_writer(sinks: LiveSinks) -> Callable[[DataFrame, int], None]:
 
 
 def fan_out_writer(landing_path: str, sinks: LiveSinks,
-                   enrich: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
+                   enrich: Callable[[DataFrame], DataFrame],
+                   show: bool = False) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` handler: decode once, then every output of a batch.
 
     The batch is cached once and feeds (1) the landing table and (2) both
     live KPIs of the enriched batch.  Each output replaces its own
     ``batch_id`` partition, so a replayed batch leaves exactly one copy.
+    ``show=True`` also prints the two KPI tables of every batch.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
@@ -97,8 +102,12 @@ def fan_out_writer(landing_path: str, sinks: LiveSinks,
         try:
             outputs = [(batch, landing_path)]
             enriched = enrich(batch)
-            outputs += [(live_status_counts(enriched), sinks.status_path),
-                        (live_priority_counts(enriched), sinks.priority_path)]
+            kpis = [(live_status_counts(enriched), sinks.status_path),
+                    (live_priority_counts(enriched), sinks.priority_path)]
+            if show:
+                for frame, _ in kpis:
+                    show_kpis(frame)
+            outputs += kpis
             for frame, path in outputs:
                 (frame.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
                  .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
@@ -109,9 +118,9 @@ def fan_out_writer(landing_path: str, sinks: LiveSinks,
 
 
 def run_live_kpis(enriched_cases: DataFrame, sinks: LiveSinks, checkpoint: str,
-                  trigger: dict | None = None) -> StreamingQuery:
+                  trigger: dict | None = None, show: bool = False) -> StreamingQuery:
     """Per-batch live KPIs of the enriched case stream."""
-    return (enriched_cases.writeStream.foreachBatch(kpi_batch_writer(sinks))
+    return (enriched_cases.writeStream.foreachBatch(kpi_batch_writer(sinks, show))
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "15 seconds"})).start())
 

@@ -151,3 +151,14 @@ def test_stream_join_interval_vs_bucket(spark, tmp_dir):
                            decode_json(spark.read.text(f"{d}/out"), schemas.CASE_SURVEY).collect())
     # within 15 s of +5 s: +0, +10, +20; same 15-second bucket [0, 15): +0, +10
     assert got == {"interval": [0, 10, 20], "bucket": [0, 10]}
+
+
+def test_live_kpis_printed_per_batch(spark, tmp_dir, capsys):
+    cases = dv.cases(spark, "/root/testdata/sf0.001")
+    encode_arrays(text_fields(cases), 20).write.text(f"{tmp_dir}/in")
+    s = decode_cases(stream_messages(spark, "text", f"{tmp_dir}/in"))
+    lookup = priority_lookup(dv.case_category(spark), dv.case_priority(spark), how="inner")
+    run_live_kpis(enrich_stream(s, lookup), LiveSinks(f"{tmp_dir}/st", f"{tmp_dir}/pr"),
+                  f"{tmp_dir}/ck", trigger=ONCE, show=True).awaitTermination()
+    out = capsys.readouterr().out
+    assert "Total Cases" in out and "Cases_numbers" in out
