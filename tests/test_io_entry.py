@@ -157,3 +157,17 @@ def test_kafka_source_wiring(spark):
     assert calls[0] == ("format", ("kafka",), {})
     assert calls[1][2]["subscribe"] == "cases,cases_replay"
     assert [c[0] for c in calls[2:]] == ["load", "select"]
+
+
+def test_reference_frame_header_case_and_order(spark, tmp_dir):
+    from casekit.plans.jobs import reference_frame
+    rows = [("s1", "10", "2024-01-05 10:00:00", "5", "7", "9", "fine", "x"),
+            ("s2", "11", "not a time", "5.0", "", "3", "ok", "2")]
+    df = spark.createDataFrame(rows, "survey_id string, Case_no string, survey_timestamp string, "
+                                     "Q1 string, Q2 string, Q3 string, Q4 string, Q5 string")
+    write_delimited(df, f"{tmp_dir}/surveys")
+    got = {r.survey_id: r for r in reference_frame(spark, "survey_stg",
+                                                   f"{tmp_dir}/surveys").collect()}
+    assert got["s1"].case_no == "10" and got["s1"].survey_date == dt.date(2024, 1, 5)
+    assert got["s2"].survey_date is None          # bad timestamp -> NULL, no failure
+    assert got["s1"].Q2 == "7" and got["s1"].Q5 == "x"   # history keeps answers as text
