@@ -169,3 +169,16 @@ def test_enrich_two_unnamed_dims(spark):
     d2 = spark.createDataFrame([("x", 2)], "k string, v2 int")
     out = enrich(fact, [DimSpec(d1, ["k1"], ["k"], ["v1"]), DimSpec(d2, ["k2"], ["k"], ["v2"])])
     assert [tuple(r) for r in out.collect()] == [("1", "a", "x", 1, 2)]
+
+
+def test_kpi_feedback_absent_class_gives_no_row(spark):
+    from casekit.operators import kpi_feedback
+    as_of = dt.datetime(2001, 11, 4)
+    wide = spark.createDataFrame(
+        [("1", "Positive", as_of), ("2", "Negative", as_of - dt.timedelta(days=3)),
+         ("3", "Neutral", as_of), ("4", None, as_of)],
+        "case_no string, overall_feedback string, last_modified_timestamp timestamp_ntz")
+    got = {(r.Response, r.window): r.Total_Response_Count
+           for r in kpi_feedback(wide, as_of).collect()}
+    assert got == {("Positive", "1HR"): 1, ("Positive", "1Day"): 1, ("Positive", "Week"): 1,
+                   ("Positive", "1Month"): 1, ("Negative", "Week"): 1, ("Negative", "1Month"): 1}
