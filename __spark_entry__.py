@@ -732,8 +732,26 @@ def entry(spark: SparkSession) -> DataFrame:
     return kpi_report(_wide(spark, SMOKE_DIR), AS_OF)
 
 
+def _training_data():
+    """Queries and SQL of the training-data sub-package and of the corpus pipeline,
+    where they are present."""
+    found, sql = {}, {}
+    try:
+        from casekit.llm import queries as llm
+        found.update(llm.QUERIES)
+        sql.update(llm.ORACLE)
+        import corpus_pipeline
+        found["pipeline"] = corpus_pipeline.run
+        if corpus_pipeline.ORACLE_SQL:
+            sql["pipeline"] = corpus_pipeline.ORACLE_SQL
+    except ModuleNotFoundError as e:
+        if e.name not in ("casekit.llm", "corpus_pipeline"):
+            raise
+    return found, sql
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    return {**QUERIES, **_training_data()[0]}
 
 
 def oracle_sql() -> dict[str, str]:
@@ -746,4 +764,4 @@ def oracle_sql() -> dict[str, str]:
                 out[name] = ov.with_views("SELECT 1").rsplit("\nSELECT 1", 1)[0] + ",\n" + body
             else:
                 out[name] = ov.with_views(sql)
-    return out
+    return {**out, **_training_data()[1]}
