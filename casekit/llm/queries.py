@@ -12,10 +12,19 @@ from pyspark.sql import functions as F
 
 from casekit.session import scratch_path
 
-from . import chat_format, exact_dedup, packing, token_count, token_files
+from . import (chat_format, decontam, exact_dedup, lang_id, packing, quality, token_count,
+               token_files)
 from .common import table
 
 
+def op2_quality(spark: SparkSession, d: str) -> DataFrame:
+    return quality.classify_quality(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op3_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    return decontam.find_contamination(table(spark, d, "documents"), table(spark, d, "benchmark"))
+
+
 def op4_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     path = scratch_path(spark, "digest-index")
     index = exact_dedup.DigestIndex(spark, "digests_" + path.rsplit("-", 1)[1], path)
@@ -48,9 +57,13 @@ def op8_token_files(spark: SparkSession, d: str) -> DataFrame:
     return token_files.token_files_round_trip(table(spark, d, "documents"))
 
 
+def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return lang_id.identify_languages(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op4_exact_dedup, op5_token_count, op6_chat_format, op7_packing,
-                            op8_token_files)}
+    f.__name__: f for f in (op2_quality, op3_decontamination, op4_exact_dedup, op5_token_count,
+                            op6_chat_format, op7_packing, op8_token_files, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
