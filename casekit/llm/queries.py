@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from casekit.session import scratch_path
 
-from . import (chat_format, decontam, exact_dedup, lang_id, packing, quality, token_count,
+from . import (chat_format, decontam, exact_dedup, lang_id, ngram_join, packing, quality, token_count,
                token_files)
 from .common import table
 
@@ -57,13 +57,17 @@ def op8_token_files(spark: SparkSession, d: str) -> DataFrame:
     return token_files.token_files_round_trip(table(spark, d, "documents"))
 
 
+def op9_ngram_join(spark: SparkSession, d: str) -> DataFrame:
+    return ngram_join.jaccard_join(table(spark, d, "documents"))
+
+
 def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     return lang_id.identify_languages(table(spark, d, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op2_quality, op3_decontamination, op4_exact_dedup, op5_token_count,
-                            op6_chat_format, op7_packing, op8_token_files, op10_language_id)}
+                            op6_chat_format, op7_packing, op8_token_files, op9_ngram_join, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
@@ -71,6 +75,30 @@ ORACLE: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
                doc_id = max(doc_id) OVER g AS kept, text_sha256
         FROM d WINDOW g AS (PARTITION BY text_sha256)""",
+    "op9_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, list_filter(string_split_regex(lower(coalesce(text, '')),
+                                       '[ \t\n\v\f\r]+'), lambda x: x <> '') AS w
+            FROM documents),
+        s AS MATERIALIZED (
+            SELECT doc_id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                ELSE list_distinct(list_transform(range(1, len(w) - 3),
+                                     lambda i: array_to_string(w[i:i + 4], ' '))) END AS sh
+            FROM w WHERE len(w) > 0),
+        u AS MATERIALIZED (SELECT doc_id, unnest(sh) AS g FROM s),
+        shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+                   FROM u a JOIN u b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS MATERIALIZED (
+            SELECT x, y, n = len(a.sh) AND n = len(b.sh) AS same
+            FROM shared JOIN s a ON a.doc_id = x JOIN s b ON b.doc_id = y
+            WHERE n >= 0.8 * (len(a.sh) + len(b.sh) - n) - 1e-9),
+        reach AS (SELECT doc_id, doc_id AS r FROM documents
+                  UNION SELECT links.y, reach.r FROM reach JOIN links ON reach.doc_id = links.x)
+        SELECT d.doc_id,
+               least(d.doc_id, (SELECT min(y) FROM links WHERE x = d.doc_id AND same)) AS rep_id,
+               (SELECT min(r) FROM reach WHERE reach.doc_id = d.doc_id) AS class_id,
+               (SELECT count(*) FROM links WHERE x = d.doc_id) AS n_links
+        FROM documents d""",
     "op6_chat_format": r"""
         WITH t AS (
             SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text
