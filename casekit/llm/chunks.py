@@ -2,73 +2,222 @@
 
 A text is cut before every space that is followed by a non-space.  No pre-token of
 the vocabularies used here crosses such a cut, so the ids of the text are the ids of
-its chunks one after the other, and each distinct chunk is encoded once by the
-``tokenizers`` library and then looked up.  Texts that hold a special-token string
-are encoded whole.  The lookup is kept per worker process and cleared at a fixed
-number of entries, so memory is bounded.
+its chunks one after the other.  Arrow splits and dictionary-encodes a slice of texts,
+each distinct chunk is encoded once by the ``tokenizers`` library, and numpy gathers the
+ids.  Texts that hold a special-token string are encoded whole, texts
+with runs of white space are cut by a pattern.
+
+The table of known chunks is kept per worker process and emptied at a fixed number of
+entries; texts are taken in slices of a few megabytes; so memory is bounded.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
+from array import array
+from collections.abc import Callable, Iterator
 
 import numpy as np
 
 # A space followed by white space must stay with what stands before it.
-_WIDE = re.compile(r" [\s\u180e]| $")
-_CUT = re.compile(r"(?= [^\s\u180e])")
+_SPACES = r"\s\v\x1c-\x1f\x{85}\x{a0}\x{1680}\x{180e}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+_WIDE = f" [{_SPACES}]| $"                        # Arrow's pattern syntax
+_CUT = re.compile("(?= [^" + re.sub(r"x\{(\w+)\}", lambda m: "u" + m[1].zfill(4), _SPACES) + "])")
 
 
 def split_chunks(text: str) -> list[str]:
     """Chunks whose concatenation is the text; all but the first begin with a space."""
-    if _WIDE.search(text):
-        return _CUT.split(text)
-    head, *rest = text.split(" ")
-    return [head, *[" " + r for r in rest]]
-
-
-class ChunkEncoder:
-    """Ids of whole texts as little-endian unsigned 32-bit bytes."""
-
-    def __init__(self, path: str, max_entries: int = 800_000):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.tok = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        self.max_entries = max_entries
-        self.cache: dict[str, bytes] = {}   # chunk -> ids, with its leading space
-
-    def _ids(self, texts: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes()
-                for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str | None]) -> list[bytes]:
-        if len(self.cache) > self.max_entries:
-            self.cache = {}
-        cache = self.cache
-        split = [None if not t else [t] if any(s in t for s in self.special)
-                 else split_chunks(t) for t in texts]
-        new = {c for parts in split if parts for c in parts if c not in cache}
-        whole = {c for c in new if any(s in c for s in self.special)}
-        fresh = list(new - whole)
+    return _CUT.split(text)
+
+
+def slices(texts, max_bytes: int = 4 << 20, max_rows: int = 4096) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of an Arrow text array with about ``max_bytes`` each."""
+    import pyarrow.compute as pc
+    ends = np.cumsum(pc.binary_length(texts).fill_null(0).to_numpy(zero_copy_only=False))
+    at, n = 0, len(texts)
+    while at < n:
+        before = ends[at - 1] if at else 0
+        to = min(max(at + 1, int(np.searchsorted(ends, before + max_bytes, side="right"))),
+                 at + max_rows, n)
+        yield at, to
+        at = to
+
+
+def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Indices starts[0], ..., starts[0] + sizes[0] - 1, starts[1], ..."""
+    ends = np.cumsum(sizes)
+    at = np.arange(ends[-1] if len(ends) else 0, dtype=np.int32)
+    at += np.repeat((starts - (ends - sizes)).astype(np.int32), sizes)
+    return at
+
+
+class ChunkTable:
+    """Values of chunks (one or more integers each), computed once per distinct chunk.
+
+    ``compute(list of chunks) -> (flat values, sizes)``; ``whole(text) -> values`` is used
+    for texts that hold a special-token string.
+    """
+
+    def __init__(self, compute: Callable, whole: Callable, special: list[str],
+                 max_entries: int = 1_200_000):
+        self.compute, self.whole, self.max_entries = compute, whole, max_entries
+        self.special = re.compile("|".join(map(re.escape, special))) if special else None
+        self._empty()
+
+    def _empty(self) -> None:
+        self.slot: dict[str, int] = {}
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+        self.start, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32)
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if n <= len(a) else np.concatenate([a, np.empty(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+    def _slots(self, chunks: list[str]) -> np.ndarray:
+        slot = self.slot
+        new = [c for c in chunks if c not in slot]
+        if new:
+            values, sizes = self.compute(new)
+            n = len(slot)
+            self.flat = self._room(self.flat, self.used + len(values))
+            self.start, self.size = self._room(self.start, n + len(new)), self._room(self.size, n + len(new))
+            self.flat[self.used:self.used + len(values)] = values
+            self.start[n:n + len(new)] = self.used + np.cumsum(sizes) - sizes
+            self.size[n:n + len(new)] = sizes
+            self.used += len(values)
+            slot.update(zip(new, range(n, n + len(new))))
+        return np.fromiter(map(slot.__getitem__, chunks), np.int64, len(chunks))
+
+    def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
+        """Values of all texts of an Arrow string array, and the offsets of each text."""
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        if len(self.slot) > self.max_entries:
+            self._empty()
+        texts = texts.cast(pa.string()).fill_null("")
+        n = len(texts)
+        if not n:
+            return np.empty(0, np.uint32), np.zeros(1, np.int64)
+        odd = pc.match_substring_regex(texts, _WIDE)
+        if self.special is not None:
+            odd = pc.or_(odd, pc.match_substring_regex(texts, self.special.pattern))
+        odd_at = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        plain = pc.if_else(odd, "", texts) if len(odd_at) else texts
+        parts = pc.split_pattern(plain, " ")
+        offsets = parts.offsets.to_numpy().astype(np.int64)
+        values = parts.values
+        head = np.zeros(len(values), bool)
+        head[offsets[:-1]] = True
+        heads = values.filter(pa.array(head)).dictionary_encode()
+        rest = values.filter(pa.array(~head)).dictionary_encode()
+        slots = np.empty(len(values), np.int64)
+        # a chunk after a space is looked up with its space
+        slots[head] = self._slots(heads.dictionary.to_pylist())[heads.indices.to_numpy()]
+        slots[~head] = self._slots([" " + c for c in rest.dictionary.to_pylist()])[
+            rest.indices.to_numpy()] if len(rest) else 0
+        sizes = self.size[slots]
+        ids = self.flat[ragged(self.start[slots], sizes)]
+        ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
+        if len(odd_at):
+            pieces = np.split(ids, ends[1:-1])
+            for k in odd_at.tolist():
+                text = texts[k].as_py()
+                if self.special is not None and self.special.search(text):
+                    pieces[k] = np.asarray(self.whole(text), np.uint32)
+                else:
+                    own = self._slots(list(dict.fromkeys(chunks := split_chunks(text))))
+                    at = dict(zip(dict.fromkeys(chunks), own.tolist()))
+                    own = np.fromiter((at[c] for c in chunks), np.int64, len(chunks))
+                    pieces[k] = self.flat[ragged(self.start[own], self.size[own])]
+            ids = np.concatenate(pieces)
+            ends = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
+        return ids, ends.astype(np.int64)
+
+
+#: Letters of ASCII and Latin-1, with what may follow them at a sure pre-token boundary.
+_WORD = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
+_AFTER = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n\r\t")
+
+
+class PieceEncoder:
+    """Ids of chunks.  A chunk that begins with a plain word is that word and a rest.  The
+    word is one pre-token and goes straight to the library's merge model; the rest, and any
+    other chunk, goes through the whole library.  Both are remembered."""
+
+    def __init__(self, tok, lower: bool, max_entries: int = 400_000):
+        self.tok, self.model, self.lower, self.max_entries = tok, tok.model, lower, max_entries
+        self.bytes_as = {b: ord(c) for b, c in enumerate(byte_symbols())}
+        self.known: dict[str, bytes] = {}
+
+    def _word(self, word: str) -> bytes:
+        if self.lower:
+            word = word.lstrip(" ").lower()
+        return array("I", [t.id for t in self.model.tokenize(
+            word.encode().decode("latin-1").translate(self.bytes_as))]).tobytes()
+
+    def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.known) > self.max_entries:
+            self.known = {}
+        known, word, cut, rest = self.known, _WORD.match, [], {}
+        for c in chunks:
+            m = word(c)
+            end = m.end() if m else 0
+            if end and (end == len(c) or c[end] in _AFTER):
+                head, tail = c[:end], c[end:]
+                if head not in known:
+                    known[head] = self._word(head)
+            else:
+                head, tail = "", c
+            if tail not in known:
+                rest[tail] = None
+            cut.append((head, tail))
+        fresh = list(rest)
         for at in range(0, len(fresh), 4096):
             part = fresh[at:at + 4096]
-            cache.update(zip(part, self._ids(part)))
-        extra = dict(zip(whole, self._ids(list(whole)))) if whole else {}
-        get = cache.__getitem__
-        return [b"" if not parts else extra[parts[0]] if parts[0] in extra
-                else b"".join(map(get, parts)) for parts in split]
-
-
-_ENCODERS: dict[str, ChunkEncoder] = {}
-
-
-def encoder(path: str) -> ChunkEncoder:
-    """One encoder (and cache) per worker process and file."""
-    if path not in _ENCODERS:
-        _ENCODERS[path] = ChunkEncoder(path)
-    return _ENCODERS[path]
+            found = self.tok.encode_batch_fast(part, add_special_tokens=False)
+            known.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, found))
+        known.setdefault("", b"")
+        pieces = [known[h] + known[t] for h, t in cut]
+        return (np.frombuffer(b"".join(pieces), np.uint32),
+                np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4)
+
+
+def byte_symbols() -> list[str]:
+    """The printable character that stands for each byte in a byte-level vocabulary:
+    itself where it is printable, else the next free one from U+0100."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    free = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(free)) for b in range(256)]
+
+
+def id_table(path: str, **options) -> ChunkTable:
+    """Token ids by the library's file at ``path``: a byte-level vocabulary that keeps
+    spaces, or one that lowers case and drops them."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(path)
+    with open(path, encoding="utf-8") as f:
+        spec = json.load(f)
+    steps = [n["type"] for n in (spec["normalizer"] or {}).get("normalizers", [])]
+    keeps = spec["normalizer"] is None and spec["pre_tokenizer"]["type"] == "ByteLevel"
+    lowers = steps == ["NFC", "Replace", "Lowercase"]
+    if not (keeps or lowers):
+        raise ValueError(f"{path}: chunks are not known to be independent in this vocabulary")
+    return ChunkTable(PieceEncoder(tok, lowers),
+                      lambda text: tok.encode(text, add_special_tokens=False).ids,
+                      [t["content"] for t in spec["added_tokens"]], **options)
+
+
+_TABLES: dict[str, ChunkTable] = {}
+
+
+def ids_of(path: str) -> ChunkTable:
+    """One table per worker process and file."""
+    if path not in _TABLES:
+        _TABLES[path] = id_table(path)
+    return _TABLES[path]
 
 
 def tokenizer_path(name: str) -> str:

@@ -24,7 +24,7 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from .chunks import encoder, tokenizer_path
+from .chunks import ids_of, slices, tokenizer_path
 from .common import ship
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
@@ -98,7 +98,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id
         import pyarrow as pa
         from pyspark import TaskContext
 
-        enc = encoder(tokenizer_path(tokenizer))
+        enc = ids_of(tokenizer_path(tokenizer))
         schema = pa.schema([(c, pa.binary() if c == "ids" else pa.int64())
                             for c in (x.split()[0] for x in PIECES.split(", "))])
         base = TaskContext.get().partitionId() << 40
@@ -118,10 +118,12 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id
 
         for b in batches:
             full, size = [], 0
-            doc_ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-            for at in range(0, len(texts), 512):
-                for doc, ids in zip(doc_ids[at:at + 512], enc.encode(texts[at:at + 512])):
-                    ids += end
+            doc_ids = b.column(0).to_pylist()
+            for at, to in slices(b.column(1)):
+                flat, ends = enc(b.column(1)[at:to])
+                raw, ends = flat.astype("<u4").tobytes(), (4 * ends).tolist()
+                for doc, lo, hi in zip(doc_ids[at:to], ends, ends[1:]):
+                    ids = raw[lo:hi] + end
                     total = len(ids) // 4
                     cut = total - total % window
                     for start in range(0, cut, window):

@@ -21,22 +21,15 @@ import heapq
 import json
 from collections.abc import Iterator
 
+import numpy as np
 from pyspark.sql import DataFrame
 
-from .chunks import split_chunks, tokenizer_path
+from .chunks import ChunkTable, byte_symbols, slices, tokenizer_path
 from .common import ship
 
 RESULT = "doc_id long, n_bytes long, n_tokens long, over_limit boolean"
 
 
-def byte_symbols() -> list[str]:
-    """The printable character that stands for each byte in a byte-level vocabulary:
-    itself where it is printable, else the next free one from U+0100."""
-    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-    free = iter(range(0x100, 0x200))
-    return [chr(b) if b in own else chr(next(free)) for b in range(256)]
-
-
 class MergeCounter:
     """Counts tokens of a byte-level BPE ``.json`` vocabulary file."""
 
@@ -59,7 +52,7 @@ class MergeCounter:
         self.words = regex.compile(pattern or public_tokenizers.PATTERN)
         self.max_entries = max_entries
         self.by_word: dict[str, int] = {}
-        self.by_chunk: dict[str, int] = {}
+        self.table = ChunkTable(self._chunks, lambda text: [self.count(text)], self.special)
 
     def merged(self, data: bytes) -> int:
         """Number of symbols left after all merges of one pre-token."""
@@ -105,23 +98,27 @@ class MergeCounter:
             total += n
         return total
 
+    def _chunks(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """One value per chunk: its count."""
+        if len(self.by_word) > self.max_entries:
+            self.by_word.clear()
+        return (np.fromiter(map(self._plain, chunks), np.uint32, len(chunks)),
+                np.ones(len(chunks), np.int64))
+
     def count(self, text: str | None) -> int:
         if not text:
             return 0
-        if self.cut is not None and any(s in text for s in self.special):
-            pieces = self.cut.split(text)
-            return len(pieces) - 1 + sum(map(self._plain, pieces))
-        if len(self.by_word) > self.max_entries:
-            self.by_word.clear()
-        if len(self.by_chunk) > self.max_entries:
-            self.by_chunk.clear()
-        known, total = self.by_chunk, 0
-        for c in split_chunks(text):
-            n = known.get(c)
-            if n is None:
-                n = known[c] = self._plain(c)
-            total += n
-        return total
+        pieces = self.cut.split(text) if self.cut is not None else [text]
+        return len(pieces) - 1 + sum(map(self._plain, pieces))
+
+    def counts(self, texts) -> np.ndarray:
+        """Counts of an Array of texts, through the table of known chunks."""
+        out = []
+        for at, to in slices(texts):
+            values, ends = self.table(texts[at:to])
+            total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])[ends]
+            out.append(np.diff(total))
+        return np.concatenate(out) if out else np.empty(0, np.int64)
 
 
 _COUNTERS: dict[str, MergeCounter] = {}
@@ -144,16 +141,15 @@ def count_tokens(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", limit: i
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
+        import pyarrow.compute as pc
         from casekit.llm.token_count import counter as get
         c = get(tokenizer_path(tokenizer))
         for b in batches:
-            texts = b.column(1).to_pylist()
-            tokens = [c.count(t) for t in texts]
+            tokens = c.counts(b.column(1))
+            n_bytes = pc.binary_length(b.column(1)).fill_null(0).cast(pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [b.column(0).cast(pa.int64()),
-                 pa.array([len(t.encode()) if t else 0 for t in texts], pa.int64()),
-                 pa.array(tokens, pa.int64()),
-                 pa.array([n > limit for n in tokens], pa.bool_())],
+                [b.column(0).cast(pa.int64()), n_bytes, pa.array(tokens, pa.int64()),
+                 pa.array(tokens > limit, pa.bool_())],
                 ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     return docs.select(id_col, text_col).mapInArrow(run, RESULT)
