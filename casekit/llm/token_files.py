@@ -2,7 +2,7 @@
 
 Layout under one folder, one pair of files per range of document ids::
 
-    ids-00007.bin      unsigned little-endian ids (16 bits if the vocabulary fits, else 32)
+    ids-00007.bin      unsigned little-endian ids (16 bits, or 32 for a larger vocabulary)
     offsets-00007.bin  int64: (documents + 1) offsets into the ids, then the document ids
     manifest           one row per pair: documents, tokens, and its global base
 
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from casekit.session import scratch_path
 
-from .chunks import encoder, tokenizer_path
+from .chunks import ids_of, slices, tokenizer_path
 from .common import ship
 
 MANIFEST = "part long, name string, documents long, tokens long"
@@ -62,7 +62,7 @@ def _load(filesystem, path: str, dtype: str) -> np.ndarray:
 
 
 def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_49k.json",
-                      end_id: int = 1, id_bytes: int = 4, partitions: int | None = None,
+                      end_id: int = 1, id_bytes: int = 2, partitions: int | None = None,
                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Write the files and return the manifest with the global base of each pair.
 
@@ -81,26 +81,24 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_4
         filesystem, root = _file_system(folder)
         filesystem.create_dir(root, recursive=True)
         attempt = uuid.uuid4().hex[:12]
-        enc, end = encoder(tokenizer_path(tokenizer)), end_id.to_bytes(4, "little")
-        sizes, ids_of = [], []
+        enc = ids_of(tokenizer_path(tokenizer))
+        sizes, owners = [], []
         name = f"{part:05d}-{attempt}"
         tmp = f"{root}/.ids-{name}"
         with filesystem.open_output_stream(tmp) as out:
             for b in batches:
-                doc_ids, texts = b.column(0).to_pylist(), b.column(1).to_pylist()
-                for at in range(0, len(texts), 512):
-                    for ids in enc.encode(texts[at:at + 512]):
-                        ids += end
-                        sizes.append(len(ids) // 4)
-                        out.write(ids if id_bytes == 4
-                                  else np.frombuffer(ids, "<u4").astype(dtype).tobytes())
-                ids_of += [_NO_ID if d is None else d for d in doc_ids]
+                for at, to in slices(b.column(1)):
+                    flat, ends = enc(b.column(1)[at:to])
+                    # the end id after each document
+                    out.write(np.insert(flat, ends[1:], end_id).astype(dtype).tobytes())
+                    sizes += (np.diff(ends) + 1).tolist()
+                owners += b.column(0).fill_null(_NO_ID).to_pylist()
         if not sizes:
             filesystem.delete_file(tmp)
             return
         with filesystem.open_output_stream(f"{root}/.offsets-{name}") as out:
             out.write(np.concatenate([[0], np.cumsum(sizes, dtype="<i8"),
-                                      np.asarray(ids_of, "<i8")]).astype("<i8").tobytes())
+                                      np.asarray(owners, "<i8")]).astype("<i8").tobytes())
         for kind in ("ids", "offsets"):
             filesystem.move(f"{root}/.{kind}-{name}", f"{root}/{kind}-{name}.bin")
         yield pa.RecordBatch.from_pylist([{"part": part, "name": name,
@@ -121,7 +119,7 @@ def _with_bases(spark: SparkSession, written: list) -> DataFrame:
         MANIFEST + ", base long")
 
 
-def read_token_files(manifest: DataFrame, folder: str, id_bytes: int = 4) -> DataFrame:
+def read_token_files(manifest: DataFrame, folder: str, id_bytes: int = 2) -> DataFrame:
     """One row per document, read back from the files: global start, tokens, CRC-32 of
     its ids as little-endian unsigned 32-bit integers."""
     ship(manifest.sparkSession)
@@ -152,4 +150,4 @@ def token_files_round_trip(docs: DataFrame, folder: str | None = None, **options
     """Write ``docs`` to a fresh shared folder and read every document back."""
     folder = folder or scratch_path(docs.sparkSession, "token-files")
     manifest = write_token_files(docs, folder, **options)
-    return read_token_files(manifest, folder, options.get("id_bytes", 4))
+    return read_token_files(manifest, folder, options.get("id_bytes", 2))
