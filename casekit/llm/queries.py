@@ -12,11 +12,16 @@ from pyspark.sql import functions as F
 
 from casekit.session import scratch_path
 
-from . import (chat_format, decontam, exact_dedup, lang_id, ngram_join, packing, quality, token_count,
-               token_files)
+from . import (chat_format, decontam, exact_dedup, lang_id, ngram_join, packing, quality, suffix_dedup,
+               token_count, token_files)
 from .common import table
 
 
+def op1_suffix_dedup(spark: SparkSession, d: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(table(spark, d, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op2_quality(spark: SparkSession, d: str) -> DataFrame:
     return quality.classify_quality(table(spark, d, "documents"), table(spark, d, "labels"))
 
@@ -66,8 +71,9 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality, op3_decontamination, op4_exact_dedup, op5_token_count,
-                            op6_chat_format, op7_packing, op8_token_files, op9_ngram_join, op10_language_id)}
+    f.__name__: f for f in (op1_suffix_dedup, op2_quality, op3_decontamination, op4_exact_dedup,
+                            op5_token_count, op6_chat_format, op7_packing, op8_token_files,
+                            op9_ngram_join, op10_language_id)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
