@@ -259,3 +259,23 @@ def identify_languages(docs: DataFrame, **options) -> DataFrame:
     own = with_fold(docs)
     learn = own.where(~F.col("held_out") & F.col("lang").isNotNull())
     return score(own, fit(learn.select("doc_id", "text", "lang"), **options))
+
+
+def keep_identified(docs: DataFrame, min_score: float = 0.5, **options) -> DataFrame:
+    """The rows of ``docs``, with all columns, whose language is known with at least
+    ``min_score``; a narrow map."""
+    spark = docs.sparkSession
+    ship(spark)
+    learn = with_fold(docs).where(~F.col("held_out") & F.col("lang").isNotNull())
+    shared = spark.sparkContext.broadcast(fit(learn.select("doc_id", "text", "lang"), **options))
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        m = shared.value
+        for b in batches:
+            found = [m.predict(t) for t in b.column(at).to_pylist()]
+            yield b.filter(pa.array([lang != UNKNOWN and p >= min_score for lang, p in found],
+                                    pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
