@@ -24,21 +24,20 @@ from casekit.functions import (conform, hours_between, in_last, score_label,  #
 from casekit.operators import (DimSpec, enrich, kpi_counts, kpi_feedback,  # noqa: E402
                                kpi_report, live_priority_counts, live_status_counts,
                                merge_distinct, priority_lookup, score_bands)
-from casekit.operators.kpi import kpi_name  # noqa: E402
+from casekit.operators.kpi import KPI_COLUMNS, kpi_name  # noqa: E402
 from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,  # noqa: E402
                                 latest_surveys, score_feedback, wide_dim_specs)
 from casekit.functions.jsonio import (decode_json, encode_arrays, encode_rows,  # noqa: E402
                                       text_fields)
+from casekit.plans.jobs import (Warehouse, build_fact_job, build_increment,  # noqa: E402
+                                merge_history, refresh_dimension, refresh_history, stored_kpis)
 from casekit.session import scratch_path, state_partitions  # noqa: E402
 from casekit.sources import driver_views as dv  # noqa: E402
 from casekit.sources.delimited import read_delimited, write_delimited  # noqa: E402
 from casekit.sources.tables import overwrite_partitions, read_landing, write_table  # noqa: E402
-from casekit.streaming.join import (dedup_stream, forward_files,  # noqa: E402
-                                    join_case_survey, publish_json)
-from casekit.streaming.live import (LiveSinks, cumulative_status_counts,  # noqa: E402
-                                    decode_cases, decode_surveys, enrich_stream,
-                                    fan_out_writer, land_stream)
-from casekit.streaming.sources import stream_files, stream_messages  # noqa: E402
+from casekit.streaming import (LiveSinks, decode_cases, decode_surveys,  # noqa: E402
+                               dedup_stream, enrich_stream, forward_files, land_stream,
+                               publish_json, start_live, stream_files, stream_messages)
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = dv.AS_OF
@@ -56,8 +55,8 @@ def _dims(spark, d):
                     dv.survey_questions(spark))
 
 
-def _wide(spark, d):
-    return build_wide(_fact(spark, d), _dims(spark, d))
+def _wide(spark, d, columns=None):
+    return build_wide(_fact(spark, d), _dims(spark, d), columns=columns)
 
 
 def _round_hours(df):
@@ -67,22 +66,33 @@ def _round_hours(df):
 # ----------------------------------------------------------------- queries
 
 def q_conform_cast(spark, d):
-    """History extract (all text) conformed to the typed case schema."""
-    return conform(dv.case_history(spark, d), schemas.CASE)
+    """All cases as text, as a history extract holds them, conformed to the typed schema."""
+    return conform(text_fields(dv.cases(spark, d)), schemas.CASE)
 
 
 def q_event_date(spark, d):
-    h = dv.case_history(spark, d)
-    return with_event_date(h, "create_timestamp", "create_date").select(
+    return with_event_date(text_fields(dv.cases(spark, d)), "create_timestamp",
+                           "create_date").select(
         "case_no", "create_timestamp", "last_modified_timestamp", "create_date")
 
 
 def q_load_stamp_fixed(spark, d):
-    return with_load_stamp(dv.case_increment(spark, d).select("case_no", "status",
-                                                              "last_modified_timestamp"),
+    return with_load_stamp(dv.cases(spark, d).select("case_no", "status",
+                                                     "last_modified_timestamp"),
                            as_of=AS_OF, date_col="load_date")
 
 
+def q_answers_lenient(spark, d):
+    """Survey answers as text, some with a zero and some with a real fraction: only
+    whole numbers count."""
+    s = text_fields(dv.surveys(spark, d), SURVEY_TS)
+    k = F.col("survey_id").cast("long") % 7
+    return conform(s.withColumn("Q1", F.when(k == 0, F.concat("Q1", F.lit(".5")))
+                                .when(k == 1, F.concat("Q1", F.lit(".0")))
+                                .when(k == 2, F.lit("n/a")).otherwise(F.col("Q1"))),
+                   schemas.SURVEY)
+
+
 def q_filter_status(spark, d):
     return _fact(spark, d).where(F.col("status") == "Open").select(
         "case_no", "status", "last_modified_timestamp")
@@ -199,8 +209,10 @@ def q_wide_case_survey(spark, d):
     return _round_hours(_wide(spark, d))
 
 
-def _kpis(spark, d, names):
-    return kpi_counts(_wide(spark, d), AS_OF, names=names)
+def _kpis(spark, d, names, *columns):
+    """KPIs over the wide table, built with the columns they read and no others."""
+    wide = _wide(spark, d, ["case_no", "last_modified_timestamp", *columns])
+    return kpi_counts(wide, AS_OF, names=names)
 
 
 def q_kpi_total(spark, d):
@@ -208,31 +220,33 @@ def q_kpi_total(spark, d):
 
 
 def q_kpi_open(spark, d):
-    return _kpis(spark, d, [kpi_name("open", w.label) for w in KPI_WINDOWS])
+    return _kpis(spark, d, [kpi_name("open", w.label) for w in KPI_WINDOWS], "status")
 
 
 def q_kpi_closed(spark, d):
-    return _kpis(spark, d, [kpi_name("closed", w.label) for w in KPI_WINDOWS])
+    return _kpis(spark, d, [kpi_name("closed", w.label) for w in KPI_WINDOWS], "status")
 
 
 def q_kpi_p1(spark, d):
-    return _kpis(spark, d, ["Total_Piority_1_Cases"])
+    return _kpis(spark, d, ["Total_Piority_1_Cases"], "Priority_key")
 
 
 def q_kpi_high(spark, d):
-    return _kpis(spark, d, ["Total_High_Piority_Cases"])
+    return _kpis(spark, d, ["Total_High_Piority_Cases"], "priority")
 
 
 def q_kpi_surveys(spark, d):
-    return _kpis(spark, d, [kpi_name("surveys", w.label) for w in KPI_WINDOWS])
+    return _kpis(spark, d, [kpi_name("surveys", w.label) for w in KPI_WINDOWS],
+                 "survey_timestamp")
 
 
 def q_kpi_feedback(spark, d):
-    return kpi_feedback(_wide(spark, d), AS_OF)
+    return kpi_feedback(_wide(spark, d, ["case_no", "last_modified_timestamp",
+                                         "overall_feedback"]), AS_OF)
 
 
 def q_kpi_report(spark, d):
-    return kpi_report(_wide(spark, d), AS_OF)
+    return kpi_report(_wide(spark, d, KPI_COLUMNS), AS_OF)
 
 
 def _live_batch(spark, d):
@@ -277,6 +291,31 @@ def q_json_publish_array(spark, d):
     return decode_json(encode_arrays(_fact(spark, d), 20), schemas.FACT)
 
 
+#: Every 40th case message record is cut short after this many characters.
+CUT_EVERY, CUT_AT = 40, 40
+
+
+def _damaged_messages(spark, d):
+    """All cases as JSON arrays of 20, some records cut short."""
+    rec = encode_rows(text_fields(dv.cases(spark, d)))
+    cut = F.get_json_object("value", "$.case_no").cast("long") % CUT_EVERY == 0
+    rec = rec.select(F.when(cut, F.left("value", F.lit(CUT_AT))).otherwise(F.col("value"))
+                     .alias("rec"), F.floor(F.monotonically_increasing_id() / 20).alias("chunk"))
+    return rec.groupBy("chunk").agg(F.concat(F.lit("["), F.array_join(F.collect_list("rec"), ","),
+                                             F.lit("]")).alias("value")).select("value")
+
+
+def q_json_decode_damaged(spark, d):
+    """The good records of messages that hold damaged ones too."""
+    return decode_json(_damaged_messages(spark, d), schemas.CASE, bad="quarantine")[0]
+
+
+def q_json_rejects(spark, d):
+    """The damaged records, as raw text."""
+    return decode_json(_damaged_messages(spark, d), schemas.CASE,
+                       bad="quarantine")[1].select("raw")
+
+
 def q_csv_round_trip(spark, d):
     base = scratch_path(spark, "csv_round_trip")
     write_delimited(text_fields(dv.cases(spark, d)), f"{base}/cases")
@@ -320,14 +359,136 @@ def q_reference_calendar_tsv(spark, d):
     return _reference_tsv(spark, d, "calendar", dv.calendar(spark, d))
 
 
+def q_reference_call_center_tsv(spark, d):
+    return _reference_tsv(spark, d, "call_center", dv.call_center(spark, d))
+
+
+def q_reference_product_tsv(spark, d):
+    return _reference_tsv(spark, d, "product", dv.product(spark, d))
+
+
+def q_reference_country_tsv(spark, d):
+    return _reference_tsv(spark, d, "country", dv.country(spark, d))
+
+
+def q_reference_literals_tsv(spark, d):
+    """The three small reference files, joined to the cases that use them."""
+    cat = _reference_tsv(spark, d, "case_category", dv.case_category(spark))
+    pri = _reference_tsv(spark, d, "case_priority", dv.case_priority(spark))
+    questions = _reference_tsv(spark, d, "questions", dv.survey_questions(spark))
+    cases = enrich_stream(dv.cases(spark, d), priority_lookup(cat, pri, how="inner"))
+    scored = score_bands(dv.surveys(spark, d), questions).where(
+        F.col("referral_feedback") == 1).select("case_no").distinct()
+    return (cases.join(scored, "case_no", "left_semi").groupBy("priority", "severity")
+            .agg(F.count(F.lit(1)).alias("cases")))
+
+
 def q_reference_case_history_tsv(spark, d):
-    return _reference_tsv(spark, d, "case_stg", dv.case_history(spark, d))
+    return _reference_tsv(spark, d, "case_stg", text_fields(dv.cases(spark, d)))
+
+
+def q_reference_survey_history_tsv(spark, d):
+    return _reference_tsv(spark, d, "survey_stg", text_fields(dv.surveys(spark, d), SURVEY_TS))
+
+
+# ------------------------------------------------------------- stored jobs
+
+def _staged(spark, d, name, **options):
+    """A warehouse with dimensions, history and increments as the loading jobs leave
+    them.  The dimensions are loaded on two days; the first load is larger."""
+    wh = Warehouse(scratch_path(spark, name), **options)
+    dims = {"calendar": dv.calendar(spark, d), "call_center": dv.call_center(spark, d),
+            "case_category": dv.case_category(spark), "case_priority": dv.case_priority(spark),
+            "employee": dv.employee(spark, d), "product": dv.product(spark, d),
+            "questions": dv.survey_questions(spark)}
+    for key, frame in dims.items():
+        refresh_dimension(frame, wh, key, "2001-11-03 00:00:00")
+        refresh_dimension(frame, wh, key, AS_OF)
+    refresh_history(with_event_date(dv.case_history(spark, d), "create_timestamp",
+                                    "create_date"), wh, "case_stg", AS_OF)
+    refresh_history(with_event_date(dv.survey_history(spark, d), "survey_timestamp",
+                                    "survey_date"), wh, "survey_stg", AS_OF)
+    landed = wh.landing()
+    write_table(dv.case_increment(spark, d), landed.cases)
+    write_table(dv.survey_increment(spark, d), landed.surveys)
+    build_increment(spark, landed.cases, landed.surveys, wh, AS_OF)
+    return wh
+
+
+def q_stored_pipeline_kpis(spark, d):
+    """JOB-2, 3, 5 to 9 through written tables (folders, Parquet)."""
+    return stored_kpis(spark, _staged(spark, d, "stored_pipeline"), AS_OF)
+
+
+def q_stored_pipeline_catalog(spark, d):
+    """The same through ORC tables of a catalog database; the merged cases."""
+    base = scratch_path(spark, "stored_catalog")
+    db = "casekit_" + base.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}/{db}'")
+    wh = Warehouse(base, catalog=db, fmt="orc")
+    refresh_history(with_event_date(dv.case_history(spark, d), "create_timestamp",
+                                    "create_date"), wh, "case_stg", AS_OF)
+    refresh_history(with_event_date(dv.survey_history(spark, d), "survey_timestamp",
+                                    "survey_date"), wh, "survey_stg", AS_OF)
+    write_table(dv.case_increment(spark, d), wh.landing().cases)
+    write_table(dv.survey_increment(spark, d), wh.landing().surveys)
+    build_increment(spark, wh.landing().cases, wh.landing().surveys, wh, AS_OF)
+    merge_history(spark, wh, AS_OF)
+    return wh.read(spark, "case_dly")
+
+
+def q_dimension_refresh(spark, d):
+    """The employee dimension loaded twice: first everybody with other names, then the
+    true table.  Only the second load is there."""
+    wh = Warehouse(scratch_path(spark, "dimension_refresh"))
+    true = dv.employee(spark, d)
+    old = true.withColumns({"first_name": F.upper("first_name"),
+                            "hire_date": F.date_add("hire_date", 1)})
+    refresh_dimension(old, wh, "employee", "2001-11-03 00:00:00")
+    refresh_dimension(true, wh, "employee", AS_OF)
+    return wh.read(spark, "employee")
+
+
+def q_fact_rebuild(spark, d):
+    """A fact built while half of the cases stood under another create date, then
+    rebuilt: one row per case, no partition left over."""
+    wh = Warehouse(scratch_path(spark, "fact_rebuild"))
+    cases = with_load_stamp(with_event_date(dv.cases(spark, d), "create_timestamp",
+                                            "create_date"), AS_OF)
+    moved = F.col("case_no").cast("long") % 2 == 0
+    earlier = cases.withColumn("create_timestamp", F.when(
+        moved, F.col("create_timestamp") - F.expr("INTERVAL 400 DAY"))
+        .otherwise(F.col("create_timestamp")))
+    surveys = with_load_stamp(with_event_date(dv.surveys(spark, d), "survey_timestamp",
+                                              "survey_date"), AS_OF)
+    write_table(surveys, wh.path("survey_dly"))
+    for version in (earlier, cases):
+        write_table(version, wh.path("case_dly"))
+        build_fact_job(spark, wh, AS_OF)
+    return wh.read(spark, "fact")
+
+
+# ----------------------------------------------------------------- streams
+
+CUTS = 3
+
+
+def _cut(frame, key, path, ts_format="yyyy-MM-dd HH:mm:ss"):
+    """Messages in three files, one after the other by time: records whose key leaves
+    remainder b are in file b.  With one file a micro-batch, batch b holds them."""
+    for b in range(CUTS):
+        part = frame.where(F.col(key).cast("long") % CUTS == b)
+        _write_text(encode_arrays(text_fields(part, ts_format), 20).coalesce(1), path, "append")
+
+
+def _case_stream(spark, d, base):
+    _cut(dv.cases(spark, d), "case_no", f"{base}/in")
+    return stream_messages(spark, "text", f"{base}/in", max_files=1)
 
 
 def q_stream_land_cases(spark, d):
     base = scratch_path(spark, "stream_land_cases")
-    _write_text(_case_messages(spark, d), f"{base}/in")
-    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
+    cases = decode_cases(_case_stream(spark, d, base))
     land_stream(cases, f"{base}/landing", f"{base}/ckpt", trigger=ONCE).awaitTermination()
     return read_landing(spark, f"{base}/landing", schemas.CASE)
 
@@ -338,73 +499,67 @@ def _lookup(spark):
 
 def q_stream_enrich(spark, d):
     base = scratch_path(spark, "stream_enrich")
-    _write_text(_case_messages(spark, d), f"{base}/in")
-    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
-    out = enrich_stream(cases, _lookup(spark)).select(
+    out = enrich_stream(decode_cases(_case_stream(spark, d, base)), _lookup(spark)).select(
         "case_no", "status", "category", "sub_category", "last_modified_timestamp",
         "Priority_key", "priority", "severity")
     land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE).awaitTermination()
     return spark.read.parquet(f"{base}/landing")
 
 
-def q_stream_kpi_batches(spark, d):
-    base = scratch_path(spark, "stream_kpi_batches")
-    _write_text(_case_messages(spark, d), f"{base}/in")
-    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
-    sinks = LiveSinks(f"{base}/kpi_status", f"{base}/kpi_priority")
-    lookup = _lookup(spark)
-    fan_out = fan_out_writer(f"{base}/landing", sinks, lambda b: enrich_stream(b, lookup))
-    (cases.writeStream.foreachBatch(fan_out).option("checkpointLocation", f"{base}/ckpt")
-     .trigger(**ONCE).start().awaitTermination())
-    return spark.read.parquet(sinks.status_path).select("Case_Type", "Cases_numbers")
+def _live(spark, d, name, damaged=False):
+    """The live job over both streams in three micro-batches; its output folders."""
+    base = scratch_path(spark, name)
+    cases = _case_stream(spark, d, base)
+    if damaged:
+        _write_text(_damaged_messages(spark, d).coalesce(1), f"{base}/in", "append")
+    _cut(dv.surveys(spark, d), "survey_id", f"{base}/surveys", SURVEY_TS)
+    surveys = stream_messages(spark, "text", f"{base}/surveys", max_files=1)
+    sinks = LiveSinks.under(f"{base}/out", published=f"{base}/published")
+    start_live(cases, surveys, sinks, _lookup(spark), f"{base}/ckpt",
+               trigger=ONCE).awaitTermination()
+    return sinks
 
 
-def q_stream_fan_out_landing(spark, d):
-    """The case landing written by the foreachBatch fan-out (one decode per batch)."""
-    base = scratch_path(spark, "stream_fan_out_landing")
-    _write_text(_case_messages(spark, d), f"{base}/in")
-    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
-    lookup = _lookup(spark)
-    fan_out = fan_out_writer(f"{base}/landing", LiveSinks(f"{base}/st", f"{base}/pr"),
-                             lambda b: enrich_stream(b, lookup))
-    (cases.writeStream.foreachBatch(fan_out).option("checkpointLocation", f"{base}/ckpt")
-     .trigger(**ONCE).start().awaitTermination())
-    return read_landing(spark, f"{base}/landing", schemas.CASE)
+def q_stream_kpi_batches(spark, d):
+    """Status counts of every micro-batch."""
+    return spark.read.parquet(_live(spark, d, "stream_kpi").status).select(
+        F.col("batch_id").cast("long"), "Case_Type", "Cases_numbers")
 
 
-def _survey_stream_input(spark, d, path):
-    _write_text(_survey_messages(dv.survey_history(spark, d)), path)
-    _write_text(_survey_messages(dv.survey_increment(spark, d)), path, mode="append")
+def q_stream_priority_batches(spark, d):
+    """Priority counts of every micro-batch."""
+    return spark.read.parquet(_live(spark, d, "stream_priority").priority).select(
+        F.col("batch_id").cast("long"), "priority", "severity", "Cases_numbers")
 
 
-def _stream_join(spark, d, mode):
-    base = scratch_path(spark, f"stream_join_{mode}")
-    _write_text(_case_messages(spark, d), f"{base}/cases_in")
-    _write_text(_survey_messages(dv.surveys(spark, d)), f"{base}/surveys_in")
-    cases = decode_cases(stream_messages(spark, "text", f"{base}/cases_in"))
-    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/surveys_in"))
-    joined = join_case_survey(cases, surveys, within="15 seconds", watermark="1 minute",
-                              mode=mode)
-    with state_partitions(spark):
-        q = publish_json(joined, f"{base}/ckpt", fmt="text", path=f"{base}/out", trigger=ONCE)
-    q.awaitTermination()
-    return decode_json(spark.read.text(f"{base}/out"), schemas.CASE_SURVEY)
+def q_stream_fan_out_landing(spark, d):
+    """The cases landed by the live job (one decode per batch)."""
+    return read_landing(spark, _live(spark, d, "stream_fan_out").cases, schemas.CASE)
 
 
-def q_stream_join_interval(spark, d):
-    return _stream_join(spark, d, "interval")
+def q_stream_rejects(spark, d):
+    """What the live job could not decode, landed with its raw text."""
+    return spark.read.parquet(_live(spark, d, "stream_rejects", damaged=True).rejects).select(
+        "kind", "raw")
 
 
-def q_stream_join_bucket(spark, d):
-    return _stream_join(spark, d, "bucket")
+def q_stream_join_batch(spark, d):
+    """Cases joined to the surveys that arrive in the same micro-batch, published."""
+    sinks = _live(spark, d, "stream_join")
+    return decode_json(spark.read.text(sinks.published), schemas.CASE_SURVEY)
 
 
 def q_stream_dedup(spark, d):
-    """History and increment overlap by five days; redelivered surveys dropped."""
+    """History and increment overlap by five days; redelivered surveys dropped, in
+    four micro-batches."""
     base = scratch_path(spark, "stream_dedup")
-    _survey_stream_input(spark, d, f"{base}/in")
-    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/in"))
-    out = dedup_stream(surveys, ["survey_id"], "survey_timestamp", "1 hour")
+    for part in (dv.survey_history(spark, d), dv.survey_increment(spark, d)):
+        for b in (0, 1):
+            half = part.where(F.col("survey_id").cast("long") % 2 == b)
+            _write_text(_survey_messages(half).coalesce(1), f"{base}/in", "append")
+    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/in", max_files=1),
+                             keep=("ingest_ts",))
+    out = dedup_stream(surveys, ["survey_id"])
     with state_partitions(spark):
         q = land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE)
     q.awaitTermination()
@@ -414,28 +569,12 @@ def q_stream_dedup(spark, d):
 def q_stream_publish_array(spark, d):
     """Case stream published as bounded JSON arrays from foreachBatch, read back."""
     base = scratch_path(spark, "stream_publish_array")
-    _write_text(_case_messages(spark, d), f"{base}/in")
-    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
+    cases = decode_cases(_case_stream(spark, d, base))
     publish_json(cases, f"{base}/ckpt", fmt="text", path=f"{base}/out", envelope="array",
                  max_rows=500, trigger=ONCE).awaitTermination()
     return decode_cases(spark.read.text(f"{base}/out"))
 
 
-def q_stream_cumulative_counts(spark, d):
-    """Running distinct cases (HyperLogLog state) over the case stream.
-
-    Approximate by design, so it has no exact oracle (rows-only check)."""
-    base = scratch_path(spark, "stream_cumulative_counts")
-    _write_text(_case_messages(spark, d), f"{base}/in")
-    cases = decode_cases(stream_messages(spark, "text", f"{base}/in"))
-    with state_partitions(spark):
-        q = (cumulative_status_counts(cases).writeStream.outputMode("complete")
-             .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{base}/out"))
-             .option("checkpointLocation", f"{base}/ckpt").trigger(**ONCE).start())
-    q.awaitTermination()
-    return spark.read.parquet(f"{base}/out")
-
-
 def q_file_forward(spark, d):
     base = scratch_path(spark, "file_forward")
     _write_text(_case_messages(spark, d), f"{base}/in")
@@ -449,6 +588,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_cast": q_conform_cast,
     "event_date": q_event_date,
     "load_stamp_fixed": q_load_stamp_fixed,
+    "answers_lenient": q_answers_lenient,
     "filter_status": q_filter_status,
     "filter_in_priority": q_filter_in_priority,
     "filter_last_window": q_filter_last_window,
@@ -480,6 +620,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "live_status_counts": q_live_status_counts,
     "live_priority_counts": q_live_priority_counts,
     "json_decode_explode": q_json_decode_explode,
+    "json_decode_damaged": q_json_decode_damaged,
+    "json_rejects": q_json_rejects,
     "json_publish_rows": q_json_publish_rows,
     "json_publish_array": q_json_publish_array,
     "csv_round_trip": q_csv_round_trip,
@@ -487,16 +629,25 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "reference_employee_tsv": q_reference_employee_tsv,
     "reference_calendar_tsv": q_reference_calendar_tsv,
     "reference_case_history_tsv": q_reference_case_history_tsv,
+    "reference_survey_history_tsv": q_reference_survey_history_tsv,
+    "reference_call_center_tsv": q_reference_call_center_tsv,
+    "reference_product_tsv": q_reference_product_tsv,
+    "reference_country_tsv": q_reference_country_tsv,
+    "reference_literals_tsv": q_reference_literals_tsv,
+    "stored_pipeline_kpis": q_stored_pipeline_kpis,
+    "stored_pipeline_catalog": q_stored_pipeline_catalog,
+    "dimension_refresh": q_dimension_refresh,
+    "fact_rebuild": q_fact_rebuild,
     "stream_land_cases": q_stream_land_cases,
     "stream_enrich": q_stream_enrich,
     "stream_kpi_batches": q_stream_kpi_batches,
     "stream_fan_out_landing": q_stream_fan_out_landing,
-    "stream_join_interval": q_stream_join_interval,
-    "stream_join_bucket": q_stream_join_bucket,
+    "stream_priority_batches": q_stream_priority_batches,
+    "stream_rejects": q_stream_rejects,
+    "stream_join_batch": q_stream_join_batch,
     "stream_dedup": q_stream_dedup,
     "file_forward": q_file_forward,
     "stream_publish_array": q_stream_publish_array,
-    "stream_cumulative_counts": q_stream_cumulative_counts,
 }
 
 
@@ -583,47 +734,25 @@ _MERGED_SURVEYS = """SELECT DISTINCT TRY_CAST(TRY_CAST(Q1 AS DOUBLE) AS INTEGER)
                survey_id FROM survey_incr) u"""
 
 
-def _fact_over(cases_view, surveys_view):
-    return f"""
-WITH ml AS (
-  SELECT * EXCLUDE (rn, raw_ts) FROM (
-    SELECT *, row_number() OVER (PARTITION BY case_no
-             ORDER BY last_modified_timestamp DESC NULLS LAST, raw_ts DESC NULLS LAST,
-                      {', '.join(c + ' ASC NULLS LAST' for c in ov.CASE_ORDER)}) AS rn
-    FROM (SELECT status, category, sub_category,
-                 date_trunc('second', last_modified_timestamp) AS last_modified_timestamp,
-                 case_no, date_trunc('second', create_timestamp) AS create_timestamp,
-                 created_employee_key, call_center_id, product_code, country_cd,
-                 communication_mode, last_modified_timestamp AS raw_ts
-          FROM ({cases_view}) a) t) t1 WHERE rn = 1),
-sl AS (
-  SELECT * EXCLUDE (rn, raw_ts) FROM (
-    SELECT *, row_number() OVER (PARTITION BY case_no
-             ORDER BY survey_timestamp DESC NULLS LAST, raw_ts DESC NULLS LAST,
-                      survey_id ASC NULLS LAST, Q1 ASC NULLS LAST, Q3 ASC NULLS LAST,
-                      Q2 ASC NULLS LAST, Q5 ASC NULLS LAST, Q4 ASC NULLS LAST) AS rn
-    FROM (SELECT Q1, Q3, Q2, Q5, Q4, case_no,
-                 date_trunc('second', survey_timestamp) AS survey_timestamp, survey_id,
-                 survey_timestamp AS raw_ts
-          FROM ({surveys_view}) b) t) t1 WHERE rn = 1)
-SELECT c.status, c.category, c.sub_category, c.last_modified_timestamp, c.case_no,
-       c.create_timestamp, c.created_employee_key, c.call_center_id, c.product_code,
-       c.country_cd, c.communication_mode, s.Q1, s.Q3, s.Q2, s.Q5, s.Q4, s.survey_timestamp,
-       s.survey_id, {ov.AS_OF_SQL} AS row_insertion_dttm,
-       CAST(c.create_timestamp AS DATE) AS create_date
-FROM ml c LEFT JOIN sl s ON c.case_no = s.case_no"""
+def _fact_over(cases, surveys):
+    """The fact over given case and survey relations."""
+    return f"""WITH newest_case AS ({ov.newest_case(cases)}),
+        newest_survey AS ({ov.newest_survey(surveys)})
+        {ov.fact_sql('newest_case', 'newest_survey')}"""
 
 
 ORACLE: dict[str, str] = {
     "conform_cast": f"""SELECT status, category, sub_category,
         TRY_CAST(last_modified_timestamp AS TIMESTAMP) AS last_modified_timestamp, case_no,
         TRY_CAST(create_timestamp AS TIMESTAMP) AS create_timestamp, created_employee_key,
-        call_center_id, product_code, country_cd, communication_mode FROM case_hist""",
+        call_center_id, product_code, country_cd, communication_mode FROM case_text""",
     "event_date": """SELECT case_no, create_timestamp, last_modified_timestamp,
-        TRY_CAST(create_timestamp AS DATE) AS create_date FROM case_hist""",
+        TRY_CAST(create_timestamp AS DATE) AS create_date FROM case_text""",
+    "answers_lenient": """SELECT * REPLACE (CASE CAST(survey_id AS BIGINT) % 7
+        WHEN 0 THEN NULL WHEN 2 THEN NULL ELSE Q1 END AS Q1) FROM surveys""",
     "load_stamp_fixed": f"""SELECT case_no, status, last_modified_timestamp,
         {ov.AS_OF_SQL} AS row_insertion_dttm, CAST({ov.AS_OF_SQL} AS DATE) AS load_date
-        FROM case_incr""",
+        FROM cases""",
     "filter_status": """SELECT case_no, status, last_modified_timestamp FROM fact
         WHERE status = 'Open'""",
     "filter_in_priority": """SELECT case_no, priority, severity FROM wide
@@ -680,11 +809,11 @@ ORACLE: dict[str, str] = {
     "kpi_surveys": _kpi_row(_survey_items()),
     "kpi_feedback": _feedback_union(),
     "kpi_report": _report_union(),
-    "live_status_counts": """
-        SELECT 'Total Cases' AS Case_Type, count(DISTINCT case_no) AS Cases_numbers FROM cases
-        UNION ALL SELECT 'Open Cases', count(DISTINCT case_no) FROM cases WHERE status = 'Open'
-        UNION ALL SELECT 'Closed Cases', count(DISTINCT case_no) FROM cases
-        WHERE status = 'Closed'""",
+    "live_status_counts": """UNPIVOT (
+        SELECT count(DISTINCT case_no) AS "Total Cases",
+               count(DISTINCT case_no) FILTER (status = 'Open') AS "Open Cases",
+               count(DISTINCT case_no) FILTER (status = 'Closed') AS "Closed Cases" FROM cases)
+        ON COLUMNS(*) INTO NAME Case_Type VALUE Cases_numbers""",
     "live_priority_counts": """SELECT p.priority, p.severity,
         count(DISTINCT c.case_no) AS Cases_numbers FROM cases c LEFT JOIN cat_pri_inner p
         ON c.category = p.category_key AND c.sub_category = p.sub_category_key
@@ -692,10 +821,8 @@ ORACLE: dict[str, str] = {
 }
 ORACLE["fact_from_merged"] = _fact_over(_MERGED_CASES, _MERGED_SURVEYS)
 
-_STREAM_JOIN = """SELECT c.status, c.category, c.sub_category, c.last_modified_timestamp,
-        c.case_no, c.create_timestamp, c.created_employee_key, c.call_center_id, c.product_code,
-        c.country_cd, c.communication_mode, s.Q1, s.Q3, s.Q2, s.Q5, s.Q4, s.survey_timestamp,
-        s.survey_id FROM cases c JOIN surveys s ON c.case_no = s.case_no AND {cond}"""
+_BATCH = "CAST(case_no AS BIGINT) % 3"
+_CUT_SHORT = "CAST(case_no AS BIGINT) % 40 = 0"
 ORACLE.update({
     "json_decode_explode": "SELECT * FROM cases",
     "json_publish_rows": "SELECT * FROM fact",
@@ -710,15 +837,45 @@ ORACLE.update({
     "reference_case_history_tsv": """SELECT case_no, create_timestamp, last_modified_timestamp,
         created_employee_key, call_center_id, status, category, sub_category,
         communication_mode, country_cd, product_code,
-        TRY_CAST(create_timestamp AS DATE) AS create_date FROM case_hist""",
+        TRY_CAST(create_timestamp AS DATE) AS create_date FROM case_text""",
+    "reference_survey_history_tsv": """SELECT survey_id, case_no,
+        strftime(survey_timestamp, '%Y-%m-%d %H:%M:%S.%f') AS survey_timestamp,
+        CAST(Q1 AS VARCHAR) AS Q1, CAST(Q2 AS VARCHAR) AS Q2, CAST(Q3 AS VARCHAR) AS Q3, Q4,
+        CAST(Q5 AS VARCHAR) AS Q5, CAST(survey_timestamp AS DATE) AS survey_date FROM surveys""",
+    "reference_call_center_tsv": "SELECT * FROM call_center",
+    "reference_product_tsv": "SELECT * FROM product",
+    "reference_country_tsv": """SELECT CAST(n_nationkey AS INTEGER) AS id, n_name AS Name,
+        upper(n_name[1:2]) AS Alpha_2, upper(n_name[1:3]) AS Alpha_3 FROM nation""",
+    "reference_literals_tsv": f"""SELECT priority, severity, count(*) AS cases
+        FROM ({_cases_priority_sql('cat_pri_inner')}) c
+        WHERE case_no IN (SELECT case_no FROM ({ov.scored('surveys', 'sv')}) x
+                          WHERE referral_feedback = 1)
+        GROUP BY ALL""",
+    "stored_pipeline_kpis": ORACLE["kpi_report"],
+    "stored_pipeline_catalog": ORACLE["merge_cases"],
+    "dimension_refresh": f"""SELECT *, {ov.AS_OF_SQL} AS row_insertion_dttm FROM employee""",
+    "fact_rebuild": "SELECT * FROM fact",
+    "json_decode_damaged": f"SELECT * FROM cases WHERE NOT ({_CUT_SHORT})",
+    "json_rejects": f"""SELECT left('{{"status":"' || status || '","category":"' || category
+        || '","sub_category":"' || sub_category || '","last', 40) AS raw
+        FROM cases WHERE {_CUT_SHORT}""",
     "stream_enrich": _cases_priority_sql("cat_pri_inner"),
-    "stream_kpi_batches": ORACLE["live_status_counts"],
+    "stream_kpi_batches": f"""UNPIVOT (
+        SELECT {_BATCH} AS batch_id, count(DISTINCT case_no) AS "Total Cases",
+               count(DISTINCT case_no) FILTER (status = 'Open') AS "Open Cases",
+               count(DISTINCT case_no) FILTER (status = 'Closed') AS "Closed Cases"
+        FROM cases GROUP BY 1)
+        ON COLUMNS(* EXCLUDE (batch_id)) INTO NAME Case_Type VALUE Cases_numbers""",
+    "stream_priority_batches": f"""SELECT {_BATCH} AS batch_id, priority, severity,
+        count(DISTINCT case_no) AS Cases_numbers
+        FROM ({_cases_priority_sql('cat_pri_inner')}) c GROUP BY ALL""",
     "stream_fan_out_landing": "SELECT * FROM cases",
-    "stream_join_interval": _STREAM_JOIN.format(
-        cond="s.survey_timestamp BETWEEN c.last_modified_timestamp - INTERVAL 15 SECOND "
-             "AND c.last_modified_timestamp + INTERVAL 15 SECOND"),
-    "stream_join_bucket": _STREAM_JOIN.format(
-        cond="floor(epoch(s.survey_timestamp) / 15) = floor(epoch(c.last_modified_timestamp) / 15)"),
+    "stream_rejects": f"""SELECT 'case' AS kind, left('{{"status":"' || status
+        || '","category":"' || category || '","sub_category":"' || sub_category
+        || '","last', 40) AS raw FROM cases WHERE {_CUT_SHORT}""",
+    "stream_join_batch": """SELECT c.*, s.* EXCLUDE (case_no)
+        FROM cases c JOIN surveys s ON s.case_no = c.case_no
+        AND CAST(s.survey_id AS BIGINT) % 3 = CAST(c.case_no AS BIGINT) % 3""",
     "stream_dedup": "SELECT * FROM surveys",
     "file_forward": "SELECT * FROM cases",
     "stream_publish_array": "SELECT * FROM cases",
@@ -729,7 +886,7 @@ ORACLE.update({
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the KPI report over the wide case/survey table (sf0.001)."""
-    return kpi_report(_wide(spark, SMOKE_DIR), AS_OF)
+    return kpi_report(_wide(spark, SMOKE_DIR, KPI_COLUMNS), AS_OF)
 
 
 def _training_data():

@@ -13,20 +13,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
-
-
-def to_ntz(c: Column | str, dtype: T.DataType | None = None) -> Column:
-    """Any timestamp-like column (text, TIMESTAMP, TIMESTAMP_NTZ) to TIMESTAMP_NTZ."""
-    c = _col(c)
-    if isinstance(dtype, T.TimestampNTZType):
-        return c
-    if isinstance(dtype, T.TimestampType):
-        return c.cast("timestamp_ntz")
-    return c.try_cast("timestamp_ntz")
-
-
 def trunc_seconds(c: Column | str) -> Column:
     """Cut sub-seconds, keeping the wall-clock type TIMESTAMP_NTZ.
 
@@ -46,9 +32,19 @@ def now_seconds() -> Column:
     return F.date_trunc("second", F.localtimestamp()).cast("timestamp_ntz")
 
 
-def answer_to_int(c: Column | str) -> Column:
-    """A survey answer given as 5, 5.0 or "5" becomes 5; anything else NULL."""
-    return _col(c).try_cast("double").try_cast("int")
+#: A whole number as text: 5, -5, +5, 5.0 or 5.; spaces around it are allowed.
+_WHOLE = r"^\\s*([+-]?[0-9]+)(?:\\.0*)?\\s*$"
+
+
+def _whole_sql(c: str, target: str) -> str:
+    """Text that is a whole number, as the target type; anything else NULL.  It
+    never passes through a double, so large numbers keep all digits."""
+    return f"try_cast(nullif(regexp_extract({c}, '{_WHOLE}', 1), '') AS {target})"
+
+
+def answer_to_int(c: str) -> Column:
+    """A survey answer column given as 5, 5.0 or "5" becomes 5; anything else NULL."""
+    return F.expr(_whole_sql(f"CAST(`{c}` AS STRING)", "int"))
 
 
 def _conform_sql(src: T.StructField | None, f: T.StructField) -> str:
@@ -62,7 +58,7 @@ def _conform_sql(src: T.StructField | None, f: T.StructField) -> str:
     if isinstance(f.dataType, T.TimestampNTZType) and isinstance(src.dataType, T.TimestampType):
         return f"CAST({c} AS timestamp_ntz) AS {name}"
     if isinstance(f.dataType, T.IntegralType) and isinstance(src.dataType, T.StringType):
-        return f"try_cast(try_cast({c} AS double) AS {target}) AS {name}"
+        return f"{_whole_sql(c, target)} AS {name}"
     return f"try_cast({c} AS {target}) AS {name}"
 
 

@@ -3,9 +3,13 @@
 A message is a JSON array of flat objects (``[{...},{...}]``) or one object.
 Decoding parses it for real (no string surgery), so text answers containing
 ``[``, ``]`` or ``},`` stay intact.  Every field is decoded as text and typed
-afterwards with ``try_cast``: a number sent as ``5``, ``5.0`` or ``"5"`` gives
-5, a missing field gives NULL, and a message that is not JSON at all is either
-dropped or kept aside with its raw text (``bad='quarantine'``).
+afterwards: a number sent as ``5``, ``5.0`` or ``"5"`` gives 5, a missing field
+gives NULL.
+
+A message that does not parse as a whole is cut at its record boundaries and
+each piece is parsed by itself, so one damaged record costs only itself.  What
+still does not parse is dropped or, with ``bad='quarantine'``, returned with
+its raw text.
 """
 
 from __future__ import annotations
@@ -21,10 +25,40 @@ def _as_text(schema: T.StructType) -> T.StructType:
     return T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
 
 
+_CORRUPT = "__corrupt"
+#: Between two records: a comma that follows an object or stands before one.
+_BOUNDARY = r"(?<=\})\s*,\s*|\s*,\s*(?=\{)"
+
+
 def parse_messages(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
-    """Add ``__recs``: the message as array<struct> of text fields (NULL if broken)."""
-    arr = T.ArrayType(_as_text(schema))
-    return df.withColumn("__recs", F.from_json(F.col(value_col).cast("string"), arr))
+    """Add ``__recs``, the records of each message as array<struct> of text fields, and
+    ``__bad``, the raw text of its pieces that are not records."""
+    text = _as_text(schema)
+    value = F.col(value_col).cast("string")
+    body = F.regexp_replace(F.regexp_replace(value, r"^\s*\[\s*", ""), r"\s*\]\s*$", "")
+    checked = T.StructType([*text.fields, T.StructField(_CORRUPT, T.StringType(), True)])
+
+    def piece(p):
+        return F.struct(p.alias("raw"), F.from_json(
+            p, checked, {"columnNameOfCorruptRecord": _CORRUPT}).alias("rec"))
+
+    def is_record(p):
+        return (p["rec"].isNotNull() & p["rec"][_CORRUPT].isNull()
+                & F.ltrim(p["raw"]).startswith("{"))
+
+    def fields(p):
+        return F.struct(*[p["rec"][f.name].alias(f.name) for f in text.fields])
+
+    whole = df.withColumn("__recs", F.from_json(value, T.ArrayType(text)))
+    # a NULL element stands for something that is no object: look at the pieces then
+    damaged = F.col("__recs").isNull() | F.exists("__recs", lambda r: r.isNull())
+    cut = whole.withColumn("__pieces", F.when(
+        damaged & value.isNotNull(),
+        F.transform(F.filter(F.split(body, _BOUNDARY), lambda p: F.trim(p) != ""), piece)))
+    return (cut.withColumn("__recs", F.when(F.col("__pieces").isNull(), F.col("__recs")).otherwise(
+                F.transform(F.filter("__pieces", is_record), fields)))
+            .withColumn("__bad", F.transform(F.filter("__pieces", lambda p: ~is_record(p)),
+                                             lambda p: p["raw"])).drop("__pieces"))
 
 
 def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
@@ -33,7 +67,7 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
 
     ``schema`` is the target (typed) schema; ``keep`` names input columns to
     carry along (e.g. a Kafka timestamp).  With ``bad='quarantine'`` returns
-    ``(records, rejects)`` where ``rejects`` holds the raw text of messages
+    ``(records, rejects)`` where ``rejects`` holds the raw text of every piece
     that did not parse.
     """
     parsed = parse_messages(df, schema, value_col)
@@ -45,8 +79,8 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
         return typed
     if bad != "quarantine":
         raise ValueError("bad must be 'drop' or 'quarantine'")
-    rejects = parsed.where(F.col("__recs").isNull()).select(
-        *keep, F.col(value_col).alias("raw"), F.lit("unparseable JSON").alias("reason"))
+    rejects = parsed.select(*keep, F.explode("__bad").alias("raw"),
+                            F.lit("unparseable JSON").alias("reason"))
     return typed, rejects
 
 
@@ -61,9 +95,14 @@ def text_fields(df: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFr
     return df.select(*cols)
 
 
+#: Time stamps keep all their digits on the wire.
+_TO_JSON = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+            "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
+
 def encode_rows(df: DataFrame) -> DataFrame:
     """One JSON object per row in column ``value`` (NULL fields are omitted)."""
-    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("value"))
+    return df.select(F.to_json(F.struct(*[F.col(c) for c in df.columns]), _TO_JSON).alias("value"))
 
 
 def encode_arrays(df: DataFrame, max_rows: int = 20) -> DataFrame:
@@ -73,7 +112,7 @@ def encode_arrays(df: DataFrame, max_rows: int = 20) -> DataFrame:
     message never grows with the data and no task gathers more than
     ``max_rows`` records per message.
     """
-    rec = F.to_json(F.struct(*[F.col(c) for c in df.columns]))
+    rec = F.to_json(F.struct(*[F.col(c) for c in df.columns]), _TO_JSON)
     chunk = F.floor(F.monotonically_increasing_id() / F.lit(max_rows))
     grouped = (df.select(chunk.alias("__chunk"), rec.alias("__rec"))
                  .groupBy("__chunk").agg(F.collect_list("__rec").alias("__recs")))

@@ -6,35 +6,32 @@ and inflate every KPI.  The guard is part of the query plan (the dimension is
 aggregated by key and a repeated key raises an error), so it costs no extra
 job.  Broadcast is decided per dimension:
 
-* ``broadcast="probe"`` (default) counts at most ``max_broadcast_rows + 1``
-  rows of the dimension's key columns (the guarded dimension has at most as
-  many rows) and broadcasts only under that bound; beyond
-  it the join is a shuffle (sort-merge) join.  The probes of all dimensions of
-  one ``enrich`` call run together as a single job;
+* ``broadcast="probe"`` (default) measures the columns to be brought: bytes of
+  their values, over no more rows than could fit.  Below ``max_broadcast_bytes``
+  the dimension is broadcast, else the join is a shuffle (sort-merge) join,
+  where AQE splits hot fact keys.  The probes of all dimensions of one call run
+  together as a single job;
 * ``broadcast=None`` leaves it to Catalyst's size estimate
   (``spark.sql.autoBroadcastJoinThreshold``; estimates of joined dimensions
   can be far off, hence not the default);
 * ``broadcast=True`` forces it, for tables whose size the caller guarantees.
 
-A dimension that is local data already (``DataFrame.isLocal()``, such as a
-``VALUES`` table) is broadcast without a probe.
+``prepare`` does all of this once and returns a function of the fact, so a
+stream probes its dimensions when it starts and not in every batch.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from casekit.operators.merge import latest_per_key
 
-DEFAULT_BROADCAST_ROWS = 2_000_000
-
-
-class DuplicateKeyError(ValueError):
-    """A dimension holds a key more than once."""
+DEFAULT_BROADCAST_BYTES = 64 << 20
 
 
 @dataclass
@@ -59,58 +56,10 @@ class DimSpec:
     how: str = "left"
     on_duplicate: str = "error"
     broadcast: bool | str | None = "probe"
-    max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS
+    max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES
     name: str = "dimension"
 
 
-def fits_broadcast(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows.
-
-    Bounded probe: it stops after ``max_rows + 1`` rows, so a huge table is
-    never fully counted just to learn that it is too big.
-    """
-    return df.limit(max_rows + 1).count() <= max_rows
-
-
-def _profile_frame(df: DataFrame, keys: Sequence[str], tag: int) -> DataFrame:
-    """One row: tag, total rows, largest count of one non-null key, that key."""
-    nonnull = F.lit(True)
-    for k in keys:
-        nonnull = nonnull & F.col(k).isNotNull()
-    per_key = df.select(*keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"),
-                                                  nonnull.alias("__nn"))
-    n_key = F.when(F.col("__nn"), F.col("__n"))
-    return per_key.agg(
-        F.lit(tag).alias("tag"),
-        F.coalesce(F.sum("__n"), F.lit(0)).cast("long").alias("rows"),
-        F.coalesce(F.max(n_key), F.lit(0)).cast("long").alias("dup"),
-        F.to_json(F.max_by(F.struct(*keys), n_key)).alias("key"))
-
-
-def profile_keys(items: Sequence[tuple[DataFrame, Sequence[str]]]) -> list[tuple[int, int, str]]:
-    """Row count and worst key multiplicity of several tables in one job.
-
-    The per-table aggregates are unioned, so Spark runs them as parallel
-    stages of a single job.  Returns ``(rows, dup, key_json)`` per input.
-    """
-    if not items:
-        return []
-    frames = [_profile_frame(df, keys, i) for i, (df, keys) in enumerate(items)]
-    u = frames[0]
-    for f in frames[1:]:
-        u = u.unionByName(f)
-    got = {r["tag"]: (int(r["rows"]), int(r["dup"]), r["key"]) for r in u.collect()}
-    return [got[i] for i in range(len(items))]
-
-
-def check_unique(df: DataFrame, keys: Sequence[str], name: str = "dimension") -> int:
-    """Raise ``DuplicateKeyError`` if a non-null key occurs twice; return the row count."""
-    rows, dup, key = profile_keys([(df, keys)])[0]
-    if dup > 1:
-        raise DuplicateKeyError(f"{name}: key {key} occurs {dup} times")
-    return rows
-
-
 def guard_unique(dim: DataFrame, keys: Sequence[str], cols: Sequence[str],
                  name: str = "dimension") -> DataFrame:
     """``dim`` reduced to one row per key, failing the query on a repeated key.
@@ -127,15 +76,20 @@ def guard_unique(dim: DataFrame, keys: Sequence[str], cols: Sequence[str],
     return per_key.where(ok).drop("__n")
 
 
+def _brought(spec: DimSpec) -> list[str]:
+    """Key columns, then the columns that the dimension brings."""
+    keys = list(spec.right)
+    return keys + (list(spec.columns) if spec.columns is not None else [
+        c for c in spec.df.columns if c not in keys])
+
+
 def prepare_dim(spec: DimSpec, position: int = 0) -> tuple[DataFrame, list[str]]:
     """Select, rename and guard one dimension; its keys get names unique to
     ``position`` (the spec's place in one ``enrich`` call)."""
     if spec.on_duplicate not in ("error", "first", "ignore"):
         raise ValueError(f"on_duplicate must be error|first|ignore, not {spec.on_duplicate!r}")
-    dim = spec.df
-    keys = list(spec.right)
-    cols = list(spec.columns) if spec.columns is not None else [
-        c for c in dim.columns if c not in keys]
+    dim, keys = spec.df, list(spec.right)
+    cols = _brought(spec)[len(keys):]
     if spec.on_duplicate == "error":
         dim = guard_unique(dim.select(*keys, *cols), keys, cols, spec.name)
     elif spec.on_duplicate == "first":
@@ -147,58 +101,80 @@ def prepare_dim(spec: DimSpec, position: int = 0) -> tuple[DataFrame, list[str]]
     return dim, tmp_keys
 
 
-def probe_rows(items: Sequence[tuple[DataFrame, int]]) -> list[bool]:
-    """For each ``(df, max_rows)``: does ``df`` hold at most ``max_rows`` rows?
+_ROW_BYTES = 16
+
 
-    Every probe reads at most ``max_rows + 1`` rows; all probes are unioned
-    into one job so their stages run side by side.
+def _value_bytes(f: T.StructField) -> str:
+    """Bytes of one value as SQL: 8, and the length of text or binary."""
+    if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+        return f"8 + coalesce(octet_length(`{f.name}`), 0)"
+    if isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType)):
+        return f"8 + coalesce(octet_length(to_json(named_struct('v', `{f.name}`))), 0)"
+    return "8"
+
+
+def probe_bytes(items: Sequence[tuple[DataFrame, int]]) -> list[bool]:
+    """For each ``(df, max_bytes)``: does ``df`` hold at most ``max_bytes`` bytes?
+
+    A probe reads no more rows than could fit; all probes are unioned into one
+    job so their stages run side by side.
     """
     if not items:
         return []
-    parts = [df.limit(n + 1).groupBy().count().select(F.lit(i).alias("tag"), "count")
-             for i, (df, n) in enumerate(items)]
+    parts = []
+    for i, (df, limit) in enumerate(items):
+        row = " + ".join([str(_ROW_BYTES), *map(_value_bytes, df.schema.fields)])
+        fewest = _ROW_BYTES + 8 * len(df.schema.fields)
+        parts.append(df.limit(limit // fewest + 1).selectExpr(f"{row} AS n")
+                     .groupBy().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+                     .select(F.lit(i).alias("tag"), "n"))
     u = parts[0]
     for p in parts[1:]:
         u = u.unionByName(p)
-    got = {r["tag"]: r["count"] for r in u.collect()}
-    return [got[i] <= n for i, (_, n) in enumerate(items)]
+    got = {r["tag"]: r["n"] for r in u.collect()}
+    return [got[i] <= limit for i, (_, limit) in enumerate(items)]
 
 
-def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
-    """Left-join (or inner-join) ``fact`` to each dimension in turn.
+def prepare(dims: Sequence[DimSpec]) -> Callable[[DataFrame], DataFrame]:
+    """Guard and measure the dimensions once; the result joins any fact to them.
 
     Fact-side keys are converted to the dimension key type with ``try_cast``,
     so a text key that is not a number (``"x"`` against an int key) simply
     matches nothing instead of failing the query.  Broadcast dimensions are
     all joined inside one stage: the fact is not shuffled at all.
     """
-    out = fact
     for spec in dims:
         if len(spec.left) != len(spec.right):
             raise ValueError(f"{spec.name}: left and right keys differ in length")
     prepared = [prepare_dim(spec, i) for i, spec in enumerate(dims)]
-    # Data already held by the driver (e.g. a VALUES table) is bounded as is.
-    local = {i for i, spec in enumerate(dims) if spec.broadcast == "probe" and spec.df.isLocal()}
-    probe_idx = [i for i, spec in enumerate(dims) if spec.broadcast == "probe" and i not in local]
-    # Probe the raw key columns: the guarded dimension has at most as many rows.
-    fits = dict(zip(probe_idx, probe_rows([(dims[i].df.select(*dims[i].right),
-                                            dims[i].max_broadcast_rows) for i in probe_idx])))
-    # All fact-side keys in one projection, then the joins, then one drop.
-    key_cols, all_tmp = [], []
-    for spec, (dim, tmp_keys) in zip(dims, prepared):
-        types = {f.name: f.dataType for f in dim.schema.fields}
-        for expr, t in zip(spec.left, tmp_keys):
-            if isinstance(expr, str):
-                key_cols.append(F.expr(f"try_cast(`{expr}` AS {types[t].simpleString()}) AS `{t}`"))
-            else:
-                key_cols.append(expr.try_cast(types[t]).alias(t))
-            all_tmp.append(t)
-    out = out.select("*", *key_cols)
-    for i, (spec, (dim, tmp_keys)) in enumerate(zip(dims, prepared)):
-        if spec.broadcast is True or i in local or fits.get(i, False):
-            dim = F.broadcast(dim)
-        out = out.join(dim, on=tmp_keys, how=spec.how)
-    return out.drop(*all_tmp)
+    probed = [i for i, spec in enumerate(dims) if spec.broadcast == "probe"]
+    # Measure the unguarded columns: the guarded dimension has at most as many rows.
+    fits = dict(zip(probed, probe_bytes([(dims[i].df.select(*_brought(dims[i])),
+                                          dims[i].max_broadcast_bytes) for i in probed])))
+    small = [spec.broadcast is True or fits.get(i, False) for i, spec in enumerate(dims)]
+
+    def join(fact: DataFrame) -> DataFrame:
+        # All fact-side keys in one projection, then the joins, then one drop.
+        key_cols, all_tmp = [], []
+        for spec, (dim, tmp_keys) in zip(dims, prepared):
+            types = {f.name: f.dataType for f in dim.schema.fields}
+            for expr, t in zip(spec.left, tmp_keys):
+                if isinstance(expr, str):
+                    key_cols.append(F.expr(
+                        f"try_cast(`{expr}` AS {types[t].simpleString()}) AS `{t}`"))
+                else:
+                    key_cols.append(expr.try_cast(types[t]).alias(t))
+                all_tmp.append(t)
+        out = fact.select("*", *key_cols)
+        for spec, (dim, tmp_keys), fit in zip(dims, prepared, small):
+            out = out.join(F.broadcast(dim) if fit else dim, on=tmp_keys, how=spec.how)
+        return out.drop(*all_tmp)
+    return join
+
+
+def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
+    """Left-join (or inner-join) ``fact`` to each dimension in turn."""
+    return prepare(dims)(fact)
 
 
 def priority_lookup(category: DataFrame, priority: DataFrame, how: str = "left") -> DataFrame:

@@ -45,6 +45,11 @@ KPI_NAMES = [
 _NAME = {(fam, win): name for fam, win, name in KPI_NAMES}
 
 
+#: Columns of the wide table that the KPIs read.
+KPI_COLUMNS = ["case_no", "status", "Priority_key", "priority", LM, "survey_timestamp",
+               "overall_feedback"]
+
+
 def kpi_name(family: str, window: str | None = None) -> str:
     """Output name of a KPI; windows outside the catalogue get a derived name."""
     return _NAME.get((family, window)) or f"Total_{family}_Last_{window}"
@@ -175,6 +180,6 @@ def live_priority_counts(batch: DataFrame) -> DataFrame:
         F.count_distinct("case_no").alias("Cases_numbers"))
 
 
-def show_kpis(df: DataFrame, n: int = 100) -> None:
-    """Print up to ``n`` KPI rows in full width (only those rows reach the driver)."""
+def show_kpis(df: DataFrame, n: int) -> None:
+    """Print ``n`` rows in full width (only those rows reach the driver)."""
     df.show(n, truncate=False)

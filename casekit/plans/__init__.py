@@ -1,7 +1,7 @@
 """Composite jobs."""
 
 from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,
-                                latest_surveys, score_feedback, typed_cases, typed_surveys)
+                                latest_surveys, score_feedback)
 
 __all__ = ["WideDims", "build_fact", "build_wide", "latest_cases", "latest_surveys",
-           "score_feedback", "typed_cases", "typed_surveys"]
+           "score_feedback"]

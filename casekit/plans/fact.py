@@ -13,7 +13,8 @@ into feedback bands, an overall feedback and the hours to close.
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass
+from collections.abc import Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,22 +25,10 @@ from casekit.functions.casting import conform, trunc_seconds, with_load_stamp
 from casekit.functions.sentiment import overall_label, score_label
 from casekit.functions.timewin import hours_between
 from casekit.operators.bands import score_bands
-from casekit.operators.enrich import DEFAULT_BROADCAST_ROWS, DimSpec, enrich, priority_lookup
+from casekit.operators.enrich import DEFAULT_BROADCAST_BYTES, DimSpec, enrich, priority_lookup
 from casekit.operators.merge import latest_per_key
 
 
-def typed_cases(cases: DataFrame) -> DataFrame:
-    """Cases conformed to the typed schema, timestamps cut to whole seconds."""
-    c = conform(cases, schemas.CASE)
-    return c.withColumns({"last_modified_timestamp": trunc_seconds("last_modified_timestamp"),
-                          "create_timestamp": trunc_seconds("create_timestamp")})
-
-
-def typed_surveys(surveys: DataFrame) -> DataFrame:
-    s = conform(surveys, schemas.SURVEY)
-    return s.withColumn("survey_timestamp", trunc_seconds("survey_timestamp"))
-
-
 def latest_cases(cases: DataFrame) -> DataFrame:
     """Newest version per case (timestamps cut to whole seconds).
 
@@ -87,11 +76,11 @@ class WideDims:
     questions: DataFrame
 
 
-def wide_dim_specs(dims: WideDims, max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+def wide_dim_specs(dims: WideDims, max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
                    on_duplicate: str = "error") -> list[DimSpec]:
     """The five lookups of the wide table, in the order the columns appear."""
     cat = priority_lookup(dims.case_category, dims.case_priority, how="left")
-    common = dict(max_broadcast_rows=max_broadcast_rows, on_duplicate=on_duplicate)
+    common = dict(max_broadcast_bytes=max_broadcast_bytes, on_duplicate=on_duplicate)
     return [
         DimSpec(dims.calendar, left=[F.col("create_timestamp").cast("date")],
                 right=["calendar_date"], columns=schemas.CALENDAR_ATTRS,
@@ -126,15 +115,29 @@ def score_feedback(df: DataFrame, questions: DataFrame,
 
 
 def build_wide(fact: DataFrame, dims: WideDims,
-               max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
-               on_duplicate: str = "error") -> DataFrame:
+               max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+               on_duplicate: str = "error",
+               columns: Sequence[str] | None = None) -> DataFrame:
     """Fact ⟕ calendar, call centre, category/priority, employee, product;
-    answers scored; hours to close for closed cases."""
+    answers scored; hours to close for closed cases.
+
+    ``columns`` names the columns that the caller needs: a dimension (or the
+    question table) that brings none of them is neither read nor measured.
+    """
+    need = list(schemas.WIDE_COLUMNS if columns is None else columns)
+    unknown = set(need) - set(schemas.WIDE_COLUMNS)
+    if unknown:
+        raise ValueError(f"not columns of the wide table: {sorted(unknown)}")
     base = fact.withColumn(
         "hours_to_close",
         F.when(F.col("status") == "Closed",
                hours_between("create_timestamp", "last_modified_timestamp")))
-    enriched = enrich(base, wide_dim_specs(dims, max_broadcast_rows, on_duplicate))
-    scored = score_feedback(enriched, dims.questions)
-    return scored.withColumn("case_create_date", F.col("create_date")).select(
-        *schemas.WIDE_COLUMNS)
+    specs = []
+    for spec in wide_dim_specs(dims, max_broadcast_bytes, on_duplicate):
+        used = [c for c in spec.columns if spec.prefix + spec.rename.get(c, c) in need]
+        if used:
+            specs.append(replace(spec, columns=used))
+    out = enrich(base, specs) if specs else base
+    if {"overall_feedback", *QUESTION_FEEDBACK.values()} & set(need):
+        out = score_feedback(out, dims.questions)
+    return out.withColumn("case_create_date", F.col("create_date")).select(*need)

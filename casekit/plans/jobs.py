@@ -38,22 +38,32 @@ from casekit.operators.merge import merge_distinct
 from casekit.plans.fact import WideDims, build_fact, build_wide
 from casekit.sources.delimited import read_delimited
 from casekit.sources.jdbc import read_jdbc, write_jdbc
-from casekit.sources.tables import (overwrite_partitions, read_landing, read_table,
-                                    refresh_staging, write_table)
-from casekit.streaming.join import forward_files, join_case_survey, publish_json
-from casekit.streaming.live import (LiveSinks, decode_cases, decode_surveys, enrich_stream,
-                                    fan_out_writer, land_stream)
-from casekit.streaming.sources import stream_files
+from casekit.sources.tables import (read_landing, read_table, rebuild_table, refresh_staging,
+                                    write_table)
+from casekit.streaming.join import forward_files
+from casekit.streaming.live import LiveSinks, start_live
+from casekit.streaming.sources import MAX_FILES, stream_files
 
 
 @dataclass
 class Warehouse:
-    """Table locations: ``<root>/<prefix>_<name>`` for every table."""
+    """Where the tables are: folders ``<root>/<prefix>_<name>``, or with ``catalog``
+    (a database name) tables ``<catalog>.<prefix>_<name>``; ``fmt`` is their format."""
     root: str
     names: TableNames = field(default_factory=TableNames)
+    catalog: str | None = None
+    fmt: str = "parquet"
 
     def path(self, key: str) -> str:
-        return f"{self.root.rstrip('/')}/{self.names.name(key)}"
+        name = self.names.name(key)
+        return f"{self.catalog}.{name}" if self.catalog else f"{self.root.rstrip('/')}/{name}"
+
+    def read(self, spark: SparkSession, key: str) -> DataFrame:
+        return read_table(spark, self.path(key), fmt=self.fmt)
+
+    def landing(self) -> LiveSinks:
+        """Folders of the live job."""
+        return LiveSinks.under(f"{self.root.rstrip('/')}/live")
 
 
 # Reference tables by file stem, with their declared schema.
@@ -99,12 +109,17 @@ def load_dimensions(spark: SparkSession, url: str, properties: dict, wh: Warehou
     """JOB-2: database dimensions -> stamped tables, partitioned by load date
     (employees by hire date)."""
     for key in DIMENSIONS:
-        df = read_jdbc(spark, url, table=wh.names.name(key), properties=properties)
-        if key == "employee":
-            out, part = with_load_stamp(df, as_of), ["hire_date"]
-        else:
-            out, part = with_load_stamp(df, as_of, date_col="create_date"), ["create_date"]
-        write_table(out, wh.path(key), part)
+        refresh_dimension(read_jdbc(spark, url, table=wh.names.name(key),
+                                    properties=properties), wh, key, as_of)
+
+
+def refresh_dimension(df: DataFrame, wh: Warehouse, key: str,
+                      as_of: _dt.datetime | str | None = None) -> None:
+    """The write half of JOB-2 for one dimension: stamped, partitioned, and replacing
+    what an earlier load wrote."""
+    part = "hire_date" if key == "employee" else "create_date"
+    out = with_load_stamp(df, as_of, date_col=None if key == "employee" else part)
+    refresh_staging(out, wh.path(key), [part], wh.fmt)
 
 
 def load_history(spark: SparkSession, url: str, properties: dict, wh: Warehouse,
@@ -123,18 +138,28 @@ def load_history(spark: SparkSession, url: str, properties: dict, wh: Warehouse,
             kw = dict(partition_column=d, lower_bound=bounds[0], upper_bound=bounds[1],
                       num_partitions=num_partitions)
         df = read_jdbc(spark, url, query=query, properties=properties, **kw)
-        refresh_staging(with_load_stamp(df, as_of), wh.path(key), [d])
+        refresh_history(df, wh, key, as_of)
+
+
+def refresh_history(df: DataFrame, wh: Warehouse, key: str,
+                    as_of: _dt.datetime | str | None = None) -> None:
+    """The write half of JOB-3 for one history extract."""
+    refresh_staging(with_load_stamp(df, as_of), wh.path(key), [HISTORY_DATES[key][1]], wh.fmt)
 
 
 def build_increment(spark: SparkSession, landing_cases: str, landing_surveys: str,
-                    wh: Warehouse, as_of: _dt.datetime | str | None = None) -> None:
-    """JOB-5: the landed stream records -> stamped increment tables."""
-    cases = with_event_date(read_landing(spark, landing_cases, schemas.CASE),
-                            "create_timestamp", "create_date")
-    write_table(with_load_stamp(cases, as_of), wh.path("case_incr"), ["create_date"])
-    surveys = with_event_date(read_landing(spark, landing_surveys, schemas.SURVEY),
-                              "survey_timestamp", "survey_date")
-    write_table(with_load_stamp(surveys, as_of), wh.path("survey_incr"), ["survey_date"])
+                    wh: Warehouse, as_of: _dt.datetime | str | None = None,
+                    after_batch: int | None = None) -> None:
+    """JOB-5: the landed stream records -> stamped increment tables.
+
+    With ``after_batch`` only the live job's later batches are listed and read;
+    the increments then hold those alone.
+    """
+    for path, schema, out in ((landing_cases, schemas.CASE, "case_incr"),
+                              (landing_surveys, schemas.SURVEY, "survey_incr")):
+        ts, d = HISTORY_DATES["case_stg" if out == "case_incr" else "survey_stg"]
+        rows = with_event_date(read_landing(spark, path, schema, after_batch=after_batch), ts, d)
+        write_table(with_load_stamp(rows, as_of), wh.path(out), [d], fmt=wh.fmt)
 
 
 def merge_history(spark: SparkSession, wh: Warehouse,
@@ -143,21 +168,19 @@ def merge_history(spark: SparkSession, wh: Warehouse,
     for stg, incr, out, schema, part in (
             ("case_stg", "case_incr", "case_dly", schemas.CASE_DLY_MERGE, "create_date"),
             ("survey_stg", "survey_incr", "survey_dly", schemas.SURVEY_DLY_MERGE, "survey_date")):
-        merged = merge_distinct([read_table(spark, wh.path(stg)), read_table(spark, wh.path(incr))],
-                                schema, as_of=as_of)
-        overwrite_partitions(merged, wh.path(out), schema, [part])
+        merged = merge_distinct([wh.read(spark, stg), wh.read(spark, incr)], schema, as_of=as_of)
+        rebuild_table(merged, wh.path(out), schema, [part], wh.fmt)
 
 
 def build_fact_job(spark: SparkSession, wh: Warehouse,
                    as_of: _dt.datetime | str | None = None) -> None:
     """JOB-7: latest case ⟕ latest survey -> fact (partitioned by create date)."""
-    fact = build_fact(read_table(spark, wh.path("case_dly")),
-                      read_table(spark, wh.path("survey_dly")), as_of=as_of)
-    overwrite_partitions(fact, wh.path("fact"), schemas.FACT, ["create_date"])
+    fact = build_fact(wh.read(spark, "case_dly"), wh.read(spark, "survey_dly"), as_of=as_of)
+    rebuild_table(fact, wh.path("fact"), schemas.FACT, ["create_date"], wh.fmt)
 
 
 def warehouse_dims(spark: SparkSession, wh: Warehouse) -> WideDims:
-    return WideDims(*[conform(read_table(spark, wh.path(k)), s, strict=False) for k, s in (
+    return WideDims(*[conform(wh.read(spark, k), s, strict=False) for k, s in (
         ("calendar", schemas.CALENDAR), ("call_center", schemas.CALL_CENTER),
         ("case_category", schemas.CASE_CATEGORY), ("case_priority", schemas.CASE_PRIORITY),
         ("employee", schemas.EMPLOYEE), ("product", schemas.PRODUCT),
@@ -166,9 +189,9 @@ def warehouse_dims(spark: SparkSession, wh: Warehouse) -> WideDims:
 
 def build_wide_job(spark: SparkSession, wh: Warehouse) -> None:
     """JOB-8: fact ⟕ dimensions with scores -> wide (partitioned by case create date)."""
-    wide = build_wide(read_table(spark, wh.path("fact")), warehouse_dims(spark, wh))
+    wide = build_wide(wh.read(spark, "fact"), warehouse_dims(spark, wh))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in wide.schema.fields])
-    overwrite_partitions(wide, wh.path("wide"), schema, ["case_create_date"])
+    rebuild_table(wide, wh.path("wide"), schema, ["case_create_date"], wh.fmt)
 
 
 def kpi_job(spark: SparkSession, wh: Warehouse,
@@ -178,7 +201,7 @@ def kpi_job(spark: SparkSession, wh: Warehouse,
     Only the nine columns the KPIs use are read (column pruning reaches the
     Parquet scan).
     """
-    return kpi_report(read_table(spark, wh.path("wide")), as_of)
+    return kpi_report(wh.read(spark, "wide"), as_of)
 
 
 @dataclass
@@ -189,56 +212,46 @@ class LiveJob:
         for q in self.queries:
             q.stop()
 
-    def await_all(self) -> None:
+    def await_all(self, poll_s: float = 1.0) -> None:
+        """Wait until all have ended; if one fails, stop the others and raise."""
+        while any(q.isActive for q in self.queries):
+            for q in self.queries:
+                if not q.isActive and q.exception() is not None:
+                    self.stop()
+                    raise q.exception()
+            next(q for q in self.queries if q.isActive).awaitTermination(poll_s)
         for q in self.queries:
-            q.awaitTermination()
+            if q.exception() is not None:
+                raise q.exception()
 
 
 def run_live(spark: SparkSession, case_messages: DataFrame, survey_messages: DataFrame,
              wh: Warehouse, checkpoint_root: str, out_path: str | None = None,
              publish_options: dict | None = None, trigger: dict | None = None,
-             within: str = "15 seconds", watermark: str = "1 minute",
-             show: bool = False) -> LiveJob:
-    """JOB-4: the live job over two message streams.
-
-    Starts three queries:
-    * the case stream, decoded once per batch, fanned out in ``foreachBatch``
-      to the case landing table (partitioned by ``batch_id``) and to the
-      per-batch KPIs of the enriched cases;
-    * the survey landing (file sink, exactly once);
-    * the case/survey join published as JSON (to files at ``out_path`` or,
-      with ``publish_options``, to a Kafka topic).
+             show: int = 0) -> LiveJob:
+    """JOB-4: the live job over two message streams, as one query.
+
+    Each batch is decoded once and gives the landed cases, surveys and rejects,
+    the KPIs of the enriched cases, and the cases joined to the surveys of the
+    same batch, published as JSON (to files at ``out_path`` or, with
+    ``publish_options``, to a topic).  Only the two tables of the priority
+    lookup are read besides.
     """
-    trig = trigger or {"processingTime": "15 seconds"}
-    dims = warehouse_dims(spark, wh)
-    lookup = priority_lookup(dims.case_category, dims.case_priority, how="inner")
-    cases = decode_cases(case_messages)
-    surveys = decode_surveys(survey_messages)
-    ck = checkpoint_root.rstrip("/")
-    sinks = LiveSinks(f"{wh.root}/live_status", f"{wh.root}/live_priority")
-    fan_out = fan_out_writer(wh.path("case_dly") + "_landing", sinks,
-                             lambda b: enrich_stream(b, lookup), show=show)
-    qs = [
-        cases.writeStream.foreachBatch(fan_out).option("checkpointLocation", f"{ck}/cases")
-        .trigger(**trig).start(),
-        land_stream(surveys, wh.path("survey_dly") + "_landing", f"{ck}/land_surveys",
-                    trigger=trig),
-    ]
-    joined = join_case_survey(cases, surveys, within=within, watermark=watermark)
-    if publish_options:
-        qs.append(publish_json(joined, f"{ck}/publish", fmt="kafka", options=publish_options,
-                               trigger=trig))
-    else:
-        qs.append(publish_json(joined, f"{ck}/publish", fmt="text", path=out_path, trigger=trig))
-    return LiveJob(qs)
+    tables = {k: conform(wh.read(spark, k), s, strict=False) for k, s in (
+        ("case_category", schemas.CASE_CATEGORY), ("case_priority", schemas.CASE_PRIORITY))}
+    lookup = priority_lookup(tables["case_category"], tables["case_priority"], how="inner")
+    sinks = wh.landing()
+    sinks.published, sinks.publish_options = out_path, publish_options
+    return LiveJob([start_live(case_messages, survey_messages, sinks, lookup,
+                               f"{checkpoint_root.rstrip('/')}/live", trigger, show)])
 
 
 def forward_files_job(spark: SparkSession, directory: str, archive_dir: str, checkpoint: str,
                       fmt: str = "text", path: str | None = None, options: dict | None = None,
-                      trigger: dict | None = None) -> StreamingQuery:
+                      trigger: dict | None = None, max_files: int = MAX_FILES) -> StreamingQuery:
     """JOB-10: every line of every new file, forwarded once."""
-    return forward_files(stream_files(spark, directory, archive_dir), checkpoint, fmt=fmt,
-                         path=path, options=options, trigger=trigger)
+    return forward_files(stream_files(spark, directory, archive_dir, max_files), checkpoint,
+                         fmt=fmt, path=path, options=options, trigger=trigger)
 
 
 def stored_kpis(spark: SparkSession, wh: Warehouse, as_of) -> DataFrame:
@@ -250,5 +263,5 @@ def stored_kpis(spark: SparkSession, wh: Warehouse, as_of) -> DataFrame:
 
 
 __all__ = ["Warehouse", "reference_frame", "load_reference_tables", "load_dimensions", "load_history",
-           "build_increment", "merge_history", "build_fact_job", "build_wide_job", "kpi_job",
+           "refresh_dimension", "refresh_history", "build_increment", "merge_history", "build_fact_job", "build_wide_job", "kpi_job",
            "run_live", "forward_files_job", "stored_kpis", "warehouse_dims"]

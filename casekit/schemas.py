@@ -69,8 +69,6 @@ CASE_SURVEY = struct(*[(f.name, f.dataType) for f in CASE.fields] +
                      [(f.name, f.dataType) for f in SURVEY.fields if f.name != "case_no"])
 
 STAMP = "row_insertion_dttm"
-CASE_DLY = struct(*[(f.name, f.dataType) for f in CASE.fields], (STAMP, TS), ("create_date", D))
-SURVEY_DLY = struct(*[(f.name, f.dataType) for f in SURVEY.fields], (STAMP, TS), ("survey_date", D))
 FACT = struct(*[(f.name, f.dataType) for f in CASE_SURVEY.fields], (STAMP, TS), ("create_date", D))
 
 FEEDBACK_COLUMNS = ["support_process_feedback", "employee_conversation_feedback",

@@ -66,22 +66,17 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this is a shared file system path set by the operator.  Only
-    when it is unset (tests, a bare local session) do we create one.
+    On a cluster it must be set: executors and driver share no local folder,
+    and a restarted stream must find its checkpoint again.  Only a local
+    session (tests, a notebook) gets a folder of its own if it is unset.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root and spark.conf.get("spark.master", "").startswith("local"):
+        if not spark.conf.get("spark.master").startswith("local-cluster"):
+            root = tempfile.mkdtemp(prefix="casekit-ckpt-")
+            spark.conf.set("spark.checkpoint.dir", root)
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # noqa: BLE001 - no SparkContext (Spark Connect)
-            root = None
-    if not root:
-        root = tempfile.mkdtemp(prefix="casekit-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(root)
-        except Exception:  # noqa: BLE001
-            pass
-        spark.conf.set("spark.checkpoint.dir", root)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return root.rstrip("/")
 
 

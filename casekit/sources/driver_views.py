@@ -20,7 +20,6 @@ from pyspark.sql import functions as F
 
 from casekit import schemas
 from casekit.sources.literal import literal_frame
-from casekit.sources.tables import ensure_parallelism
 
 # history/increment split points (the increment overlaps one
 # year of history), and the benchmark's newest case timestamp used as as_of.
@@ -31,32 +30,15 @@ SURVEY_INCR_FROM = "2024-01-15 00:00:00"
 AS_OF = _dt.datetime(2001, 11, 4, 0, 0, 0)
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one benchmark table; the (immutable) DataFrame is reused per session,
-    which saves repeated file listing and footer reads when building plans."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
-
-
-def fact_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table feeding the fact side, spread over the cores if its file has
-    fewer splits than that (the benchmark files are one row group each)."""
-    return ensure_parallelism(table(spark, sf_dir, name))
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One case version per line item (typed timestamps, string keys)."""
-    li = fact_table(spark, sf_dir, "lineitem").select(
+    li = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
         "l_linestatus", "l_shipdate")
-    # orders is either broadcast (small) or shuffled by the join (large):
-    # neither needs spreading first.
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
@@ -90,7 +72,7 @@ def case_increment(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def surveys(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One survey per event; answers derived from the event's fields."""
-    ev = fact_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
+    ev = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type",
                                                 "value", "props")
     return ev.select(
         (F.floor("value") % 11).cast("int").alias("Q1"),
@@ -149,6 +131,13 @@ def call_center(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("r_name").alias("country"))
 
 
+def country(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = table(spark, sf_dir, "nation").select("n_nationkey", "n_name")
+    return n.select(F.col("n_nationkey").cast("int").alias("id"), F.col("n_name").alias("Name"),
+                    F.upper(F.substring("n_name", 1, 2)).alias("Alpha_2"),
+                    F.upper(F.substring("n_name", 1, 3)).alias("Alpha_3"))
+
+
 def employee(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
                                                 "c_mktsegment")

@@ -18,32 +18,24 @@ def _is_path(target: str) -> bool:
     return "/" in target or ":" in target
 
 
-def spread_for_write(df: DataFrame, partition_by: Sequence[str],
-                     spread_by: Sequence[str] | None = None) -> DataFrame:
-    """Range-partition by the partition columns, then by ``spread_by``.
-
-    Each task then holds a contiguous range of partition values and writes a
-    few files per value, instead of every task writing a file into every
-    partition.  The secondary key (default: a hash of the other columns)
-    lets the sampled range boundaries cut a value that holds a large share of
-    the rows into several tasks, so one hot date is never one task.
+def spread_for_write(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of a partition value brought together, in tasks of bounded size.
+
+    ``REBALANCE`` shuffles by the partition columns once; AQE then splits a
+    value that holds a large share of the rows into several tasks and merges
+    small ones (``spark.sql.adaptive.advisoryPartitionSizeInBytes``).  Unlike
+    a range partitioning it needs no sampling pass over the input.
     """
-    if not partition_by:
-        return df
-    if spread_by is None:
-        rest = [c for c in df.columns if c not in partition_by]
-        spread = [F.xxhash64(*rest)] if rest else []
-    else:
-        spread = [F.col(c) for c in spread_by]
-    return df.repartitionByRange(*[F.col(c) for c in partition_by], *spread)
+    return df.hint("rebalance", *[F.col(c) for c in partition_by]) if partition_by else df
 
 
 def write_table(df: DataFrame, target: str, partition_by: Sequence[str] = (),
                 mode: str = "overwrite", fmt: str = "parquet",
-                spread_by: Sequence[str] | None = None,
                 bucket_by: tuple[int, Sequence[str]] | None = None) -> None:
     """Write a (partitioned) table; schema from the frame.
 
+    ``overwrite`` replaces the whole table, whatever
+    ``spark.sql.sources.partitionOverwriteMode`` says in the session.
     ``bucket_by=(n, cols)`` (catalog tables only) stores rows hashed into
     ``n`` buckets by ``cols``: two tables bucketed alike on a join key are
     joined without shuffling either side, the remedy for a dimension too
@@ -51,8 +43,8 @@ def write_table(df: DataFrame, target: str, partition_by: Sequence[str] = (),
     """
     if bucket_by and _is_path(target):
         raise ValueError("bucketing needs a catalog table name, not a path")
-    out = df if bucket_by else spread_for_write(df, partition_by, spread_by)
-    w = out.write.mode(mode).format(fmt)
+    out = df if bucket_by else spread_for_write(df, partition_by)
+    w = out.write.mode(mode).format(fmt).option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     if bucket_by:
@@ -70,28 +62,32 @@ def refresh_staging(df: DataFrame, target: str, partition_by: Sequence[str] = ()
     write_table(df, target, partition_by, mode="overwrite", fmt=fmt)
 
 
+def _by_name(df: DataFrame, schema: T.StructType, partition_by: Sequence[str]) -> DataFrame:
+    """Columns matched to ``schema`` by name, cast, partition columns last."""
+    return conform(df, T.StructType([f for f in schema.fields if f.name not in partition_by]
+                                    + [schema[p] for p in partition_by]))
+
+
+def rebuild_table(df: DataFrame, target: str, schema: T.StructType,
+                  partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """A table that is computed afresh: all old partitions go, also those that the new
+    rows do not touch (a case that moved to another date leaves no row behind)."""
+    write_table(_by_name(df, schema, partition_by), target, partition_by, fmt=fmt)
+
+
 def overwrite_partitions(df: DataFrame, target: str, schema: T.StructType,
-                         partition_by: Sequence[str], fmt: str = "parquet",
-                         spread_by: Sequence[str] | None = None) -> None:
+                         partition_by: Sequence[str], fmt: str = "parquet") -> None:
     """Replace exactly the partitions present in ``df``; others stay.
 
     Columns are matched to ``schema`` by name and cast (never by position),
     with the partition columns last.
     """
-    ordered = T.StructType([f for f in schema.fields if f.name not in partition_by]
-                           + [schema[p] for p in partition_by])
-    out = spread_for_write(conform(df, ordered), partition_by, spread_by)
+    w = (spread_for_write(_by_name(df, schema, partition_by), partition_by).write
+         .mode("overwrite").option("partitionOverwriteMode", "dynamic"))
     if _is_path(target):
-        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy(*partition_by).format(fmt).save(target))
+        w.partitionBy(*partition_by).format(fmt).save(target)
     else:
-        spark = df.sparkSession
-        prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-        try:
-            out.write.insertInto(target, overwrite=True)
-        finally:
-            spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        w.insertInto(target, overwrite=True)
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
@@ -104,26 +100,6 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING {fmt}{part}")
 
 
-def ensure_parallelism(df: DataFrame, min_partitions: int | None = None,
-                       cap: int = 200) -> DataFrame:
-    """Spread a scan that yields fewer partitions than the cluster has cores.
-
-    A file written as one row group is read by one task, so all work up to
-    the first shuffle would run on one core.  Below ``min_partitions``
-    (default: the default parallelism, at most ``cap`` so a small file on a
-    large cluster does not become thousands of tiny tasks) the rows are
-    redistributed round-robin; an input that already has enough splits is
-    returned unchanged.  Filters and column pruning still reach the scan
-    below the repartition.
-    """
-    try:
-        target = min_partitions or min(df.sparkSession.sparkContext.defaultParallelism, cap)
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. Spark Connect): leave as is
-        return df
-    return df.repartition(target) if splits < target else df
-
-
 def read_table(spark: SparkSession, target: str, schema: T.StructType | None = None,
                fmt: str = "parquet") -> DataFrame:
     """Read a table by path or name (optionally with a declared schema)."""
@@ -136,6 +112,10 @@ def read_table(spark: SparkSession, target: str, schema: T.StructType | None = N
 
 
 def read_landing(spark: SparkSession, path: str, schema: T.StructType,
-                 fmt: str = "parquet") -> DataFrame:
-    """The append-only landing table as typed records."""
-    return conform(read_table(spark, path, schema, fmt), schema, strict=False)
+                 fmt: str = "parquet", after_batch: int | None = None) -> DataFrame:
+    """The append-only landing table as typed records; with ``after_batch`` only the
+    batches that arrived after that one are listed and read."""
+    if after_batch is None:
+        return conform(read_table(spark, path, schema, fmt), schema, strict=False)
+    rows = spark.read.format(fmt).load(path).where(F.col("batch_id") > after_batch)
+    return conform(rows, schema, strict=False)

@@ -1,13 +1,12 @@
 """Structured Streaming jobs: sources, decode/enrich/land, live KPIs, joins."""
 
-from casekit.streaming.join import (dedup_stream, forward_files, join_case_survey,
-                                    publish_json)
-from casekit.streaming.live import (LiveSinks, cumulative_status_counts, decode_cases,
-                                    decode_surveys, enrich_stream, fan_out_writer,
-                                    kpi_batch_writer, land_stream, run_live_kpis)
+from casekit.streaming.join import (dedup_stream, forward_files, join_case_survey, publish_batch,
+                                    publish_json, tag_messages)
+from casekit.streaming.live import (LiveSinks, decode_cases, decode_surveys, enrich_stream,
+                                    land_stream, live_batch_writer, priority_join, start_live)
 from casekit.streaming.sources import stream_files, stream_messages
 
-__all__ = ["dedup_stream", "forward_files", "join_case_survey", "publish_json", "LiveSinks",
-           "cumulative_status_counts", "decode_cases", "decode_surveys", "enrich_stream",
-           "fan_out_writer", "kpi_batch_writer", "land_stream", "run_live_kpis",
-           "stream_files", "stream_messages"]
+__all__ = ["dedup_stream", "forward_files", "join_case_survey", "publish_batch", "publish_json",
+           "tag_messages", "LiveSinks", "decode_cases", "decode_surveys", "enrich_stream",
+           "land_stream", "live_batch_writer", "priority_join", "start_live", "stream_files",
+           "stream_messages"]

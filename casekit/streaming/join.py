@@ -1,11 +1,10 @@
-"""Stream-stream join of cases and surveys, publishing, and de-duplication.
-
-Micro-batch membership is not reproducible, so "arrived in the same batch"
-becomes an event-time contract: a case version and a survey of the same case
-meet when their timestamps are at most ``within`` apart (``mode='interval'``)
-or fall in the same ``within``-wide bucket (``mode='bucket'``).  Watermarks
-on both sides bound the join state; what arrives later than the watermark is
-left to the batch fact build, which sees every survey.
+"""Join of cases and surveys that arrive together, publishing, de-duplication.
+
+Two records meet when they arrive in the same micro-batch, whatever their event
+times.  Both inputs are read by ONE query (tagged and unioned), so the offsets
+in its checkpoint fix which records a batch holds and a replayed batch joins the
+same ones.  The join runs inside the batch: no state, no watermark, nothing late,
+and AQE splits a case with very many records.
 """
 
 from __future__ import annotations
@@ -17,96 +16,75 @@ from pyspark.sql.streaming import StreamingQuery
 from casekit import schemas
 from casekit.functions.jsonio import encode_arrays, encode_rows
 
+CASE, SURVEY = "case", "survey"
 
-def _event_time(df: DataFrame, col: str, name: str, watermark: str | None) -> DataFrame:
-    # Watermarks need TIMESTAMP (not TIMESTAMP_NTZ); the session time zone maps it.
-    if watermark is None and name in df.columns:
-        return df          # event time and its watermark were set upstream
-    out = df.withColumn(name, F.col(col).cast("timestamp"))
-    return out.withWatermark(name, watermark) if watermark else out
 
+def tag_messages(cases: DataFrame, surveys: DataFrame) -> DataFrame:
+    """Both message streams as one: ``kind`` and ``value``."""
+    return (cases.select(F.lit(CASE).alias("kind"), "value")
+            .unionByName(surveys.select(F.lit(SURVEY).alias("kind"), "value")))
 
-def join_case_survey(cases: DataFrame, surveys: DataFrame, within: str = "15 seconds",
-                     watermark: str | None | tuple = "1 minute",
-                     mode: str = "interval") -> DataFrame:
-    """Inner join on ``case_no`` under an event-time bound; 18 flat columns.
 
-    ``watermark`` is one delay for both sides or a ``(cases, surveys)`` pair.
-    ``None`` for a side keeps what was set upstream: a stream that already
-    carries ``__cts`` / ``__sts`` (e.g. from ``dedup_stream(...,
-    keep_event_time='__sts')``) is used as is.  Both modes keep the interval
-    bound in the condition, which is what lets Spark drop old state;
-    ``bucket`` additionally requires the same ``within``-wide time bucket.
-    The join state is split into ``spark.sql.shuffle.partitions`` parts at the
-    query's first start (see ``casekit.session.state_partitions``).
-    """
-    if mode not in ("interval", "bucket"):
-        raise ValueError("mode must be 'interval' or 'bucket'")
-    cw, sw = watermark if isinstance(watermark, tuple) else (watermark, watermark)
-    c = _event_time(cases, "last_modified_timestamp", "__cts", cw)
-    s = _event_time(surveys, "survey_timestamp", "__sts", sw)
-    if mode == "bucket":
-        c = c.withColumn("__bucket", F.window("__cts", within)["start"])
-        s = s.withColumn("__bucket", F.window("__sts", within)["start"])
-    c, s = c.alias("c"), s.alias("s")
-    cond = (F.col("c.case_no") == F.col("s.case_no")) & F.col("s.__sts").between(
-        F.col("c.__cts") - F.expr(f"INTERVAL {within}"),
-        F.col("c.__cts") + F.expr(f"INTERVAL {within}"))
-    if mode == "bucket":
-        cond = cond & (F.col("c.__bucket") == F.col("s.__bucket"))
-    j = c.join(s, cond, "inner")
+def join_case_survey(cases: DataFrame, surveys: DataFrame) -> DataFrame:
+    """Inner join of one batch on ``case_no``; 18 flat columns."""
+    c, s = cases.alias("c"), surveys.alias("s")
     cols = [F.col(f"c.{n}").alias(n) for n in schemas.CASE_COLUMNS]
     cols += [F.col(f"s.{n}").alias(n) for n in schemas.SURVEY_COLUMNS if n != "case_no"]
-    return j.select(*cols)
+    return c.join(s, F.col("c.case_no") == F.col("s.case_no")).select(*cols)
+
+
+def publish_batch(df: DataFrame, batch_id: int, fmt: str = "text", path: str | None = None,
+                  options: dict | None = None, envelope: str = "row",
+                  max_rows: int = 500) -> None:
+    """Publish one batch as JSON messages.
+
+    ``envelope='row'`` sends one object per record, ``'array'`` arrays of at most
+    ``max_rows`` records.  Files replace the batch's own folder, so a replay
+    leaves one copy; a broker gets the batch id as message key, by which a
+    consumer tells a replayed batch.
+    """
+    if envelope not in ("row", "array"):
+        raise ValueError("envelope must be 'row' or 'array'")
+    out = encode_rows(df) if envelope == "row" else encode_arrays(df, max_rows)
+    if fmt == "kafka":
+        (out.withColumn("key", F.lit(str(batch_id))).write.format("kafka")
+         .options(**(options or {})).save())
+    else:
+        (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
+         .format(fmt).save(path))
 
 
 def publish_json(df: DataFrame, checkpoint: str, fmt: str = "text", path: str | None = None,
                  options: dict | None = None, envelope: str = "row", max_rows: int = 500,
                  trigger: dict | None = None) -> StreamingQuery:
-    """Publish a stream as JSON messages.
+    """Publish a stream, batch by batch (``publish_batch``); empty batches send nothing.
 
-    ``envelope='row'`` sends one object per record through a streaming sink
-    (``text`` files or ``kafka`` with ``topic`` in ``options``).
-    ``envelope='array'`` sends JSON arrays of at most ``max_rows`` records per
-    message from ``foreachBatch``; empty batches send nothing.  The number of
-    records sent per batch is reported as the observed metric ``published``.
+    The number of records sent per batch is reported as the observed metric
+    ``published``.
     """
-    trig = trigger or {"processingTime": "15 seconds"}
-    # Row count per batch as an observed metric (query progress ->
-    # observedMetrics["published"]), computed in the same pass as the output.
-    df = df.observe("published", F.count(F.lit(1)).alias("rows"))
-    if envelope == "row":
-        w = (encode_rows(df).writeStream.format(fmt).options(**(options or {}))
-             .option("checkpointLocation", checkpoint).trigger(**trig))
-        return w.start(path) if path else w.start()
-    if envelope != "array":
-        raise ValueError("envelope must be 'row' or 'array'")
-
     def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        out = encode_arrays(batch, max_rows)
-        if fmt == "kafka":
-            out.write.format("kafka").options(**(options or {})).save()
-        else:
-            (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-             .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-             .text(path))
-    return (df.writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
-            .trigger(**trig).start())
-
-
-def dedup_stream(df: DataFrame, keys: list[str], event_time: str, delay: str = "1 hour",
-                 keep_event_time: str | None = None) -> DataFrame:
-    """Drop redelivered records (same ``keys``) arriving within ``delay``.
-
-    The watermark is set on a TIMESTAMP copy of ``event_time``; name it with
-    ``keep_event_time`` to keep it (and its watermark) for a later join.
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                publish_batch(batch, batch_id, fmt, path, options, envelope, max_rows)
+        finally:
+            batch.unpersist()
+    return (df.observe("published", F.count(F.lit(1)).alias("rows"))
+            .writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
+            .trigger(**(trigger or {"processingTime": "15 seconds"})).start())
+
+
+def dedup_stream(df: DataFrame, keys: list[str], delay: str = "1 hour",
+                 arrival: str = "ingest_ts") -> DataFrame:
+    """Drop redelivered records: same ``keys``, arriving within ``delay`` of the first.
+
+    The watermark is on the arrival time, which never runs backwards, so no
+    record is ever late, however old its event time and however the input is
+    cut into batches.
     """
-    name = keep_event_time or "__ets"
-    out = df.withColumn(name, F.col(event_time).cast("timestamp")).withWatermark(name, delay)
-    out = out.dropDuplicatesWithinWatermark(keys)
-    return out if keep_event_time else out.drop(name)
+    return (df.withWatermark(arrival, delay).dropDuplicatesWithinWatermark(keys)
+            .drop(arrival))
 
 
 def forward_files(messages: DataFrame, checkpoint: str, fmt: str = "text",

@@ -1,12 +1,11 @@
-"""The live job: decode both streams, enrich cases, land everything, compute
-per-batch KPIs, and join cases to surveys.
-
-Delivery guarantees:
-* landing uses the file sink, whose commit log makes it exactly-once across
-  restarts (a rerun on the same checkpoint adds nothing);
-* per-batch KPIs are written from ``foreachBatch`` into a table partitioned by
-  ``batch_id`` with dynamic partition overwrite, so a retried batch replaces
-  its own rows instead of adding a second copy.
+"""The live job: decode both streams, land everything, enrich cases, compute
+per-batch KPIs, and publish cases joined to the surveys of the same batch.
+
+Every output of a batch goes to a folder (or message key) of its own
+``batch_id``, written with dynamic partition overwrite: a replayed batch, which
+holds the same records because the offsets are in the checkpoint, replaces its
+rows and never adds a second copy.  ``land_stream`` is the plain alternative
+for one stream: the file sink, whose commit log makes it exactly-once.
 """
 
 from __future__ import annotations
@@ -20,8 +19,9 @@ from pyspark.sql.streaming import StreamingQuery
 
 from casekit import schemas
 from casekit.functions.jsonio import decode_json
-from casekit.operators.enrich import DimSpec, enrich
+from casekit.operators.enrich import DimSpec, prepare
 from casekit.operators.kpi import live_priority_counts, live_status_counts, show_kpis
+from casekit.streaming.join import CASE, SURVEY, join_case_survey, publish_batch, tag_messages
 
 
 def decode_cases(messages: DataFrame, bad: str = "drop", keep: tuple[str, ...] = ()):
@@ -34,17 +34,21 @@ def decode_surveys(messages: DataFrame, bad: str = "drop", keep: tuple[str, ...]
     return decode_json(messages, schemas.SURVEY, bad=bad, keep=keep)
 
 
-def enrich_stream(cases: DataFrame, lookup: DataFrame,
-                  columns: tuple[str, ...] = ("Priority_key", "priority", "severity")) -> DataFrame:
-    """Every case with its category's priority (NULL when unknown).
+def priority_join(lookup: DataFrame, columns: tuple[str, ...] = (
+        "Priority_key", "priority", "severity")) -> Callable[[DataFrame], DataFrame]:
+    """A function that gives cases their category's priority (NULL when unknown).
 
-    ``lookup`` is static (category ⋈ priority) and read once when the query
-    starts; it is guarded for unique keys and broadcast after a bounded probe.
+    ``lookup`` is static (category ⋈ priority); it is guarded and measured here,
+    once, and not again in every micro-batch.
     """
-    spec = DimSpec(lookup, left=["category", "sub_category"],
-                   right=["category_key", "sub_category_key"], columns=list(columns),
-                   name="case_priority")
-    return enrich(cases, [spec])
+    return prepare([DimSpec(lookup, left=["category", "sub_category"],
+                            right=["category_key", "sub_category_key"], columns=list(columns),
+                            name="case_priority")])
+
+
+def enrich_stream(cases: DataFrame, lookup: DataFrame) -> DataFrame:
+    """Every case of a stream with its category's priority."""
+    return priority_join(lookup)(cases)
 
 
 def land_stream(df: DataFrame, path: str, checkpoint: str, partition_by: list[str] | None = None,
@@ -60,83 +64,69 @@ def land_stream(df: DataFrame, path: str, checkpoint: str, partition_by: list[st
 
 @dataclass
 class LiveSinks:
-    """Where the per-batch KPIs go (directories, partitioned by batch_id)."""
-    status_path: str
-    priority_path: str
-
-
-def kpi_batch_writer(sinks: LiveSinks, show: bool = False) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` handler: both live KPIs from one cached batch
-    (``show=True`` also prints them, a few rows per batch)."""
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        batch = batch.persist()
-        try:
-            for frame, path in ((live_status_counts(batch), sinks.status_path),
-                                (live_priority_counts(batch), sinks.priority_path)):
-                if show:
-                    show_kpis(frame)
-                (frame.withColumn("batch_id", F.lit(batch_id)).coalesce(1).write
-                 .mode("overwrite").option("partitionOverwriteMode", "dynamic")
-                 .partitionBy("batch_id").parquet(path))
-        finally:
-            batch.unpersist()
-    return handle
-
-
-def fan_out_writer(landing_path: str, sinks: LiveSinks,
-                   enrich: Callable[[DataFrame], DataFrame],
-                   show: bool = False) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` handler: decode once, then every output of a batch.
-
-    The batch is cached once and feeds (1) the landing table and (2) both
-    live KPIs of the enriched batch.  Each output replaces its own
-    ``batch_id`` partition, so a replayed batch leaves exactly one copy.
-    ``show=True`` also prints the two KPI tables of every batch.
+    """Folders of the live job's outputs, each partitioned by ``batch_id``; ``published``
+    may be a folder or None with ``publish_options`` for a topic."""
+    cases: str
+    surveys: str
+    rejects: str
+    status: str
+    priority: str
+    published: str | None = None
+    publish_options: dict | None = None
+
+    @classmethod
+    def under(cls, root: str, **more) -> LiveSinks:
+        names = ("cases", "surveys", "rejects", "status", "priority")
+        return cls(**{n: f"{root.rstrip('/')}/{n}" for n in names}, **more)
+
+
+def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
+
+
+def live_batch_writer(sinks: LiveSinks, with_priority: Callable[[DataFrame], DataFrame],
+                      show: int = 0) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` handler over tagged messages: every output of a batch.
+
+    Each input is decoded once and kept for the batch.  Records that cannot be
+    decoded land with their raw text.  ``show`` prints that many KPI rows of
+    every batch.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
         batch = batch.persist()
+        cases, bad_cases = decode_cases(batch.where(F.col("kind") == CASE), "quarantine",
+                                        keep=("kind",))
+        surveys, bad_surveys = decode_surveys(batch.where(F.col("kind") == SURVEY),
+                                              "quarantine", keep=("kind",))
+        cases, surveys = cases.drop("kind").persist(), surveys.drop("kind").persist()
         try:
-            outputs = [(batch, landing_path)]
-            enriched = enrich(batch)
-            kpis = [(live_status_counts(enriched), sinks.status_path),
-                    (live_priority_counts(enriched), sinks.priority_path)]
-            if show:
-                for frame, _ in kpis:
-                    show_kpis(frame)
-            outputs += kpis
-            for frame, path in outputs:
-                (frame.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-                 .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-                 .parquet(path))
+            _replace_batch(cases, sinks.cases, batch_id)
+            _replace_batch(surveys, sinks.surveys, batch_id)
+            _replace_batch(bad_cases.unionByName(bad_surveys), sinks.rejects, batch_id)
+            if not cases.isEmpty():
+                enriched = with_priority(cases)
+                for frame, path in ((live_status_counts(enriched), sinks.status),
+                                    (live_priority_counts(enriched), sinks.priority)):
+                    if show:
+                        show_kpis(frame, show)
+                    _replace_batch(frame.coalesce(1), path, batch_id)
+            if sinks.published or sinks.publish_options:
+                joined = join_case_survey(cases, surveys)
+                publish_batch(joined, batch_id, "kafka" if sinks.publish_options else "text",
+                              sinks.published, sinks.publish_options)
         finally:
-            batch.unpersist()
+            for frame in (cases, surveys, batch):
+                frame.unpersist()
     return handle
 
 
-def run_live_kpis(enriched_cases: DataFrame, sinks: LiveSinks, checkpoint: str,
-                  trigger: dict | None = None, show: bool = False) -> StreamingQuery:
-    """Per-batch live KPIs of the enriched case stream."""
-    return (enriched_cases.writeStream.foreachBatch(kpi_batch_writer(sinks, show))
+def start_live(cases: DataFrame, surveys: DataFrame, sinks: LiveSinks, lookup: DataFrame,
+               checkpoint: str, trigger: dict | None = None, show: int = 0) -> StreamingQuery:
+    """Start the live query over two message streams."""
+    handler = live_batch_writer(sinks, priority_join(lookup), show)
+    return (tag_messages(cases, surveys).writeStream.foreachBatch(handler)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "15 seconds"})).start())
-
-
-def cumulative_status_counts(cases: DataFrame, rsd: float = 0.01) -> DataFrame:
-    """Running distinct cases in total / Open / Closed across all batches.
-
-    Exact distinct counts over an unbounded stream would keep every case
-    number in state; HyperLogLog sketches (``approx_count_distinct``, relative
-    error ``rsd``) keep a few kilobytes instead.  Run it in ``complete`` or
-    ``update`` output mode.  The exact per-batch form is ``live_status_counts``
-    inside ``foreachBatch``.
-    """
-    return cases.agg(
-        F.approx_count_distinct("case_no", rsd).alias("Total Cases"),
-        F.approx_count_distinct(F.when(F.col("status") == "Open", F.col("case_no")), rsd)
-         .alias("Open Cases"),
-        F.approx_count_distinct(F.when(F.col("status") == "Closed", F.col("case_no")), rsd)
-         .alias("Closed Cases"))

@@ -73,13 +73,33 @@ def overall_sql(a, b, c, d):
             f"WHEN {s} < 0 THEN 'Negative' ELSE NULL END")
 
 
-def _case_cols_typed(alias=""):
-    p = alias
-    return (f"{p}status, {p}category, {p}sub_category, "
-            f"date_trunc('second', {p}last_modified_timestamp) AS last_modified_timestamp, "
-            f"{p}case_no, date_trunc('second', {p}create_timestamp) AS create_timestamp, "
-            f"{p}created_employee_key, {p}call_center_id, {p}product_code, {p}country_cd, "
-            f"{p}communication_mode")
+def newest_case(source):
+    """One row per case: QUALIFY on the whole-second time, then the exact one."""
+    exact = {"create_timestamp": "date_trunc('second', create_timestamp)"}
+    ties = ", ".join(f"{exact.get(c, c)} NULLS LAST" for c in CASE_ORDER)
+    return f"""SELECT status, category, sub_category,
+         date_trunc('second', last_modified_timestamp) AS last_modified_timestamp, case_no,
+         date_trunc('second', create_timestamp) AS create_timestamp, created_employee_key,
+         call_center_id, product_code, country_cd, communication_mode
+  FROM ({source})
+  QUALIFY row_number() OVER (PARTITION BY case_no ORDER BY last_modified_timestamp
+    DESC NULLS LAST, {ties}) = 1"""
+
+
+def newest_survey(source):
+    return f"""SELECT Q1, Q3, Q2, Q5, Q4, case_no,
+         date_trunc('second', survey_timestamp) AS survey_timestamp, survey_id
+  FROM ({source})
+  QUALIFY row_number() OVER (PARTITION BY case_no ORDER BY survey_timestamp DESC NULLS LAST,
+    survey_id NULLS LAST, Q1 NULLS LAST, Q3 NULLS LAST, Q2 NULLS LAST, Q5 NULLS LAST,
+    Q4 NULLS LAST) = 1"""
+
+
+def fact_sql(cases, surveys):
+    """Newest cases with their newest survey, if any."""
+    return f"""SELECT c.*, s.* EXCLUDE (case_no), {AS_OF_SQL} AS row_insertion_dttm,
+         CAST(c.create_timestamp AS DATE) AS create_date
+  FROM {cases} c LEFT JOIN {surveys} s ON s.case_no = c.case_no"""
 
 
 VIEWS = {
@@ -121,31 +141,14 @@ VIEWS = {
   FROM surveys WHERE survey_timestamp < TIMESTAMP '{dv.SURVEY_HISTORY_BEFORE}'""",
     "survey_incr": f"""
   SELECT * FROM surveys WHERE survey_timestamp >= TIMESTAMP '{dv.SURVEY_INCR_FROM}'""",
-    "case_latest": f"""
-  SELECT * EXCLUDE (rn, raw_ts) FROM (
-    SELECT *, row_number() OVER (PARTITION BY case_no
-             ORDER BY last_modified_timestamp DESC NULLS LAST, raw_ts DESC NULLS LAST,
-                      {', '.join(c + ' ASC NULLS LAST' for c in CASE_ORDER)}) AS rn
-    FROM (SELECT {_case_cols_typed()}, last_modified_timestamp AS raw_ts FROM cases) t) t1
-  WHERE rn = 1""",
-    "survey_latest": """
-  SELECT * EXCLUDE (rn, raw_ts) FROM (
-    SELECT *, row_number() OVER (PARTITION BY case_no
-             ORDER BY survey_timestamp DESC NULLS LAST, raw_ts DESC NULLS LAST,
-                      survey_id ASC NULLS LAST, Q1 ASC NULLS LAST, Q3 ASC NULLS LAST,
-                      Q2 ASC NULLS LAST, Q5 ASC NULLS LAST, Q4 ASC NULLS LAST) AS rn
-    FROM (SELECT Q1, Q3, Q2, Q5, Q4, case_no,
-                 date_trunc('second', survey_timestamp) AS survey_timestamp, survey_id,
-                 survey_timestamp AS raw_ts
-          FROM surveys) t) t1
-  WHERE rn = 1""",
-    "fact": f"""
-  SELECT c.status, c.category, c.sub_category, c.last_modified_timestamp, c.case_no,
-         c.create_timestamp, c.created_employee_key, c.call_center_id, c.product_code,
-         c.country_cd, c.communication_mode, s.Q1, s.Q3, s.Q2, s.Q5, s.Q4,
-         s.survey_timestamp, s.survey_id, {AS_OF_SQL} AS row_insertion_dttm,
-         CAST(c.create_timestamp AS DATE) AS create_date
-  FROM case_latest c LEFT JOIN survey_latest s ON c.case_no = s.case_no""",
+    "case_text": """
+  SELECT * REPLACE (strftime(last_modified_timestamp, '%Y-%m-%d %H:%M:%S')
+                    AS last_modified_timestamp,
+                    strftime(create_timestamp, '%Y-%m-%d %H:%M:%S') AS create_timestamp)
+  FROM cases""",
+    "case_latest": newest_case("SELECT * FROM cases"),
+    "survey_latest": newest_survey("SELECT * FROM surveys"),
+    "fact": fact_sql("case_latest", "survey_latest"),
     "calendar": """
   SELECT d AS calendar_date, strftime(d, '%Y-%m-%d') AS date_desc,
          CAST(dayofweek(d) + 1 AS INTEGER) AS week_day_nbr,

@@ -30,8 +30,12 @@ def test_conform_missing_column(spark):
 
 
 def test_answer_to_int(spark):
-    df = spark.createDataFrame([("5",), ("5.0",), ("x",), (None,)], "v string")
-    assert [r[0] for r in df.select(answer_to_int("v")).collect()] == [5, 5, None, None]
+    df = spark.createDataFrame([("5",), ("5.0",), (" -7 ",), ("5.7",), ("1e3",), ("x",), ("",), (None,),
+                                ("99999999999",)], "v string")
+    assert [r[0] for r in df.select(answer_to_int("v")).collect()] == [5, 5, -7] + [None] * 6
+    big = conform(spark.createDataFrame([("9007199254740993",), ("2.5",)], "v string"),
+                  schemas.struct(("v", T.LongType())))
+    assert [r.v for r in big.collect()] == [9007199254740993, None]
 
 
 def test_parse_range(spark):

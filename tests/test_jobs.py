@@ -76,15 +76,15 @@ def test_run_live_smoke(spark, tmp_dir):
                    stream_messages(spark, "text", f"{tmp_dir}/sin"), wh, f"{tmp_dir}/ck",
                    out_path=f"{tmp_dir}/joined", trigger={"availableNow": True})
     job.await_all()
-    landed = spark.read.parquet(wh.path("case_dly") + "_landing")
+    landed = spark.read.parquet(wh.landing().cases)
     assert landed.count() == cases.count()
     landed = landed.drop("batch_id")
-    status = spark.read.parquet(f"{wh.root}/live_status")
+    status = spark.read.parquet(wh.landing().status)
     assert status.where("Case_Type = 'Total Cases'").first().Cases_numbers == \
         cases.select("case_no").distinct().count()
     assert schemas.CASE.fieldNames() == landed.columns
     from casekit.sources.tables import read_landing
-    typed = read_landing(spark, wh.path("case_dly") + "_landing", schemas.CASE)
+    typed = read_landing(spark, wh.landing().cases, schemas.CASE)
     assert typed.columns == schemas.CASE.fieldNames()
     assert sorted(map(tuple, typed.collect())) == sorted(map(tuple, cases.collect()))
 
@@ -118,6 +118,68 @@ def test_cli_run_live_once(spark, tmp_dir):
     assert main(["run-live", "--warehouse", wh.root, "--format", "text",
                  "--cases", f"{tmp_dir}/cin", "--surveys", f"{tmp_dir}/sin",
                  "--out", f"{tmp_dir}/joined", "--once"]) == 0
-    assert spark.read.parquet(wh.path("case_dly") + "_landing").count() == cases.count()
-    assert spark.read.parquet(wh.path("survey_dly") + "_landing").count() == \
+    assert spark.read.parquet(wh.landing().cases).count() == cases.count()
+    assert spark.read.parquet(wh.landing().surveys).count() == \
         dv.surveys(spark, SF).count()
+
+
+def test_dimension_refresh_replaces_and_wide_builds(spark, tmp_dir):
+    """Two daily loads, also where the session overwrites partitions dynamically."""
+    from casekit.plans.jobs import refresh_dimension, warehouse_dims
+    mode = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(mode)
+    dims = {"calendar": dv.calendar(spark, SF), "call_center": dv.call_center(spark, SF),
+            "case_category": dv.case_category(spark), "case_priority": dv.case_priority(spark),
+            "employee": dv.employee(spark, SF), "product": dv.product(spark, SF),
+            "questions": dv.survey_questions(spark)}
+    try:
+        for setting in ("dynamic", "static"):
+            spark.conf.set(mode, setting)
+            wh = Warehouse(f"{tmp_dir}/{setting}")
+            for day in ("2001-11-03", "2001-11-04"):
+                for key, frame in dims.items():
+                    refresh_dimension(frame, wh, key, f"{day} 00:00:00")
+            assert wh.read(spark, "case_priority").count() == 3
+            fact = build_fact(dv.cases(spark, SF), dv.surveys(spark, SF), AS_OF)
+            wide = build_wide(fact, warehouse_dims(spark, wh))
+            assert wide.count() == fact.count()
+            wide.collect()
+    finally:
+        spark.conf.set(mode, old)
+
+
+def test_needed_columns_decide_which_dimensions_are_read(spark):
+    dims = WideDims(dv.calendar(spark, SF), dv.call_center(spark, SF), dv.case_category(spark),
+                    dv.case_priority(spark), dv.employee(spark, SF), dv.product(spark, SF),
+                    dv.survey_questions(spark))
+    fact = build_fact(dv.cases(spark, SF), dv.surveys(spark, SF), AS_OF)
+    full = build_wide(fact, dims)
+    some = ["case_no", "priority", "overall_feedback", "case_create_date_desc"]
+    part = build_wide(fact, dims, columns=some)
+    assert sorted(map(tuple, part.collect()), key=str) == sorted(map(tuple, full.select(*some).collect()), key=str)
+    jobs_before = len(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    build_wide(fact, dims, columns=["case_no", "status"])
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup(None)) == jobs_before
+
+
+def test_a_failed_query_stops_the_live_job(spark, tmp_dir):
+    import pytest
+    from casekit.plans.jobs import LiveJob
+
+    def fail(batch, batch_id):
+        raise RuntimeError("sink is gone")
+    spark.createDataFrame([("a",)], "value string").write.text(f"{tmp_dir}/in")
+    source = stream_messages(spark, "text", f"{tmp_dir}/in")
+    good = (source.writeStream.format("noop").option("checkpointLocation", f"{tmp_dir}/g").start())
+    bad = (source.writeStream.foreachBatch(fail).option("checkpointLocation", f"{tmp_dir}/b").start())
+    with pytest.raises(Exception, match="sink is gone"):
+        LiveJob([good, bad]).await_all()
+    assert not good.isActive and not bad.isActive
+
+
+def test_checkpoints_of_alike_names_differ(spark):
+    import argparse
+    from casekit.__main__ import _checkpoint
+    args = argparse.Namespace(checkpoint=None)
+    names = ["/a/b-c", "/a/b/c", "/a/b_c", "/x" * 100 + "/1", "/y" * 100 + "/1"]
+    assert len({_checkpoint(spark, args, "live", n) for n in names}) == len(names)

@@ -8,9 +8,8 @@ from casekit.functions.jsonio import decode_json, encode_arrays, encode_rows, te
 from casekit.operators.enrich import priority_lookup
 from casekit.sources import driver_views as dv
 from casekit.sources.tables import read_landing
-from casekit.streaming.join import dedup_stream, join_case_survey, publish_json
-from casekit.streaming.live import (LiveSinks, decode_cases, decode_surveys, enrich_stream,
-                                    land_stream, run_live_kpis)
+from casekit.streaming import (LiveSinks, decode_cases, decode_surveys, dedup_stream, land_stream,
+                               publish_json, start_live)
 from casekit.streaming.sources import stream_files, stream_messages
 
 ONCE = {"availableNow": True}
@@ -42,6 +41,18 @@ def test_decode_shapes(spark):
     assert [r.raw for r in bad.collect()] == ["{not json"]
 
 
+def test_a_damaged_record_costs_only_itself(spark):
+    rec = lambda i: json.dumps(_survey(survey_id=str(i)))
+    msgs = [f"[{rec(1)},{rec(2)[:30]}]", f"[{rec(3)}, {{bad}}, {rec(4)}]", f"[{rec(5)}, 7, {rec(6)}]",
+            f"[null,{rec(7)}]", f"[{rec(8)[:50]}", "", None]
+    df = spark.createDataFrame([(m,) for m in msgs], "value string")
+    good, bad = decode_json(df, schemas.SURVEY, bad="quarantine")
+    assert sorted(r.survey_id for r in good.collect()) == ["1", "3", "4", "5", "6", "7"]
+    assert sorted(r.raw for r in bad.collect()) == sorted(
+        [rec(2)[:30], "{bad}", "7", "null", rec(8)[:50]])
+    assert sorted(r.survey_id for r in decode_surveys(df).collect()) == ["1", "3", "4", "5", "6", "7"]
+
+
 def test_encode_round_trip(spark):
     cases = dv.cases(spark, "/root/testdata/sf0.001")
     ref = sorted(map(tuple, cases.collect()))
@@ -69,46 +80,105 @@ def test_stream_equals_batch_and_restart_adds_nothing(spark, tmp_dir):
     assert sorted(map(tuple, run().collect())) == first
 
 
-def test_live_kpis_per_batch(spark, tmp_dir):
-    cases = dv.cases(spark, "/root/testdata/sf0.001")
-    _write_messages(encode_arrays(text_fields(cases), 20), f"{tmp_dir}/in")
-    s = decode_cases(stream_messages(spark, "text", f"{tmp_dir}/in"))
-    lookup = priority_lookup(dv.case_category(spark), dv.case_priority(spark), how="inner")
-    sinks = LiveSinks(f"{tmp_dir}/st", f"{tmp_dir}/pr")
-    run_live_kpis(enrich_stream(s, lookup), sinks, f"{tmp_dir}/ck", trigger=ONCE).awaitTermination()
-    got = {r.Case_Type: r.Cases_numbers for r in spark.read.parquet(sinks.status_path).collect()}
-    total = cases.select(F.count_distinct("case_no")).first()[0]
-    assert got["Total Cases"] == total
-    pr = spark.read.parquet(sinks.priority_path)
-    assert pr.where(F.col("priority").isNull()).count() == 1   # unmatched (R3 / P4) group
+def _messages_in_files(frame, path, files, ts="yyyy-MM-dd HH:mm:ss.SSSSSS"):
+    """The rows in ``files`` files, one after the other by time."""
+    rows = frame.collect()
+    spark = frame.sparkSession
+    for k in range(files):
+        part = spark.createDataFrame(rows[k::files], frame.schema)
+        encode_arrays(text_fields(part, ts), 20).coalesce(1).write.mode("append").text(path)
+
+
+def _lookup(spark):
+    return priority_lookup(dv.case_category(spark), dv.case_priority(spark), how="inner")
+
+
+def _live(spark, base, cases, surveys, files, **more):
+    _messages_in_files(cases, f"{base}/c", files)
+    _messages_in_files(surveys, f"{base}/s", files)
+    sinks = LiveSinks.under(f"{base}/out", published=f"{base}/joined")
+    start_live(stream_messages(spark, "text", f"{base}/c", max_files=1),
+               stream_messages(spark, "text", f"{base}/s", max_files=1), sinks, _lookup(spark),
+               f"{base}/ck", trigger=ONCE, **more).awaitTermination()
+    return sinks
 
 
-def test_stream_join_and_publish(spark, tmp_dir):
-    base = dt.datetime(2024, 1, 1, 0, 0, 0)
-    case_rows = [("Open", "A", "A0", (base + dt.timedelta(seconds=10 * i)).isoformat(" "),
-                  str(i % 3), base.isoformat(" "), "1", "2", "3", "US", "mail") for i in range(6)]
-    cases = spark.createDataFrame(case_rows, schemas.CASE_MESSAGE)
-    surveys = spark.createDataFrame(
-        [(str(5), "4", "3", "2", "x", "0", (base + dt.timedelta(seconds=5)).isoformat(" "), "s0"),
-         ("5", "4", "3", "2", "x", "0", (base + dt.timedelta(seconds=5)).isoformat(" "), "s0"),
-         ("5", "4", "3", "2", "x", "1", (base + dt.timedelta(minutes=5)).isoformat(" "), "s1")],
-        schemas.SURVEY_MESSAGE)
-    _write_messages(encode_rows(cases), f"{tmp_dir}/c")
-    _write_messages(encode_rows(surveys), f"{tmp_dir}/s")
-    c = decode_cases(stream_messages(spark, "text", f"{tmp_dir}/c"))
-    s = decode_surveys(stream_messages(spark, "text", f"{tmp_dir}/s"))
-    s = dedup_stream(s, ["survey_id"], "survey_timestamp", "1 hour", keep_event_time="__sts")
-    j = join_case_survey(c, s, within="15 seconds", watermark=("1 minute", None))
-    q = publish_json(j, f"{tmp_dir}/ck", path=f"{tmp_dir}/out", trigger=ONCE)
+def test_landing_does_not_depend_on_how_the_input_is_cut(spark, tmp_dir):
+    d = "/root/testdata/sf0.001"
+    cases, surveys = dv.cases(spark, d).limit(400), dv.surveys(spark, d).limit(300)
+    want = [sorted(map(tuple, f.collect()), key=str) for f in (cases, surveys)]
+    for files in (1, 4):
+        sinks = _live(spark, f"{tmp_dir}/{files}", cases, surveys, files)
+        got = [read_landing(spark, p, t) for p, t in ((sinks.cases, schemas.CASE), (sinks.surveys, schemas.SURVEY))]
+        assert [sorted(map(tuple, f.collect()), key=str) for f in got] == want
+        assert spark.read.parquet(sinks.cases).select("batch_id").distinct().count() == files
+        assert read_landing(spark, sinks.cases, schemas.CASE, after_batch=0).count() == \
+            spark.read.parquet(sinks.cases).where("batch_id > 0").count()
+
+
+def test_live_outputs_per_batch(spark, tmp_dir, capsys):
+    d = "/root/testdata/sf0.001"
+    cases, surveys = dv.cases(spark, d), dv.surveys(spark, d)
+    _messages_in_files(cases, f"{tmp_dir}/c", 1)
+    spark.createDataFrame([('[{"status":"Open",',)], "value string").write.mode("append").text(f"{tmp_dir}/c")
+    _messages_in_files(surveys, f"{tmp_dir}/s", 1)
+    sinks = LiveSinks.under(f"{tmp_dir}/out", published=f"{tmp_dir}/joined")
+    start_live(stream_messages(spark, "text", f"{tmp_dir}/c"), stream_messages(spark, "text", f"{tmp_dir}/s"),
+               sinks, _lookup(spark), f"{tmp_dir}/ck", trigger=ONCE, show=20).awaitTermination()
+    got = {r.Case_Type: r.Cases_numbers for r in spark.read.parquet(sinks.status).collect()}
+    assert got["Total Cases"] == cases.select(F.count_distinct("case_no")).first()[0]
+    pr = spark.read.parquet(sinks.priority)
+    assert pr.where(F.col("priority").isNull()).count() == 1   # unmatched (R3 / P4) group
+    assert [tuple(r) for r in spark.read.parquet(sinks.rejects).select("kind", "raw").collect()] == \
+        [("case", '{"status":"Open",')]
+    assert "Total Cases" in capsys.readouterr().out
+    joined = decode_json(spark.read.text(sinks.published), schemas.CASE_SURVEY)
+    want = cases.join(surveys, "case_no").select(*schemas.CASE_SURVEY.fieldNames())
+    assert sorted(map(tuple, joined.collect()), key=str) == sorted(map(tuple, want.collect()), key=str)
+
+
+def test_join_needs_the_same_batch_not_near_times(spark, tmp_dir):
+    case = lambda no, ts: ("Open", "A", "A0", ts, no, "2001-01-01 00:00:00", "1", "2", "3", "US", "mail")
+    answer = lambda no, i: ("5", "4", "3", "2", "x", no, "2024-05-05 10:00:00", i)
+    for k, (no, other) in enumerate((("0", "0"), ("1", "2"), ("2", "1"))):
+        encode_rows(spark.createDataFrame([case(no, "2001-01-02 00:00:00"), case(no, "2002-01-02 00:00:00")],
+                                          schemas.CASE_MESSAGE)).coalesce(1).write.mode("append").text(f"{tmp_dir}/c")
+        encode_rows(spark.createDataFrame([answer(other, f"s{k}")], schemas.SURVEY_MESSAGE)) \
+            .coalesce(1).write.mode("append").text(f"{tmp_dir}/s")
+    sinks = LiveSinks.under(f"{tmp_dir}/out", published=f"{tmp_dir}/joined")
+    start_live(stream_messages(spark, "text", f"{tmp_dir}/c", max_files=1),
+               stream_messages(spark, "text", f"{tmp_dir}/s", max_files=1), sinks, _lookup(spark),
+               f"{tmp_dir}/ck", trigger=ONCE).awaitTermination()
+    out = decode_json(spark.read.text(sinks.published), schemas.CASE_SURVEY).collect()
+    # years apart, same batch: joined; cases 1 and 2 arrive in other batches than their surveys
+    assert sorted((r.case_no, r.survey_id, r.last_modified_timestamp.year) for r in out) == \
+        [("0", "s0", 2001), ("0", "s0", 2002)]
+
+
+def test_publish_json_counts_and_replaces_batches(spark, tmp_dir):
+    cases = dv.cases(spark, "/root/testdata/sf0.001")
+    _write_messages(encode_arrays(text_fields(cases), 20), f"{tmp_dir}/in")
+    q = publish_json(decode_cases(stream_messages(spark, "text", f"{tmp_dir}/in")), f"{tmp_dir}/ck",
+                     path=f"{tmp_dir}/out", envelope="array", trigger=ONCE)
     q.awaitTermination()
     observed = [p["observedMetrics"]["published"]["rows"] for p in q.recentProgress
                 if "published" in p.get("observedMetrics", {})]
-    assert sum(observed) == 1
-    out = decode_json(spark.read.text(f"{tmp_dir}/out"), schemas.CASE_SURVEY).collect()
-    # case 0 versions at +0s and +30s; survey s0 at +5s joins only the first;
-    # survey s1 at +5min is too far from case 1 (+10s, +40s); the duplicate s0 is dropped.
-    assert [(r.case_no, r.survey_id, r.last_modified_timestamp) for r in out] == \
-        [("0", "s0", base)]
+    assert sum(observed) == cases.count()
+    assert decode_cases(spark.read.text(f"{tmp_dir}/out")).count() == cases.count()
+
+
+def test_dedup_keeps_old_event_times_in_any_cut(spark, tmp_dir):
+    """Event times far apart and out of order: nothing is late, in one batch or many."""
+    rows = [("5", "4", "3", "2", "x", str(i), f"{2000 + (i * 7) % 24}-01-01 00:00:00", f"s{i % 90}")
+            for i in range(120)]
+    frame = spark.createDataFrame(rows, schemas.SURVEY_MESSAGE)
+    for files in (1, 5):
+        base = f"{tmp_dir}/{files}"
+        _messages_in_files(frame, f"{base}/in", files)
+        s = decode_surveys(stream_messages(spark, "text", f"{base}/in", max_files=1), keep=("ingest_ts",))
+        land_stream(dedup_stream(s, ["survey_id"]), f"{base}/land", f"{base}/ck", trigger=ONCE).awaitTermination()
+        got = read_landing(spark, f"{base}/land", schemas.SURVEY)
+        assert got.count() == 90 and got.select("survey_id").distinct().count() == 90
 
 
 def test_dedup_stream(spark, tmp_dir):
@@ -117,8 +187,8 @@ def test_dedup_stream(spark, tmp_dir):
                         (dv.survey_increment(spark, d), "append")):
         encode_arrays(text_fields(frame, "yyyy-MM-dd HH:mm:ss.SSSSSS"), 20) \
             .write.mode(mode).text(f"{tmp_dir}/in")
-    s = dedup_stream(decode_surveys(stream_messages(spark, "text", f"{tmp_dir}/in")),
-                     ["survey_id"], "survey_timestamp")
+    s = dedup_stream(decode_surveys(stream_messages(spark, "text", f"{tmp_dir}/in"),
+                                    keep=("ingest_ts",)), ["survey_id"])
     land_stream(s, f"{tmp_dir}/land", f"{tmp_dir}/ck", trigger=ONCE).awaitTermination()
     got = read_landing(spark, f"{tmp_dir}/land", schemas.SURVEY)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, dv.surveys(spark, d).collect()))
@@ -130,35 +200,3 @@ def test_stream_files_archive(spark, tmp_dir):
          .writeStream.format("memory").queryName("fwd_test").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.value for r in spark.table("fwd_test").collect()) == ["a", "b"]
-
-
-def test_stream_join_interval_vs_bucket(spark, tmp_dir):
-    base = dt.datetime(2024, 1, 1, 0, 0, 0)
-    case_rows = [("Open", "A", "A0", (base + dt.timedelta(seconds=s)).isoformat(" "), "0",
-                  base.isoformat(" "), "1", "2", "3", "US", "mail") for s in (0, 10, 20)]
-    survey = [("5", "4", "3", "2", "x", "0", (base + dt.timedelta(seconds=5)).isoformat(" "),
-               "s0")]
-    got = {}
-    for mode in ("interval", "bucket"):
-        d = f"{tmp_dir}/{mode}"
-        encode_rows(spark.createDataFrame(case_rows, schemas.CASE_MESSAGE)).write.text(f"{d}/c")
-        encode_rows(spark.createDataFrame(survey, schemas.SURVEY_MESSAGE)).write.text(f"{d}/s")
-        j = join_case_survey(decode_cases(stream_messages(spark, "text", f"{d}/c")),
-                             decode_surveys(stream_messages(spark, "text", f"{d}/s")),
-                             within="15 seconds", watermark="1 minute", mode=mode)
-        publish_json(j, f"{d}/ck", path=f"{d}/out", trigger=ONCE).awaitTermination()
-        got[mode] = sorted(r.last_modified_timestamp.second for r in
-                           decode_json(spark.read.text(f"{d}/out"), schemas.CASE_SURVEY).collect())
-    # within 15 s of +5 s: +0, +10, +20; same 15-second bucket [0, 15): +0, +10
-    assert got == {"interval": [0, 10, 20], "bucket": [0, 10]}
-
-
-def test_live_kpis_printed_per_batch(spark, tmp_dir, capsys):
-    cases = dv.cases(spark, "/root/testdata/sf0.001")
-    encode_arrays(text_fields(cases), 20).write.text(f"{tmp_dir}/in")
-    s = decode_cases(stream_messages(spark, "text", f"{tmp_dir}/in"))
-    lookup = priority_lookup(dv.case_category(spark), dv.case_priority(spark), how="inner")
-    run_live_kpis(enrich_stream(s, lookup), LiveSinks(f"{tmp_dir}/st", f"{tmp_dir}/pr"),
-                  f"{tmp_dir}/ck", trigger=ONCE, show=True).awaitTermination()
-    out = capsys.readouterr().out
-    assert "Total Cases" in out and "Cases_numbers" in out

@@ -94,9 +94,10 @@ def test_enrich_duplicate_key(spark):
 
 def test_enrich_probe_bound(spark):
     fact = spark.createDataFrame([("1", "a")], "case_no string, k string")
-    dim = spark.createDataFrame([("a", 1), ("b", 2)], "k string, v int")
-    small = enrich(fact, [DimSpec(dim, ["k"], ["k"], ["v"], max_broadcast_rows=5)])
-    big = enrich(fact, [DimSpec(dim, ["k"], ["k"], ["v"], max_broadcast_rows=1)])
+    dim = spark.createDataFrame([("a", "x" * 50), ("b", "y")], "k string, v string")
+    # two rows of 16 + 8 + 1 + 8 bytes and the values
+    small = enrich(fact, [DimSpec(dim, ["k"], ["k"], ["v"], max_broadcast_bytes=117)])
+    big = enrich(fact, [DimSpec(dim, ["k"], ["k"], ["v"], max_broadcast_bytes=116)])
     assert "ResolvedHint (strategy=broadcast)" in small._jdf.queryExecution().analyzed().toString()
     assert "strategy=broadcast" not in big._jdf.queryExecution().analyzed().toString()
     assert small.collect() == big.collect()
