@@ -395,14 +395,13 @@ def q_reference_survey_history_tsv(spark, d):
 
 def _staged(spark, d, name, **options):
     """A warehouse with dimensions, history and increments as the loading jobs leave
-    them.  The dimensions are loaded on two days; the first load is larger."""
+    them."""
     wh = Warehouse(scratch_path(spark, name), **options)
     dims = {"calendar": dv.calendar(spark, d), "call_center": dv.call_center(spark, d),
             "case_category": dv.case_category(spark), "case_priority": dv.case_priority(spark),
             "employee": dv.employee(spark, d), "product": dv.product(spark, d),
             "questions": dv.survey_questions(spark)}
     for key, frame in dims.items():
-        refresh_dimension(frame, wh, key, "2001-11-03 00:00:00")
         refresh_dimension(frame, wh, key, AS_OF)
     refresh_history(with_event_date(dv.case_history(spark, d), "create_timestamp",
                                     "create_date"), wh, "case_stg", AS_OF)
