@@ -89,6 +89,8 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_4
             for b in batches:
                 for at, to in slices(b.column(1)):
                     flat, ends = enc(b.column(1)[at:to])
+                    if len(flat) and int(flat.max()) >= 1 << (8 * id_bytes):
+                        raise ValueError(f"an id does not fit into {id_bytes} bytes")
                     # the end id after each document
                     out.write(np.insert(flat, ends[1:], end_id).astype(dtype).tobytes())
                     sizes += (np.diff(ends) + 1).tolist()
