@@ -29,7 +29,6 @@ Defined results
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -159,8 +158,9 @@ def sketch(docs: DataFrame, trees: int, depth: int, prefix: int, n: int) -> Data
 def candidate_edges(nodes: DataFrame) -> DataFrame:
     """``(sid, keys)`` to edges from the least node of each trie node to its others."""
     members = nodes.select("sid", F.explode("keys").alias("key"))
-    least = (members.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("z"))
-             .where("a <> z").select("key", "a"))
+    # written, so that the join shuffles both sides and AQE can split a hot trie node
+    least = stored(members.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("z"))
+                   .where("a <> z").select("key", "a"), "least")
     return (members.join(least, "key").where("a <> sid")
             .select("a", F.col("sid").alias("b")).distinct())
 
@@ -324,8 +324,9 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, tree
         nodes.select("sid", F.col("rep").alias("id")), ["sid", "id"], "left_semi")
     found = connected_components(candidate_edges(keyed))
     sized = nodes.join(found.withColumnRenamed("node", "sid"), "sid")
-    blocks = sized.groupBy("label").agg(F.greatest(
-        F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets)).alias("blocks"))
+    blocks = stored(sized.groupBy("label").agg(F.greatest(
+        F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets))
+        .alias("blocks")), "blocks")
     wanted = sized.join(blocks, "label").select("sid", "rep", "weight", F.col("label").alias("cid"), "blocks")
     links = stored(verified_links(_payload(rows, wanted, shingle), threshold), "links")
     classes = connected_components(links.where("root IS NOT NULL").select(
@@ -334,7 +335,7 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, tree
     placed = (nodes.join(classes.withColumnRenamed("node", "sid"), "sid", "left")
               .join(counts, "sid", "left")
               .withColumn("label", F.coalesce("label", "sid")))
-    least = placed.groupBy("label").agg(F.min("rep").alias("class_id"))
+    least = stored(placed.groupBy("label").agg(F.min("rep").alias("class_id")), "classes")
     by_set = placed.join(least, "label").select(
         "sid", "rep", "class_id",
         (F.coalesce("n_links", F.lit(0)) + F.col("weight") - 1).alias("n_links"))
