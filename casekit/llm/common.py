@@ -56,3 +56,8 @@ def crc_mod(id_col: str, n: int) -> Column:
 
 def text_or_empty(col: str) -> Column:
     return F.coalesce(F.col(col), F.lit(""))
+
+
+def hash_fraction(id_col: str) -> Column:
+    """A number in [0, 1) that depends on the id alone."""
+    return F.xxhash64(id_col).cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)

@@ -29,7 +29,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import crc_mod, ship
+from .common import crc_mod, hash_fraction, ship
 
 RESULT = "doc_id long, held_out boolean, lang_pred string, score double"
 UNKNOWN = "und"
@@ -180,8 +180,12 @@ def document_frequencies(texts: DataFrame, bits: int) -> tuple[np.ndarray, int]:
 def sample_features(learn: DataFrame, bits: int, per_language: int) -> list[tuple]:
     """(language, columns, counts) of the sample: per language the documents with the
     smallest id hashes, found by ids alone (map-side limit) before any text is read."""
+    # so few of a language's documents pass the first filter that ranking them is cheap
+    counts = learn.groupBy("lang").agg(F.count(F.lit(1)).alias("n_lang"))     # a row a language
+    few = (learn.select("doc_id", "lang").join(F.broadcast(counts), "lang")
+           .where(hash_fraction("doc_id") * F.col("n_lang") < 2 * per_language + 1000))
     order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    ids = (learn.select("doc_id", "lang").withColumn("r", F.row_number().over(order))
+    ids = (few.withColumn("r", F.row_number().over(order))
            .where(F.col("r") <= per_language).select("doc_id").distinct())
     chosen = learn.join(F.broadcast(ids), "doc_id", "left_semi")   # per_language rows a language
 

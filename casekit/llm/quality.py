@@ -32,7 +32,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import crc_mod, ship
+from .common import crc_mod, hash_fraction, ship
 
 RESULT = "doc_id long, held_out boolean, score double, predicted int"
 N_STATS = 18
@@ -175,8 +175,10 @@ def _statistics(rows: DataFrame, keep: list[str], schema: str) -> DataFrame:
 
 
 def _smallest_hashes(rows: DataFrame, n: int) -> DataFrame:
-    """The ``n`` rows with the smallest id hashes: a limit that every task applies first."""
-    return rows.orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
+    """The ``n`` ids with the smallest hashes.  So few pass the first filter that the task
+    which ranks them reads about ``2 * n`` rows, however large the table is."""
+    few = rows.where(hash_fraction("doc_id") * rows.count() < 2 * n + 1000)
+    return few.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(n)
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> QualityModel:
@@ -184,7 +186,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> QualityMode
     ids = docs.select("doc_id")
     known = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     ones = _smallest_hashes(known.where("quality = 1").join(ids, "doc_id", "left_semi"), sample)
-    some = _smallest_hashes(ids.distinct(), sample)
+    some = _smallest_hashes(ids, sample)
     # both id lists hold at most `sample` rows
     tagged = (ones.select("doc_id", F.lit(1).alias("p"))
               .unionByName(some.select("doc_id", F.lit(0).alias("p")))
