@@ -29,7 +29,7 @@ def suffix_array(buf: np.ndarray) -> np.ndarray:
     if n == 0:
         return np.empty(0, np.int64)
     key = packed8(buf)
-    sa = np.argsort(key, kind="stable")
+    sa = np.argsort(key)
     key = key[sa]
     # near the end, zeros past it must not equal zeros in it: the shorter suffix is less
     new = np.ones(n, bool)
@@ -63,12 +63,13 @@ def suffix_array(buf: np.ndarray) -> np.ndarray:
     h = 8
     while len(todo):
         members = sa[todo]
-        group, after = rank[members], rank[np.minimum(members + h, n)]
-        order = np.lexsort((after, group))
-        members, group, after = members[order], group[order], after[order]
+        group, after = rank[members], rank[np.minimum(members + h, n)] + 1
+        both = group * (n + 1) + after           # (group, what follows) as one number
+        order = np.argsort(both)
+        members, both = members[order], both[order]
         sa[todo] = members                       # groups stay in their own places
         new = np.ones(len(todo), bool)
-        new[1:] = (group[1:] != group[:-1]) | (after[1:] != after[:-1])
+        new[1:] = both[1:] != both[:-1]
         starts = np.flatnonzero(new)
         sizes = np.diff(np.concatenate([starts, [len(todo)]]))
         last = todo[starts + sizes - 1]

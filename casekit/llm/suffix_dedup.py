@@ -226,61 +226,94 @@ _SEGMENT = "key long, low long, bytes binary, id long, h long, start long, end l
 _SPAN = "id long, h long, start long, end long"
 
 
+def _doc_key(ids: np.ndarray) -> np.ndarray:
+    """Where rows go that only travel: by document."""
+    return mixed(ids.view(np.uint64)).view(np.int64)
+
+
+def _binary(raw: np.ndarray, lo: np.ndarray, sizes: np.ndarray):
+    """Arrow array of the byte strings raw[lo:lo + size]."""
+    import pyarrow as pa
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    data = raw[ragged(lo, sizes)]
+    return pa.Array.from_buffers(pa.binary(), len(lo), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+
+
+def _firsts(group: tuple, place: tuple) -> tuple[np.ndarray, np.ndarray]:
+    """Rows of the earliest place of each group, and of the others whose place is later;
+    rows are given by parallel key columns, a group by equal ``group`` columns."""
+    order = np.lexsort((*place[::-1], *group[::-1]))
+    n = len(order)
+    new = np.ones(n, bool)
+    again = np.zeros(n, bool)
+    if n > 1:
+        same = np.ones(n - 1, bool)
+        for c in group:
+            c = c[order]
+            same &= c[1:] == c[:-1]
+        new[1:] = ~same
+        for c in place:
+            c = c[order]
+            same &= c[1:] == c[:-1]
+        again[1:] = same                        # the same place twice is one occurrence
+    return order[new], order[~new & ~again]
+
+
+def _segment_batch(key, low, data, i, h, start, end):
+    import pyarrow as pa
+    n = len(key)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(key), pa.nulls(n, pa.int64()) if low is None else pa.array(low),
+         pa.nulls(n, pa.binary()) if data is None else data,
+         *(pa.array(x) for x in (i, h, start, end))],
+        ["key", "low", "bytes", "id", "h", "start", "end"])
+
+
 def segment_rows(texts: DataFrame, width: int) -> DataFrame:
     """``(id, h, text, hashes, heavy)`` to rows for the shards: distinct segments of shared
     anchors with their first place in the slice; windows of heavy anchors likewise, by
     digest; and spans that are known to repeat something in the slice."""
     def run(batches: Iterator) -> Iterator:
-        import pyarrow as pa
-        schema = pa.schema([(c.split()[0], pa.binary() if "binary" in c else pa.int64())
-                            for c in _SEGMENT.split(", ")])
         for b in batches:
             ids, hs = b.column(0).to_numpy(), b.column(1).to_numpy()
-            lists = [np.asarray(x, np.int64).view(np.uint64) for x in b.column(3).to_pylist()]
-            heavy_lists = [np.asarray(x or [], np.int64).view(np.uint64) for x in b.column(4).to_pylist()]
-            first: dict = {}        # (anchor, bytes) -> first place; digest of a window likewise
-            out: list[tuple] = []
-
-            def meet(name, place, row):
-                """Keep the earliest place; the later one repeats it."""
-                old = first.get(name)
-                if old is None:
-                    first[name] = (place, row)
-                    return
-                if place == old[0]:
-                    return
-                late, size = max(place, old[0]), row[-1]
-                if place < old[0]:
-                    first[name] = (place, row)
-                i, h, start = late
-                out.append((int(mixed(np.array([i]).view(np.uint64)).view(np.int64)[0]), None, None,
-                            i, h, start, start + size))
-
             for rows, shift, buf, ends in parts_of(b.column(2), width):
                 text, lo, hi, anchor = segments(buf, ends, width)
-                raw = buf.tobytes()
-                bounds = np.searchsorted(text, np.arange(len(rows) + 1)).tolist()
-                for row, k in enumerate(rows.tolist()):
-                    mine = np.arange(bounds[row], bounds[row + 1])
-                    mine = mine[np.isin(anchor[mine], lists[k])]
-                    if not len(mine):
-                        continue
-                    is_heavy = np.isin(anchor[mine], heavy_lists[k])
-                    i, h, at = int(ids[k]), int(hs[k]), int(ends[row])
-                    for a, s, e, heavy in zip(anchor[mine].view(np.int64).tolist(), lo[mine].tolist(),
-                                              hi[mine].tolist(), is_heavy.tolist()):
-                        if heavy:
-                            for x in range(s, e - width + 1):
-                                d = hashlib.blake2b(raw[at + x:at + x + width], digest_size=16).digest()
-                                meet(d, (i, h, shift + x), (int.from_bytes(d[:8], "little", signed=True),
-                                     int.from_bytes(d[8:], "little", signed=True), None, width))
-                        else:
-                            data = raw[at + s:at + e]
-                            meet((a, data), (i, h, shift + s), (a, None, data, e - s))
-            out += [(r[0], r[1], r[2], *p, p[2] + r[3]) for p, r in first.values()]
-            columns = list(zip(*out)) if out else [()] * 7
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+                # whether an anchor is shared (or heavy) is the same in every text
+                own = slice(int(rows[0]), int(rows[-1]) + 1)
+                shared, heavy = (np.unique(b.column(c)[own].flatten().to_numpy()).view(np.uint64)
+                                 for c in (3, 4))
+                keep = np.isin(anchor, shared)
+                text, lo, hi, anchor = text[keep], lo[keep], hi[keep], anchor[keep]
+                i, h, at = ids[rows[text]], hs[rows[text]], ends[text] + lo
+                start, size = lo + shift, hi - lo
+                hot = np.isin(anchor, heavy)
+                some = np.flatnonzero(~hot)
+                if len(some):
+                    data = _binary(buf, at[some], size[some])
+                    code = data.dictionary_encode().indices.to_numpy()
+                    first, later = _firsts((code,), (i[some], h[some], start[some]))
+                    for rest, whole in ((first, True), (later, False)):
+                        r = some[rest]
+                        if len(r):
+                            yield _segment_batch(
+                                anchor[r].view(np.int64) if whole else _doc_key(i[r]), None,
+                                data.take(rest) if whole else None, i[r], h[r], start[r],
+                                start[r] + size[r])
+                some = np.flatnonzero(hot)
+                if len(some):
+                    n = size[some] - width + 1
+                    of, x = np.repeat(some, n), ragged(np.zeros(len(some), np.int64), n).astype(np.int64)
+                    raw = buf.tobytes()
+                    digest = np.array([np.frombuffer(hashlib.blake2b(
+                        raw[p:p + width], digest_size=16).digest(), np.int64)
+                        for p in (at[of] + x).tolist()])
+                    wi, wh, ws = i[of], h[of], start[of] + x
+                    first, later = _firsts((digest[:, 0], digest[:, 1]), (wi, wh, ws))
+                    yield _segment_batch(digest[first, 0], digest[first, 1], None, wi[first],
+                                         wh[first], ws[first], ws[first] + width)
+                    if len(later):
+                        yield _segment_batch(_doc_key(wi[later]), None, None, wi[later], wh[later],
+                                             ws[later], ws[later] + width)
 
     return texts.select("id", "h", "text", "hashes", "heavy").mapInArrow(run, _SEGMENT)
 
@@ -296,10 +329,13 @@ class Shard:
         self.owner = np.repeat(np.arange(len(segs)), sizes)
         self.within = np.arange(len(self.buf)) - begin[self.owner]
         place = np.array([p for _, p in segs], np.int64).reshape(len(segs), 3)
-        order = np.lexsort(place.T[::-1])
-        self.segment_rank = np.empty(len(segs), np.int64)
-        self.segment_rank[order] = np.arange(len(segs))
         self.place = place
+        # documents in order, so that (document, start) is one number
+        docs = np.lexsort((place[:, 1], place[:, 0]))
+        new = np.ones(len(docs), bool)
+        new[1:] = (place[docs[1:], :2] != place[docs[:-1], :2]).any(axis=1)
+        self.doc_rank = np.empty(len(docs), np.int64)
+        self.doc_rank[docs] = np.cumsum(new)
         window = sizes[self.owner] - self.within >= width
         sa = suffix_array(self.buf)
         lcp = common_prefixes(self.buf, sa, width)
@@ -308,22 +344,18 @@ class Shard:
         ok = window[sa]
         self.at, self.run = sa[ok], run[ok]
 
-    def start(self, at: np.ndarray) -> np.ndarray:
-        """(id, h, start) of windows in the buffer."""
-        out = self.place[self.owner[at]].copy()
-        out[:, 2] += self.within[at]
-        return out
-
     def earliest(self) -> tuple[np.ndarray, np.ndarray]:
-        """Which windows start first in their run, and the number of that window's run."""
-        s = self.start(self.at)
-        order = np.lexsort((s[:, 2], s[:, 1], s[:, 0], self.run))
-        new = np.ones(len(order), bool)
-        r = self.run[order]
-        new[1:] = r[1:] != r[:-1]
-        first = np.zeros(len(order), bool)
-        first[order[new]] = True
-        return first, s
+        """Which windows start first in their run, and the places of all windows."""
+        owner = self.owner[self.at]
+        start = self.place[owner, 2] + self.within[self.at]
+        key = (self.doc_rank[owner] << 33) + start          # texts are shorter than 8 GB
+        if not len(key):
+            return np.empty(0, bool), np.empty((0, 3), np.int64)
+        new = np.ones(len(key), bool)
+        new[1:] = self.run[1:] != self.run[:-1]
+        least = np.minimum.reduceat(key, np.flatnonzero(new))
+        return key == least[np.cumsum(new) - 1], np.column_stack(
+            [self.place[owner, 0], self.place[owner, 1], start])
 
     def strings(self, at: np.ndarray) -> np.ndarray:
         """The windows as fixed-length byte strings (in suffix order they are sorted)."""
@@ -371,7 +403,7 @@ def repeated_windows(segs: list[tuple[bytes, tuple]], width: int, shard_bytes: i
     if part:
         shards.append(part)
     before: list[list] = []       # of earlier shards: sorted distinct windows, their first places
-    for k, segs in enumerate(shards):
+    for segs in shards:
         shard = Shard(segs, width)
         first, place = shard.earliest()
         yield place[~first]
@@ -405,84 +437,101 @@ def _after(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
-def spans_of_windows(places: np.ndarray, width: int) -> list[tuple]:
-    """Rows (id, h, start, end) that cover the windows at these places."""
-    if not len(places):
-        return []
+def spans_of_windows(places: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
+    """Columns (id, h, start, end) of spans that cover the windows at these places."""
     p = places[np.lexsort(places.T[::-1])]
     new = np.ones(len(p), bool)
     new[1:] = (p[1:, 0] != p[:-1, 0]) | (p[1:, 1] != p[:-1, 1]) | (p[1:, 2] > p[:-1, 2] + width)
     lo = np.flatnonzero(new)
     hi = np.concatenate([lo[1:], [len(p)]]) - 1
-    return list(zip(p[lo, 0].tolist(), p[lo, 1].tolist(), p[lo, 2].tolist(),
-                    (p[hi, 2] + width).tolist()))
+    return p[lo, 0], p[lo, 1], p[lo, 2], p[hi, 2] + width
 
 
 def resolve(rows: DataFrame, width: int, shard_bytes: int) -> DataFrame:
-    """Rows for the shards to repeated spans."""
+    """Rows for the shards to repeated spans.  Rows come sorted: segments by anchor, then
+    hot windows by digest and rows that only travel; a group that a batch cuts is held
+    over to the next one."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        schema = pa.schema([(c.split()[0], pa.int64()) for c in _SPAN.split(", ")])
-        key, group = None, {}             # bytes -> places, of one anchor hash
-        window, where = None, []          # digest and places, of one hot window
-        shard, size, out = [], 0, []
-
-        def flush_windows():
-            if len(where) > 1:
-                for i, h, s in set(where) - {min(where)}:
-                    out.append((i, h, s, s + width))
-
-        def flush_group():
-            """Whole copies are settled here; different segments go to the shard."""
-            nonlocal shard, size
-            for data, places in group.items():
-                least = min(places)
-                out.extend((i, h, s, s + len(data)) for i, h, s in set(places) - {least})
-            # (one segment alone cannot repeat itself: equal windows have equal anchors)
-            if len(group) > 1:
-                segs = [(data, min(places)) for data, places in group.items()]
-                n = sum(len(s[0]) for s in segs)
-                if size and size + n > shard_bytes:
-                    flush_shard()
-                shard += segs
-                size += n
-                if size >= shard_bytes:
-                    flush_shard()
+        import pyarrow.compute as pc
+        shard, size = [], 0
+
+        def spans(i, h, start, end):
+            return pa.RecordBatch.from_arrays([pa.array(c) for c in (i, h, start, end)],
+                                              ["id", "h", "start", "end"])
+
+        def columns(t, *names):
+            return tuple(t.column(n).to_numpy() for n in names)
 
         def flush_shard():
             nonlocal shard, size
-            for places in repeated_windows(shard, width, shard_bytes):
-                out.extend(spans_of_windows(places, width))
+            for places in repeated_windows(shard, width, shard_bytes) if shard else ():
+                if len(places):
+                    yield spans(*spans_of_windows(places, width))
             shard, size = [], 0
 
-        def batch():
-            nonlocal out
-            columns = list(zip(*out)) if out else [()] * 4
-            out = []
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], schema=schema)
-
+        def settle(t):
+            """Whole anchors: whole copies are settled, different segments go to a shard."""
+            nonlocal size
+            key, i, h, start, end = columns(t, "key", "id", "h", "start", "end")
+            data = t.column("bytes").combine_chunks()
+            code = data.dictionary_encode().indices.to_numpy()
+            first, later = _firsts((key, code), (i, h, start))
+            if len(later):
+                yield spans(i[later], h[later], start[later], end[later])
+            # (one segment alone cannot repeat itself: equal windows have equal anchors)
+            k = key[first]
+            n = np.diff(np.concatenate([np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])), [len(k)]]))
+            ends = np.cumsum(n)
+            for lo, hi in zip((ends - n)[n > 1].tolist(), ends[n > 1].tolist()):
+                own = first[lo:hi]
+                segs = list(zip(data.take(pa.array(own)).to_pylist(),
+                                zip(i[own].tolist(), h[own].tolist(), start[own].tolist())))
+                more = int((end[own] - start[own]).sum())
+                if size and size + more > shard_bytes:
+                    yield from flush_shard()
+                shard.extend(segs)
+                size += more
+                if size >= shard_bytes:
+                    yield from flush_shard()
+
+        def settle_windows(t):
+            key, low, i, h, start, end = columns(t, "key", "low", "id", "h", "start", "end")
+            _, later = _firsts((key, low), (i, h, start))
+            if len(later):
+                yield spans(i[later], h[later], start[later], end[later])
+
+        def whole_groups(held, t, names, last):
+            """Rows of finished groups, and the rows of the group that may go on."""
+            t = pa.concat_tables([held, t]) if held is not None else t
+            if last or not t.num_rows:
+                return t, None
+            cols = [c for c in columns(t, *names)]
+            same = np.logical_and.reduce([c == c[-1] for c in cols])
+            cut = t.num_rows - int(same[::-1].argmin() if not same.all() else t.num_rows)
+            return t.slice(0, cut), t.slice(cut)
+
+        held: dict = {"segment": None, "window": None}
+        kinds = (("segment", settle, ("key",)), ("window", settle_windows, ("key", "low")))
         for b in batches:
-            for k, low, data, i, h, start, end in zip(*(c.to_pylist() for c in b.columns)):
-                if data is not None:
-                    if k != key:
-                        flush_group()
-                        key, group = k, {}
-                    group.setdefault(data, []).append((i, h, start))
-                elif low is not None:
-                    if (k, low) != window:
-                        flush_windows()
-                        window, where = (k, low), []
-                    where.append((i, h, start))
-                else:
-                    out.append((i, h, start, end))
-            yield batch()
-        flush_group()
-        flush_windows()
-        flush_shard()
-        yield batch()
+            t = pa.Table.from_batches([b])
+            is_segment = t.column("bytes").is_valid()
+            is_window = pc.and_(pc.invert(is_segment), t.column("low").is_valid())
+            travel = t.filter(pc.and_(pc.invert(is_segment), pc.invert(is_window)))
+            if travel.num_rows:
+                yield spans(*columns(travel, "id", "h", "start", "end"))
+            for (kind, finish, names), mask in zip(kinds, (is_segment, is_window)):
+                done, held[kind] = whole_groups(held[kind], t.filter(mask), names, False)
+                if done.num_rows:
+                    yield from finish(done)
+        for kind, finish, _ in kinds:
+            if held[kind] is not None and held[kind].num_rows:
+                yield from finish(held[kind])
+        yield from flush_shard()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (rows.repartition(n, "key").sortWithinPartitions(F.col("bytes").isNull(), "key", "low")
+    return (rows.repartition(n, "key")
+            .sortWithinPartitions(F.col("bytes").isNull(), F.col("low").isNull(), "key", "low")
             .mapInArrow(run, _SPAN))
 
 
