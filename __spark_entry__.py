@@ -416,7 +416,8 @@ def _staged(spark, d, name, **options):
 
 def q_stored_pipeline_kpis(spark, d):
     """JOB-2, 3, 5 to 9 through written tables (folders, Parquet)."""
-    return stored_kpis(spark, _staged(spark, d, "stored_pipeline"), AS_OF)
+    wh = _staged(spark, d, "stored_pipeline", by_date=False)
+    return stored_kpis(spark, wh, AS_OF)
 
 
 def q_stored_pipeline_catalog(spark, d):
@@ -424,7 +425,7 @@ def q_stored_pipeline_catalog(spark, d):
     base = scratch_path(spark, "stored_catalog")
     db = "casekit_" + base.rsplit("-", 1)[1]
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db} LOCATION '{base}/{db}'")
-    wh = Warehouse(base, catalog=db, fmt="orc")
+    wh = Warehouse(base, catalog=db, fmt="orc", by_date=False)
     refresh_history(with_event_date(dv.case_history(spark, d), "create_timestamp",
                                     "create_date"), wh, "case_stg", AS_OF)
     refresh_history(with_event_date(dv.survey_history(spark, d), "survey_timestamp",
@@ -437,15 +438,14 @@ def q_stored_pipeline_catalog(spark, d):
 
 
 def q_dimension_refresh(spark, d):
-    """The employee dimension loaded twice: first everybody with other names, then the
-    true table.  Only the second load is there."""
+    """The product dimension loaded on two days, first with other brands.  Only the
+    second load is there."""
     wh = Warehouse(scratch_path(spark, "dimension_refresh"))
-    true = dv.employee(spark, d)
-    old = true.withColumns({"first_name": F.upper("first_name"),
-                            "hire_date": F.date_add("hire_date", 1)})
-    refresh_dimension(old, wh, "employee", "2001-11-03 00:00:00")
-    refresh_dimension(true, wh, "employee", AS_OF)
-    return wh.read(spark, "employee")
+    true = dv.product(spark, d)
+    refresh_dimension(true.withColumn("brand", F.upper("brand")), wh, "product",
+                      "2001-11-03 00:00:00")
+    refresh_dimension(true, wh, "product", AS_OF)
+    return wh.read(spark, "product")
 
 
 def q_fact_rebuild(spark, d):
@@ -852,7 +852,8 @@ ORACLE.update({
         GROUP BY ALL""",
     "stored_pipeline_kpis": ORACLE["kpi_report"],
     "stored_pipeline_catalog": ORACLE["merge_cases"],
-    "dimension_refresh": f"""SELECT *, {ov.AS_OF_SQL} AS row_insertion_dttm FROM employee""",
+    "dimension_refresh": f"""SELECT *, {ov.AS_OF_SQL} AS row_insertion_dttm,
+        CAST({ov.AS_OF_SQL} AS DATE) AS create_date FROM product""",
     "fact_rebuild": "SELECT * FROM fact",
     "json_decode_damaged": f"SELECT * FROM cases WHERE NOT ({_CUT_SHORT})",
     "json_rejects": f"""SELECT left('{{"status":"' || status || '","category":"' || category

@@ -48,11 +48,16 @@ from casekit.streaming.sources import MAX_FILES, stream_files
 @dataclass
 class Warehouse:
     """Where the tables are: folders ``<root>/<prefix>_<name>``, or with ``catalog``
-    (a database name) tables ``<catalog>.<prefix>_<name>``; ``fmt`` is their format."""
+    (a database name) tables ``<catalog>.<prefix>_<name>``; ``fmt`` is their format.
+    ``by_date=False`` leaves the tables unpartitioned, for data too small for a file a day."""
     root: str
     names: TableNames = field(default_factory=TableNames)
     catalog: str | None = None
     fmt: str = "parquet"
+    by_date: bool = True
+
+    def parts(self, *columns: str) -> list[str]:
+        return list(columns) if self.by_date else []
 
     def path(self, key: str) -> str:
         name = self.names.name(key)
@@ -119,7 +124,7 @@ def refresh_dimension(df: DataFrame, wh: Warehouse, key: str,
     what an earlier load wrote."""
     part = "hire_date" if key == "employee" else "create_date"
     out = with_load_stamp(df, as_of, date_col=None if key == "employee" else part)
-    refresh_staging(out, wh.path(key), [part], wh.fmt)
+    refresh_staging(out, wh.path(key), wh.parts(part), wh.fmt)
 
 
 def load_history(spark: SparkSession, url: str, properties: dict, wh: Warehouse,
@@ -144,7 +149,8 @@ def load_history(spark: SparkSession, url: str, properties: dict, wh: Warehouse,
 def refresh_history(df: DataFrame, wh: Warehouse, key: str,
                     as_of: _dt.datetime | str | None = None) -> None:
     """The write half of JOB-3 for one history extract."""
-    refresh_staging(with_load_stamp(df, as_of), wh.path(key), [HISTORY_DATES[key][1]], wh.fmt)
+    refresh_staging(with_load_stamp(df, as_of), wh.path(key),
+                    wh.parts(HISTORY_DATES[key][1]), wh.fmt)
 
 
 def build_increment(spark: SparkSession, landing_cases: str, landing_surveys: str,
@@ -159,7 +165,7 @@ def build_increment(spark: SparkSession, landing_cases: str, landing_surveys: st
                               (landing_surveys, schemas.SURVEY, "survey_incr")):
         ts, d = HISTORY_DATES["case_stg" if out == "case_incr" else "survey_stg"]
         rows = with_event_date(read_landing(spark, path, schema, after_batch=after_batch), ts, d)
-        write_table(with_load_stamp(rows, as_of), wh.path(out), [d], fmt=wh.fmt)
+        write_table(with_load_stamp(rows, as_of), wh.path(out), wh.parts(d), fmt=wh.fmt)
 
 
 def merge_history(spark: SparkSession, wh: Warehouse,
@@ -169,14 +175,14 @@ def merge_history(spark: SparkSession, wh: Warehouse,
             ("case_stg", "case_incr", "case_dly", schemas.CASE_DLY_MERGE, "create_date"),
             ("survey_stg", "survey_incr", "survey_dly", schemas.SURVEY_DLY_MERGE, "survey_date")):
         merged = merge_distinct([wh.read(spark, stg), wh.read(spark, incr)], schema, as_of=as_of)
-        rebuild_table(merged, wh.path(out), schema, [part], wh.fmt)
+        rebuild_table(merged, wh.path(out), schema, wh.parts(part), wh.fmt)
 
 
 def build_fact_job(spark: SparkSession, wh: Warehouse,
                    as_of: _dt.datetime | str | None = None) -> None:
     """JOB-7: latest case ⟕ latest survey -> fact (partitioned by create date)."""
     fact = build_fact(wh.read(spark, "case_dly"), wh.read(spark, "survey_dly"), as_of=as_of)
-    rebuild_table(fact, wh.path("fact"), schemas.FACT, ["create_date"], wh.fmt)
+    rebuild_table(fact, wh.path("fact"), schemas.FACT, wh.parts("create_date"), wh.fmt)
 
 
 def warehouse_dims(spark: SparkSession, wh: Warehouse) -> WideDims:
@@ -191,7 +197,7 @@ def build_wide_job(spark: SparkSession, wh: Warehouse) -> None:
     """JOB-8: fact ⟕ dimensions with scores -> wide (partitioned by case create date)."""
     wide = build_wide(wh.read(spark, "fact"), warehouse_dims(spark, wh))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in wide.schema.fields])
-    rebuild_table(wide, wh.path("wide"), schema, ["case_create_date"], wh.fmt)
+    rebuild_table(wide, wh.path("wide"), schema, wh.parts("case_create_date"), wh.fmt)
 
 
 def kpi_job(spark: SparkSession, wh: Warehouse,
