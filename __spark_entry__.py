@@ -29,12 +29,13 @@ from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,
                                 latest_surveys, score_feedback, wide_dim_specs)
 from casekit.functions.jsonio import (decode_json, encode_arrays, encode_rows,  # noqa: E402
                                       text_fields)
-from casekit.plans.jobs import (Warehouse, build_fact_job, build_increment,  # noqa: E402
+from casekit.plans.jobs import (Warehouse, build_increment,  # noqa: E402
                                 merge_history, refresh_dimension, refresh_history, stored_kpis)
 from casekit.session import scratch_path, state_partitions  # noqa: E402
 from casekit.sources import driver_views as dv  # noqa: E402
 from casekit.sources.delimited import read_delimited, write_delimited  # noqa: E402
-from casekit.sources.tables import overwrite_partitions, read_landing, write_table  # noqa: E402
+from casekit.sources.tables import (overwrite_partitions, read_landing,  # noqa: E402
+                                    rebuild_table, write_table)
 from casekit.streaming import (LiveSinks, decode_cases, decode_surveys,  # noqa: E402
                                dedup_stream, enrich_stream, forward_files, land_stream,
                                publish_json, start_live, stream_files, stream_messages)
@@ -450,21 +451,18 @@ def q_dimension_refresh(spark, d):
 
 def q_fact_rebuild(spark, d):
     """A fact built while half of the cases stood under another create date, then
-    rebuilt: one row per case, no partition left over."""
-    wh = Warehouse(scratch_path(spark, "fact_rebuild"))
-    cases = with_load_stamp(with_event_date(dv.cases(spark, d), "create_timestamp",
-                                            "create_date"), AS_OF)
+    rebuilt: one row per case, no partition left over.  (By month, as above.)"""
+    base = scratch_path(spark, "fact_rebuild")
+    cases, surveys = dv.cases(spark, d), dv.surveys(spark, d)
     moved = F.col("case_no").cast("long") % 2 == 0
     earlier = cases.withColumn("create_timestamp", F.when(
         moved, F.col("create_timestamp") - F.expr("INTERVAL 400 DAY"))
         .otherwise(F.col("create_timestamp")))
-    surveys = with_load_stamp(with_event_date(dv.surveys(spark, d), "survey_timestamp",
-                                              "survey_date"), AS_OF)
-    write_table(surveys, wh.path("survey_dly"))
     for version in (earlier, cases):
-        write_table(version, wh.path("case_dly"))
-        build_fact_job(spark, wh, AS_OF)
-    return wh.read(spark, "fact")
+        fact = build_fact(version, surveys, AS_OF).withColumn(
+            "create_month", F.trunc("create_date", "month"))
+        rebuild_table(fact, f"{base}/fact", _FACT_BY_MONTH, ["create_month"])
+    return read_landing(spark, f"{base}/fact", _FACT_BY_MONTH)
 
 
 # ----------------------------------------------------------------- streams
@@ -854,7 +852,8 @@ ORACLE.update({
     "stored_pipeline_catalog": ORACLE["merge_cases"],
     "dimension_refresh": f"""SELECT *, {ov.AS_OF_SQL} AS row_insertion_dttm,
         CAST({ov.AS_OF_SQL} AS DATE) AS create_date FROM product""",
-    "fact_rebuild": "SELECT * FROM fact",
+    "fact_rebuild": """SELECT *, CAST(date_trunc('month', create_date) AS DATE)
+        AS create_month FROM fact""",
     "json_decode_damaged": f"SELECT * FROM cases WHERE NOT ({_CUT_SHORT})",
     "json_rejects": f"""SELECT left('{{"status":"' || status || '","category":"' || category
         || '","sub_category":"' || sub_category || '","last', 40) AS raw

@@ -183,3 +183,18 @@ def test_checkpoints_of_alike_names_differ(spark):
     args = argparse.Namespace(checkpoint=None)
     names = ["/a/b-c", "/a/b/c", "/a/b_c", "/x" * 100 + "/1", "/y" * 100 + "/1"]
     assert len({_checkpoint(spark, args, "live", n) for n in names}) == len(names)
+
+
+def test_fact_job_leaves_no_stale_partition(spark, tmp_dir):
+    from casekit.plans.jobs import build_fact_job
+    wh = Warehouse(f"{tmp_dir}/wh")
+    cases = _in_quarter(dv.cases(spark, SF), "create_timestamp")
+    write_table(dv.surveys(spark, SF), wh.path("survey_dly"))
+    for days in (9, 0):
+        moved = cases.withColumn("create_timestamp", F.col("create_timestamp")
+                                 - F.expr(f"INTERVAL {days} DAY"))
+        write_table(moved, wh.path("case_dly"))
+        build_fact_job(spark, wh, AS_OF)
+    fact = wh.read(spark, "fact")
+    assert fact.count() == fact.select("case_no").distinct().count() == \
+        cases.select("case_no").distinct().count()
