@@ -18,6 +18,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
+from itertools import repeat
 
 import numpy as np
 
@@ -61,7 +62,7 @@ class ChunkTable:
     """
 
     def __init__(self, compute: Callable, whole: Callable, special: list[str],
-                 max_entries: int = 1_200_000):
+                 max_entries: int = 1_500_000):
         self.compute, self.whole, self.max_entries = compute, whole, max_entries
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self._empty()
@@ -76,9 +77,12 @@ class ChunkTable:
         return a if n <= len(a) else np.concatenate([a, np.empty(max(n, 2 * len(a)) - len(a), a.dtype)])
 
     def _slots(self, chunks: list[str]) -> np.ndarray:
+        """Places of distinct chunks in the table; new ones are computed."""
         slot = self.slot
-        new = [c for c in chunks if c not in slot]
-        if new:
+        out = np.fromiter(map(slot.get, chunks, repeat(-1)), np.int64, len(chunks))
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            new = [chunks[k] for k in missing.tolist()]
             values, sizes = self.compute(new)
             n = len(slot)
             self.flat = self._room(self.flat, self.used + len(values))
@@ -88,7 +92,8 @@ class ChunkTable:
             self.size[n:n + len(new)] = sizes
             self.used += len(values)
             slot.update(zip(new, range(n, n + len(new))))
-        return np.fromiter(map(slot.__getitem__, chunks), np.int64, len(chunks))
+            out[missing] = np.arange(n, n + len(new))
+        return out
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Values of all texts of an Arrow string array, and the offsets of each text."""
@@ -149,13 +154,17 @@ class PieceEncoder:
     def __init__(self, tok, lower: bool, max_entries: int = 400_000):
         self.tok, self.model, self.lower, self.max_entries = tok, tok.model, lower, max_entries
         self.bytes_as = {b: ord(c) for b, c in enumerate(byte_symbols())}
+        self.space = byte_symbols()[ord(" ")]
         self.known: dict[str, bytes] = {}
 
     def _word(self, word: str) -> bytes:
         if self.lower:
             word = word.lstrip(" ").lower()
-        return array("I", [t.id for t in self.model.tokenize(
-            word.encode().decode("latin-1").translate(self.bytes_as))]).tobytes()
+        if word.isascii():               # letters stand for themselves
+            word = word.replace(" ", self.space)
+        else:
+            word = word.encode().decode("latin-1").translate(self.bytes_as)
+        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
 
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > self.max_entries:
