@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import text_or_empty
+from .common import stored, text_or_empty
 
 
 def text_digest(text_col: str) -> Column:
@@ -34,7 +34,7 @@ class DigestIndex:
     """A persistent table ``(digest, keep_id, group_size)``, bucketed and sorted by digest."""
 
     def __init__(self, spark: SparkSession, name: str, path: str, buckets: int | None = None):
-        self.spark, self.name = spark, name
+        self.spark, self.name, self.path = spark, name, path
         self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} "
                   f"(digest STRING, keep_id BIGINT, group_size BIGINT) USING parquet "
@@ -50,6 +50,9 @@ class DigestIndex:
                              F.col(id_col).cast("long").alias("id"))
                  .groupBy("digest")
                  .agg(F.max("id").alias("keep_id"), F.count(F.lit(1)).alias("group_size")))
+        # written: otherwise the optimizer moves the anti-join below the aggregate, and every
+        # copy of a text would be shuffled
+        fresh = stored(fresh, "digests")
         new = fresh.join(self.frame().select("digest").hint("merge"), "digest", "left_anti")
         (new.repartition(self.buckets, "digest").sortWithinPartitions("digest")
             .write.mode("append").format("parquet")
@@ -59,17 +62,14 @@ class DigestIndex:
                  text_col: str = "text") -> DataFrame:
         """One row per input row: id, keeper, group size, whether it stays, digest.
 
-        The index side is read unbucketed here, so both sides are shuffled and AQE can
-        split a digest that holds a large share of the rows.
+        The index files are read without their bucketing here, so both sides are shuffled
+        for the join and AQE can split a digest that holds a large share of the rows.
         """
         rows = docs.select(F.col(id_col).cast("long").alias("doc_id"),
                            text_digest(text_col).alias("digest"))
-        # groupBy also lets an index with repeated digests (two writers) give one verdict
-        index = (self.frame().groupBy("digest")
-                 .agg(F.max("keep_id").alias("keep_id"),
-                      F.max("group_size").alias("group_size"))
+        index = (self.spark.read.schema(self.frame().schema).parquet(self.path)
                  .withColumnRenamed("digest", "i_digest"))
-        spread = rows.join(index.hint("shuffle_merge"), rows.digest == index.i_digest)
+        spread = rows.join(index.hint("merge"), rows.digest == index.i_digest)
         return spread.select("doc_id", "keep_id", "group_size",
                              F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"),
                              F.col("digest").alias("text_sha256"))
