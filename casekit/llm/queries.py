@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 
 from casekit.session import scratch_path
 
-from . import (chat_format, decontam, exact_dedup, lang_id, ngram_join, packing, quality, suffix_dedup,
-               token_count, token_files)
+from . import (chat_format, decontam, exact_dedup, filter_audit, hard_negatives, lang_id, license_scan,
+               ngram_join, packing, quality, suffix_dedup, token_count, token_files)
 from .common import table
 
 
@@ -70,10 +70,24 @@ def op10_language_id(spark: SparkSession, d: str) -> DataFrame:
     return lang_id.identify_languages(table(spark, d, "documents"))
 
 
+def op11_filter_audit(spark: SparkSession, d: str) -> DataFrame:
+    return filter_audit.audit_filters(table(spark, d, "documents"), table(spark, d, "labels"))
+
+
+def op12_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_hard_negatives(table(spark, d, "embeddings"), label=moved)
+
+
+def op13_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return license_scan.scan_licenses(table(spark, d, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_suffix_dedup, op2_quality, op3_decontamination, op4_exact_dedup,
                             op5_token_count, op6_chat_format, op7_packing, op8_token_files,
-                            op9_ngram_join, op10_language_id)}
+                            op9_ngram_join, op10_language_id, op11_filter_audit, op12_hard_negatives,
+                            op13_license_scan)}
 
 ORACLE: dict[str, str] = {
     "op4_exact_dedup": """
@@ -121,4 +135,73 @@ ORACLE: dict[str, str] = {
                sum(length(role) + length(body) + 24)::BIGINT AS formatted_chars,
                0::BIGINT AS n_attachments, 0::BIGINT AS extra_tokens
         FROM f GROUP BY conv_id""",
+    "op11_filter_audit": r"""
+        WITH t AS (
+            SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text,
+                   list_filter(string_split_regex(coalesce(text, ''), '[ \t\n\v\f\r]+'),
+                               lambda x: x <> '') AS w,
+                   min(doc_id) OVER (PARTITION BY coalesce(text, '')) AS least
+            FROM documents),
+        m AS (
+            SELECT doc_id, part,
+                   {'A': len(w) < 100, 'B': 100 * len(list_distinct(w)) < 80 * len(w),
+                    'C': 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text),
+                    'D': regexp_matches(text, '[#$%&*|]'), 'E': coalesce(doc_id > least, false)} AS f
+            FROM t),
+        l AS (SELECT doc_id, bool_or(quality = 1) AS good, bool_or(toxic = 1) AS toxic
+              FROM labels GROUP BY doc_id),
+        g AS (
+            SELECT part, [x for x in [CASE WHEN f.A THEN 'A' END, CASE WHEN f.B THEN 'B' END,
+                                      CASE WHEN f.C THEN 'C' END, CASE WHEN f.D THEN 'D' END,
+                                      CASE WHEN f.E THEN 'E' END] if x is not null] AS fails,
+                   coalesce(good, false) AS good, coalesce(toxic, false) AS toxic, count(*) AS n
+            FROM m LEFT JOIN l USING (doc_id) GROUP BY ALL),
+        c AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS c),
+        o AS (SELECT a.c || b.c || d.c || e.c || f.c AS filter_order
+              FROM c a, c b, c d, c e, c f
+              WHERE len(list_distinct([a.c, b.c, d.c, e.c, f.c])) = 5),
+        s AS (SELECT filter_order, step, filter_order[step] AS f,
+                     string_split(left(filter_order, step - 1), '') AS before
+              FROM o, (SELECT unnest(range(1, 6)) AS step)),
+        r AS (
+            SELECT part, filter_order, step, f,
+                   coalesce(sum(n) FILTER (NOT list_contains(fails, f)
+                            AND NOT list_has_any(fails, before)), 0) AS kept,
+                   coalesce(sum(n) FILTER (list_contains(fails, f)
+                            AND NOT list_has_any(fails, before)), 0) AS removed,
+                   coalesce(sum(n) FILTER (list_contains(fails, f)
+                            AND list_has_any(fails, before)), 0) AS redundant,
+                   coalesce(sum(n) FILTER (fails = [f]), 0) AS unique_fails,
+                   coalesce(sum(n) FILTER (good AND list_contains(fails, f)
+                            AND NOT list_has_any(fails, before)), 0) AS good_lost,
+                   coalesce(sum(n) FILTER (toxic AND list_contains(fails, f)
+                            AND NOT list_has_any(fails, before)), 0) AS toxic_lost
+            FROM g, s GROUP BY ALL)
+        SELECT part, filter_order, step::INTEGER AS step, kept::BIGINT AS kept,
+               removed::BIGINT AS removed, redundant::BIGINT AS redundant,
+               unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+               toxic_lost::BIGINT AS toxic_lost,
+               (sum(removed) OVER (PARTITION BY part, f))::BIGINT AS shapley
+        FROM r""",
+    "op12_hard_negatives": """
+        WITH v AS MATERIALIZED (
+            SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                   list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS x
+            FROM embeddings
+            WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+              AND len(list_filter(embedding, lambda x: coalesce(isfinite(x), false))) = len(embedding)),
+        s AS MATERIALIZED (
+            SELECT a.id AS a, b.id AS b, a.label = b.label AS same,
+                   list_inner_product(a.x, b.x)::BIGINT AS score
+            FROM v a JOIN v b ON a.id % 50 = 0 AND a.id <> b.id),
+        p AS (
+            SELECT a, b, score FROM s WHERE same
+            QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+        SELECT p.a AS anchor_id, p.b AS positive_id,
+               (row_number() OVER w)::INTEGER AS "rank", s.b AS negative_id,
+               p.score AS positive_score, s.score AS negative_score
+        FROM p JOIN s ON s.a = p.a AND NOT s.same
+         AND 100 * s.score BETWEEN 50 * p.score AND 95 * p.score
+        WINDOW w AS (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b)
+        QUALIFY row_number() OVER w <= 3""",
 }
