@@ -7,7 +7,7 @@ import os
 import shutil
 import tempfile
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from casekit.session import scratch_path
@@ -61,3 +61,18 @@ def text_or_empty(col: str) -> Column:
 def hash_fraction(id_col: str) -> Column:
     """A number in [0, 1) that depends on the id alone."""
     return F.xxhash64(id_col).cast("double") / F.lit(2.0 ** 64) + F.lit(0.5)
+
+
+def unused(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
+def one_of_each(df: DataFrame, keys: list[Column]) -> DataFrame:
+    """One row of each key (the least hash of the whole row).  A map task forwards at most
+    one row a key, so a key with very many rows costs no more than another."""
+    n = unused(df, "n")
+    w = Window.partitionBy(*keys).orderBy(F.xxhash64(*[F.col(f"`{c}`") for c, t in df.dtypes if "map<" not in t]))
+    return df.withColumn(n, F.row_number().over(w)).where(F.col(n) == 1).drop(n)

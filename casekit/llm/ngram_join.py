@@ -3,17 +3,23 @@
 1. Each text is cut into words at ASCII white space, in lower case; its shingles are its
    distinct runs of five words, as 64-bit hashes.  Texts with the same shingle set are one
    node (told apart by a 64-bit digest of the set).
-2. A node's signature is ``trees * depth`` minima under multiplicative permutations.  Each
-   tree is a trie over ``depth`` of them.  The matched prefix is shortened from the full
-   depth until two sets at the threshold meet in some tree with the target recall; nodes
-   that share a prefix of that length in a tree are candidates.
-3. Candidates are joined to components through the least node of each trie node, so a trie
-   node of any size costs one row a member.
-4. Exact verification: a component is dealt into blocks of bounded size, every pair of
+2. A node's signature is ``trees`` strings of ``depth`` minima under multiplicative
+   permutations, 16 bits a letter.  The strings of each tree are sorted (one range shuffle
+   for all trees): that order is the tree's prefix trie, and nodes that share a prefix stand
+   side by side.
+3. The matched prefix starts at the full depth and is shortened until the target recall is
+   *measured*: a bounded sample of documents is compared by brute force with every row
+   while the rows are sketched, and a prefix is long enough only if that share of the
+   sample's true links has it in common in some tree.  It never gets so long that a pair just
+   at the threshold would meet with less than ``floor_recall``.
+4. Each trie node of the matched prefix gives a star of its members.  Trees are contracted one
+   after the other: an edge counts only if its ends are still in different components, so a
+   group of near copies costs about one edge a member, not one a member and tree.
+5. Exact verification: a component is dealt into blocks of bounded size, every pair of
    blocks is one group, and the intersections of its sets come from products of 0/1
    matrices over the shingles they have in common.  A group returns, for each node, how
    many documents it is linked to, and a spanning forest of the links, never the pairs.
-5. Components of the verified links are the classes.
+6. Components of the verified links are the classes.
 
 Result: one row per document: ``rep_id`` (least document with the same shingle set),
 ``class_id`` (least document of the class), ``n_links`` (other documents at the threshold
@@ -36,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .chunks import slices
-from .common import ship, stored
+from .common import one_of_each, ship, stored, unused
 from .graph import connected_components
 
 NO_ID = -(1 << 63)                     # stands for a null document id inside
@@ -114,55 +120,191 @@ def signature(s: np.ndarray, by: np.ndarray, block: int = 1024) -> np.ndarray:
     return best
 
 
+def letters(s: np.ndarray, by: np.ndarray, trees: int, depth: int) -> np.ndarray:
+    """The signature as ``(trees, depth)`` letters."""
+    return mixed(signature(s, by)).astype(np.uint16).reshape(trees, depth)
+
+
 def recall(threshold: float, trees: int, prefix: int) -> float:
     """Chance that two sets at the threshold share a prefix of this length in some tree."""
     return 1.0 - (1.0 - threshold ** prefix) ** trees
 
 
-def prefix_length(threshold: float, trees: int, depth: int, target: float) -> int:
-    """The matched prefix, shortened from the full depth until the recall is reached."""
-    for prefix in range(depth, 1, -1):
-        if recall(threshold, trees, prefix) >= target:
+def matched_prefix(links: list[int], threshold: float, trees: int, target: float,
+                   floor_recall: float) -> int:
+    """The prefix, shortened from the full depth until the target recall is reached.
+
+    ``links[k]``: how many true links of the sample have a longest common prefix of ``k``
+    letters (the best of all trees)."""
+    total, found = sum(links), 0
+    for prefix in range(len(links) - 1, 1, -1):
+        found += links[prefix]
+        if found >= target * total and recall(threshold, trees, prefix) >= floor_recall:
             return prefix
     return 1
 
 
-def sketch(docs: DataFrame, trees: int, depth: int, prefix: int, n: int) -> DataFrame:
-    """Per row: id, set digest, set size, and its trie node in each tree."""
+class Sample:
+    """Shingle sets of some documents, to find their true links among all rows."""
+
+    def __init__(self, texts, by: np.ndarray, trees: int, depth: int, n: int, threshold: float):
+        sets = [s for s in shingle_sets(texts, n) if len(s)]
+        self.digests = [set_digest(s) for s in sets]
+        first = {d: k for k, d in enumerate(self.digests)}          # a set counts once
+        sets = [sets[k] for k in sorted(first.values())]
+        self.digests = np.array([self.digests[k] for k in sorted(first.values())], np.int64)
+        self.sizes = np.array([len(s) for s in sets], np.int64)
+        self.letters = np.array([letters(s, by, trees, depth) for s in sets],
+                                np.uint16).reshape(-1, trees, depth)
+        flat = np.concatenate([*sets, np.empty(0, np.uint64)])
+        owner = np.repeat(np.arange(len(sets)), self.sizes)
+        order = np.argsort(flat, kind="stable")
+        self.owner = owner[order]
+        self.shingles, self.at = np.unique(flat[order], return_index=True)
+        self.at = np.append(self.at, len(flat))
+        self.threshold, self.depth = threshold, depth
+
+    def links(self, s: np.ndarray, digest: int, own: np.ndarray) -> list[int] | None:
+        """Number of the sample's sets linked to ``s``, by longest common prefix."""
+        if not len(self.shingles):
+            return None
+        k = np.minimum(np.searchsorted(self.shingles, s), len(self.shingles) - 1)
+        k = k[self.shingles[k] == s]
+        if len(k) < self.threshold * len(s) - 1e-9:                 # too few for any set
+            return None
+        common = np.zeros(len(self.sizes), np.int64)
+        for a, b in zip(self.at[k].tolist(), self.at[k + 1].tolist()):
+            common[self.owner[a:b]] += 1
+        linked = ((common >= self.threshold * (self.sizes + len(s) - common) - 1e-9)
+                  & (self.digests != digest))
+        if not linked.any():
+            return None
+        same = np.cumprod(self.letters[linked] == own, axis=2).sum(axis=2).max(axis=1)
+        return np.bincount(same, minlength=self.depth + 1).tolist()
+
+
+def sketch(docs: DataFrame, trees: int, depth: int, n: int, threshold: float,
+           sample_rows: int) -> DataFrame:
+    """Per row ``(id, text key)``: set digest, set size, signature letters (big-endian, tree
+    by tree), and true links to the sample by common prefix."""
     by = multipliers(trees * depth)
+    import pyarrow as pa
+    texts = [r.text for r in docs.select("text").where("text IS NOT NULL").orderBy(
+        F.xxhash64("text"), "text").limit(sample_rows).collect()]
+    shared = docs.sparkSession.sparkContext.broadcast(
+        Sample(pa.array(texts, pa.string()), by, trees, depth, n, threshold))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        weight = multipliers(trees * prefix, seed=2).reshape(trees, prefix)
+        sample = shared.value
         for b in batches:
-            for at, to in slices(b.column(1)):
-                sets = shingle_sets(b.column(1)[at:to], n)
-                keys = np.zeros((len(sets), trees), np.uint64)
-                for k, s in enumerate(sets):
-                    if len(s):
-                        top = signature(s, by).reshape(trees, depth)[:, :prefix]
-                        keys[k] = (mixed(top) * weight).sum(axis=1, dtype=np.uint64)
-                keys = mixed(keys + np.arange(trees, dtype=np.uint64)).view(np.int64)
+            for at, to in slices(b.column(2)):
+                sets = shingle_sets(b.column(2)[at:to], n)
+                sids = [set_digest(s) if len(s) else None for s in sets]
+                own = [letters(s, by, trees, depth) if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0)[at:to],
-                     pa.array([set_digest(s) if len(s) else None for s in sets], pa.int64()),
+                    [b.column(0)[at:to], b.column(1)[at:to], pa.array(sids, pa.int64()),
                      pa.array([len(s) for s in sets], pa.int64()),
-                     pa.ListArray.from_arrays(
-                         pa.array(np.arange(0, keys.size + 1, trees, dtype=np.int32)),
-                         pa.array(keys.ravel()))],
-                    ["id", "sid", "n", "keys"])
+                     pa.array([None if x is None else x.astype(">u2").tobytes() for x in own], pa.binary()),
+                     pa.array([None if x is None else sample.links(s, d, x)
+                               for s, d, x in zip(sets, sids, own)], pa.list_(pa.int64()))],
+                    ["id", "key", "sid", "n", "letters", "links"])
+
+    return docs.select("id", "key", "text").mapInArrow(
+        run, "id long, key long, sid long, n long, letters binary, links array<long>")
 
-    return docs.mapInArrow(run, "id long, sid long, n long, keys array<long>")
 
+# ---------------------------------------------------------------- prefix tries
 
-def candidate_edges(nodes: DataFrame) -> DataFrame:
-    """``(sid, keys)`` to edges from the least node of each trie node to its others."""
-    members = nodes.select("sid", F.explode("keys").alias("key"))
-    # written, so that the join shuffles both sides and AQE can split a hot trie node
-    least = stored(members.groupBy("key").agg(F.min("sid").alias("a"), F.max("sid").alias("z"))
-                   .where("a <> z").select("key", "a"), "least")
-    return (members.join(least, "key").where("a <> sid")
-            .select("a", F.col("sid").alias("b")).distinct())
+def trie_edges(nodes: DataFrame, trees: int, depth: int, prefix: int) -> DataFrame:
+    """``(sid, letters)`` to ``(a, b, tree)``: the star of each trie node of the matched
+    prefix; a pair that several trees give comes once, with the first of them."""
+    spark, width, matched = nodes.sparkSession, 2 * depth, 2 * prefix
+
+    def strings(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for b in batches:
+            raw = np.frombuffer(b"".join(b.column(1).to_pylist()), np.uint8)
+            raw = np.ascontiguousarray(raw.reshape(-1, trees, width)[:, :, :matched])
+            count = raw.shape[0]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.tile(np.arange(trees, dtype=np.int32), count)),
+                 pa.Array.from_buffers(pa.binary(matched), count * trees, [None, pa.py_buffer(raw)]).cast(pa.binary()),
+                 pa.array(np.repeat(b.column(0).to_numpy(), trees))], ["tree", "string", "sid"])
+
+    def stars(batches: Iterator) -> Iterator:
+        """Sorted strings to edges from the head of each run of equal ones.  The first and
+        last string of the partition also come out: a run may go on in the next one."""
+        import pyarrow as pa
+        from pyspark import TaskContext
+        part = TaskContext.get().partitionId()
+        first = last = None
+        names = ["a", "b", "tree", "string", "part"]
+
+        def edge(a, b, tree, strings=None, parts=None):
+            k = len(a)
+            return pa.RecordBatch.from_arrays(
+                [pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(tree, pa.int32()),
+                 pa.array(strings or [None] * k, pa.binary()), pa.array(parts or [None] * k, pa.int64())], names)
+
+        for b in batches:
+            if not b.num_rows:
+                continue
+            tree, sid = b.column(0).to_numpy(), b.column(2).to_numpy()
+            text = np.array(b.column(1).to_pylist(), object)
+            new = np.ones(len(sid), bool)
+            new[1:] = (tree[1:] != tree[:-1]) | (text[1:] != text[:-1])
+            head = sid.copy()
+            new_at = np.maximum.accumulate(np.where(new, np.arange(len(sid)), 0))
+            head = sid[new_at]
+            if last is not None and (last[0], last[1]) == (tree[0], text[0]):
+                head[new_at == 0] = last[2]                       # goes on from the batch before
+            first = first or (int(tree[0]), text[0], int(sid[0]))
+            last = (int(tree[-1]), text[-1], int(head[-1]))
+            pick = head != sid
+            yield edge(np.minimum(head, sid)[pick], np.maximum(head, sid)[pick], tree[pick])
+        if first:
+            yield edge([first[2], last[2]], [None, None], [first[0], last[0]], [first[1], last[1]],
+                       [2 * part, 2 * part + 1])
+
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = nodes.select("sid", "letters").mapInArrow(strings, "tree int, string binary, sid long")
+    found = stored(rows.repartitionByRange(n, "tree", "string", "sid")
+                   .sortWithinPartitions("tree", "string", "sid")
+                   .mapInArrow(stars, "a long, b long, tree int, string binary, part long"), "stars")
+    # two rows a partition: runs that go on from one partition to the next
+    ends = sorted((r.part, r.tree, bytes(r.string), r.a)
+                  for r in found.where("part IS NOT NULL").select("part", "tree", "string", "a").collect())
+    across = [(min(x[3], y[3]), max(x[3], y[3]), x[1]) for x, y in zip(ends, ends[1:])
+              if x[0] % 2 and x[1:3] == y[1:3] and x[3] != y[3]]
+    edges = found.where("part IS NULL").select("a", "b", "tree").unionByName(
+        spark.createDataFrame(across, "a long, b long, tree int"))
+    return edges.groupBy("a", "b").agg(F.min("tree").alias("tree"))
+
+
+def contracted(edges: DataFrame, trees: int) -> DataFrame:
+    """Components ``(node, label)`` of ``(a, b, tree)`` edges, some trees after the others.
+
+    The first tree's stars are components already.  For the next ones an edge is looked up in
+    the components so far, and only edges between different ones are left.
+    """
+    edges, labels = stored(edges, "edges"), None
+    for first, end in ((0, 1), (1, 4), (4, 12), (12, trees)):
+        part = edges.where((F.col("tree") >= first) & (F.col("tree") < end)).select("a", "b")
+        if labels is not None:
+            for end_name in ("a", "b"):
+                at = labels.select(F.col("node").alias(end_name), F.col("label").alias("to"))
+                part = part.join(at, end_name, "left").withColumn(
+                    end_name, F.coalesce("to", end_name)).drop("to")
+            part = part.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+        merged = connected_components(part)
+        if labels is None:
+            labels = merged
+        else:
+            moved = merged.select(F.col("node").alias("label"), F.col("label").alias("to"))
+            own = labels.join(moved, "label", "left").select("node", F.coalesce("to", "label").alias("label"))
+            labels = stored(own.unionByName(merged.join(labels.select("node"), "node", "left_anti")), "labels")
+    return labels
 
 
 # ------------------------------------------------------------- exact verification
@@ -283,7 +425,7 @@ def verified_links(payload: DataFrame, threshold: float) -> DataFrame:
 
 def _payload(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """Shingle sets of the wanted nodes, once for each pair of blocks that they are in.
-    ``wanted``: sid, rep, weight, cid, blocks."""
+    ``wanted``: sid, rep, rep_key, copies, weight, cid, blocks."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         for b in batches:
@@ -297,8 +439,12 @@ def _payload(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                      pa.array([s.tobytes() for s in sets], pa.binary())],
                     ["sid", "weight", "cid", "blocks", "shingles"]).filter(pa.array(ok, pa.bool_()))
 
-    texts = docs.join(wanted, docs.id == wanted.rep).select("text", "sid", "weight", "cid", "blocks")
-    sets = texts.mapInArrow(run, "sid long, weight long, cid long, blocks long, shingles binary")
+    wanted = stored(wanted, "wanted")
+    texts = docs.join(wanted, (docs.id == wanted.rep) & (docs.key == wanted.rep_key))
+    if not wanted.where("copies > 1").isEmpty():           # rows that repeat id and text
+        texts = texts.where("copies = 1").unionByName(
+            one_of_each(texts.where("copies > 1"), [F.col("sid")]))
+    sets = texts.select("text", "sid", "weight", "cid", "blocks").mapInArrow(run, "sid long, weight long, cid long, blocks long, shingles binary")
     own = F.pmod(F.xxhash64("sid"), F.col("blocks"))
     return (sets.withColumn("own", own)
             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
@@ -307,27 +453,39 @@ def _payload(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     "shingles"))
 
 
-def jaccard_join(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, trees: int = 16,
-                 depth: int = 8, target_recall: float = 0.999, block_sets: int = 2048,
-                 block_shingles: int = 1_000_000, id_col: str = "doc_id",
-                 text_col: str = "text") -> DataFrame:
-    """One row per document: doc_id, rep_id, class_id, n_links."""
-    ship(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
-                       F.col(text_col).alias("text"))
-    prefix = prefix_length(threshold, trees, depth, target_recall)
-    sketched = stored(sketch(rows, trees, depth, prefix, shingle), "sketch")
-    # one node per set; the keys follow from the set, so any row's will do
-    nodes = stored(sketched.where("sid IS NOT NULL").groupBy("sid").agg(
-        F.min("id").alias("rep"), F.count(F.lit(1)).alias("weight"), F.max("n").alias("n")), "nodes")
-    keyed = sketched.where("sid IS NOT NULL").join(
-        nodes.select("sid", F.col("rep").alias("id")), ["sid", "id"], "left_semi")
-    found = connected_components(candidate_edges(keyed))
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"),
+                       F.xxhash64(text_col).alias("key"), F.col(text_col).alias("text"))
+
+
+def classified(rows: DataFrame, threshold: float = 0.8, shingle: int = 5, trees: int = 32,
+               depth: int = 10, target_recall: float = 0.999, floor_recall: float = 0.995,
+               sample_rows: int = 1000, block_sets: int = 1024,
+               block_shingles: int = 500_000) -> tuple[DataFrame, DataFrame]:
+    """``(id, key, text)`` rows to their sketch ``(id, key, sid, ...)`` and the sets
+    ``(sid, rep, weight, label, n_links)``; sets with one label are a class."""
+    ship(rows.sparkSession)
+    sketched = stored(sketch(rows, trees, depth, shingle, threshold, sample_rows), "sketch")
+    measured = sketched.where("links IS NOT NULL").agg(
+        *[F.coalesce(F.sum(F.col("links")[k]), F.lit(0)) for k in range(depth + 1)]).first()
+    prefix = matched_prefix(list(measured), threshold, trees, target_recall, floor_recall)
+    # one node per set; the letters follow from the set, so any row's will do
+    sets = sketched.where("sid IS NOT NULL")
+    nodes = stored(sets.groupBy("sid", "id", "key").agg(
+        F.count(F.lit(1)).alias("copies"), F.max("n").alias("n")).groupBy("sid").agg(
+        F.min(F.struct("id", "key", "copies")).alias("r"), F.sum("copies").alias("weight"),
+        F.max("n").alias("n")).select("sid", F.col("r.id").alias("rep"), F.col("r.key").alias("rep_key"),
+                                      F.col("r.copies").alias("copies"), "weight", "n"), "nodes")
+    lettered = sets.select("sid", "id", "key", "letters").join(
+        nodes.select("sid", F.col("rep").alias("id"), F.col("rep_key").alias("key")),
+        ["sid", "id", "key"], "left_semi")
+    found = contracted(trie_edges(lettered, trees, depth, prefix), trees)
     sized = nodes.join(found.withColumnRenamed("node", "sid"), "sid")
     blocks = stored(sized.groupBy("label").agg(F.greatest(
         F.ceil(F.sum("n") / block_shingles), F.ceil(F.count(F.lit(1)) / block_sets))
         .alias("blocks")), "blocks")
-    wanted = sized.join(blocks, "label").select("sid", "rep", "weight", F.col("label").alias("cid"), "blocks")
+    wanted = sized.join(blocks, "label").select("sid", "rep", "rep_key", "copies", "weight",
+                                                F.col("label").alias("cid"), "blocks")
     links = stored(verified_links(_payload(rows, wanted, shingle), threshold), "links")
     classes = connected_components(links.where("root IS NOT NULL").select(
         F.col("sid").alias("a"), F.col("root").alias("b")))
@@ -335,6 +493,12 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, tree
     placed = (nodes.join(classes.withColumnRenamed("node", "sid"), "sid", "left")
               .join(counts, "sid", "left")
               .withColumn("label", F.coalesce("label", "sid")))
+    return sketched, placed
+
+
+def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+    """One row per document: doc_id, rep_id, class_id, n_links (options: ``classified``)."""
+    sketched, placed = classified(_rows(docs, id_col, text_col), **options)
     least = stored(placed.groupBy("label").agg(F.min("rep").alias("class_id")), "classes")
     by_set = placed.join(least, "label").select(
         "sid", "rep", "class_id",
@@ -348,9 +512,25 @@ def jaccard_join(docs: DataFrame, threshold: float = 0.8, shingle: int = 5, tree
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"))
 
 
-def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs``, with all columns, without the documents of a class other than
-    its least one.  Rows with a null id stay."""
-    gone = (jaccard_join(docs, id_col=id_col, **options).where("doc_id <> class_id")
-            .select(F.col("doc_id").alias("__gone")).distinct())
-    return docs.join(gone, F.col(id_col) == F.col("__gone"), "left_anti")
+def keep_one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                     **options) -> DataFrame:
+    """The rows of ``docs``, with all columns, one of each class: the one with the least id
+    (null is the least), then the least hash of its text.  Of rows that repeat both, one
+    stays.  Rows without a word are in no class and stay."""
+    sketched, placed = classified(_rows(docs, id_col, text_col), **options)
+    # the id and the text's hash name a row up to repetition, and the set follows from them
+    members = stored(sketched.where("sid IS NOT NULL").select("sid", "id", "key").join(
+        placed.select("sid", "label"), "sid").groupBy("label", "id", "key").agg(
+        F.count(F.lit(1)).alias("n")), "members")
+    keepers = stored(members.groupBy("label").agg(F.min(F.struct("id", "key")).alias("k")), "keepers")
+    stays = (F.col("id") == F.col("k.id")) & (F.col("key") == F.col("k.key"))
+    marked = stored(members.join(keepers, "label").where(~stays | (F.col("n") > 1))
+                    .select("id", "key", stays.alias("repeats")).distinct(), "marked")
+    i, k = unused(docs, "id"), unused(docs, "key")
+    own = (F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)) == F.col(i)) & (F.xxhash64(text_col) == F.col(k))
+    named = lambda which: marked.where(which).select(F.col("id").alias(i), F.col("key").alias(k))
+    out = docs.join(named("true"), own, "left_anti")
+    if not marked.where("repeats").isEmpty():
+        out = out.unionByName(one_of_each(docs.join(named("repeats"), own, "left_semi"),
+                                          [F.col(id_col), F.xxhash64(text_col)]))
+    return out
