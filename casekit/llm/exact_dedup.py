@@ -11,18 +11,22 @@ Defined results
     * of equal texts in one ingested batch the row with the largest id stays;
     * a text that an earlier batch put into the index has its keeper there, so every
       new row with it goes;
-    * rows that repeat the same id and text are one document: they stay or go together;
-    * a null id is smaller than any other id; if a group has only null ids they stay;
+    * rows that repeat the same id and text are one document: they get the same verdict, and
+      ``keep_first_copies`` keeps one of them;
+    * a null id is smaller than any other id; a group of null ids has the null id as keeper;
+    * an index opened again has the bucket count it was built with, whatever the session's
+      shuffle width is now; asking for another count is an error;
     * an empty batch appends nothing and gives an empty result;
     * other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stored, text_or_empty
+from .common import one_of_each, stored, text_or_empty, unused
 
 
 def text_digest(text_col: str) -> Column:
@@ -31,16 +35,34 @@ def text_digest(text_col: str) -> Column:
 
 
 class DigestIndex:
-    """A persistent table ``(digest, keep_id, group_size)``, bucketed and sorted by digest."""
+    """A persistent table ``(digest, keep_id, group_size)``, bucketed and sorted by digest.
+
+    The bucket count is stored beside the files (``<path>.buckets``): files bucketed one way
+    must never be read as if they were bucketed another.  It is fixed when the index is first
+    made, from ``buckets`` or the session's shuffle width.
+    """
 
     def __init__(self, spark: SparkSession, name: str, path: str, buckets: int | None = None):
         self.spark, self.name, self.path = spark, name, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        self.buckets = self._stored_buckets()
+        if self.buckets is None:
+            self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+            spark.range(1).select(F.lit(self.buckets).alias("buckets")).write.parquet(f"{path}.buckets")
+        elif buckets and buckets != self.buckets:
+            raise ValueError(f"the index at {path} has {self.buckets} buckets, not {buckets}")
         spark.sql(f"CREATE TABLE IF NOT EXISTS {name} "
                   f"(digest STRING, keep_id BIGINT, group_size BIGINT) USING parquet "
                   f"CLUSTERED BY (digest) SORTED BY (digest) INTO {self.buckets} BUCKETS "
                   f"LOCATION '{path}'")
 
+    def _stored_buckets(self) -> int | None:
+        try:
+            return self.spark.read.schema("buckets int").parquet(f"{self.path}.buckets").first().buckets
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return None
+
     def frame(self) -> DataFrame:
         return self.spark.table(self.name)
 
@@ -84,10 +106,17 @@ def exact_dedup(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
 
 def keep_first_copies(docs: DataFrame, index: DigestIndex, id_col: str = "doc_id",
                       text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
+    """The rows of ``docs`` that stay, one of each text, with all their columns."""
     index.ingest(docs, id_col, text_col)
-    keepers = index.frame().select(F.col("digest").alias("__digest"),
-                                   F.col("keep_id").alias("__keep_id"))
-    cond = ((text_digest(text_col) == F.col("__digest"))
-            & F.col(id_col).cast("long").eqNullSafe(F.col("__keep_id")))
-    return docs.join(keepers.hint("merge"), cond, "left_semi")
+    d, k = unused(docs, "digest"), unused(docs, "keep_id")
+    digest, own_id = text_digest(text_col), F.col(id_col).cast("long")
+    keepers = index.frame().select(F.col("digest").alias(d), F.col("keep_id").alias(k))
+    out = docs.join(keepers.hint("merge"), (digest == F.col(d)) & own_id.eqNullSafe(F.col(k)), "left_semi")
+    # rows that repeat id and text: one of them stays
+    again = stored(docs.groupBy(digest.alias(d), own_id.alias(k)).agg(F.count(F.lit(1)).alias("n"))
+                   .where("n > 1").select(d, k), "repeats")
+    if again.isEmpty():
+        return out
+    same = (digest == F.col(d)) & own_id.eqNullSafe(F.col(k))
+    return out.join(again, same, "left_anti").unionByName(
+        one_of_each(out.join(again, same, "left_semi"), [digest, own_id]))

@@ -86,6 +86,37 @@ def test_exact_dedup_edges_and_second_batch(spark):
     assert index.frame().count() == 6
 
 
+def test_digest_index_opened_again_at_another_width(spark):
+    path = scratch_path(spark, "digest-reopened")
+    docs = spark.createDataFrame([(i, f"text {i % 400}", "", "", 0) for i in range(900)], DOCS)
+    first = exact_dedup.DigestIndex(spark, "t_first_" + path[-12:], path, buckets=8)
+    assert exact_dedup.keep_first_copies(docs, first).count() == 400
+    width = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "5")
+    try:
+        # another name: as in a fresh catalog, the table is registered over the files
+        again = exact_dedup.DigestIndex(spark, "t_again_" + path[-12:], path)
+        assert again.buckets == 8
+        assert exact_dedup.exact_dedup(docs.where("doc_id >= 500"), again).count() == 400
+        assert again.frame().count() == 400
+        assert exact_dedup.DigestIndex(spark, first.name, path).frame().count() == 400
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", width)
+    with pytest.raises(ValueError):
+        exact_dedup.DigestIndex(spark, "t_other_" + path[-12:], path, buckets=5)
+
+
+def test_keep_first_copies_keeps_one_of_repeated_rows(spark):
+    path = scratch_path(spark, "digest-repeats")
+    rows = [(1, "a"), (5, "a"), (5, "a"), (5, "b"), (None, "n"), (None, "n"), (None, "a"), (7, None), (7, "")]
+    docs = spark.createDataFrame([(i, t, "x", "y", 1) for i, t in rows],
+                                 "doc_id long, text string, digest string, __digest string, keep_id int")
+    index = exact_dedup.DigestIndex(spark, "t_repeats_" + path[-12:], path)
+    left = exact_dedup.keep_first_copies(docs, index)
+    assert left.columns == docs.columns
+    assert sorted(((r.doc_id, r.text or "") for r in left.collect()), key=str) == [(5, "a"), (5, "b"), (7, ""), (None, "n")]
+
+
 def test_capacity_tree_is_best_fit(spark):
     rng = random.Random(1)
     for window in (7, 8, 100):
