@@ -18,27 +18,36 @@ from pyspark.sql import functions as F  # noqa: E402
 
 import oracle_views as ov  # noqa: E402
 from casekit import schemas  # noqa: E402
-from casekit.config import KPI_WINDOWS  # noqa: E402
-from casekit.functions import (conform, hours_between, in_last, score_label,  # noqa: E402
-                               with_event_date, with_load_stamp)
+from casekit.config import BANDS, KPI_WINDOWS, QUESTION_FEEDBACK  # noqa: E402
+from casekit.functions import (conform, conform_checked, hours_between, in_last,  # noqa: E402
+                               parse_range, score_label, split_rejects, with_event_date,
+                               with_load_stamp)
 from casekit.operators import (DimSpec, enrich, kpi_counts, kpi_feedback,  # noqa: E402
                                kpi_report, live_priority_counts, live_status_counts,
-                               merge_distinct, priority_lookup, score_bands)
+                               merge_distinct, priority_lookup, regional_lookup,
+                               score_answers, score_bands)
 from casekit.operators.kpi import KPI_COLUMNS, kpi_name  # noqa: E402
 from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,  # noqa: E402
                                 latest_surveys, score_feedback, wide_dim_specs)
 from casekit.functions.jsonio import (decode_json, encode_arrays, encode_rows,  # noqa: E402
                                       text_fields)
-from casekit.plans.jobs import (Warehouse, build_increment,  # noqa: E402
+from casekit.plans.incremental import (fact_from_latest, merge_increment,  # noqa: E402
+                                       update_latest_tables)
+from casekit.plans.jobs import (Warehouse, build_increment, following_priority,  # noqa: E402
                                 merge_history, refresh_dimension, refresh_history, stored_kpis)
-from casekit.session import scratch_path, state_partitions  # noqa: E402
+from casekit.session import scratch_path  # noqa: E402
+from casekit.sources.landing import compact_landing, read_landed  # noqa: E402
 from casekit.sources import driver_views as dv  # noqa: E402
 from casekit.sources.delimited import read_delimited, write_delimited  # noqa: E402
 from casekit.sources.tables import (overwrite_partitions, read_landing,  # noqa: E402
                                     rebuild_table, write_table)
-from casekit.streaming import (LiveSinks, decode_cases, decode_surveys,  # noqa: E402
-                               dedup_stream, enrich_stream, forward_files, land_stream,
-                               publish_json, start_live, stream_files, stream_messages)
+from casekit.streaming import (LiveSinks, count_first_seen, counted_kinds,  # noqa: E402
+                               cumulative_counts, decode_cases, decode_surveys, dedup_stream,
+                               enrich_stream, forward_files, join_streams, land_newest,
+                               land_stream, merged_sketches, newest_landed, priority_kinds,
+                               publish_json, rocksdb_state, sketch_counts, start_live,
+                               stream_files, stream_messages)
+from casekit.streaming.live import replace_batch  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 AS_OF = dv.AS_OF
@@ -465,28 +474,154 @@ def q_fact_rebuild(spark, d):
     return read_landing(spark, f"{base}/fact", _FACT_BY_MONTH)
 
 
+def q_incremental_merge(spark, d):
+    """Merged cases from the history alone, then two landed batches merged one after the
+    other (each run of the job takes what the ledger has not)."""
+    wh = _history_only(spark, d, "incremental_merge")
+    landed, cases, surveys = wh.landing(), dv.case_increment(spark, d), dv.survey_increment(spark, d)
+    for b in (0, 1):
+        replace_batch(cases.where(F.col("product_code").cast("long") % 2 == b), landed.cases, b)
+        replace_batch(surveys.where(F.col("survey_id").cast("long") % 2 == b), landed.surveys, b)
+        merge_increment(spark, wh, AS_OF)
+    return wh.read(spark, "case_dly")
+
+
+def _history_only(spark, d, name):
+    """A warehouse whose merged tables hold the history and no increment."""
+    wh = Warehouse(scratch_path(spark, name), by_date=False)
+    refresh_history(with_event_date(dv.case_history(spark, d), "create_timestamp",
+                                    "create_date"), wh, "case_stg", AS_OF)
+    refresh_history(with_event_date(dv.survey_history(spark, d), "survey_timestamp",
+                                    "survey_date"), wh, "survey_stg", AS_OF)
+    merge_history(spark, wh, AS_OF, increments=False)
+    return wh
+
+
+def q_incremental_fact(spark, d):
+    """The fact from bucketed latest-row tables, brought up to date three times: with the
+    history and with two halves of the increment."""
+    wh = Warehouse(scratch_path(spark, "incremental_fact"))
+    cases, surveys = dv.case_increment(spark, d), dv.survey_increment(spark, d)
+    update_latest_tables(spark, wh, dv.case_history(spark, d), dv.survey_history(spark, d), buckets=8)
+    for b in (0, 1):
+        update_latest_tables(spark, wh, cases.where(F.col("product_code").cast("long") % 2 == b),
+                             surveys.where(F.col("survey_id").cast("long") % 2 == b))
+    return fact_from_latest(spark, wh, AS_OF)
+
+
+def _checked_surveys(spark, d):
+    """Survey texts with planted values that are no numbers and no times."""
+    s = text_fields(dv.surveys(spark, d), SURVEY_TS)
+    k = F.col("survey_id").cast("long")
+    return conform_checked(s.withColumn("Q1", F.when(k % 7 == 2, "n/a").otherwise(F.col("Q1")))
+                           .withColumn("survey_timestamp", F.when(k % 11 == 3, "yesterday")
+                                       .otherwise(F.col("survey_timestamp"))),
+                           schemas.SURVEY)
+
+
+def q_load_checked(spark, d):
+    """The surveys whose values all convert."""
+    return split_rejects(_checked_surveys(spark, d), "survey_id")[0]
+
+
+def q_load_rejects(spark, d):
+    """Every value that does not convert, with its column and raw text."""
+    return split_rejects(_checked_surveys(spark, d), "survey_id")[1]
+
+
+def q_bands_index(spark, d):
+    """The four feedback scores by interval search over unpivoted answers."""
+    parsed = dv.survey_questions(spark).select("question_id", *[
+        parse_range(c).alias(c) for c, _ in BANDS])
+    bands = parsed.select(F.col("question_id").alias("question"), F.explode(F.array(*[
+        F.struct(F.col(c).getField("lo").alias("lo"), F.col(c).getField("hi").alias("hi"),
+                 F.lit(score).alias("score"), F.lit(rank).alias("rank"))
+        for rank, (c, score) in enumerate(BANDS)])).alias("b")).select("question", "b.*")
+    s = dv.surveys(spark, d).select("survey_id", "Q1", "Q2", "Q3", "Q5")
+    scored = score_answers(s.unpivot("survey_id", list(QUESTION_FEEDBACK), "question", "answer"), bands)
+    back = scored.groupBy("survey_id").agg(
+        *[F.max(F.when(F.col("question") == q, F.col("answer"))).alias(q) for q in QUESTION_FEEDBACK],
+        *[F.max(F.when(F.col("question") == q, F.col("score"))).alias(out)
+          for q, out in QUESTION_FEEDBACK.items()])
+    return back
+
+
+def q_bands_many(spark, d):
+    """Line items scored by hundreds of overlapping bands a question, taken from the parts."""
+    p = dv.table(spark, d, "part").select("p_partkey", "p_size")
+    lo = F.col("p_partkey") * 37 % 9973
+    bands = p.select((F.col("p_partkey") % 4).cast("string").alias("question"), lo.alias("lo"),
+                     (lo + F.col("p_size")).alias("hi"),
+                     (F.col("p_partkey") % 7 - 3).cast("int").alias("score"),
+                     F.col("p_partkey").alias("rank"))
+    answers = dv.table(spark, d, "lineitem").select(
+        "l_orderkey", "l_linenumber", (F.col("l_linenumber") % 5).cast("string").alias("question"),
+        (F.col("l_partkey") * 101 % 10_007).alias("answer"))
+    return score_answers(answers, bands)
+
+
+def q_enrich_regional_calendar(spark, d):
+    """Latest cases with the calendar of their region: EU has rows for some days only, and
+    other cases fall back on the US calendar."""
+    us = dv.calendar(spark, d)
+    eu = us.where(F.dayofmonth("calendar_date") % 3 == 0).select(
+        *[F.upper("month_name").alias(c) if c == "month_name" else
+          F.lit("EU").alias(c) if c == "geo_region_cd" else F.col(c) for c in us.columns])
+    cases = _fact(spark, d).select("case_no", "create_timestamp", F.expr(
+        "CASE call_center_id % 3 WHEN 0 THEN 'EU' WHEN 1 THEN 'APAC' END").alias("region"))
+    return regional_lookup(cases, us.unionByName(eu), F.col("create_timestamp").cast("date"), "region",
+                           "calendar_date", "geo_region_cd", ["date_desc", "month_name"], "US",
+                           prefix="case_create_")
+
+
 # ----------------------------------------------------------------- streams
 
 CUTS = 3
 
 
-def _cut(frame, key, path, ts_format="yyyy-MM-dd HH:mm:ss"):
-    """Messages in three files, one after the other by time: records whose key leaves
-    remainder b are in file b.  With one file a micro-batch, batch b holds them."""
-    for b in range(CUTS):
-        part = frame.where(F.col(key).cast("long") % CUTS == b)
-        _write_text(encode_arrays(text_fields(part, ts_format), 20).coalesce(1), path, "append")
+def _append_messages(frame, path, ts_format="yyyy-MM-dd HH:mm:ss"):
+    """Records as JSON arrays, in as many files as there are tasks."""
+    _write_text(encode_arrays(text_fields(frame, ts_format), 20), path, "append")
 
 
-def _case_stream(spark, d, base):
-    _cut(dv.cases(spark, d), "case_no", f"{base}/in")
-    return stream_messages(spark, "text", f"{base}/in", max_files=1)
+def _cuts(frame, key, path, ts_format="yyyy-MM-dd HH:mm:ss"):
+    """For each cut b a function that writes the records whose key leaves remainder b."""
+    return [lambda b=b: _append_messages(frame.where(F.col(key).cast("long") % CUTS == b), path, ts_format)
+            for b in range(CUTS)]
+
+
+def _run_in_cuts(cuts, start):
+    """One micro-batch a cut: its files arrive, and the query, resumed from its checkpoint,
+    reads them all."""
+    for writes in cuts:
+        for write in writes if isinstance(writes, (tuple, list)) else [writes]:
+            write()
+        start().awaitTermination()
+
+
+def _case_stream(spark, d, base, key="case_no"):
+    """The case messages as a stream, and the cuts that feed it."""
+    cuts = _cuts(dv.cases(spark, d), key, f"{base}/in")
+    _touch(spark, f"{base}/in")
+    return stream_messages(spark, "text", f"{base}/in"), cuts
+
+
+def _survey_stream(spark, d, base):
+    cuts = _cuts(dv.surveys(spark, d), "survey_id", f"{base}/surveys", SURVEY_TS)
+    _touch(spark, f"{base}/surveys")
+    return stream_messages(spark, "text", f"{base}/surveys"), cuts
+
+
+def _touch(spark, path):
+    """A watched folder must be there before its stream is defined."""
+    _write_text(spark.createDataFrame([], "value string"), path)
 
 
 def q_stream_land_cases(spark, d):
     base = scratch_path(spark, "stream_land_cases")
-    cases = decode_cases(_case_stream(spark, d, base))
-    land_stream(cases, f"{base}/landing", f"{base}/ckpt", trigger=ONCE).awaitTermination()
+    messages, cuts = _case_stream(spark, d, base)
+    _run_in_cuts(cuts, lambda: land_stream(decode_cases(messages), f"{base}/landing", f"{base}/ckpt",
+                                           trigger=ONCE))
     return read_landing(spark, f"{base}/landing", schemas.CASE)
 
 
@@ -494,26 +629,54 @@ def _lookup(spark):
     return priority_lookup(dv.case_category(spark), dv.case_priority(spark), how="inner")
 
 
+_ENRICHED = ("case_no", "status", "category", "sub_category", "last_modified_timestamp",
+             "Priority_key", "priority", "severity")
+
+
 def q_stream_enrich(spark, d):
     base = scratch_path(spark, "stream_enrich")
-    out = enrich_stream(decode_cases(_case_stream(spark, d, base)), _lookup(spark)).select(
-        "case_no", "status", "category", "sub_category", "last_modified_timestamp",
-        "Priority_key", "priority", "severity")
-    land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE).awaitTermination()
+    messages, cuts = _case_stream(spark, d, base)
+    out = enrich_stream(decode_cases(messages), _lookup(spark)).select(*_ENRICHED)
+    _run_in_cuts(cuts, lambda: land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE))
     return spark.read.parquet(f"{base}/landing")
 
 
+def q_stream_lookup_change(spark, d):
+    """Three batches; the priority table is replaced after the first, and the later batches
+    see the new one.  The lookup is loaded twice, not once a batch."""
+    base = scratch_path(spark, "stream_lookup_change")
+    wh = Warehouse(base)
+    refresh_dimension(dv.case_category(spark), wh, "case_category", AS_OF)
+    refresh_dimension(dv.case_priority(spark), wh, "case_priority", AS_OF)
+    lookup = following_priority(spark, wh)
+    messages, cuts = _case_stream(spark, d, base)
+
+    def change():
+        refresh_dimension(dv.case_priority(spark).withColumn("severity", F.upper("severity")),
+                          wh, "case_priority", AS_OF)
+
+    def handle(batch, batch_id):
+        replace_batch(lookup(decode_cases(batch)).select(*_ENRICHED), f"{base}/landing", batch_id)
+
+    _run_in_cuts([cuts[0], (change, cuts[1]), cuts[2]], lambda: (
+        messages.writeStream.foreachBatch(handle).option("checkpointLocation", f"{base}/ckpt")
+        .trigger(**ONCE).start()))
+    if lookup.loads != 2:
+        raise RuntimeError(f"the lookup was loaded {lookup.loads} times, not twice")
+    return spark.read.parquet(f"{base}/landing").withColumn("batch_id", F.col("batch_id").cast("long"))
+
+
 def _live(spark, d, name, damaged=False):
     """The live job over both streams in three micro-batches; its output folders."""
     base = scratch_path(spark, name)
-    cases = _case_stream(spark, d, base)
+    cases, case_cuts = _case_stream(spark, d, base)
+    surveys, survey_cuts = _survey_stream(spark, d, base)
+    cuts = list(zip(case_cuts, survey_cuts))
     if damaged:
-        _write_text(_damaged_messages(spark, d).coalesce(1), f"{base}/in", "append")
-    _cut(dv.surveys(spark, d), "survey_id", f"{base}/surveys", SURVEY_TS)
-    surveys = stream_messages(spark, "text", f"{base}/surveys", max_files=1)
+        cuts[0] += (lambda: _write_text(_damaged_messages(spark, d), f"{base}/in", "append"),)
     sinks = LiveSinks.under(f"{base}/out", published=f"{base}/published")
-    start_live(cases, surveys, sinks, _lookup(spark), f"{base}/ckpt",
-               trigger=ONCE).awaitTermination()
+    _run_in_cuts(cuts, lambda: start_live(cases, surveys, sinks, _lookup(spark), f"{base}/ckpt",
+                                          trigger=ONCE))
     return sinks
 
 
@@ -534,6 +697,14 @@ def q_stream_fan_out_landing(spark, d):
     return read_landing(spark, _live(spark, d, "stream_fan_out").cases, schemas.CASE)
 
 
+def q_landing_compaction(spark, d):
+    """The cases landed by the live job in three batches, the first two compacted and their
+    folders removed."""
+    sinks = _live(spark, d, "landing_compaction")
+    compact_landing(spark, sinks.cases, remove=True)
+    return read_landed(spark, sinks.cases, schemas.CASE)
+
+
 def q_stream_rejects(spark, d):
     """What the live job could not decode, landed with its raw text."""
     return spark.read.parquet(_live(spark, d, "stream_rejects", damaged=True).rejects).select(
@@ -546,29 +717,87 @@ def q_stream_join_batch(spark, d):
     return decode_json(spark.read.text(sinks.published), schemas.CASE_SURVEY)
 
 
+def q_stream_join_state(spark, d):
+    """Cases joined to the surveys of any batch: in three batches, two thirds of the pairs
+    meet across batches, through state."""
+    base = scratch_path(spark, "stream_join_state")
+    cases, case_cuts = _case_stream(spark, d, base)
+    surveys, survey_cuts = _survey_stream(spark, d, base)
+    out = join_streams(decode_cases(cases, keep=("ingest_ts",)), decode_surveys(surveys, keep=("ingest_ts",)),
+                       within="30 days")
+    with rocksdb_state(spark):
+        _run_in_cuts(zip(case_cuts, survey_cuts),
+                     lambda: land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE))
+    return read_landing(spark, f"{base}/landing", schemas.CASE_SURVEY)
+
+
+def q_stream_cumulative_counts(spark, d):
+    """Distinct cases in total, Open and Closed up to and with each of three batches; the
+    versions of a case are spread over the batches."""
+    base = scratch_path(spark, "stream_cumulative")
+    messages, cuts = _case_stream(spark, d, base, key="product_code")
+    kinds = counted_kinds(decode_cases(messages))
+    with rocksdb_state(spark):
+        _run_in_cuts(cuts, lambda: count_first_seen(kinds, ["Case_Type"], f"{base}/counts",
+                                                    f"{base}/ckpt", ONCE))
+    return cumulative_counts(spark, f"{base}/counts", ["Case_Type"])
+
+
+def q_stream_cumulative_priority(spark, d):
+    """Distinct cases per priority and severity up to and with each of three batches."""
+    base = scratch_path(spark, "stream_cumulative_priority")
+    messages, cuts = _case_stream(spark, d, base, key="product_code")
+    kinds = priority_kinds(enrich_stream(decode_cases(messages), _lookup(spark)))
+    groups = ["priority", "severity"]
+    with rocksdb_state(spark):
+        _run_in_cuts(cuts, lambda: count_first_seen(kinds, groups, f"{base}/counts", f"{base}/ckpt", ONCE))
+    return cumulative_counts(spark, f"{base}/counts", groups)
+
+
+def q_stream_sketch_counts(spark, d):
+    """The same counts over all batches from merged sketches: are they within 5 % (three
+    standard errors) of the exact ones?"""
+    base = scratch_path(spark, "stream_sketch")
+    messages, cuts = _case_stream(spark, d, base, key="product_code")
+    kinds = counted_kinds(decode_cases(messages))
+    _run_in_cuts(cuts, lambda: sketch_counts(kinds, ["Case_Type"], f"{base}/sketches", f"{base}/ckpt", ONCE))
+    exact = live_status_counts(dv.cases(spark, d)).withColumnRenamed("Cases_numbers", "exact")
+    return (merged_sketches(spark, f"{base}/sketches", ["Case_Type"]).join(exact, "Case_Type")
+            .select("Case_Type", F.col("exact").alias("Cases_numbers"),
+                    (F.abs(F.col("Cases_numbers") - F.col("exact")) <= 0.05 * F.col("exact"))
+                    .alias("sketch_is_close")))
+
+
+def q_stream_newest_case(spark, d):
+    """The newest version of every case, held in keyed state over three batches."""
+    base = scratch_path(spark, "stream_newest")
+    messages, cuts = _case_stream(spark, d, base, key="product_code")
+    with rocksdb_state(spark):
+        _run_in_cuts(cuts, lambda: land_newest(decode_cases(messages), f"{base}/newest", f"{base}/ckpt", ONCE))
+    return newest_landed(spark.read.parquet(f"{base}/newest"))
+
+
 def q_stream_dedup(spark, d):
     """History and increment overlap by five days; redelivered surveys dropped, in
     four micro-batches."""
     base = scratch_path(spark, "stream_dedup")
-    for part in (dv.survey_history(spark, d), dv.survey_increment(spark, d)):
-        for b in (0, 1):
-            half = part.where(F.col("survey_id").cast("long") % 2 == b)
-            _write_text(_survey_messages(half).coalesce(1), f"{base}/in", "append")
-    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/in", max_files=1),
-                             keep=("ingest_ts",))
+    _touch(spark, f"{base}/in")
+    cuts = [lambda part=part, b=b: _write_text(_survey_messages(
+        part.where(F.col("survey_id").cast("long") % 2 == b)), f"{base}/in", "append")
+        for part in (dv.survey_history(spark, d), dv.survey_increment(spark, d)) for b in (0, 1)]
+    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/in"), keep=("ingest_ts",))
     out = dedup_stream(surveys, ["survey_id"])
-    with state_partitions(spark):
-        q = land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE)
-    q.awaitTermination()
+    with rocksdb_state(spark):
+        _run_in_cuts(cuts, lambda: land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE))
     return read_landing(spark, f"{base}/landing", schemas.SURVEY)
 
 
 def q_stream_publish_array(spark, d):
     """Case stream published as bounded JSON arrays from foreachBatch, read back."""
     base = scratch_path(spark, "stream_publish_array")
-    cases = decode_cases(_case_stream(spark, d, base))
-    publish_json(cases, f"{base}/ckpt", fmt="text", path=f"{base}/out", envelope="array",
-                 max_rows=500, trigger=ONCE).awaitTermination()
+    messages, cuts = _case_stream(spark, d, base)
+    _run_in_cuts(cuts, lambda: publish_json(decode_cases(messages), f"{base}/ckpt", fmt="text",
+                                            path=f"{base}/out", envelope="array", max_rows=500, trigger=ONCE))
     return decode_cases(spark.read.text(f"{base}/out"))
 
 
@@ -645,6 +874,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup": q_stream_dedup,
     "file_forward": q_file_forward,
     "stream_publish_array": q_stream_publish_array,
+    "stream_join_state": q_stream_join_state,
+    "stream_cumulative_counts": q_stream_cumulative_counts,
+    "stream_cumulative_priority": q_stream_cumulative_priority,
+    "stream_sketch_counts": q_stream_sketch_counts,
+    "incremental_merge": q_incremental_merge,
+    "incremental_fact": q_incremental_fact,
+    "landing_compaction": q_landing_compaction,
+    "stream_lookup_change": q_stream_lookup_change,
+    "bands_index": q_bands_index,
+    "bands_many": q_bands_many,
+    "stream_newest_case": q_stream_newest_case,
+    "load_checked": q_load_checked,
+    "load_rejects": q_load_rejects,
+    "enrich_regional_calendar": q_enrich_regional_calendar,
 }
 
 
@@ -878,6 +1121,49 @@ ORACLE.update({
     "stream_dedup": "SELECT * FROM surveys",
     "file_forward": "SELECT * FROM cases",
     "stream_publish_array": "SELECT * FROM cases",
+    "stream_join_state": "SELECT c.*, s.* EXCLUDE (case_no) FROM cases c JOIN surveys s USING (case_no)",
+    "stream_cumulative_counts": """UNPIVOT (
+        SELECT b.batch_id, count(DISTINCT case_no) AS "Total Cases",
+               count(DISTINCT case_no) FILTER (status = 'Open') AS "Open Cases",
+               count(DISTINCT case_no) FILTER (status = 'Closed') AS "Closed Cases"
+        FROM cases JOIN (SELECT unnest([0, 1, 2])::BIGINT AS batch_id) b
+          ON CAST(product_code AS BIGINT) % 3 <= b.batch_id GROUP BY 1)
+        ON COLUMNS(* EXCLUDE (batch_id)) INTO NAME Case_Type VALUE Cases_numbers""",
+    "stream_cumulative_priority": """SELECT b.batch_id, p.priority, p.severity,
+        count(DISTINCT c.case_no) AS Cases_numbers
+        FROM cases c JOIN (SELECT unnest([0, 1, 2])::BIGINT AS batch_id) b
+          ON CAST(c.product_code AS BIGINT) % 3 <= b.batch_id
+        LEFT JOIN cat_pri_inner p ON c.category = p.category_key
+          AND c.sub_category = p.sub_category_key GROUP BY ALL""",
+    "stream_sketch_counts": f"SELECT *, true AS sketch_is_close FROM ({ORACLE['live_status_counts']}) x",
+    "incremental_merge": ORACLE["merge_cases"],
+    "incremental_fact": "SELECT * FROM fact",
+    "landing_compaction": "SELECT * FROM cases",
+    "stream_lookup_change": f"""SELECT * REPLACE (CASE WHEN {_BATCH} = 0 THEN severity
+        ELSE upper(severity) END AS severity), {_BATCH} AS batch_id
+        FROM ({_cases_priority_sql('cat_pri_inner')}) x""",
+    "bands_index": ORACLE["bands_score"],
+    "bands_many": """SELECT l_orderkey, l_linenumber, question, answer,
+        arg_min(score, p_partkey) AS score
+        FROM (SELECT row_number() OVER () AS n, l_orderkey, l_linenumber, CAST(l_linenumber % 5 AS VARCHAR) AS question,
+                     l_partkey * 101 % 10007 AS answer FROM lineitem) a
+        LEFT JOIN (SELECT *, p_partkey * 37 % 9973 AS lo, CAST(p_partkey % 7 - 3 AS INTEGER) AS score
+                   FROM part) p
+          ON CAST(p_partkey % 4 AS VARCHAR) = question AND answer BETWEEN lo AND lo + p_size
+        GROUP BY n, l_orderkey, l_linenumber, question, answer""",
+    "stream_newest_case": "SELECT * FROM case_latest",
+    "load_checked": """SELECT * FROM surveys WHERE CAST(survey_id AS BIGINT) % 7 <> 2
+        AND CAST(survey_id AS BIGINT) % 11 <> 3""",
+    "load_rejects": """SELECT survey_id, 'Q1' AS "column", 'n/a' AS raw FROM surveys
+        WHERE CAST(survey_id AS BIGINT) % 7 = 2
+        UNION ALL SELECT survey_id, 'survey_timestamp', 'yesterday' FROM surveys
+        WHERE CAST(survey_id AS BIGINT) % 11 = 3""",
+    "enrich_regional_calendar": """SELECT f.case_no, f.create_timestamp,
+        CASE CAST(f.call_center_id AS BIGINT) % 3 WHEN 0 THEN 'EU' WHEN 1 THEN 'APAC' END AS region,
+        c.date_desc AS case_create_date_desc,
+        CASE WHEN CAST(f.call_center_id AS BIGINT) % 3 = 0 AND day(c.calendar_date) % 3 = 0
+             THEN upper(c.month_name) ELSE c.month_name END AS case_create_month_name
+        FROM fact f LEFT JOIN calendar c ON c.calendar_date = CAST(f.create_timestamp AS DATE)""",
 })
 
 

@@ -4,7 +4,7 @@
     python -m casekit <job> --warehouse <root> ...        (local / preconfigured session)
 
 jobs: load-reference, load-dimensions, load-history, build-increment, merge-history,
-      build-fact, build-wide, kpi, forward-files, run-live
+      merge-increment, build-fact, build-wide, kpi, compact-landing, vacuum, forward-files, run-live
 
 The session (master, executors, ``spark.checkpoint.dir``) comes from
 ``spark-submit``; nothing here fixes cluster settings.
@@ -19,8 +19,9 @@ import sys
 from pyspark.sql import SparkSession
 
 from casekit.operators.kpi import show_kpis
-from casekit.plans import jobs
+from casekit.plans import incremental, jobs
 from casekit.session import checkpoint_root
+from casekit.sources.landing import compact_landing
 from casekit.streaming.sources import MAX_FILES, MAX_OFFSETS, stream_messages
 
 
@@ -28,8 +29,9 @@ def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="casekit", description=__doc__,
                                 formatter_class=argparse.RawDescriptionHelpFormatter)
     p.add_argument("job", choices=["load-reference", "load-dimensions", "load-history",
-                                   "build-increment", "merge-history", "build-fact",
-                                   "build-wide", "kpi", "forward-files", "run-live"])
+                                   "build-increment", "merge-history", "merge-increment",
+                                   "build-fact", "build-wide", "kpi", "compact-landing", "vacuum",
+                                   "forward-files", "run-live"])
     p.add_argument("--warehouse", required=True, help="root folder of the warehouse tables")
     p.add_argument("--catalog", help="database of the warehouse tables (default: folders)")
     p.add_argument("--table-format", default="parquet", help="format of the warehouse tables")
@@ -38,7 +40,6 @@ def _parser() -> argparse.ArgumentParser:
                    help="load-*: connection property (repeat)")
     p.add_argument("--reference-dir", help="load-reference: folder with one <table>.* per table")
     p.add_argument("--reference-suffix", default="", help="load-reference: file suffix")
-    p.add_argument("--after-batch", type=int, help="build-increment: only later batches")
     p.add_argument("--max-files", type=int, default=MAX_FILES,
                    help="streams: files of one micro-batch at most")
     p.add_argument("--max-offsets", type=int, default=MAX_OFFSETS,
@@ -46,8 +47,8 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--kpi-rows", type=int, default=1000, help="kpi: rows to print")
     p.add_argument("--kpi-out", help="kpi: also write the report to this folder")
     p.add_argument("--as-of", default=None, help="load stamp / KPI end time (default: now)")
-    p.add_argument("--landing-cases", help="build-increment: case landing table")
-    p.add_argument("--landing-surveys", help="build-increment: survey landing table")
+    p.add_argument("--landing-cases", help="build-/merge-increment, compact-landing: case landing table")
+    p.add_argument("--landing-surveys", help="build-/merge-increment, compact-landing: survey landing table")
     p.add_argument("--source-dir", help="forward-files: watched directory")
     p.add_argument("--archive-dir", help="forward-files: where finished files go")
     p.add_argument("--out", help="forward-files / run-live: output folder (text sink)")
@@ -101,8 +102,15 @@ def main(argv: list[str] | None = None) -> int:
     elif args.job == "build-increment":
         landed = wh.landing()
         jobs.build_increment(spark, args.landing_cases or landed.cases,
-                             args.landing_surveys or landed.surveys, wh, args.as_of,
-                             args.after_batch)
+                             args.landing_surveys or landed.surveys, wh, args.as_of)
+    elif args.job == "merge-increment":
+        incremental.merge_increment(spark, wh, args.as_of, args.landing_cases, args.landing_surveys)
+    elif args.job == "compact-landing":
+        for path in (args.landing_cases or wh.landing().cases,
+                     args.landing_surveys or wh.landing().surveys):
+            compact_landing(spark, path)
+    elif args.job == "vacuum":
+        wh.vacuum(spark)
     elif args.job == "merge-history":
         jobs.merge_history(spark, wh, args.as_of)
     elif args.job == "build-fact":

@@ -79,6 +79,39 @@ def conform(df: DataFrame, schema: T.StructType, *, strict: bool = True) -> Data
     return df.selectExpr(*exprs)
 
 
+def conform_checked(df: DataFrame, schema: T.StructType, keep: tuple[str, ...] = ()) -> DataFrame:
+    """``conform`` in the same pass as a list of what did not convert.
+
+    Adds ``rejected``: an array of ``(column, raw)``, one entry for every value that is there
+    but did not convert, in schema order (empty if all did).  ``keep`` carries input columns
+    along as they are, to tell where a row came from.
+    """
+    present = {f.name.lower(): f for f in df.schema.fields}
+    typed, checks = [], []
+    for f in schema.fields:
+        src = present.get(f.name.lower())
+        if src is None:
+            raise ValueError(f"conform: input has no column {f.name!r}")
+        expr = _conform_sql(src, f)
+        typed.append(expr)
+        if src.dataType != f.dataType:
+            value = expr[:expr.rindex(" AS ")]
+            checks.append(f"CASE WHEN `{src.name}` IS NOT NULL AND ({value}) IS NULL THEN "
+                          f"named_struct('column', '{f.name}', 'raw', CAST(`{src.name}` AS STRING)) END")
+    listed = (f"filter(array({', '.join(checks)}), x -> x IS NOT NULL)" if checks else
+              "CAST(array() AS array<struct<column: string, raw: string>>)")
+    return df.selectExpr(*typed, *[f"`{k}`" for k in keep], f"{listed} AS rejected")
+
+
+def split_rejects(checked: DataFrame, key: str | list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that converted in full, and one row ``(key..., column, raw)`` for every value that
+    did not.  Where both are needed, persist or write ``checked`` once: one conversion."""
+    keys = [key] if isinstance(key, str) else list(key)
+    good = checked.where(F.size("rejected") == 0).drop("rejected")
+    bad = checked.select(*keys, F.explode("rejected").alias("r")).select(*keys, "r.column", "r.raw")
+    return good, bad
+
+
 def with_event_date(df: DataFrame, ts: str, name: str) -> DataFrame:
     """Add a DATE column derived from a timestamp (text or typed)."""
     dtype = df.schema[ts].dataType

@@ -6,11 +6,11 @@ and inflate every KPI.  The guard is part of the query plan (the dimension is
 aggregated by key and a repeated key raises an error), so it costs no extra
 job.  Broadcast is decided per dimension:
 
-* ``broadcast="probe"`` (default) measures the columns to be brought: bytes of
-  their values, over no more rows than could fit.  Below ``max_broadcast_bytes``
-  the dimension is broadcast, else the join is a shuffle (sort-merge) join,
-  where AQE splits hot fact keys.  The probes of all dimensions of one call run
-  together as a single job;
+* ``broadcast="probe"`` (default) measures the columns to be brought: the bytes of
+  their values, summed by every scan task for itself (one row a task is
+  exchanged).  Up to ``max_broadcast_bytes`` the dimension is broadcast, beyond it
+  the join is a shuffle (sort-merge) join, where AQE splits hot fact keys.  The
+  probes of all dimensions of one call run together as a single job;
 * ``broadcast=None`` leaves it to Catalyst's size estimate
   (``spark.sql.autoBroadcastJoinThreshold``; estimates of joined dimensions
   can be far off, hence not the default);
@@ -44,8 +44,8 @@ class DimSpec:
     ``rename`` new names for brought columns; ``prefix`` is applied after it
     ``how``    ``left`` keeps every fact row; ``inner`` drops unmatched ones
     ``on_duplicate`` ``error`` | ``first`` (keep the smallest row) | ``ignore``
-    ``broadcast`` ``"probe"`` (bounded row count first), ``None`` (Catalyst
-    decides by estimated size), ``True`` (forced) or ``False`` (never)
+    ``broadcast`` ``"probe"`` (measured first), ``None`` (Catalyst decides by
+    estimated size), ``True`` (forced) or ``False`` (never)
     """
     df: DataFrame
     left: Sequence[str | Column]
@@ -116,17 +116,16 @@ def _value_bytes(f: T.StructField) -> str:
 def probe_bytes(items: Sequence[tuple[DataFrame, int]]) -> list[bool]:
     """For each ``(df, max_bytes)``: does ``df`` hold at most ``max_bytes`` bytes?
 
-    A probe reads no more rows than could fit; all probes are unioned into one
-    job so their stages run side by side.
+    A probe is a sum with a map-side partial step: each task sends one row, however
+    large the table is, and nothing is gathered before it.  All probes are unioned
+    into one job so their stages run side by side.
     """
     if not items:
         return []
     parts = []
-    for i, (df, limit) in enumerate(items):
+    for i, (df, _) in enumerate(items):
         row = " + ".join([str(_ROW_BYTES), *map(_value_bytes, df.schema.fields)])
-        fewest = _ROW_BYTES + 8 * len(df.schema.fields)
-        parts.append(df.limit(limit // fewest + 1).selectExpr(f"{row} AS n")
-                     .groupBy().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+        parts.append(df.selectExpr(f"{row} AS n").groupBy().agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
                      .select(F.lit(i).alias("tag"), "n"))
     u = parts[0]
     for p in parts[1:]:
@@ -177,6 +176,30 @@ def enrich(fact: DataFrame, dims: Sequence[DimSpec]) -> DataFrame:
     return prepare(dims)(fact)
 
 
+def regional_lookup(fact: DataFrame, dim: DataFrame, date: str | Column, region: str | Column,
+                    dim_date: str, dim_region: str, columns: Sequence[str], default_region: str,
+                    prefix: str = "", max_broadcast_bytes: int = DEFAULT_BROADCAST_BYTES,
+                    name: str = "calendar") -> DataFrame:
+    """A dimension keyed by date *and* region, with a row of ``default_region`` to fall back on.
+
+    A fact row gets the row of its date and region; where there is none (or its region is
+    NULL) that of its date and the default region; where there is none either, NULLs.  A
+    column that is NULL in the region's own row stays NULL.  Each (date, region) may occur
+    once; every fact row comes out once.
+    """
+    keys = [dim_date, dim_region]
+    marked = dim.select(*keys, *columns, F.lit(True).alias("__found"))
+    own = DimSpec(marked, left=[date, region], right=keys, columns=["__found", *columns],
+                  prefix="__own_", name=name, max_broadcast_bytes=max_broadcast_bytes)
+    fallback = DimSpec(marked.where(F.col(dim_region) == default_region), left=[date],
+                       right=[dim_date], columns=columns, prefix="__any_", name=name,
+                       max_broadcast_bytes=max_broadcast_bytes)
+    both = enrich(fact, [own, fallback])
+    return both.select(*fact.columns, *[
+        F.when(F.col("__own___found"), F.col(f"__own_{c}")).otherwise(F.col(f"__any_{c}"))
+        .alias(prefix + c) for c in columns])
+
+
 def priority_lookup(category: DataFrame, priority: DataFrame, how: str = "left") -> DataFrame:
     """Category joined to its priority.
 

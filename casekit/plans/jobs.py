@@ -23,7 +23,7 @@ JOB-10     forward new files' lines to a sink                      (sink)
 from __future__ import annotations
 
 import datetime as _dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, fields
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -38,10 +38,11 @@ from casekit.operators.merge import merge_distinct
 from casekit.plans.fact import WideDims, build_fact, build_wide
 from casekit.sources.delimited import read_delimited
 from casekit.sources.jdbc import read_jdbc, write_jdbc
-from casekit.sources.tables import (read_landing, read_table, rebuild_table, refresh_staging,
-                                    write_table)
+from casekit.sources.landing import manifest, read_landed
+from casekit.sources.tables import declared, read_table, replace_catalog_table
+from casekit.sources.versions import VersionedTable
 from casekit.streaming.join import forward_files
-from casekit.streaming.live import LiveSinks, start_live
+from casekit.streaming.live import FollowingLookup, LiveSinks, start_live
 from casekit.streaming.sources import MAX_FILES, stream_files
 
 
@@ -49,7 +50,11 @@ from casekit.streaming.sources import MAX_FILES, stream_files
 class Warehouse:
     """Where the tables are: folders ``<root>/<prefix>_<name>``, or with ``catalog``
     (a database name) tables ``<catalog>.<prefix>_<name>``; ``fmt`` is their format.
-    ``by_date=False`` leaves the tables unpartitioned, for data too small for a file a day."""
+    ``by_date=False`` leaves the tables unpartitioned, for data too small for a file a day.
+
+    Jobs replace a table with ``replace``: folders by a new version and a pointer (readers
+    and a crash never meet half a table), catalog tables by a second table that takes the
+    name.  ``read`` also takes a plain folder that something else has written."""
     root: str
     names: TableNames = field(default_factory=TableNames)
     catalog: str | None = None
@@ -63,8 +68,38 @@ class Warehouse:
         name = self.names.name(key)
         return f"{self.catalog}.{name}" if self.catalog else f"{self.root.rstrip('/')}/{name}"
 
+    def control(self, name: str) -> str:
+        """Folder of a table that the jobs keep for themselves (ledger, latest rows)."""
+        return f"{self.root.rstrip('/')}/control/{self.names.prefix}_{name}"
+
+    def location(self, spark: SparkSession, key: str) -> str:
+        """Where the rows of a table are now: folder, or catalog name."""
+        if self.catalog:
+            return self.path(key)
+        now = VersionedTable(spark, self.path(key), self.fmt).current()
+        return now.folder if now else self.path(key)
+
+    def version(self, spark: SparkSession, *keys: str) -> tuple[str, ...]:
+        """Changes when a job replaces one of the tables (folder tables)."""
+        return tuple(self.location(spark, k) for k in keys)
+
     def read(self, spark: SparkSession, key: str) -> DataFrame:
-        return read_table(spark, self.path(key), fmt=self.fmt)
+        return read_table(spark, self.location(spark, key), fmt=self.fmt)
+
+    def replace(self, df: DataFrame, key: str, partition_by: list[str],
+                schema: T.StructType | None = None) -> None:
+        """Replace a table as a whole; with a schema its columns are the declared ones."""
+        if self.catalog:
+            replace_catalog_table(df, self.path(key), schema, partition_by, self.fmt)
+            return
+        out = declared(df, schema, partition_by) if schema is not None else df
+        VersionedTable(df.sparkSession, self.path(key), self.fmt).replace(out, partition_by)
+
+    def vacuum(self, spark: SparkSession, keep: int = 2) -> int:
+        """Delete versions of all folder tables but the newest ``keep``."""
+        return 0 if self.catalog else sum(
+            VersionedTable(spark, self.path(f.name), self.fmt).vacuum(keep)
+            for f in fields(self.names) if f.name != "prefix")
 
     def landing(self) -> LiveSinks:
         """Folders of the live job."""
@@ -124,7 +159,7 @@ def refresh_dimension(df: DataFrame, wh: Warehouse, key: str,
     what an earlier load wrote."""
     part = "hire_date" if key == "employee" else "create_date"
     out = with_load_stamp(df, as_of, date_col=None if key == "employee" else part)
-    refresh_staging(out, wh.path(key), wh.parts(part), wh.fmt)
+    wh.replace(out, key, wh.parts(part))
 
 
 def load_history(spark: SparkSession, url: str, properties: dict, wh: Warehouse,
@@ -149,40 +184,49 @@ def load_history(spark: SparkSession, url: str, properties: dict, wh: Warehouse,
 def refresh_history(df: DataFrame, wh: Warehouse, key: str,
                     as_of: _dt.datetime | str | None = None) -> None:
     """The write half of JOB-3 for one history extract."""
-    refresh_staging(with_load_stamp(df, as_of), wh.path(key),
-                    wh.parts(HISTORY_DATES[key][1]), wh.fmt)
+    wh.replace(with_load_stamp(df, as_of), key, wh.parts(HISTORY_DATES[key][1]))
 
 
 def build_increment(spark: SparkSession, landing_cases: str, landing_surveys: str,
-                    wh: Warehouse, as_of: _dt.datetime | str | None = None,
-                    after_batch: int | None = None) -> None:
-    """JOB-5: the landed stream records -> stamped increment tables.
+                    wh: Warehouse, as_of: _dt.datetime | str | None = None) -> None:
+    """JOB-5: all landed stream records -> stamped increment tables.
 
-    With ``after_batch`` only the live job's later batches are listed and read;
-    the increments then hold those alone.
+    ``incremental.merge_increment`` is the form that takes only new batches.
     """
     for path, schema, out in ((landing_cases, schemas.CASE, "case_incr"),
                               (landing_surveys, schemas.SURVEY, "survey_incr")):
         ts, d = HISTORY_DATES["case_stg" if out == "case_incr" else "survey_stg"]
-        rows = with_event_date(read_landing(spark, path, schema, after_batch=after_batch), ts, d)
-        write_table(with_load_stamp(rows, as_of), wh.path(out), wh.parts(d), fmt=wh.fmt)
+        rows = with_event_date(_landed_or_plain(spark, path, schema), ts, d)
+        wh.replace(with_load_stamp(rows, as_of), out, wh.parts(d))
+
 
+def _landed_or_plain(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """A live job's landing folder, or any other folder of records."""
+    if manifest(spark, path) is None:
+        plain = read_table(spark, path)
+        if "batch_id" not in plain.columns:
+            return conform(plain, schema, strict=False)
+    return read_landed(spark, path, schema)
 
-def merge_history(spark: SparkSession, wh: Warehouse,
-                  as_of: _dt.datetime | str | None = None) -> None:
-    """JOB-6: staging UNION increment (distinct) -> merged daily tables."""
+
+def merge_history(spark: SparkSession, wh: Warehouse, as_of: _dt.datetime | str | None = None,
+                  increments: bool = True) -> None:
+    """JOB-6: staging UNION increment (distinct) -> merged daily tables.  Without
+    ``increments`` the merged tables start from the staging tables alone, for
+    ``incremental.merge_increment`` to add to."""
     for stg, incr, out, schema, part in (
             ("case_stg", "case_incr", "case_dly", schemas.CASE_DLY_MERGE, "create_date"),
             ("survey_stg", "survey_incr", "survey_dly", schemas.SURVEY_DLY_MERGE, "survey_date")):
-        merged = merge_distinct([wh.read(spark, stg), wh.read(spark, incr)], schema, as_of=as_of)
-        rebuild_table(merged, wh.path(out), schema, wh.parts(part), wh.fmt)
+        merged = merge_distinct([wh.read(spark, k) for k in ([stg, incr] if increments else [stg])],
+                                schema, as_of=as_of)
+        wh.replace(merged, out, wh.parts(part), schema)
 
 
 def build_fact_job(spark: SparkSession, wh: Warehouse,
                    as_of: _dt.datetime | str | None = None) -> None:
     """JOB-7: latest case ⟕ latest survey -> fact (partitioned by create date)."""
     fact = build_fact(wh.read(spark, "case_dly"), wh.read(spark, "survey_dly"), as_of=as_of)
-    rebuild_table(fact, wh.path("fact"), schemas.FACT, wh.parts("create_date"), wh.fmt)
+    wh.replace(fact, "fact", wh.parts("create_date"), schemas.FACT)
 
 
 def warehouse_dims(spark: SparkSession, wh: Warehouse) -> WideDims:
@@ -197,7 +241,7 @@ def build_wide_job(spark: SparkSession, wh: Warehouse) -> None:
     """JOB-8: fact ⟕ dimensions with scores -> wide (partitioned by case create date)."""
     wide = build_wide(wh.read(spark, "fact"), warehouse_dims(spark, wh))
     schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in wide.schema.fields])
-    rebuild_table(wide, wh.path("wide"), schema, wh.parts("case_create_date"), wh.fmt)
+    wh.replace(wide, "wide", wh.parts("case_create_date"), schema)
 
 
 def kpi_job(spark: SparkSession, wh: Warehouse,
@@ -241,17 +285,26 @@ def run_live(spark: SparkSession, case_messages: DataFrame, survey_messages: Dat
     the KPIs of the enriched cases, and the cases joined to the surveys of the
     same batch, published as JSON (to files at ``out_path`` or, with
     ``publish_options``, to a topic).  Only the two tables of the priority
-    lookup are read besides.
+    lookup are read besides; when JOB-2 replaces one of them, the next batch sees it.
     """
-    tables = {k: conform(wh.read(spark, k), s, strict=False) for k, s in (
-        ("case_category", schemas.CASE_CATEGORY), ("case_priority", schemas.CASE_PRIORITY))}
-    lookup = priority_lookup(tables["case_category"], tables["case_priority"], how="inner")
+    lookup = following_priority(spark, wh)
     sinks = wh.landing()
     sinks.published, sinks.publish_options = out_path, publish_options
     return LiveJob([start_live(case_messages, survey_messages, sinks, lookup,
                                f"{checkpoint_root.rstrip('/')}/live", trigger, show)])
 
 
+def following_priority(spark: SparkSession, wh: Warehouse) -> FollowingLookup:
+    """The priority lookup of a warehouse, loaded again when one of its tables is replaced."""
+    tables = {"case_category": schemas.CASE_CATEGORY, "case_priority": schemas.CASE_PRIORITY}
+
+    def load() -> DataFrame:
+        category, priority = (conform(wh.read(spark, k), s, strict=False) for k, s in tables.items())
+        return priority_lookup(category, priority, how="inner")
+
+    return FollowingLookup(lambda: wh.version(spark, *tables), load)
+
+
 def forward_files_job(spark: SparkSession, directory: str, archive_dir: str, checkpoint: str,
                       fmt: str = "text", path: str | None = None, options: dict | None = None,
                       trigger: dict | None = None, max_files: int = MAX_FILES) -> StreamingQuery:

@@ -62,7 +62,7 @@ def refresh_staging(df: DataFrame, target: str, partition_by: Sequence[str] = ()
     write_table(df, target, partition_by, mode="overwrite", fmt=fmt)
 
 
-def _by_name(df: DataFrame, schema: T.StructType, partition_by: Sequence[str]) -> DataFrame:
+def declared(df: DataFrame, schema: T.StructType, partition_by: Sequence[str]) -> DataFrame:
     """Columns matched to ``schema`` by name, cast, partition columns last."""
     return conform(df, T.StructType([f for f in schema.fields if f.name not in partition_by]
                                     + [schema[p] for p in partition_by]))
@@ -72,7 +72,7 @@ def rebuild_table(df: DataFrame, target: str, schema: T.StructType,
                   partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """A table that is computed afresh: all old partitions go, also those that the new
     rows do not touch (a case that moved to another date leaves no row behind)."""
-    write_table(_by_name(df, schema, partition_by), target, partition_by, fmt=fmt)
+    write_table(declared(df, schema, partition_by), target, partition_by, fmt=fmt)
 
 
 def overwrite_partitions(df: DataFrame, target: str, schema: T.StructType,
@@ -82,7 +82,7 @@ def overwrite_partitions(df: DataFrame, target: str, schema: T.StructType,
     Columns are matched to ``schema`` by name and cast (never by position),
     with the partition columns last.
     """
-    w = (spread_for_write(_by_name(df, schema, partition_by), partition_by).write
+    w = (spread_for_write(declared(df, schema, partition_by), partition_by).write
          .mode("overwrite").option("partitionOverwriteMode", "dynamic"))
     if _is_path(target):
         w.partitionBy(*partition_by).format(fmt).save(target)
@@ -90,6 +90,35 @@ def overwrite_partitions(df: DataFrame, target: str, schema: T.StructType,
         w.insertInto(target, overwrite=True)
 
 
+def append_table(df: DataFrame, target: str, schema: T.StructType, partition_by: Sequence[str] = (),
+                 fmt: str = "parquet") -> None:
+    """Add rows to a table; columns matched by name, partition columns last.  A catalog table
+    that is not there yet is made with its declared columns first."""
+    out = spread_for_write(declared(df, schema, partition_by), partition_by)
+    if not _is_path(target):
+        ensure_table(df.sparkSession, target, schema, partition_by, fmt)
+        out.write.mode("append").insertInto(target)
+        return
+    w = out.write.mode("append").format(fmt)
+    (w.partitionBy(*partition_by) if partition_by else w).save(target)
+
+
+def replace_catalog_table(df: DataFrame, name: str, schema: T.StructType | None = None,
+                          partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
+    """Replace a catalog table: the rows are written to ``<name>__next`` first, so a write that
+    fails leaves the old table; then the old one is dropped and the new one takes its name.
+    With a schema the columns are the declared ones."""
+    spark, following = df.sparkSession, f"{name}__next"
+    spark.sql(f"DROP TABLE IF EXISTS {following}")
+    if schema is not None:
+        ensure_table(spark, following, schema, partition_by, fmt)
+        append_table(df, following, schema, partition_by, fmt)
+    else:
+        write_table(df, following, partition_by, mode="errorifexists", fmt=fmt)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"ALTER TABLE {following} RENAME TO {name}")
+
+
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
                  partition_by: Sequence[str] = (), fmt: str = "parquet") -> None:
     """CREATE TABLE IF NOT EXISTS with declared columns (partition columns last)."""

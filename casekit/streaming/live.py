@@ -46,6 +46,27 @@ def priority_join(lookup: DataFrame, columns: tuple[str, ...] = (
                             name="case_priority")])
 
 
+class FollowingLookup:
+    """``priority_join`` over a lookup that changes while the stream runs.
+
+    ``version`` tells which version of the dimension is current (a small control read, e.g.
+    ``VersionedTable.current``); ``load`` reads the lookup.  Every batch asks for the version;
+    only when it has changed is the lookup loaded, guarded and measured again.
+    """
+
+    def __init__(self, version: Callable[[], object], load: Callable[[], DataFrame]):
+        self.version, self.load = version, load
+        self.prepared: tuple[object, Callable[[DataFrame], DataFrame]] | None = None
+        self.loads = 0
+
+    def __call__(self, cases: DataFrame) -> DataFrame:
+        now = self.version()
+        if self.prepared is None or self.prepared[0] != now:
+            self.prepared = (now, priority_join(self.load()))
+            self.loads += 1
+        return self.prepared[1](cases)
+
+
 def enrich_stream(cases: DataFrame, lookup: DataFrame) -> DataFrame:
     """Every case of a stream with its category's priority."""
     return priority_join(lookup)(cases)
@@ -80,7 +101,8 @@ class LiveSinks:
         return cls(**{n: f"{root.rstrip('/')}/{n}" for n in names}, **more)
 
 
-def _replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
+def replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
+    """Write a batch into its own ``batch_id`` folder, in place of what is there."""
     (df.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
@@ -94,25 +116,26 @@ def live_batch_writer(sinks: LiveSinks, with_priority: Callable[[DataFrame], Dat
     every batch.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()          # before the first action: the source is read once
         if batch.isEmpty():
+            batch.unpersist()
             return
-        batch = batch.persist()
         cases, bad_cases = decode_cases(batch.where(F.col("kind") == CASE), "quarantine",
                                         keep=("kind",))
         surveys, bad_surveys = decode_surveys(batch.where(F.col("kind") == SURVEY),
                                               "quarantine", keep=("kind",))
         cases, surveys = cases.drop("kind").persist(), surveys.drop("kind").persist()
         try:
-            _replace_batch(cases, sinks.cases, batch_id)
-            _replace_batch(surveys, sinks.surveys, batch_id)
-            _replace_batch(bad_cases.unionByName(bad_surveys), sinks.rejects, batch_id)
+            replace_batch(cases, sinks.cases, batch_id)
+            replace_batch(surveys, sinks.surveys, batch_id)
+            replace_batch(bad_cases.unionByName(bad_surveys), sinks.rejects, batch_id)
             if not cases.isEmpty():
                 enriched = with_priority(cases)
                 for frame, path in ((live_status_counts(enriched), sinks.status),
                                     (live_priority_counts(enriched), sinks.priority)):
                     if show:
                         show_kpis(frame, show)
-                    _replace_batch(frame.coalesce(1), path, batch_id)
+                    replace_batch(frame.coalesce(1), path, batch_id)
             if sinks.published or sinks.publish_options:
                 joined = join_case_survey(cases, surveys)
                 publish_batch(joined, batch_id, "kafka" if sinks.publish_options else "text",
@@ -123,10 +146,13 @@ def live_batch_writer(sinks: LiveSinks, with_priority: Callable[[DataFrame], Dat
     return handle
 
 
-def start_live(cases: DataFrame, surveys: DataFrame, sinks: LiveSinks, lookup: DataFrame,
-               checkpoint: str, trigger: dict | None = None, show: int = 0) -> StreamingQuery:
-    """Start the live query over two message streams."""
-    handler = live_batch_writer(sinks, priority_join(lookup), show)
+def start_live(cases: DataFrame, surveys: DataFrame, sinks: LiveSinks,
+               lookup: DataFrame | FollowingLookup, checkpoint: str, trigger: dict | None = None,
+               show: int = 0) -> StreamingQuery:
+    """Start the live query over two message streams.  ``lookup`` is read once, or followed
+    from batch to batch (``FollowingLookup``)."""
+    joined = lookup if isinstance(lookup, FollowingLookup) else priority_join(lookup)
+    handler = live_batch_writer(sinks, joined, show)
     return (tag_messages(cases, surveys).writeStream.foreachBatch(handler)
             .option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "15 seconds"})).start())
