@@ -189,8 +189,10 @@ def sketch(docs: DataFrame, trees: int, depth: int, n: int, threshold: float,
     by tree), and true links to the sample by common prefix."""
     by = multipliers(trees * depth)
     import pyarrow as pa
-    texts = [r.text for r in docs.select("text").where("text IS NOT NULL").orderBy(
-        F.xxhash64("text"), "text").limit(sample_rows).collect()]
+    # about ``sample_rows`` rows by their hash; no task sends more than its share
+    every = max(1, docs.count() // sample_rows)
+    texts = [r.text for r in docs.where("text IS NOT NULL").where(
+        F.pmod(F.xxhash64("id", "key"), F.lit(every)) == 0).dropDuplicates(["id", "key"]).select("text").collect()]
     shared = docs.sparkSession.sparkContext.broadcast(
         Sample(pa.array(texts, pa.string()), by, trees, depth, n, threshold))
 
