@@ -442,7 +442,8 @@ def _payload(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                     ["sid", "weight", "cid", "blocks", "shingles"]).filter(pa.array(ok, pa.bool_()))
 
     wanted = stored(wanted, "wanted")
-    texts = docs.join(wanted, (docs.id == wanted.rep) & (docs.key == wanted.rep_key))
+    # shuffled at every size, so that AQE can split a hot id and cost grows with the input
+    texts = docs.join(wanted.hint("merge"), (docs.id == wanted.rep) & (docs.key == wanted.rep_key))
     if not wanted.where("copies > 1").isEmpty():           # rows that repeat id and text
         texts = texts.where("copies = 1").unionByName(
             one_of_each(texts.where("copies > 1"), [F.col("sid")]))
@@ -461,7 +462,7 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def classified(rows: DataFrame, threshold: float = 0.8, shingle: int = 5, trees: int = 32,
-               depth: int = 10, target_recall: float = 0.999, floor_recall: float = 0.995,
+               depth: int = 8, target_recall: float = 0.999, floor_recall: float = 0.995,
                sample_rows: int = 1000, block_sets: int = 1024,
                block_shingles: int = 500_000) -> tuple[DataFrame, DataFrame]:
     """``(id, key, text)`` rows to their sketch ``(id, key, sid, ...)`` and the sets
