@@ -165,44 +165,51 @@ def rank_key(time: str, ties: list[str]) -> Column:
 
 
 def newest_versions_stream(cases: DataFrame, expire_after: str | None = None, salts: int = 8,
-                           time: str = "last_modified_timestamp") -> DataFrame:
+                           time: str = "last_modified_timestamp", arrival: str = "ingest_ts") -> DataFrame:
     """A stream of case records that are newer than every earlier one of their case.
 
     Keyed state holds the rank of the newest version; late versions of a case come out
     nowhere.  A case is dealt over ``salts`` keys, each with the newest of its share, so a case
     that holds a large share of all records is worked off in several tasks; ``newest_landed``
-    takes the newest of the shares.  After ``expire_after`` (e.g. ``"30 days"``) without a
-    record a case's state goes; should an old version come later, it comes out again and
+    takes the newest of the shares.  With ``expire_after`` (e.g. ``"30 days"``; the records
+    then carry their arrival time) a case's state goes when the watermark says that it has
+    not been heard of for so long; should an old version come later, it comes out again and
     ``newest_landed`` still ignores it.
     """
     ties = [c for c in schemas.CASE_COLUMNS if c not in ("case_no", time)]
     names = schemas.CASE.fieldNames()
-    keyed = cases.select(*names, rank_key(time, ties).alias("__rank"),
-                         F.pmod(F.xxhash64(*names), F.lit(salts)).alias("__salt"))
     wait = _milliseconds(expire_after) if expire_after else None
+    more = []
+    if wait:
+        cases = cases.withWatermark(arrival, "0 seconds")
+        more = [F.col(arrival), F.unix_millis(arrival).alias("__at")]
+    keyed = cases.select(*names, rank_key(time, ties).alias("__rank"),
+                         F.pmod(F.xxhash64(*names), F.lit(salts)).alias("__salt"), *more)
 
     def step(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
         if state.hasTimedOut:
             state.remove()
             return
         before = best = state.get[0] if state.exists else None
-        row = None
+        row, heard = None, 0
         for f in frames:
             at = f["__rank"].idxmax()
             rank = f.at[at, "__rank"]
+            if wait:
+                heard = max(heard, int(f["__at"].max()))
             if best is None or rank > best:
                 best, row = rank, f.loc[[at], names]
         if best != before:
             state.update((best,))
         if wait:
-            state.setTimeoutDuration(wait)
+            state.setTimeoutTimestamp(heard + wait)
         if row is not None:
             yield row
 
     return keyed.groupBy("case_no", "__salt").applyInPandasWithState(
         step, outputStructType=T.StructType([schemas.CASE[n] for n in names]),
         stateStructType="rank string", outputMode="update",
-        timeoutConf=GroupStateTimeout.ProcessingTimeTimeout if wait else GroupStateTimeout.NoTimeout)
+        timeoutConf=GroupStateTimeout.EventTimeTimeout if wait else GroupStateTimeout.NoTimeout)
 
 
 def _milliseconds(text: str) -> int:
