@@ -166,25 +166,30 @@ def rank_key(time: str, ties: list[str]) -> Column:
 
 def newest_versions_stream(cases: DataFrame, expire_after: str | None = None, salts: int = 8,
                            time: str = "last_modified_timestamp", arrival: str = "ingest_ts") -> DataFrame:
-    """A stream of case records that are newer than every earlier one of their case.
-
-    Keyed state holds the rank of the newest version; late versions of a case come out
-    nowhere.  A case is dealt over ``salts`` keys, each with the newest of its share, so a case
-    that holds a large share of all records is worked off in several tasks; ``newest_landed``
-    takes the newest of the shares.  With ``expire_after`` (e.g. ``"30 days"``; the records
-    then carry their arrival time) a case's state goes when the watermark says that it has
-    not been heard of for so long; should an old version come later, it comes out again and
-    ``newest_landed`` still ignores it.
+    """A stream of the newest version of each case that a batch brings news of.
+
+    Without ``expire_after`` the state is that of an aggregate, the greatest rank and its
+    record: a batch is reduced to one row per case and task before the shuffle, so a case with
+    very many records costs no more than another, and each case that a batch touches comes out
+    with its newest version so far.
+
+    With ``expire_after`` (e.g. ``"30 days"``; the records then carry their arrival time) a
+    function keeps the rank, and a case's state goes when the watermark says that it has not
+    been heard of for so long.  Only newer versions come out.  A case is dealt over ``salts``
+    keys, each with the newest of its share, so that several tasks work off a hot case.
+    ``newest_landed`` takes the newest of the shares, and ignores an old version that comes
+    out again after its state has gone.
     """
     ties = [c for c in schemas.CASE_COLUMNS if c not in ("case_no", time)]
     names = schemas.CASE.fieldNames()
     wait = _milliseconds(expire_after) if expire_after else None
-    more = []
-    if wait:
-        cases = cases.withWatermark(arrival, "0 seconds")
-        more = [F.col(arrival), F.unix_millis(arrival).alias("__at")]
-    keyed = cases.select(*names, rank_key(time, ties).alias("__rank"),
-                         F.pmod(F.xxhash64(*names), F.lit(salts)).alias("__salt"), *more)
+    if not wait:
+        newest = cases.groupBy("case_no").agg(
+            F.max_by(F.struct(*names), rank_key(time, ties)).alias("newest"))
+        return newest.select("newest.*")
+    keyed = cases.withWatermark(arrival, "0 seconds").select(
+        *names, rank_key(time, ties).alias("__rank"), F.unix_millis(arrival).alias("__at"),
+        F.pmod(F.xxhash64(*names), F.lit(salts)).alias("__salt"), arrival)
 
     def step(key: tuple, frames: Iterator, state: GroupState) -> Iterator:
         if state.hasTimedOut:
@@ -195,21 +200,19 @@ def newest_versions_stream(cases: DataFrame, expire_after: str | None = None, sa
         for f in frames:
             at = f["__rank"].idxmax()
             rank = f.at[at, "__rank"]
-            if wait:
-                heard = max(heard, int(f["__at"].max()))
+            heard = max(heard, int(f["__at"].max()))
             if best is None or rank > best:
                 best, row = rank, f.loc[[at], names]
         if best != before:
             state.update((best,))
-        if wait:
-            state.setTimeoutTimestamp(heard + wait)
+        state.setTimeoutTimestamp(heard + wait)
         if row is not None:
             yield row
 
     return keyed.groupBy("case_no", "__salt").applyInPandasWithState(
         step, outputStructType=T.StructType([schemas.CASE[n] for n in names]),
         stateStructType="rank string", outputMode="update",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout if wait else GroupStateTimeout.NoTimeout)
+        timeoutConf=GroupStateTimeout.EventTimeTimeout)
 
 
 def _milliseconds(text: str) -> int:
