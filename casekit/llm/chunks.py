@@ -62,7 +62,7 @@ class ChunkTable:
     """
 
     def __init__(self, compute: Callable, whole: Callable, special: list[str],
-                 max_entries: int = 1_500_000):
+                 max_entries: int = 1_000_000):
         self.compute, self.whole, self.max_entries = compute, whole, max_entries
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
         self._empty()

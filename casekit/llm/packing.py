@@ -116,6 +116,11 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id
                     for (d, start, ids, total), w, off in zip(rest, where, offset)], \
                 seq + len(filled)
 
+        def packed(pieces: list[tuple]) -> Iterator:
+            # in slices, so that neither side holds a block's ids twice
+            for at in range(0, len(pieces), 2048):
+                yield rows(pieces[at:at + 2048])
+
         for b in batches:
             full, size = [], 0
             doc_ids = b.column(0).to_pylist()
@@ -133,7 +138,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id
                     size += 4 * cut
                     if cut < total:
                         rest.append((doc, cut, ids[4 * cut:], total))
-                if size > 8 << 20:
+                if size > 4 << 20:
                     yield rows(full)
                     full, size = [], 0
             if full:
@@ -141,9 +146,9 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id
             if len(rest) >= block:
                 pieces, seq = pack(rest, seq)
                 rest = []
-                yield rows(pieces)
+                yield from packed(pieces)
         if rest:
-            yield rows(pack(rest, seq)[0])
+            yield from packed(pack(rest, seq)[0])
 
     return docs.select(id_col, text_col).mapInArrow(run, PIECES)
 
