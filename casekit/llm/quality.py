@@ -1,15 +1,19 @@
 """Quality classifier by positive-unlabelled learning.
 
-Trusted positives are learnable rows labelled 1; the unlabelled set is corpus text with no
-label attached.  A logistic model over binned text statistics minimises the non-negative
+Trusted positives are learnable rows labelled 1; the unlabelled set is learnable corpus text
+that has no label at all.  Rows labelled 0 take no part.  A logistic model over binned text statistics minimises the non-negative
 unbiased risk::
 
     prior * E_P[l(g)] + max(0, E_U[l(-g)] - prior * E_P[l(-g)])
 
 When the second term is negative (the model has begun to explain single unlabelled rows),
-the step ascends it instead of descending.  The class prior is estimated from the learnable
-labelled rows (their share of ones), or, if only ones are labelled, by the mean score that
-a positive-against-unlabelled model gives to unlabelled rows relative to held-back positives.
+the step ascends it instead of descending.
+
+The class prior is estimated from the unlabelled rows.  For any region A of the scores,
+``U(A) = prior * P(A) + (1 - prior) * N(A) >= prior * P(A)``, so ``U(A) / P(A)`` is never less
+than the prior, and comes close where negatives are rare.  A model of one half of the
+positives against one half of the unlabelled rows gives the scores, the other halves give
+``P(A)`` and ``U(A)``, and the least ratio over the regions above a threshold is the estimate.
 
 Both training sets are bounded samples: the ``sample`` rows with the smallest id hashes.
 Every row is scored, on its whole text, in a narrow map over the scan.
@@ -123,6 +127,21 @@ def _sigmoid(x):
     return 1.0 / (1.0 + np.exp(-np.clip(x, -40, 40)))
 
 
+def risk_slope(xp: np.ndarray, xu: np.ndarray, w: np.ndarray, b: float, prior: float,
+               ascent: float) -> tuple[float, np.ndarray]:
+    """The negative part of the risk, and the direction to step against: the slope of the
+    whole risk, or ``-ascent`` times the slope of the negative part where that is below 0."""
+    gp, gu = xp @ w + b, xu @ w + b
+    # l(g) = log(1 + e^-g); its slope is -sigmoid(-g)
+    pos = -_sigmoid(-gp) / len(gp) * prior
+    neg_u, neg_p = _sigmoid(gu) / len(gu), _sigmoid(gp) / len(gp) * prior
+    negative = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
+    slope = np.concatenate([xu.T @ neg_u - xp.T @ neg_p, [neg_u.sum() - neg_p.sum()]])
+    if negative < 0:
+        return negative, -ascent * slope
+    return negative, slope + np.concatenate([xp.T @ pos, [pos.sum()]])
+
+
 def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: int = 900,
            rate: float = 0.05, l2: float = 1e-4, ascent: float = 0.5) -> QualityModel:
     """Minimise the non-negative risk with Adam on the full sample."""
@@ -133,16 +152,7 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: in
     w, b = np.zeros(xp.shape[1]), 0.0
     m, v = np.zeros(len(w) + 1), np.zeros(len(w) + 1)
     for t in range(1, steps + 1):
-        gp, gu = xp @ w + b, xu @ w + b
-        # l(g) = log(1 + e^-g); its slope is -sigmoid(-g)
-        pos = -_sigmoid(-gp) / len(gp) * prior
-        neg_u, neg_p = _sigmoid(gu) / len(gu), _sigmoid(gp) / len(gp) * prior
-        risk = np.logaddexp(0, gu).mean() - prior * np.logaddexp(0, gp).mean()
-        slope = np.concatenate([xu.T @ neg_u - xp.T @ neg_p, [neg_u.sum() - neg_p.sum()]])
-        if risk >= 0:
-            slope = slope + np.concatenate([xp.T @ pos, [pos.sum()]])
-        else:
-            slope = -ascent * slope
+        _, slope = risk_slope(xp, xu, w, b, prior, ascent)
         slope[:-1] += l2 * w
         m, v = 0.9 * m + 0.1 * slope, 0.999 * v + 0.001 * slope * slope
         step = rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-8)
@@ -151,15 +161,23 @@ def fit_pu(positive: np.ndarray, unlabelled: np.ndarray, prior: float, steps: in
     return model
 
 
-def estimate_prior(ones: int, zeros: int, positive: np.ndarray, unlabelled: np.ndarray) -> float:
+def least_ratio(positive: np.ndarray, unlabelled: np.ndarray, least_share: float = 0.5) -> float:
+    """Least ``U(score >= t) / P(score >= t)`` over thresholds that keep ``least_share`` of the
+    positives: an estimate, from above, of the share of positives among the unlabelled."""
+    p, u = np.sort(positive), np.sort(unlabelled)
+    t = np.unique(np.quantile(p, np.linspace(0, 1 - least_share, 161)))
+    above = lambda x: 1 - np.searchsorted(x, t, side="left") / len(x)
+    share = above(p)
+    ok = share >= least_share - 1e-9
+    return float((above(u)[ok] / share[ok]).min())
+
+
+def estimate_prior(positive: np.ndarray, unlabelled: np.ndarray) -> float:
     """Share of positives among unlabelled rows."""
-    if ones and zeros:
-        return min(0.99, max(0.01, ones / (ones + zeros)))
-    half = len(positive) // 2
-    if half < 10 or not len(unlabelled):
+    if len(positive) < 20 or len(unlabelled) < 2:
         return 0.5
-    against = fit_pu(positive[:half], unlabelled, 0.5, steps=150)
-    ratio = against.scores(unlabelled).mean() / against.scores(positive[half:]).mean()
+    against = fit_pu(positive[::2], unlabelled[::2], 0.5, steps=300)
+    ratio = least_ratio(against.scores(positive[1::2]), against.scores(unlabelled[1::2]))
     return float(min(0.99, max(0.01, ratio)))
 
 
@@ -182,11 +200,12 @@ def _smallest_hashes(rows: DataFrame, n: int) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> QualityModel:
-    """Fit on learnable documents ``(doc_id, text)`` and labels ``(doc_id, quality)``."""
+    """Fit on learnable documents ``(doc_id, text)`` and labels ``(doc_id, quality)``, of which
+    only the ones are used, and the others to tell which documents are not unlabelled."""
     ids = docs.select("doc_id")
     known = labels.groupBy("doc_id").agg(F.min("quality").alias("quality"))
     ones = _smallest_hashes(known.where("quality = 1").join(ids, "doc_id", "left_semi"), sample)
-    some = _smallest_hashes(ids, sample)
+    some = _smallest_hashes(ids.join(known.select("doc_id"), "doc_id", "left_anti"), sample)
     # both id lists hold at most `sample` rows
     tagged = (ones.select("doc_id", F.lit(1).alias("p"))
               .unionByName(some.select("doc_id", F.lit(0).alias("p")))
@@ -197,9 +216,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample: int = 12_000) -> QualityMode
     stats = np.array([r["stats"] for r in rows]).reshape(len(rows), N_STATS)
     p = np.array([r["p"] == 1 for r in rows], bool)
     u = np.array([r["u"] == 0 for r in rows], bool)
-    counts = {r["quality"]: r["n"] for r in known.groupBy("quality").agg(
-        F.count(F.lit(1)).alias("n")).collect()}
-    prior = estimate_prior(counts.get(1, 0), counts.get(0, 0), stats[p], stats[u])
+    prior = estimate_prior(stats[p], stats[u])
     return fit_pu(stats[p], stats[u], prior)
 
 

@@ -135,6 +135,67 @@ def test_quality_edges(spark):
     assert all(0 <= r.score <= 1 for r in ones)
 
 
+def test_risk_slope_against_differences():
+    """The slope of the non-negative risk, written out plainly, by differences."""
+    rng = np.random.default_rng(1)
+    xp, xu = rng.normal(size=(30, 4)) * 0.3 + 1, rng.normal(size=(50, 4)) * 0.3
+
+    def parts(z, prior):
+        g = lambda x: [sum(a * c for a, c in zip(row, z[:4])) + z[4] for row in x]
+        loss = lambda v, y: np.log1p(np.exp(-y * v))
+        gp, gu = g(xp), g(xu)
+        positive = prior * sum(loss(v, 1) for v in gp) / len(gp)
+        negative = sum(loss(v, -1) for v in gu) / len(gu) - prior * sum(loss(v, -1) for v in gp) / len(gp)
+        return positive, negative
+    signs = set()
+    for prior in (0.2, 0.7, 0.99):
+        for z in (rng.normal(size=5) * 0.1, rng.normal(size=5) * 3, np.array([9.0, 9, 9, 9, -9])):
+            part, slope = quality.risk_slope(xp, xu, z[:4], z[4], prior, 0.5)
+            assert abs(part - parts(z, prior)[1]) < 1e-9
+            signs.add(part < 0)
+            target = (lambda y: -0.5 * parts(y, prior)[1]) if part < 0 else (lambda y: sum(parts(y, prior)))
+            for k in range(5):
+                step = np.eye(5)[k] * 1e-6
+                assert abs((target(z + step) - target(z - step)) / 2e-6 - slope[k]) < 1e-5
+    assert signs == {True, False}
+
+
+def test_least_ratio_and_prior():
+    rng = np.random.default_rng(2)
+    p, u = rng.integers(0, 20, 60) / 20, rng.integers(0, 16, 90) / 20
+    brute = min((u >= t).mean() / (p >= t).mean() for t in np.unique(np.quantile(p, np.linspace(0, 0.5, 161)))
+                if (p >= t).mean() >= 0.5)
+    assert abs(quality.least_ratio(p, u) - brute) < 1e-12
+    for share in (0.3, 0.8):                     # two kinds of rows, told apart by their statistics
+        good = lambda n: rng.normal(1.0, 0.7, (n, quality.N_STATS))
+        bad = lambda n: rng.normal(-1.0, 0.7, (n, quality.N_STATS))
+        mixed = np.concatenate([good(int(1000 * share)), bad(1000 - int(1000 * share))])
+        rng.shuffle(mixed)
+        assert abs(quality.estimate_prior(good(600), mixed) - share) < 0.06
+
+
+def test_unlabelled_rows_have_no_label(spark):
+    """Labels 0 are not learned: turning their texts into nonsense changes no score."""
+    rows = [(i, f"Good text number {i} is here, and it has words. " * (1 + i % 5) if i % 3 else "@@ ## " * (i % 9), "x")
+            for i in range(300)]
+    labels = spark.createDataFrame([(i, 1 if i % 3 else 0, 0) for i in range(200)], "doc_id long, quality int, toxic int")
+    spoilt = [(i, "??" if i < 200 and i % 3 == 0 else t, x) for i, t, x in rows]
+    a, b = ({r.doc_id: r.score for r in quality.classify_quality(docs_of(spark, x), labels).collect()} for x in (rows, spoilt))
+    assert all(a[i] == b[i] for i, t, _ in rows if not (i < 200 and i % 3 == 0))
+
+
+def test_text_statistics_against_brute_force():
+    import zlib as z
+    for t in ["Abc def, ghi. 12!", "a\nb\na\n", "ÀB ß\t x$", "日本 語", "w w w W"]:
+        s, n, words, lines = quality.text_statistics(t), len(t), t.split(), t.split("\n")
+        assert abs(s[0] - np.log1p(n)) < 1e-12
+        assert abs(s[1] - sum(c.islower() for c in t) / n) < 1e-12 and abs(s[2] - sum(c.isupper() for c in t) / n) < 1e-12
+        assert abs(s[6] - t.count("\n") / n) < 1e-12 and abs(s[1:9].sum() - 1) < 1e-12
+        assert abs(s[11] - len(set(words)) / len(words)) < 1e-12 and abs(s[14] - len(set(lines)) / len(lines)) < 1e-12
+        assert abs(s[17] - len(z.compress(t.encode(), 1)) / len(t.encode())) < 1e-12
+    assert not quality.text_statistics(None).any() and not quality.text_statistics("").any()
+
+
 def test_held_out_labels_are_not_used(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     labels = spark.read.parquet(f"{SF}/labels.parquet")
