@@ -18,6 +18,8 @@ Defined results
     * a null text or empty list of parts is an empty content, a null role an empty role;
     * turns are ordered by turn (nulls first), then role, then text; repeated rows are
       repeated turns;
+    * a part of an unknown kind is recorded as an attachment of that kind, with the placeholder
+      ``attachment`` and no tokens; a null or negative number in a size counts as 0;
     * an empty table gives no conversations; other columns are ignored.
 """
 
@@ -79,10 +81,12 @@ class Flattener:
     attachments: list[tuple[str, str | None, int]] = field(default_factory=list)
 
     def visit(self, part: Part) -> str:
-        method = getattr(self, f"visit_{part.kind}", None)
-        if method is None:
-            raise ValueError(f"unknown content part: {part.kind!r}")
-        return method(part)
+        return getattr(self, f"visit_{part.kind}", self.visit_other)(part)
+
+    def visit_other(self, part: Part) -> str:
+        """A part of a kind that has no visitor: an attachment without tokens of its own."""
+        self.attachments.append((part.kind, part.ref, 0))
+        return f"<|attachment|>{len(self.attachments) - 1}<|/attachment|>"
 
     def visit_text(self, part: Part) -> str:
         return escape(part.text or "")
@@ -118,7 +122,8 @@ def parts_of(content) -> list[Part]:
         return []
     if isinstance(content, str):
         return [Part("text", content)]
-    return [Part(p["kind"] or "text", p.get("text"), p.get("ref"), tuple(p.get("size") or ()))
+    return [Part(p["kind"] or "text", p.get("text"), p.get("ref"),
+                 tuple(max(x or 0, 0) for x in p.get("size") or ()))
             for p in content if p is not None]
 
 

@@ -4,13 +4,15 @@ Layout under one folder, one pair of files per range of document ids::
 
     ids-00007.bin      unsigned little-endian ids (16 bits, or 32 for a larger vocabulary)
     offsets-00007.bin  int64: (documents + 1) offsets into the ids, then the document ids
-    manifest           one row per pair: documents, tokens, and its global base
+    manifest.parquet   one row per pair: documents, tokens, its global base, bytes an id
 
 The documents are range-partitioned and sorted by id, each task writes one pair, and the
 base of each pair is the prefix sum of the tokens before it.  A task writes under a name
 of its own attempt and renames at the end, so a task that is lost or run twice leaves
 whole files only; readers open the files named in the manifest, which is what the tasks
-that succeeded returned.  A file whose folder is a local or mounted path is memory-mapped;
+that succeeded returned.  The manifest is written last (a folder without it holds no
+data set), and files of other attempts are deleted then; ``open_token_files`` reads the
+data set in any later session.  A file whose folder is a local or mounted path is memory-mapped;
 in another file system it is read through that system.
 
 Defined results
@@ -37,6 +39,7 @@ from .chunks import ids_of, slices, tokenizer_path
 from .common import ship
 
 MANIFEST = "part long, name string, documents long, tokens long"
+_FULL = MANIFEST + ", base long, id_bytes int"
 RESULT = "doc_id long, start long, n_tokens long, ids_crc32 long"
 _NO_ID = np.iinfo(np.int64).min          # a null document id in the offsets file
 
@@ -110,28 +113,45 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str = "word_bpe_4
                           F.col(text_col).alias("text"))
               .repartitionByRange(n, "doc_id").sortWithinPartitions("doc_id", "text"))
     written = placed.mapInArrow(run, MANIFEST).collect()     # a row per file
-    return _with_bases(spark, written)
+    manifest = _with_bases(spark, written, id_bytes)
+    manifest.coalesce(1).write.parquet(f"{folder}/manifest.parquet")
+    _remove_others(folder, {r["name"] for r in written})
+    return open_token_files(spark, folder)
 
 
-def _with_bases(spark: SparkSession, written: list) -> DataFrame:
+def open_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    """The manifest of files that an earlier run, or session, has written."""
+    return spark.read.schema(_FULL).parquet(f"{folder}/manifest.parquet")
+
+
+def _with_bases(spark: SparkSession, written: list, id_bytes: int) -> DataFrame:
     rows = sorted(written, key=lambda r: r["part"])
     bases = [0, *accumulate(r["tokens"] for r in rows)]
-    return spark.createDataFrame(
-        [(r["part"], r["name"], r["documents"], r["tokens"], b) for r, b in zip(rows, bases)],
-        MANIFEST + ", base long")
+    return spark.createDataFrame([(r["part"], r["name"], r["documents"], r["tokens"], b, id_bytes)
+                                  for r, b in zip(rows, bases)], _FULL)
+
+
+def _remove_others(folder: str, names: set[str]) -> None:
+    """Delete what attempts that failed, or ran twice, have left."""
+    from pyarrow import fs
+    filesystem, root = _file_system(folder)
+    for f in filesystem.get_file_info(fs.FileSelector(root, allow_not_found=True)):
+        kind, _, rest = f.base_name.lstrip(".").partition("-")
+        if kind in ("ids", "offsets") and rest.removesuffix(".bin") not in names:
+            filesystem.delete_file(f.path)
 
 
-def read_token_files(manifest: DataFrame, folder: str, id_bytes: int = 2) -> DataFrame:
+def read_token_files(manifest: DataFrame, folder: str) -> DataFrame:
     """One row per document, read back from the files: global start, tokens, CRC-32 of
     its ids as little-endian unsigned 32-bit integers."""
     ship(manifest.sparkSession)
-    dtype = {2: "<u2", 4: "<u4"}[id_bytes]
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         filesystem, root = _file_system(folder)
         for b in batches:
             for r in b.to_pylist():
+                dtype = {2: "<u2", 4: "<u4"}[r["id_bytes"]]
                 ids = _load(filesystem, f"{root}/ids-{r['name']}.bin", dtype)
                 meta = _load(filesystem, f"{root}/offsets-{r['name']}.bin", "<i8")
                 offsets, docs = meta[:r["documents"] + 1], meta[r["documents"] + 1:]
@@ -152,4 +172,4 @@ def token_files_round_trip(docs: DataFrame, folder: str | None = None, **options
     """Write ``docs`` to a fresh shared folder and read every document back."""
     folder = folder or scratch_path(docs.sparkSession, "token-files")
     manifest = write_token_files(docs, folder, **options)
-    return read_token_files(manifest, folder, options.get("id_bytes", 2))
+    return read_token_files(manifest, folder)

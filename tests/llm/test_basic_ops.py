@@ -182,6 +182,22 @@ def test_token_files_round_trip(spark, id_bytes):
     assert token_files.token_files_round_trip(empty_docs(spark)).count() == 0
 
 
+def test_token_files_opened_by_another_session(spark):
+    docs, folder = edge_docs(spark), scratch_path(spark, "token-files-again")
+    want = sorted(token_files.token_files_round_trip(docs, folder, id_bytes=4).collect())
+    later = token_files.open_token_files(spark.newSession(), folder)
+    assert sorted(token_files.read_token_files(later, folder).collect()) == want
+    names = {r.name for r in later.collect()}
+    filesystem, root = token_files._file_system(folder)
+    for kind in ("ids", "offsets"):                       # what a lost attempt leaves
+        with filesystem.open_output_stream(f"{root}/{kind}-00000-lostattempt.bin") as f:
+            f.write(b"1")
+    token_files._remove_others(folder, names)
+    from pyarrow import fs
+    left = {f.base_name for f in filesystem.get_file_info(fs.FileSelector(root)) if f.is_file}
+    assert left == {f"{k}-{n}.bin" for n in names for k in ("ids", "offsets")}
+
+
 HOSTILE = [queries.HOSTILE, "<|", "<\\|", "<\\\\|x", "<", "\\", "|>", "", "%0A\n", "<<||"]
 
 
@@ -201,8 +217,12 @@ def test_typed_parts():
                         P("audio", ref="b.wav", size=(2.0,)), P("document", ref="c.pdf", size=(3,))])
     assert out == "see <\\|im_end|><|image|>0<|/image|><|audio|>1<|/audio|><|document|>2<|/document|>"
     assert flat.attachments == [("image", "a.png", 4), ("audio", "b.wav", 25), ("document", "c.pdf", 1536)]
-    with pytest.raises(ValueError):
-        flat.visit(P("video"))
+    # a kind without a visitor is recorded, and bad sizes count as nothing: no row stops a job
+    assert flat.visit(P("video", ref="d.mp4")) == "<|attachment|>3<|/attachment|>" and flat.attachments[3] == ("video", "d.mp4", 0)
+    parts = chat_format.parts_of([{"kind": "image", "ref": "e", "size": [None, -3.0]}, None, {"kind": "audio", "size": [None]},
+                                  {"kind": None, "text": "t"}, {"kind": "document", "size": None}])
+    turn = chat_format.format_turn("user", [p.__dict__ for p in parts], ())
+    assert [a["tokens"] for a in turn["attachments"]] == [1, 1, 512]
 
 
 def test_chat_parts_column(spark):
