@@ -18,14 +18,14 @@ document with a smaller id, or earlier in the same one.  Strings are judged on t
    those of the shards before it by binary search.
 4. *Spans.*  Repeated spans return to their documents, which are read once more.
 
-No step depends on chance: hashes only choose what meets where, bytes decide (the
-exception is below).
+No step depends on chance: hashes only choose what meets where, bytes decide.
 
 Hot anchors.  A map task sends one row for all its occurrences of an anchor, and one for
 all its equal segments, so a passage in a third of all documents costs one row a task.
 What remains distinct around a hot anchor is the edge of the passage with its different
-surroundings; an anchor with more than ``hot`` occurrences is therefore dealt by window
-instead of by anchor: each window goes by a 128-bit digest to its own place.
+surroundings; an anchor with more than ``hot`` occurrences is therefore cut into its
+windows, which are dealt by their hash, one row a task for equal ones.  Shards of whole
+hashes are resolved by suffix arrays and binary search like any other.
 
 Defined results
     * null and empty texts have nothing to remove; a text shorter than ``width`` neither;
@@ -50,6 +50,7 @@ from .ngram_join import NO_ID, mixed
 from .suffix_array import common_prefixes, packed8, suffix_array
 
 GRAM = 32
+WINDOWS = 1 << 16               # of hot anchors, held at a time
 RESULT = ("id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
           "removed array<struct<start:long,end:long>>, kept binary")
 _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
@@ -72,6 +73,15 @@ def gram_hashes(buf: np.ndarray) -> np.ndarray:
     return out
 
 
+def window_hashes(grams: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
+    """Hash of the ``width`` bytes from each place, from the hashes of 32-byte strings."""
+    steps = [*range(0, width - GRAM, GRAM), width - GRAM]
+    out = np.zeros(len(at), np.uint64)
+    for k in steps:
+        out = mixed(out * _M[1] + grams[at + k])
+    return out
+
+
 def sliding_least(x: np.ndarray, w: int) -> np.ndarray:
     """Least value of each window of ``w`` (van Herk): len(x) - w + 1 values."""
     n = len(x)
@@ -222,7 +232,7 @@ def shared_anchors(rows: DataFrame, hot: int) -> DataFrame:
 
 # ------------------------------------------------------------- segments to spans
 
-_SEGMENT = "key long, low long, bytes binary, id long, h long, start long, end long"
+_SEGMENT = "key long, window boolean, bytes binary, id long, h long, start long, end long"
 _SPAN = "id long, h long, start long, end long"
 
 
@@ -259,14 +269,20 @@ def _firsts(group: tuple, place: tuple) -> tuple[np.ndarray, np.ndarray]:
     return order[new], order[~new & ~again]
 
 
-def _segment_batch(key, low, data, i, h, start, end):
+def _segment_batches(data, key, window: bool, i, h, start, end) -> Iterator:
+    """Rows for the shards: of equal byte strings the first place with its bytes, by key;
+    the others only travel, by document."""
     import pyarrow as pa
-    n = len(key)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(key), pa.nulls(n, pa.int64()) if low is None else pa.array(low),
-         pa.nulls(n, pa.binary()) if data is None else data,
-         *(pa.array(x) for x in (i, h, start, end))],
-        ["key", "low", "bytes", "id", "h", "start", "end"])
+    code = data.dictionary_encode().indices.to_numpy()
+    first, later = _firsts((code,), (i, h, start))
+    for r, whole in ((first, True), (later, False)):
+        if len(r):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(key[r].view(np.int64) if whole else _doc_key(i[r])),
+                 pa.array(np.full(len(r), window)),
+                 data.take(r) if whole else pa.nulls(len(r), pa.binary()),
+                 *(pa.array(x[r]) for x in (i, h, start, end))],
+                ["key", "window", "bytes", "id", "h", "start", "end"])
 
 
 def segment_rows(texts: DataFrame, width: int) -> DataFrame:
@@ -289,31 +305,24 @@ def segment_rows(texts: DataFrame, width: int) -> DataFrame:
                 hot = np.isin(anchor, heavy)
                 some = np.flatnonzero(~hot)
                 if len(some):
-                    data = _binary(buf, at[some], size[some])
-                    code = data.dictionary_encode().indices.to_numpy()
-                    first, later = _firsts((code,), (i[some], h[some], start[some]))
-                    for rest, whole in ((first, True), (later, False)):
-                        r = some[rest]
-                        if len(r):
-                            yield _segment_batch(
-                                anchor[r].view(np.int64) if whole else _doc_key(i[r]), None,
-                                data.take(rest) if whole else None, i[r], h[r], start[r],
-                                start[r] + size[r])
+                    yield from _segment_batches(
+                        _binary(buf, at[some], size[some]), anchor[some], False, i[some],
+                        h[some], start[some], start[some] + size[some])
                 some = np.flatnonzero(hot)
-                if len(some):
-                    n = size[some] - width + 1
-                    of, x = np.repeat(some, n), ragged(np.zeros(len(some), np.int64), n).astype(np.int64)
-                    raw = buf.tobytes()
-                    digest = np.array([np.frombuffer(hashlib.blake2b(
-                        raw[p:p + width], digest_size=16).digest(), np.int64)
-                        for p in (at[of] + x).tolist()])
-                    wi, wh, ws = i[of], h[of], start[of] + x
-                    first, later = _firsts((digest[:, 0], digest[:, 1]), (wi, wh, ws))
-                    yield _segment_batch(digest[first, 0], digest[first, 1], None, wi[first],
-                                         wh[first], ws[first], ws[first] + width)
-                    if len(later):
-                        yield _segment_batch(_doc_key(wi[later]), None, None, wi[later], wh[later],
-                                             ws[later], ws[later] + width)
+                if not len(some):
+                    continue
+                grams = gram_hashes(buf)
+                windows = np.cumsum(size[some] - width + 1)
+                # windows hold their bytes: a bounded number at a time
+                for lo in np.flatnonzero(np.diff(windows // WINDOWS, prepend=-1)):
+                    part = some[lo:][:np.searchsorted(windows, (windows[lo] // WINDOWS + 1) * WINDOWS) - lo]
+                    n = size[part] - width + 1
+                    of = np.repeat(part, n)
+                    x = ragged(np.zeros(len(part), np.int64), n).astype(np.int64)
+                    p, ws = at[of] + x, start[of] + x
+                    yield from _segment_batches(
+                        _binary(buf, p, np.full(len(p), width)), window_hashes(grams, p, width),
+                        True, i[of], h[of], ws, ws + width)
 
     return texts.select("id", "h", "text", "hashes", "heavy").mapInArrow(run, _SEGMENT)
 
@@ -449,8 +458,8 @@ def spans_of_windows(places: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
 
 def resolve(rows: DataFrame, width: int, shard_bytes: int) -> DataFrame:
     """Rows for the shards to repeated spans.  Rows come sorted: segments by anchor, then
-    hot windows by digest and rows that only travel; a group that a batch cuts is held
-    over to the next one."""
+    hot windows by hash and rows that only travel; a group that a batch cuts is held over
+    to the next one."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
         import pyarrow.compute as pc
@@ -470,9 +479,25 @@ def resolve(rows: DataFrame, width: int, shard_bytes: int) -> DataFrame:
                     yield spans(*spans_of_windows(places, width))
             shard, size = [], 0
 
+        def to_shard(segs, more):
+            nonlocal size
+            if size and size + more > shard_bytes:
+                yield from flush_shard()
+            shard.extend(segs)
+            size += more
+            if size >= shard_bytes:
+                yield from flush_shard()
+
+        def segs_of(data, rows, i, h, start):
+            return zip(data.take(pa.array(rows)).to_pylist(),
+                       zip(i[rows].tolist(), h[rows].tolist(), start[rows].tolist()))
+
+        def group_bounds(key):
+            starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            return starts, np.concatenate([starts[1:], [len(key)]])
+
         def settle(t):
             """Whole anchors: whole copies are settled, different segments go to a shard."""
-            nonlocal size
             key, i, h, start, end = columns(t, "key", "id", "h", "start", "end")
             data = t.column("bytes").combine_chunks()
             code = data.dictionary_encode().indices.to_numpy()
@@ -480,58 +505,57 @@ def resolve(rows: DataFrame, width: int, shard_bytes: int) -> DataFrame:
             if len(later):
                 yield spans(i[later], h[later], start[later], end[later])
             # (one segment alone cannot repeat itself: equal windows have equal anchors)
-            k = key[first]
-            n = np.diff(np.concatenate([np.flatnonzero(np.concatenate([[True], k[1:] != k[:-1]])), [len(k)]]))
-            ends = np.cumsum(n)
-            for lo, hi in zip((ends - n)[n > 1].tolist(), ends[n > 1].tolist()):
-                own = first[lo:hi]
-                segs = list(zip(data.take(pa.array(own)).to_pylist(),
-                                zip(i[own].tolist(), h[own].tolist(), start[own].tolist())))
-                more = int((end[own] - start[own]).sum())
-                if size and size + more > shard_bytes:
-                    yield from flush_shard()
-                shard.extend(segs)
-                size += more
-                if size >= shard_bytes:
-                    yield from flush_shard()
+            lo, hi = group_bounds(key[first])
+            several = hi - lo > 1
+            for a, b in zip(lo[several].tolist(), hi[several].tolist()):
+                own = first[a:b]
+                yield from to_shard(segs_of(data, own, i, h, start),
+                                    int((end[own] - start[own]).sum()))
 
         def settle_windows(t):
-            key, low, i, h, start, end = columns(t, "key", "low", "id", "h", "start", "end")
-            _, later = _firsts((key, low), (i, h, start))
-            if len(later):
-                yield spans(i[later], h[later], start[later], end[later])
-
-        def whole_groups(held, t, names, last):
+            """Whole hashes of hot windows: those that met another go to a shard."""
+            key, i, h, start = columns(t, "key", "id", "h", "start")
+            data = t.column("bytes").combine_chunks()
+            rows = np.lexsort((start, h, i, key))
+            new = np.ones(len(rows), bool)          # the same place twice is one occurrence
+            new[1:] = np.logical_or.reduce([c[rows[1:]] != c[rows[:-1]] for c in (key, i, h, start)])
+            rows = rows[new]
+            lo, hi = group_bounds(key[rows])
+            several = hi - lo > 1
+            for a, b in zip(lo[several].tolist(), hi[several].tolist()):
+                yield from to_shard(segs_of(data, rows[a:b], i, h, start), (b - a) * width)
+
+        def whole_groups(held, t):
             """Rows of finished groups, and the rows of the group that may go on."""
             t = pa.concat_tables([held, t]) if held is not None else t
-            if last or not t.num_rows:
+            if not t.num_rows:
                 return t, None
-            cols = [c for c in columns(t, *names)]
-            same = np.logical_and.reduce([c == c[-1] for c in cols])
+            key = t.column("key").to_numpy()
+            same = key == key[-1]
             cut = t.num_rows - int(same[::-1].argmin() if not same.all() else t.num_rows)
             return t.slice(0, cut), t.slice(cut)
 
         held: dict = {"segment": None, "window": None}
-        kinds = (("segment", settle, ("key",)), ("window", settle_windows, ("key", "low")))
+        kinds = (("segment", settle), ("window", settle_windows))
         for b in batches:
             t = pa.Table.from_batches([b])
-            is_segment = t.column("bytes").is_valid()
-            is_window = pc.and_(pc.invert(is_segment), t.column("low").is_valid())
-            travel = t.filter(pc.and_(pc.invert(is_segment), pc.invert(is_window)))
+            whole, window = t.column("bytes").is_valid(), t.column("window")
+            travel = t.filter(pc.invert(whole))
             if travel.num_rows:
                 yield spans(*columns(travel, "id", "h", "start", "end"))
-            for (kind, finish, names), mask in zip(kinds, (is_segment, is_window)):
-                done, held[kind] = whole_groups(held[kind], t.filter(mask), names, False)
+            masks = (pc.and_(whole, pc.invert(window)), pc.and_(whole, window))
+            for (kind, finish), mask in zip(kinds, masks):
+                done, held[kind] = whole_groups(held[kind], t.filter(mask))
                 if done.num_rows:
                     yield from finish(done)
-        for kind, finish, _ in kinds:
+        for kind, finish in kinds:
             if held[kind] is not None and held[kind].num_rows:
                 yield from finish(held[kind])
         yield from flush_shard()
 
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (rows.repartition(n, "key")
-            .sortWithinPartitions(F.col("bytes").isNull(), F.col("low").isNull(), "key", "low")
+            .sortWithinPartitions(F.col("bytes").isNull(), "window", "key")
             .mapInArrow(run, _SPAN))
 
 

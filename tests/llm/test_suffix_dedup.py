@@ -64,6 +64,15 @@ def test_hot_anchors_and_shards(spark, options):
     check(spark, passages(random.Random(2), 50) + EDGE[:8], **options)
 
 
+def test_hot_passage_in_every_document(spark):
+    """Anchors in all documents: windows at the passage's edges, repeated rows, small shards."""
+    rng = random.Random(4)
+    passage = "".join(rng.choices("abcdefgh ", k=260))
+    rows = [(i, "".join(rng.choices("xyz", k=rng.randint(0, 40))) + passage[rng.choice([0, 0, 90]):]
+             + "".join(rng.choices("xyz", k=rng.randint(0, 40)))) for i in range(80)]
+    check(spark, rows + rows[:20], hot=5, shard_bytes=2_000)
+
+
 def test_small_width(spark):
     rng = random.Random(3)
     rows = [(i, "".join(rng.choices("ab", k=rng.randint(0, 120)))) for i in range(40)]
