@@ -13,8 +13,11 @@ leaf and is dropped at the first node that does not match; some leaf of a true p
 reaches the root.  Most chance hits end after a window of two pieces.
 
 The items are a stated query set.  They are read in blocks of bounded size, hashed by item
-id; each block's automaton is shipped to the tasks, and each block is one narrow map over
-the documents.  Documents are never shuffled or gathered.
+id; a block's items are shipped to the tasks, and each block is one narrow map over the
+documents.  Where one block holds the benchmark that is all.  Otherwise the compared forms
+are written once, every block's hits are written before its items are given up and the
+next block is read, so the driver and the tasks hold one block; documents to drop are then
+found by an anti-join on text digests.  Documents are never gathered.
 
 Defined results
     * one row per document and item that it holds, with its least distance and the first
@@ -33,7 +36,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ship
+from .common import ship, stored, text_or_empty, unused
 
 RESULT = ("doc_id long, item_id long, distance int, budget int, item_chars int, "
           "start long, end long")
@@ -134,9 +137,9 @@ class Matcher:
             masks = self.masks[pattern] = char_masks(pattern)
         return myers(pattern, window, limit, masks)
 
-    def hits(self, text: str | None) -> list[tuple[int, int, int, int, int, int]]:
-        """(item id, distance, budget, item length, start, end) for each item in the text."""
-        form = compared(text)
+    def hits(self, form: str) -> list[tuple[int, int, int, int, int, int]]:
+        """(item id, distance, budget, item length, start, end) for each item in a compared
+        form."""
         if not form or not self.items:
             return []
         starts: dict[int, set[int]] = {}
@@ -186,67 +189,103 @@ class Matcher:
 
 
 def item_blocks(benchmark: DataFrame, block_chars: int, id_col: str = "item_id",
-                text_col: str = "text") -> Iterator[list[tuple[int, str]]]:
-    """The items in blocks of about ``block_chars`` characters each; the driver holds one
-    block at a time."""
+                text_col: str = "text") -> tuple[int, Iterator[list[tuple[int, str]]]]:
+    """The number of blocks of about ``block_chars`` characters each, and the blocks, read
+    one at a time."""
     items = benchmark.select(F.col(id_col).cast("long").alias("item_id"),
                              F.col(text_col).alias("text")).where(F.col("text").isNotNull())
     total = items.agg(F.sum(F.length("text"))).first()[0] or 0
     n = 1 + total // block_chars
-    for k in range(n):
-        block = items if n == 1 else items.where(
-            F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
-        yield sorted((tuple(r) for r in block.distinct().collect()),
-                     key=lambda r: (r[0] is not None, r[0], r[1]))
 
-
-def _matchers(docs: DataFrame, benchmark: DataFrame, rate: float, block_chars: int, **columns):
-    """For each block of items, a function that gives the block's matcher in a task."""
-    ship(docs.sparkSession)
-    for items in item_blocks(benchmark, block_chars, **columns):
-        shared = docs.sparkSession.sparkContext.broadcast((items, rate))
-        yield lambda shared=shared: Matcher(*shared.value)
+    def blocks() -> Iterator[list[tuple[int, str]]]:
+        for k in range(n):
+            block = items if n == 1 else items.where(
+                F.pmod(F.xxhash64("item_id", "text"), F.lit(n)) == k)
+            yield sorted((tuple(r) for r in block.distinct().collect()),
+                         key=lambda r: (r[0] is not None, r[0], r[1]))
+
+    return n, blocks()
+
+
+def _hit_rows(forms: DataFrame, shared, form_of=lambda form: form) -> DataFrame:
+    """``(key, text)`` to one row per text and item of a block; ``form_of`` gives the
+    compared form of a text."""
+    key_type = forms.schema[0].dataType.simpleString()
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        m = Matcher(*shared.value)
+        kinds = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.int64()]
+        names = ["doc_id", *(c.split()[0] for c in RESULT.split(", ")[1:])]
+        for b in batches:
+            out = [(row, *hit) for row, t in enumerate(b.column(1).to_pylist())
+                   for hit in m.hits(form_of(t))]
+            row, *columns = zip(*out) if out else [()] * 7
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0).take(pa.array(row, pa.int64())),
+                 *(pa.array(c, k) for c, k in zip(columns, kinds))], names)
+
+    return forms.mapInArrow(run, f"doc_id {key_type}, " + RESULT.split(", ", 1)[1])
+
+
+def _written_forms(rows: DataFrame) -> DataFrame:
+    """``(key, text)`` with the compared forms as texts, written."""
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        for b in batches:
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array([compared(t) for t in b.column(1).to_pylist()], pa.string())],
+                ["key", "text"])
+
+    key, text = (F.col(f"`{c}`") for c in rows.columns)
+    rows = rows.select(key.alias("key"), text.alias("text"))
+    return stored(rows.mapInArrow(run, rows.schema), "compared-forms")
+
+
+def _hits_by_block(rows: DataFrame, blocks: Iterator, rate: float) -> DataFrame:
+    """Hits of all blocks in ``(key, text)``: each block's are written, then its items go."""
+    forms = _written_forms(rows)
+    out = None
+    for items in blocks:
+        shared = rows.sparkSession.sparkContext.broadcast((items, rate))
+        hits = stored(_hit_rows(forms, shared), "block-hits")
+        shared.destroy()
+        out = hits if out is None else out.unionByName(hits)
+    return out
 
 
 def find_contamination(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1,
                        block_chars: int = 2_000_000, id_col: str = "doc_id",
                        text_col: str = "text") -> DataFrame:
     """One row per document and benchmark item found in it."""
+    ship(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    found = []
-    for matcher in _matchers(docs, benchmark, rate, block_chars):
-        def run(batches: Iterator, matcher=matcher) -> Iterator:
-            import pyarrow as pa
-            m = matcher()
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(),
-                     pa.int64()]
-            names = [c.split()[0] for c in RESULT.split(", ")]
-            for b in batches:
-                out = [(d, *hit) for d, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist())
-                       for hit in m.hits(t)]
-                columns = list(zip(*out)) if out else [()] * len(kinds)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], names)
-
-        found.append(rows.mapInArrow(run, RESULT))
-    out = found[0]
-    for f in found[1:]:
-        out = out.unionByName(f)
-    return out
+    n, blocks = item_blocks(benchmark, block_chars)
+    if n > 1:
+        return _hits_by_block(rows, blocks, rate)
+    shared = docs.sparkSession.sparkContext.broadcast((next(blocks), rate))
+    return _hit_rows(rows, shared, compared)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = 0.1,
                       block_chars: int = 2_000_000, text_col: str = "text") -> DataFrame:
     """The rows of ``docs``, with all columns, that hold no benchmark item."""
+    ship(docs.sparkSession)
+    n, blocks = item_blocks(benchmark, block_chars)
+    if n > 1:
+        digest = unused(docs, "digest")
+        keyed = docs.withColumn(digest, F.sha2(F.encode(text_or_empty(text_col), "UTF-8"), 256))
+        gone = _hits_by_block(keyed.select(digest, text_col), blocks, rate)
+        return keyed.join(gone.select(F.col("doc_id").alias(digest)).distinct(), digest,
+                          "left_anti").select(*(f"`{c}`" for c in docs.columns))
     at = docs.columns.index(text_col)
-    out = docs
-    for matcher in _matchers(docs, benchmark, rate, block_chars):
-        def run(batches: Iterator, matcher=matcher) -> Iterator:
-            import pyarrow as pa
-            m = matcher()
-            for b in batches:
-                yield b.filter(pa.array([not m.hits(t) for t in b.column(at).to_pylist()],
-                                        pa.bool_()))
-
-        out = out.mapInArrow(run, docs.schema)
-    return out
+    shared = docs.sparkSession.sparkContext.broadcast((next(blocks), rate))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+        m = Matcher(*shared.value)
+        for b in batches:
+            yield b.filter(pa.array([not m.hits(compared(t)) for t in b.column(at).to_pylist()],
+                                    pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
