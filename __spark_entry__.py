@@ -45,7 +45,7 @@ from casekit.streaming import (LiveSinks, count_first_seen, counted_kinds,  # no
                                cumulative_counts, decode_cases, decode_surveys, dedup_stream,
                                enrich_stream, forward_files, join_streams, land_newest,
                                land_stream, merged_sketches, newest_landed, priority_kinds,
-                               publish_json, rocksdb_state, sketch_counts, start_live,
+                               publish_json, published_rows, rocksdb_state, sketch_counts, start_live,
                                stream_files, stream_messages)
 from casekit.streaming.live import replace_batch  # noqa: E402
 
@@ -92,6 +92,14 @@ def q_load_stamp_fixed(spark, d):
                            as_of=AS_OF, date_col="load_date")
 
 
+def q_load_stamp_now(spark, d):
+    """Without ``as_of`` every row carries the query's own time, in whole seconds."""
+    rows = with_load_stamp(dv.cases(spark, d).select("case_no", "status"), date_col="load_date")
+    now = F.date_trunc("second", F.localtimestamp())
+    return rows.select("case_no", "status", (F.col("row_insertion_dttm") == now).alias("is_now"),
+                       (F.col("load_date") == F.to_date(now)).alias("is_today"))
+
+
 def q_answers_lenient(spark, d):
     """Survey answers as text, some with a zero and some with a real fraction: only
     whole numbers count."""
@@ -625,6 +633,24 @@ def q_stream_land_cases(spark, d):
     return read_landing(spark, f"{base}/landing", schemas.CASE)
 
 
+def q_stream_timed_trigger(spark, d):
+    """One query on a processing-time trigger while the files arrive, stopped, and started
+    again from its checkpoint, which adds nothing."""
+    base = scratch_path(spark, "stream_timed_trigger")
+    messages, cuts = _case_stream(spark, d, base)
+
+    def start(**trigger):
+        return land_stream(decode_cases(messages), f"{base}/landing", f"{base}/ckpt", trigger=trigger)
+
+    query = start(processingTime="1 second")
+    for write in cuts:
+        write()
+        query.processAllAvailable()
+    query.stop()
+    start(**ONCE).awaitTermination()
+    return read_landing(spark, f"{base}/landing", schemas.CASE)
+
+
 def _lookup(spark):
     return priority_lookup(dv.case_category(spark), dv.case_priority(spark), how="inner")
 
@@ -666,12 +692,13 @@ def q_stream_lookup_change(spark, d):
     return spark.read.parquet(f"{base}/landing").withColumn("batch_id", F.col("batch_id").cast("long"))
 
 
-def _live(spark, d, name, damaged=False):
-    """The live job over both streams in three micro-batches; its output folders."""
+def _live(spark, d, name, damaged=False, arrange=zip):
+    """The live job over both streams in three micro-batches; its output folders.
+    ``arrange`` deals the cuts of both streams to the micro-batches."""
     base = scratch_path(spark, name)
     cases, case_cuts = _case_stream(spark, d, base)
     surveys, survey_cuts = _survey_stream(spark, d, base)
-    cuts = list(zip(case_cuts, survey_cuts))
+    cuts = list(arrange(case_cuts, survey_cuts))
     if damaged:
         cuts[0] += (lambda: _write_text(_damaged_messages(spark, d), f"{base}/in", "append"),)
     sinks = LiveSinks.under(f"{base}/out", published=f"{base}/published")
@@ -692,6 +719,14 @@ def q_stream_priority_batches(spark, d):
         F.col("batch_id").cast("long"), "priority", "severity", "Cases_numbers")
 
 
+def q_stream_batch_without_cases(spark, d):
+    """Status counts where the second micro-batch holds surveys only: it adds no rows."""
+    sinks = _live(spark, d, "stream_no_cases", arrange=lambda cases, surveys: [
+        (cases[0], surveys[0]), (surveys[1],), (cases[1], cases[2], surveys[2])])
+    return spark.read.parquet(sinks.status).select(
+        F.col("batch_id").cast("long"), "Case_Type", "Cases_numbers")
+
+
 def q_stream_fan_out_landing(spark, d):
     """The cases landed by the live job (one decode per batch)."""
     return read_landing(spark, _live(spark, d, "stream_fan_out").cases, schemas.CASE)
@@ -801,6 +836,28 @@ def q_stream_publish_array(spark, d):
     return decode_cases(spark.read.text(f"{base}/out"))
 
 
+def q_stream_published_counts(spark, d):
+    """Records published by every micro-batch: the observed metric beside what lies in the
+    batch's folder.  The second batch holds no record and sends nothing."""
+    base = scratch_path(spark, "stream_published_counts")
+    messages, cuts = _case_stream(spark, d, base)
+    empty = spark.createDataFrame([("[]",)], "value string")
+    cuts.insert(1, lambda: _write_text(empty, f"{base}/in", "append"))
+    started = []
+
+    def start():
+        started.append(publish_json(decode_cases(messages), f"{base}/ckpt", fmt="text", path=f"{base}/out",
+                                    envelope="array", max_rows=500, trigger=ONCE))
+        return started[-1]
+
+    _run_in_cuts(cuts, start)
+    metric = spark.createDataFrame([row for q in started for row in published_rows(q)],
+                                   "batch_id long, published long")
+    stored = decode_cases(spark.read.text(f"{base}/out"), keep=("batch_id",)).groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("stored"))
+    return metric.join(stored, "batch_id", "left").na.fill(0, ["stored"])
+
+
 def q_file_forward(spark, d):
     base = scratch_path(spark, "file_forward")
     _write_text(_case_messages(spark, d), f"{base}/in")
@@ -814,6 +871,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_cast": q_conform_cast,
     "event_date": q_event_date,
     "load_stamp_fixed": q_load_stamp_fixed,
+    "load_stamp_now": q_load_stamp_now,
     "answers_lenient": q_answers_lenient,
     "filter_status": q_filter_status,
     "filter_in_priority": q_filter_in_priority,
@@ -874,6 +932,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_dedup": q_stream_dedup,
     "file_forward": q_file_forward,
     "stream_publish_array": q_stream_publish_array,
+    "stream_published_counts": q_stream_published_counts,
+    "stream_timed_trigger": q_stream_timed_trigger,
+    "stream_batch_without_cases": q_stream_batch_without_cases,
     "stream_join_state": q_stream_join_state,
     "stream_cumulative_counts": q_stream_cumulative_counts,
     "stream_cumulative_priority": q_stream_cumulative_priority,
@@ -993,6 +1054,7 @@ ORACLE: dict[str, str] = {
     "load_stamp_fixed": f"""SELECT case_no, status, last_modified_timestamp,
         {ov.AS_OF_SQL} AS row_insertion_dttm, CAST({ov.AS_OF_SQL} AS DATE) AS load_date
         FROM cases""",
+    "load_stamp_now": "SELECT case_no, status, true AS is_now, true AS is_today FROM cases",
     "filter_status": """SELECT case_no, status, last_modified_timestamp FROM fact
         WHERE status = 'Open'""",
     "filter_in_priority": """SELECT case_no, priority, severity FROM wide
@@ -1121,6 +1183,18 @@ ORACLE.update({
     "stream_dedup": "SELECT * FROM surveys",
     "file_forward": "SELECT * FROM cases",
     "stream_publish_array": "SELECT * FROM cases",
+    "stream_published_counts": """SELECT cut + CAST(cut > 0 AS BIGINT) AS batch_id,
+        count(*) AS published, count(*) AS stored
+        FROM (SELECT CAST(case_no AS BIGINT) % 3 AS cut FROM cases) GROUP BY 1
+        UNION ALL SELECT 1, 0, 0""",
+    "stream_timed_trigger": "SELECT * FROM cases",
+    "stream_batch_without_cases": """UNPIVOT (
+        SELECT CASE WHEN CAST(case_no AS BIGINT) % 3 = 0 THEN 0::BIGINT ELSE 2::BIGINT END AS batch_id,
+               count(DISTINCT case_no) AS "Total Cases",
+               count(DISTINCT case_no) FILTER (status = 'Open') AS "Open Cases",
+               count(DISTINCT case_no) FILTER (status = 'Closed') AS "Closed Cases"
+        FROM cases GROUP BY 1)
+        ON COLUMNS(* EXCLUDE (batch_id)) INTO NAME Case_Type VALUE Cases_numbers""",
     "stream_join_state": "SELECT c.*, s.* EXCLUDE (case_no) FROM cases c JOIN surveys s USING (case_no)",
     "stream_cumulative_counts": """UNPIVOT (
         SELECT b.batch_id, count(DISTINCT case_no) AS "Total Cases",

@@ -75,6 +75,12 @@ def publish_json(df: DataFrame, checkpoint: str, fmt: str = "text", path: str |
             .trigger(**(trigger or {"processingTime": "15 seconds"})).start())
 
 
+def published_rows(query: StreamingQuery) -> list[tuple[int, int]]:
+    """(batch id, records sent) of a ``publish_json`` query's recent micro-batches."""
+    return [(p["batchId"], p["observedMetrics"]["published"]["rows"])
+            for p in query.recentProgress if "published" in p["observedMetrics"]]
+
+
 def dedup_stream(df: DataFrame, keys: list[str], delay: str = "1 hour",
                  arrival: str = "ingest_ts") -> DataFrame:
     """Drop redelivered records: same ``keys``, arriving within ``delay`` of the first.
