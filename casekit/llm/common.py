@@ -49,6 +49,20 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def give_back() -> None:
+    """Return what this worker process has freed to the system.  Workers are reused, so
+    memory that an earlier stage freed would otherwise stay with the executor."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)       # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def crc_mod(id_col: str, n: int) -> Column:
     """crc32 of the id written as text, modulo ``n`` (the fold of a row)."""
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % n

@@ -25,7 +25,7 @@ from collections.abc import Iterator
 from pyspark.sql import DataFrame
 
 from .chunks import ids_of, slices, tokenizer_path
-from .common import ship
+from .common import give_back, ship
 
 PIECES = ("doc_id long, start long, length long, ids binary, doc_tokens long, "
           "sequence_id long, offset long, sequence_tokens long, padded_to long")
@@ -98,6 +98,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id
         import pyarrow as pa
         from pyspark import TaskContext
 
+        give_back()
         enc = ids_of(tokenizer_path(tokenizer))
         schema = pa.schema([(c, pa.binary() if c == "ids" else pa.int64())
                             for c in (x.split()[0] for x in PIECES.split(", "))])
@@ -124,7 +125,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id
         for b in batches:
             full, size = [], 0
             doc_ids = b.column(0).to_pylist()
-            for at, to in slices(b.column(1)):
+            for at, to in slices(b.column(1), 2 << 20):
                 flat, ends = enc(b.column(1)[at:to])
                 raw, ends = flat.astype("<u4").tobytes(), (4 * ends).tolist()
                 for doc, lo, hi in zip(doc_ids[at:to], ends, ends[1:]):
@@ -147,6 +148,7 @@ def pack_documents(docs: DataFrame, tokenizer: str = "byte_bpe_50k.json", end_id
                 pieces, seq = pack(rest, seq)
                 rest = []
                 yield from packed(pieces)
+            pa.default_memory_pool().release_unused()
         if rest:
             yield from packed(pack(rest, seq)[0])
 
