@@ -9,7 +9,7 @@ from casekit.operators.enrich import priority_lookup
 from casekit.sources import driver_views as dv
 from casekit.sources.tables import read_landing
 from casekit.streaming import (LiveSinks, decode_cases, decode_surveys, dedup_stream, land_stream,
-                               publish_json, start_live)
+                               publish_json, published_rows, start_live)
 from casekit.streaming.sources import stream_files, stream_messages
 
 ONCE = {"availableNow": True}
@@ -161,9 +161,7 @@ def test_publish_json_counts_and_replaces_batches(spark, tmp_dir):
     q = publish_json(decode_cases(stream_messages(spark, "text", f"{tmp_dir}/in")), f"{tmp_dir}/ck",
                      path=f"{tmp_dir}/out", envelope="array", trigger=ONCE)
     q.awaitTermination()
-    observed = [p["observedMetrics"]["published"]["rows"] for p in q.recentProgress
-                if "published" in p.get("observedMetrics", {})]
-    assert sum(observed) == cases.count()
+    assert sum(rows for _, rows in published_rows(q)) == cases.count()
     assert decode_cases(spark.read.text(f"{tmp_dir}/out")).count() == cases.count()
 
 
