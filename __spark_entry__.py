@@ -30,7 +30,7 @@ from casekit.operators.kpi import KPI_COLUMNS, kpi_name  # noqa: E402
 from casekit.plans.fact import (WideDims, build_fact, build_wide, latest_cases,  # noqa: E402
                                 latest_surveys, score_feedback, wide_dim_specs)
 from casekit.functions.jsonio import (decode_json, encode_arrays, encode_rows,  # noqa: E402
-                                      text_fields)
+                                      pack_arrays, text_fields)
 from casekit.plans.incremental import (fact_from_latest, merge_increment,  # noqa: E402
                                        update_latest_tables)
 from casekit.plans.jobs import (Warehouse, build_increment, following_priority,  # noqa: E402
@@ -47,6 +47,7 @@ from casekit.streaming import (LiveSinks, count_first_seen, counted_kinds,  # no
                                land_stream, merged_sketches, newest_landed, priority_kinds,
                                publish_json, published_rows, rocksdb_state, sketch_counts, start_live,
                                stream_files, stream_messages)
+from casekit.streaming.join import FILE_OPTIONS  # noqa: E402
 from casekit.streaming.live import replace_batch  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
@@ -293,8 +294,13 @@ def _survey_messages(frame):
     return encode_arrays(text_fields(frame, SURVEY_TS), 20)
 
 
+#: Message files are compressed; a file that cannot be split stays within some 130 MB of text
+#: (messages of 20 records).
+MESSAGE_FILES = {"compression": "lz4", "maxRecordsPerFile": 20_000}
+
+
 def _write_text(frame, path, mode="overwrite"):
-    frame.write.mode(mode).text(path)
+    frame.write.mode(mode).options(**MESSAGE_FILES).text(path)
 
 
 def q_json_decode_explode(spark, d):
@@ -317,10 +323,8 @@ def _damaged_messages(spark, d):
     """All cases as JSON arrays of 20, some records cut short."""
     rec = encode_rows(text_fields(dv.cases(spark, d)))
     cut = F.get_json_object("value", "$.case_no").cast("long") % CUT_EVERY == 0
-    rec = rec.select(F.when(cut, F.left("value", F.lit(CUT_AT))).otherwise(F.col("value"))
-                     .alias("rec"), F.floor(F.monotonically_increasing_id() / 20).alias("chunk"))
-    return rec.groupBy("chunk").agg(F.concat(F.lit("["), F.array_join(F.collect_list("rec"), ","),
-                                             F.lit("]")).alias("value")).select("value")
+    return pack_arrays(rec.select(F.when(cut, F.left("value", F.lit(CUT_AT))).otherwise(F.col("value"))
+                                  .alias("value")), 20)
 
 
 def q_json_decode_damaged(spark, d):
@@ -863,7 +867,7 @@ def q_file_forward(spark, d):
     _write_text(_case_messages(spark, d), f"{base}/in")
     lines = stream_files(spark, f"{base}/in", archive_dir=f"{base}/done")
     forward_files(lines, f"{base}/ckpt", fmt="text", path=f"{base}/out",
-                  trigger=ONCE).awaitTermination()
+                  options=FILE_OPTIONS, trigger=ONCE).awaitTermination()
     return decode_cases(spark.read.text(f"{base}/out"))
 
 

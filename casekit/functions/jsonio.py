@@ -14,6 +14,8 @@ its raw text.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -30,9 +32,10 @@ _CORRUPT = "__corrupt"
 _BOUNDARY = r"(?<=\})\s*,\s*|\s*,\s*(?=\{)"
 
 
-def parse_messages(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
-    """Add ``__recs``, the records of each message as array<struct> of text fields, and
-    ``__bad``, the raw text of its pieces that are not records."""
+def _pieces(df: DataFrame, schema: T.StructType, value_col: str) -> DataFrame:
+    """Add ``__recs``, the records of each message as array<struct> of text fields, and, where
+    a message does not parse as a whole, ``__pieces``: array<struct<rec, raw>>, of which ``rec``
+    is NULL where the raw text is no record (else ``__pieces`` is NULL)."""
     text = _as_text(schema)
     value = F.col(value_col).cast("string")
     body = F.regexp_replace(F.regexp_replace(value, r"^\s*\[\s*", ""), r"\s*\]\s*$", "")
@@ -49,16 +52,35 @@ def parse_messages(df: DataFrame, schema: T.StructType, value_col: str = "value"
     def fields(p):
         return F.struct(*[p["rec"][f.name].alias(f.name) for f in text.fields])
 
+    def told(p):
+        good = F.coalesce(is_record(p), F.lit(False))
+        return F.struct(F.when(good, fields(p)).alias("rec"), F.when(~good, p["raw"]).alias("raw"))
+
     whole = df.withColumn("__recs", F.from_json(value, T.ArrayType(text)))
     # a NULL element stands for something that is no object: look at the pieces then
     damaged = F.col("__recs").isNull() | F.exists("__recs", lambda r: r.isNull())
-    cut = whole.withColumn("__pieces", F.when(
-        damaged & value.isNotNull(),
-        F.transform(F.filter(F.split(body, _BOUNDARY), lambda p: F.trim(p) != ""), piece)))
-    return (cut.withColumn("__recs", F.when(F.col("__pieces").isNull(), F.col("__recs")).otherwise(
-                F.transform(F.filter("__pieces", is_record), fields)))
-            .withColumn("__bad", F.transform(F.filter("__pieces", lambda p: ~is_record(p)),
-                                             lambda p: p["raw"])).drop("__pieces"))
+    cut = F.transform(F.filter(F.split(body, _BOUNDARY), lambda p: F.trim(p) != ""), piece)
+    return whole.withColumn("__pieces", F.when(damaged & value.isNotNull(), F.transform(cut, told)))
+
+
+def decode_marked(df: DataFrame, schema: T.StructType, value_col: str = "value",
+                  keep: tuple[str, ...] = ()) -> DataFrame:
+    """One row per piece of each message, each parsed once: typed records, whose ``raw`` is
+    NULL, and pieces that are no records, with their raw text in ``raw``."""
+    parsed, text = _pieces(df, schema, value_col), _as_text(schema)
+    whole = F.transform("__recs", lambda r: F.struct(r.alias("rec"), F.lit(None).cast("string").alias("raw")))
+    # the outer form: for the inner one Spark would filter on the array, and parse once more
+    rows = (parsed.select(*keep, F.explode_outer(F.coalesce("__pieces", whole)).alias("__p"))
+            .where("__p IS NOT NULL")
+            .select(*keep, *[F.col("__p.rec")[f.name].alias(f.name) for f in text.fields],
+                    F.col("__p.raw").alias("__raw")))
+    return _typed(rows, df, schema, keep, ["__raw"]).withColumnRenamed("__raw", "raw")
+
+
+def _typed(rows: DataFrame, df: DataFrame, schema: T.StructType, keep: tuple[str, ...],
+           more: list[str]) -> DataFrame:
+    return conform(rows, T.StructType([T.StructField(k, df.schema[k].dataType, True) for k in keep]
+                                      + list(schema.fields) + [rows.schema[c] for c in more]))
 
 
 def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
@@ -68,20 +90,25 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
     ``schema`` is the target (typed) schema; ``keep`` names input columns to
     carry along (e.g. a Kafka timestamp).  With ``bad='quarantine'`` returns
     ``(records, rejects)`` where ``rejects`` holds the raw text of every piece
-    that did not parse.
+    that did not parse.  Where both are needed, persist ``decode_marked`` and take
+    ``split_marked`` of it: one parse.
     """
-    parsed = parse_messages(df, schema, value_col)
-    good = parsed.where(F.col("__recs").isNotNull()).select(
-        *keep, F.explode("__recs").alias("__r")).select(*keep, "__r.*")
-    typed = conform(good, T.StructType(
-        [T.StructField(k, df.schema[k].dataType, True) for k in keep] + list(schema.fields)))
     if bad == "drop":
-        return typed
+        parsed = _pieces(df, schema, value_col)
+        recs = F.when(F.col("__pieces").isNull(), F.col("__recs")).otherwise(
+            F.transform(F.filter("__pieces", lambda p: p["raw"].isNull()), lambda p: p["rec"]))
+        good = parsed.select(*keep, F.explode_outer(recs).alias("__r")).where("__r IS NOT NULL")
+        return _typed(good.select(*keep, "__r.*"), df, schema, keep, [])
     if bad != "quarantine":
         raise ValueError("bad must be 'drop' or 'quarantine'")
-    rejects = parsed.select(*keep, F.explode("__bad").alias("raw"),
-                            F.lit("unparseable JSON").alias("reason"))
-    return typed, rejects
+    return split_marked(decode_marked(df, schema, value_col, keep), schema, keep)
+
+
+def split_marked(marked: DataFrame, schema: T.StructType,
+                 keep: tuple[str, ...] = ()) -> tuple[DataFrame, DataFrame]:
+    """Records and rejects of ``decode_marked``."""
+    return (marked.where("raw IS NULL").select(*keep, *schema.fieldNames()),
+            marked.where("raw IS NOT NULL").select(*keep, "raw", F.lit("unparseable JSON").alias("reason")))
 
 
 def text_fields(df: DataFrame, ts_format: str = "yyyy-MM-dd HH:mm:ss") -> DataFrame:
@@ -106,15 +133,34 @@ def encode_rows(df: DataFrame) -> DataFrame:
 
 
 def encode_arrays(df: DataFrame, max_rows: int = 20) -> DataFrame:
-    """JSON-array messages of at most ``max_rows`` records each.
+    """JSON-array messages of at most ``max_rows`` records each."""
+    return pack_arrays(encode_rows(df), max_rows)
+
+
+def pack_arrays(records: DataFrame, max_rows: int = 20) -> DataFrame:
+    """Records (column ``value``, one JSON object each) as JSON arrays of at most ``max_rows``.
 
-    Records are grouped by their position inside their own partition, so a
-    message never grows with the data and no task gathers more than
-    ``max_rows`` records per message.
+    Records are grouped by their position inside their own partition: a narrow map, without a
+    shuffle, that holds one Arrow batch at a time.
     """
-    rec = F.to_json(F.struct(*[F.col(c) for c in df.columns]), _TO_JSON)
-    chunk = F.floor(F.monotonically_increasing_id() / F.lit(max_rows))
-    grouped = (df.select(chunk.alias("__chunk"), rec.alias("__rec"))
-                 .groupBy("__chunk").agg(F.collect_list("__rec").alias("__recs")))
-    return grouped.select(F.concat(F.lit("["), F.array_join("__recs", ","), F.lit("]"))
-                          .alias("value"))
+    def pack(batches: Iterator) -> Iterator:
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        rest = pa.array([], pa.string())
+
+        def messages(recs):
+            ends = np.append(np.arange(0, len(recs), max_rows), len(recs)).astype(np.int32)
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array(ends), recs), ",")
+            return pa.RecordBatch.from_arrays([pc.binary_join_element_wise("[", joined, "]", "")], ["value"])
+
+        for b in batches:
+            recs = pa.concat_arrays([rest, b.column(0).cast(pa.string()).drop_null()])
+            full = len(recs) - len(recs) % max_rows
+            rest = recs[full:]
+            if full:
+                yield messages(recs[:full])
+        if len(rest):
+            yield messages(rest)
+
+    return records.select("value").mapInArrow(pack, "value string")

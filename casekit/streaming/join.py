@@ -33,6 +33,10 @@ def join_case_survey(cases: DataFrame, surveys: DataFrame) -> DataFrame:
     return c.join(s, F.col("c.case_no") == F.col("s.case_no")).select(*cols)
 
 
+#: Published files are compressed (``options`` may say otherwise).
+FILE_OPTIONS = {"compression": "lz4"}
+
+
 def publish_batch(df: DataFrame, batch_id: int, fmt: str = "text", path: str | None = None,
                   options: dict | None = None, envelope: str = "row",
                   max_rows: int = 500) -> None:
@@ -40,7 +44,7 @@ def publish_batch(df: DataFrame, batch_id: int, fmt: str = "text", path: str | N
 
     ``envelope='row'`` sends one object per record, ``'array'`` arrays of at most
     ``max_rows`` records.  Files replace the batch's own folder, so a replay
-    leaves one copy; a broker gets the batch id as message key, by which a
+    leaves one copy, and are compressed; a broker gets the batch id as message key, by which a
     consumer tells a replayed batch.
     """
     if envelope not in ("row", "array"):
@@ -52,7 +56,7 @@ def publish_batch(df: DataFrame, batch_id: int, fmt: str = "text", path: str | N
     else:
         (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .format(fmt).save(path))
+         .format(fmt).options(**{**FILE_OPTIONS, **(options or {})}).save(path))
 
 
 def publish_json(df: DataFrame, checkpoint: str, fmt: str = "text", path: str | None = None,
@@ -61,15 +65,10 @@ def publish_json(df: DataFrame, checkpoint: str, fmt: str = "text", path: str |
     """Publish a stream, batch by batch (``publish_batch``); empty batches send nothing.
 
     The number of records sent per batch is reported as the observed metric
-    ``published``.
+    ``published``.  Every batch is computed once, by its write, and not kept.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
-        try:
-            if not batch.isEmpty():
-                publish_batch(batch, batch_id, fmt, path, options, envelope, max_rows)
-        finally:
-            batch.unpersist()
+        publish_batch(batch, batch_id, fmt, path, options, envelope, max_rows)
     return (df.observe("published", F.count(F.lit(1)).alias("rows"))
             .writeStream.foreachBatch(handle).option("checkpointLocation", checkpoint)
             .trigger(**(trigger or {"processingTime": "15 seconds"})).start())

@@ -15,10 +15,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from casekit import schemas
-from casekit.functions.jsonio import decode_json
+from casekit.functions.jsonio import decode_json, decode_marked, split_marked
 from casekit.operators.enrich import DimSpec, prepare
 from casekit.operators.kpi import live_priority_counts, live_status_counts, show_kpis
 from casekit.streaming.join import CASE, SURVEY, join_case_survey, publish_batch, tag_messages
@@ -107,28 +108,30 @@ def replace_batch(df: DataFrame, path: str, batch_id: int) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(path))
 
 
+#: The fields of cases and surveys.
+_BOTH = T.StructType([*schemas.CASE.fields, *[
+    f for f in schemas.SURVEY.fields if f.name not in schemas.CASE.fieldNames()]])
+
+
 def live_batch_writer(sinks: LiveSinks, with_priority: Callable[[DataFrame], DataFrame],
                       show: int = 0) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` handler over tagged messages: every output of a batch.
 
-    Each input is decoded once and kept for the batch.  Records that cannot be
-    decoded land with their raw text.  ``show`` prints that many KPI rows of
-    every batch.
+    Each message is parsed once, by the schema of both kinds, and only the typed records and
+    rejects are kept for the batch, not the messages.  Records that cannot be decoded land
+    with their raw text.  ``show`` prints that many KPI rows of every batch.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()          # before the first action: the source is read once
-        if batch.isEmpty():
-            batch.unpersist()
+        if batch.isEmpty():                      # reads one message
             return
-        cases, bad_cases = decode_cases(batch.where(F.col("kind") == CASE), "quarantine",
-                                        keep=("kind",))
-        surveys, bad_surveys = decode_surveys(batch.where(F.col("kind") == SURVEY),
-                                              "quarantine", keep=("kind",))
-        cases, surveys = cases.drop("kind").persist(), surveys.drop("kind").persist()
+        decoded = decode_marked(batch, _BOTH, keep=("kind",)).persist()
+        records, rejects = split_marked(decoded, _BOTH, keep=("kind",))
+        cases = records.where(F.col("kind") == CASE).select(*schemas.CASE.fieldNames())
+        surveys = records.where(F.col("kind") == SURVEY).select(*schemas.SURVEY.fieldNames())
         try:
             replace_batch(cases, sinks.cases, batch_id)
             replace_batch(surveys, sinks.surveys, batch_id)
-            replace_batch(bad_cases.unionByName(bad_surveys), sinks.rejects, batch_id)
+            replace_batch(rejects, sinks.rejects, batch_id)
             if not cases.isEmpty():
                 enriched = with_priority(cases)
                 for frame, path in ((live_status_counts(enriched), sinks.status),
@@ -141,8 +144,7 @@ def live_batch_writer(sinks: LiveSinks, with_priority: Callable[[DataFrame], Dat
                 publish_batch(joined, batch_id, "kafka" if sinks.publish_options else "text",
                               sinks.published, sinks.publish_options)
         finally:
-            for frame in (cases, surveys, batch):
-                frame.unpersist()
+            decoded.unpersist()
     return handle
 
 

@@ -198,3 +198,41 @@ def test_stream_files_archive(spark, tmp_dir):
          .writeStream.format("memory").queryName("fwd_test").trigger(availableNow=True).start())
     q.awaitTermination()
     assert sorted(r.value for r in spark.table("fwd_test").collect()) == ["a", "b"]
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_messages_are_packed_without_a_shuffle(spark):
+    from casekit.functions.jsonio import pack_arrays
+    rows = spark.range(0, 25_003, numPartitions=3).selectExpr("CAST(id AS string) AS a", "id AS b")
+    messages = encode_arrays(rows, 7)
+    assert "Exchange" not in _plan(messages)
+    sizes = messages.selectExpr("size(from_json(value, 'array<struct<a string, b long>>')) AS n").groupBy("n").count()
+    sizes = {r["n"]: r["count"] for r in sizes.collect()}
+    assert max(sizes) == 7 and sum(n * k for n, k in sizes.items()) == 25_003
+    assert sum(k for n, k in sizes.items() if n < 7) <= 3                 # one short message a partition
+    assert pack_arrays(spark.createDataFrame([], "value string")).count() == 0
+
+
+def test_a_message_is_parsed_once(spark):
+    from casekit import schemas
+    from casekit.functions.jsonio import decode_marked
+    messages = spark.createDataFrame([('[{"case_no":"1"},{"case_no":"2"}]',), ('[{"case_no":"3"},{"case_',),
+                                      ("[]",), (None,), ("[null]",)], "value string")
+    for df in (decode_json(messages, schemas.CASE), decode_marked(messages, schemas.CASE)):
+        assert _plan(df).count("from_json(ArrayType") == 1                # not again in a filter
+    marked = decode_marked(messages, schemas.CASE).select("case_no", "raw").collect()
+    assert sorted((tuple(r) for r in marked), key=str) == sorted(
+        [("1", None), ("2", None), ("3", None), (None, '{"case_'), (None, "null")], key=str)
+
+
+def test_message_files_are_compressed_and_bounded(spark, tmp_path):
+    import glob
+    import __spark_entry__ as entry
+    frame = spark.range(0, 45_000, numPartitions=1).selectExpr("concat('message ', id) AS value")
+    entry._write_text(frame, f"{tmp_path}/m")
+    files = glob.glob(f"{tmp_path}/m/part-*")
+    assert len(files) == 3 and all(f.endswith(".lz4") for f in files)
+    assert spark.read.text(f"{tmp_path}/m").exceptAll(frame).count() == 0
