@@ -7,11 +7,10 @@
    permutations, 16 bits a letter.  The strings of each tree are sorted (one range shuffle
    for all trees): that order is the tree's prefix trie, and nodes that share a prefix stand
    side by side.
-3. The matched prefix starts at the full depth and is shortened until the target recall is
-   *measured*: a bounded sample of documents is compared by brute force with every row
-   while the rows are sketched, and a prefix is long enough only if that share of the
-   sample's true links has it in common in some tree.  It never gets so long that a pair just
-   at the threshold would meet with less than ``floor_recall``.
+3. The matched prefix is the longest that lets every pair meet with at least the target recall:
+   a pair at the threshold shares a prefix in some tree with a chance that follows from the
+   threshold, the prefix and the number of trees, and a closer pair with a greater one.  No
+   document is sampled for it.
 4. Each trie node of the matched prefix gives a star of its members.  Trees are contracted one
    after the other: an edge counts only if its ends are still in different components, so a
    group of near copies costs about one edge a member, not one a member and tree.
@@ -144,8 +143,14 @@ def matched_prefix(links: list[int], threshold: float, trees: int, target: float
     return 1
 
 
+def sure_prefix(threshold: float, trees: int, depth: int, target: float) -> int:
+    """The longest prefix by which a pair at the threshold meets with the target recall."""
+    return max((p for p in range(1, depth + 1) if recall(threshold, trees, p) >= target), default=1)
+
+
 class Sample:
-    """Shingle sets of some documents, to find their true links among all rows."""
+    """Shingle sets of some documents, to find their true links among all rows.  A means to
+    measure the recall; the join takes nothing from it."""
 
     def __init__(self, texts, by: np.ndarray, trees: int, depth: int, n: int, threshold: float):
         sets = [s for s in shingle_sets(texts, n) if len(s)]
@@ -183,22 +188,13 @@ class Sample:
         return np.bincount(same, minlength=self.depth + 1).tolist()
 
 
-def sketch(docs: DataFrame, trees: int, depth: int, n: int, threshold: float,
-           sample_rows: int) -> DataFrame:
+def sketch(docs: DataFrame, trees: int, depth: int, n: int) -> DataFrame:
     """Per row ``(id, text key)``: set digest, set size, signature letters (big-endian, tree
-    by tree), and true links to the sample by common prefix."""
+    by tree)."""
     by = multipliers(trees * depth)
-    import pyarrow as pa
-    # about ``sample_rows`` rows by their hash; no task sends more than its share
-    every = max(1, docs.count() // sample_rows)
-    texts = [r.text for r in docs.where("text IS NOT NULL").where(
-        F.pmod(F.xxhash64("id", "key"), F.lit(every)) == 0).dropDuplicates(["id", "key"]).select("text").collect()]
-    shared = docs.sparkSession.sparkContext.broadcast(
-        Sample(pa.array(texts, pa.string()), by, trees, depth, n, threshold))
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        sample = shared.value
         for b in batches:
             for at, to in slices(b.column(2)):
                 sets = shingle_sets(b.column(2)[at:to], n)
@@ -207,13 +203,11 @@ def sketch(docs: DataFrame, trees: int, depth: int, n: int, threshold: float,
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0)[at:to], b.column(1)[at:to], pa.array(sids, pa.int64()),
                      pa.array([len(s) for s in sets], pa.int64()),
-                     pa.array([None if x is None else x.astype(">u2").tobytes() for x in own], pa.binary()),
-                     pa.array([None if x is None else sample.links(s, d, x)
-                               for s, d, x in zip(sets, sids, own)], pa.list_(pa.int64()))],
-                    ["id", "key", "sid", "n", "letters", "links"])
+                     pa.array([None if x is None else x.astype(">u2").tobytes() for x in own], pa.binary())],
+                    ["id", "key", "sid", "n", "letters"])
 
     return docs.select("id", "key", "text").mapInArrow(
-        run, "id long, key long, sid long, n long, letters binary, links array<long>")
+        run, "id long, key long, sid long, n long, letters binary")
 
 
 # ---------------------------------------------------------------- prefix tries
@@ -462,16 +456,13 @@ def _rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def classified(rows: DataFrame, threshold: float = 0.8, shingle: int = 5, trees: int = 32,
-               depth: int = 8, target_recall: float = 0.999, floor_recall: float = 0.995,
-               sample_rows: int = 1000, block_sets: int = 1024,
+               depth: int = 8, target_recall: float = 0.999, block_sets: int = 1024,
                block_shingles: int = 500_000) -> tuple[DataFrame, DataFrame]:
     """``(id, key, text)`` rows to their sketch ``(id, key, sid, ...)`` and the sets
     ``(sid, rep, weight, label, n_links)``; sets with one label are a class."""
     ship(rows.sparkSession)
-    sketched = stored(sketch(rows, trees, depth, shingle, threshold, sample_rows), "sketch")
-    measured = sketched.where("links IS NOT NULL").agg(
-        *[F.coalesce(F.sum(F.col("links")[k]), F.lit(0)) for k in range(depth + 1)]).first()
-    prefix = matched_prefix(list(measured), threshold, trees, target_recall, floor_recall)
+    sketched = stored(sketch(rows, trees, depth, shingle), "sketch")
+    prefix = sure_prefix(threshold, trees, depth, target_recall)
     # one node per set; the letters follow from the set, so any row's will do
     sets = sketched.where("sid IS NOT NULL")
     nodes = stored(sets.groupBy("sid", "id", "key").agg(

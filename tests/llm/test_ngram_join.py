@@ -219,3 +219,19 @@ def test_components(spark):
         parent[max(x, y)] = min(x, y)
     assert out == {x: root(x) for e in edges for x in e if e[0] != e[1]}
     assert graph.connected_components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_prefix_follows_from_the_threshold_not_from_a_sample(spark, monkeypatch):
+    assert nj.sure_prefix(0.8, 32, 8, 0.999) == 7
+    assert nj.recall(0.8, 32, 7) >= 0.999 > nj.recall(0.8, 32, 8)
+    assert nj.sure_prefix(0.8, 2, 8, 0.9999) == 1
+
+    def refuse(*args):
+        raise AssertionError("documents were sampled")
+    monkeypatch.setattr(nj, "Sample", refuse)
+    monkeypatch.setattr(nj, "matched_prefix", refuse)
+    words = [f"w{i}" for i in range(60)]
+    docs = spark.createDataFrame([(1, " ".join(words)), (2, " ".join([*words, "more"])), (3, "else")],
+                                 "doc_id long, text string")
+    got = {r.doc_id: (r.class_id, r.n_links) for r in nj.jaccard_join(docs).collect()}
+    assert got == {1: (1, 1), 2: (1, 1), 3: (3, 0)}
