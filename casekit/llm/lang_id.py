@@ -265,13 +265,12 @@ def identify_languages(docs: DataFrame, **options) -> DataFrame:
     return score(own, fit(learn.select("doc_id", "text", "lang"), **options))
 
 
-def keep_identified(docs: DataFrame, min_score: float = 0.0, **options) -> DataFrame:
+def keep_identified(docs: DataFrame, min_score: float = 0.5, **options) -> DataFrame:
     """The rows of ``docs``, with all columns, whose language is known, with at least
     ``min_score``; a narrow map.
 
-    By default only texts without a letter (or without anything to learn from) go: scores
-    are calibrated, so a short clean text in a language close to another one has a low
-    score by right.
+    By default the language must be likelier than all the others together; texts without a
+    letter go with any ``min_score``.
     """
     spark = docs.sparkSession
     ship(spark)

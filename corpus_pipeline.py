@@ -2,7 +2,8 @@
 
 Stages, each over all that its predecessor kept:
 
-1. language ID     documents whose language cannot be told (no letters) go
+1. language ID     documents whose language cannot be told go: no letters, or no language
+                   that is likelier than all the others together
 2. exact dedup     of equal texts the row with the largest id stays
 3. near dedup      of each class of the n-gram Jaccard join the least id stays
 4. decontamination documents that hold a benchmark item go

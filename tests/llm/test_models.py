@@ -295,3 +295,17 @@ def test_planted_items_are_found(spark):
     want = set(duckdb.sql(f"SELECT doc_id, item_id FROM '{SF}/documents.parquet' d, '{SF}/benchmark.parquet' b "
                           "WHERE contains(d.text, b.text)").fetchall())
     assert want <= got and len(got) < len(want) + 5
+
+
+def test_pipeline_drops_texts_of_no_likely_language(spark):
+    from casekit.llm import lang_id as li
+    texts = {"en": "the quick brown fox jumps over the lazy dog and runs",
+             "de": "der schnelle braune fuchs springt ueber den faulen hund",
+             "fr": "le renard brun rapide saute par dessus le chien paresseux",
+             "es": "el zorro marron salta sobre el perro perezoso del campo"}
+    rows = [(i, lang, t) for i, (lang, t) in enumerate(list(texts.items()) * 25)]
+    rows += [(1000, None, "\u0436\u0436\u0436 \u0449\u0449"), (1001, None, "123 !"), (1002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    kept = {r.doc_id for r in li.keep_identified(docs).collect()}
+    assert kept == set(range(100))                    # letters that fit no language go too
+    assert 1000 in {r.doc_id for r in li.keep_identified(docs, min_score=0.0).collect()}
