@@ -63,6 +63,15 @@ def _pieces(df: DataFrame, schema: T.StructType, value_col: str) -> DataFrame:
     return whole.withColumn("__pieces", F.when(damaged & value.isNotNull(), F.transform(cut, told)))
 
 
+def damaged_messages(df: DataFrame, schema: T.StructType, value_col: str = "value") -> DataFrame:
+    """The messages that do not parse as a whole."""
+    text = _as_text(schema)
+    recs = F.from_json(F.col(value_col).cast("string"), T.ArrayType(text))
+    # one expression with one parse in it, for a filter computes a repeated one again
+    none = F.array(F.lit(None).cast(text))
+    return df.where(F.exists(F.coalesce(recs, none), lambda r: r.isNull()))
+
+
 def decode_marked(df: DataFrame, schema: T.StructType, value_col: str = "value",
                   keep: tuple[str, ...] = ()) -> DataFrame:
     """One row per piece of each message, each parsed once: typed records, whose ``raw`` is

@@ -13,13 +13,14 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from casekit import schemas
-from casekit.functions.jsonio import decode_json, decode_marked, split_marked
+from casekit.functions.jsonio import damaged_messages, decode_json, decode_marked, split_marked
 from casekit.operators.enrich import DimSpec, prepare
 from casekit.operators.kpi import live_priority_counts, live_status_counts, show_kpis
 from casekit.streaming.join import CASE, SURVEY, join_case_survey, publish_batch, tag_messages
@@ -113,38 +114,47 @@ _BOTH = T.StructType([*schemas.CASE.fields, *[
     f for f in schemas.SURVEY.fields if f.name not in schemas.CASE.fieldNames()]])
 
 
+def _land_kind(batch: DataFrame, kind: str, schema: T.StructType, path: str, batch_id: int) -> DataFrame:
+    """Decode the messages of one kind straight into the batch's landing folder; the records
+    as they have landed."""
+    messages, spark = batch.where(F.col("kind") == kind), batch.sparkSession
+    replace_batch(decode_json(messages, schema), path, batch_id)
+    try:
+        return spark.read.schema(schema).parquet(f"{path.rstrip('/')}/batch_id={batch_id}")
+    except AnalysisException as e:              # no record, no folder
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
 def live_batch_writer(sinks: LiveSinks, with_priority: Callable[[DataFrame], DataFrame],
                       show: int = 0) -> Callable[[DataFrame, int], None]:
     """``foreachBatch`` handler over tagged messages: every output of a batch.
 
-    Each message is parsed once, by the schema of both kinds, and only the typed records and
-    rejects are kept for the batch, not the messages.  Records that cannot be decoded land
-    with their raw text.  ``show`` prints that many KPI rows of every batch.
+    Messages are decoded once, into the landing folders; the KPIs and the join read what has
+    landed, the columns that they need, and nothing is cached.  Records that cannot be decoded
+    land with their raw text; of the other messages this takes a look whether they parse.
+    ``show`` prints that many KPI rows of every batch.
     """
     def handle(batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():                      # reads one message
             return
-        decoded = decode_marked(batch, _BOTH, keep=("kind",)).persist()
-        records, rejects = split_marked(decoded, _BOTH, keep=("kind",))
-        cases = records.where(F.col("kind") == CASE).select(*schemas.CASE.fieldNames())
-        surveys = records.where(F.col("kind") == SURVEY).select(*schemas.SURVEY.fieldNames())
-        try:
-            replace_batch(cases, sinks.cases, batch_id)
-            replace_batch(surveys, sinks.surveys, batch_id)
-            replace_batch(rejects, sinks.rejects, batch_id)
-            if not cases.isEmpty():
-                enriched = with_priority(cases)
-                for frame, path in ((live_status_counts(enriched), sinks.status),
-                                    (live_priority_counts(enriched), sinks.priority)):
-                    if show:
-                        show_kpis(frame, show)
-                    replace_batch(frame.coalesce(1), path, batch_id)
-            if sinks.published or sinks.publish_options:
-                joined = join_case_survey(cases, surveys)
-                publish_batch(joined, batch_id, "kafka" if sinks.publish_options else "text",
-                              sinks.published, sinks.publish_options)
-        finally:
-            decoded.unpersist()
+        cases = _land_kind(batch, CASE, schemas.CASE, sinks.cases, batch_id)
+        surveys = _land_kind(batch, SURVEY, schemas.SURVEY, sinks.surveys, batch_id)
+        broken = damaged_messages(batch, _BOTH)
+        replace_batch(split_marked(decode_marked(broken, _BOTH, keep=("kind",)), _BOTH, keep=("kind",))[1],
+                      sinks.rejects, batch_id)
+        if not cases.isEmpty():
+            enriched = with_priority(cases)
+            for frame, path in ((live_status_counts(enriched), sinks.status),
+                                (live_priority_counts(enriched), sinks.priority)):
+                if show:
+                    show_kpis(frame, show)
+                replace_batch(frame.coalesce(1), path, batch_id)
+        if sinks.published or sinks.publish_options:
+            joined = join_case_survey(cases, surveys)
+            publish_batch(joined, batch_id, "kafka" if sinks.publish_options else "text",
+                          sinks.published, sinks.publish_options)
     return handle
 
 

@@ -236,3 +236,25 @@ def test_message_files_are_compressed_and_bounded(spark, tmp_path):
     files = glob.glob(f"{tmp_path}/m/part-*")
     assert len(files) == 3 and all(f.endswith(".lz4") for f in files)
     assert spark.read.text(f"{tmp_path}/m").exceptAll(frame).count() == 0
+
+
+def test_the_live_job_caches_nothing(spark, tmp_dir, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+    kept = []
+    monkeypatch.setattr(DataFrame, "persist", lambda df, *a: kept.append(df) or df)
+    case = {"case_no": "1", "status": "Open", "create_timestamp": "2001-01-01 10:00:00"}
+    spark.createDataFrame([(json.dumps([case]) + "\n",)], "value string").write.text(f"{tmp_dir}/c")
+    spark.createDataFrame([(json.dumps([_survey()])[:-1] + ",{bad}]",)], "value string").write.text(f"{tmp_dir}/s")
+    sinks = LiveSinks.under(f"{tmp_dir}/out", published=f"{tmp_dir}/joined")
+    start_live(stream_messages(spark, "text", f"{tmp_dir}/c"), stream_messages(spark, "text", f"{tmp_dir}/s"),
+               sinks, _lookup(spark), f"{tmp_dir}/ck", trigger=ONCE).awaitTermination()
+    assert kept == []
+    assert [r.survey_id for r in decode_json(spark.read.text(sinks.published), schemas.CASE_SURVEY).collect()] == ["s"]
+    assert [(r.kind, r.raw) for r in spark.read.parquet(sinks.rejects).collect()] == [("survey", "{bad}")]
+
+
+def test_damaged_messages(spark):
+    from casekit.functions.jsonio import damaged_messages
+    msgs = [json.dumps([_survey()]), json.dumps(_survey()), "[]", "[{}, 7]", "[null]", '[{"Q1": 1}', "{bad}"]
+    df = spark.createDataFrame([(m,) for m in msgs], "value string")
+    assert sorted(r.value for r in damaged_messages(df, schemas.SURVEY).collect()) == sorted(msgs[3:])
