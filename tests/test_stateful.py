@@ -163,3 +163,12 @@ def test_processing_time_trigger(spark, tmp_dir):
             assert spark.read.parquet(f"{tmp_dir}/land").count() == 10 * (k + 1)
     finally:
         q.stop()
+
+
+def test_settings_of_the_state_end_with_it(spark):
+    idle, counted = ("spark.sql.streaming.noDataMicroBatches.enabled",
+                     "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows")
+    before = spark.conf.get(idle), spark.conf.get(counted, None)
+    with rocksdb_state(spark, 2, idle_batches=False):
+        assert (spark.conf.get(idle), spark.conf.get(counted)) == ("false", "false")
+    assert (spark.conf.get(idle), spark.conf.get(counted, None)) == before
