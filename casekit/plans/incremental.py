@@ -53,11 +53,25 @@ def rows_not_in(new: DataFrame, old: DataFrame, columns: Sequence[str]) -> DataF
     64-bit digest of the columns and decided by the columns themselves."""
     digest = F.xxhash64(*columns)
     seen = old.select(digest.alias("__d"), F.struct(*columns).alias("__row"))
-    same = (F.col("__new") == F.col("__d")) & F.struct(*columns).eqNullSafe(F.col("__row"))
-    return (new.select(*columns).distinct().withColumn("__new", digest)
+    # in this form the rows are no keys of the join: it deals both sides by the digest alone, and
+    # the new rows, dealt so to become distinct, stay where they are
+    equal = F.exists(F.array("__row"), lambda r: r.eqNullSafe(F.struct(*columns)))
+    same = (F.col("__new") == F.col("__d")) & equal
+    return (new.select(*columns, digest.alias("__new")).repartition("__new").distinct()
             .join(seen, same, "left_anti").drop("__new"))
 
 
+def within_range(rows: DataFrame, column: str) -> Column:
+    """A filter for the values of ``column`` from the least to the greatest in ``rows``, and
+    for NULL where ``rows`` has it: no row outside it can equal one of ``rows``."""
+    c = F.col(column)
+    lo, hi, nulls = rows.agg(F.min(c).cast("string"), F.max(c).cast("string"),
+                             F.count_if(c.isNull())).first()
+    kind = rows.schema[column].dataType
+    known = F.lit(False) if lo is None else c.between(F.lit(lo).cast(kind), F.lit(hi).cast(kind))
+    return (known | c.isNull()) if nulls else known
+
+
 def touched_partitions(rows: DataFrame, column: str) -> Column:
     """A filter for the values of ``column`` in ``rows``, as literals, so that a scan leaves
     the other partitions alone.  The values are dates: the driver holds one a day."""
@@ -67,12 +81,13 @@ def touched_partitions(rows: DataFrame, column: str) -> Column:
 
 
 def merge_rows(spark: SparkSession, wh, key: str, rows: DataFrame, schema: T.StructType,
-               part: str, as_of: _dt.datetime | str | None = None) -> None:
-    """Append those of ``rows`` that the merged table does not hold yet."""
+               part: str, time: str, as_of: _dt.datetime | str | None = None) -> None:
+    """Append those of ``rows`` that the merged table does not hold yet.  Of the table only
+    the partitions and the range of ``time`` that ``rows`` touches are compared."""
     body = [f.name for f in schema.fields if f.name not in (schemas.STAMP, part)]
     new = with_event_date(conform(rows, T.StructType([schema[n] for n in body]), strict=False),
                           part.replace("_date", "_timestamp"), part)
-    there = wh.read(spark, key).where(touched_partitions(new, part))
+    there = wh.read(spark, key).where(touched_partitions(new, part)).where(within_range(new, time))
     fresh = rows_not_in(new, there, [*body, part])
     append_table(with_load_stamp(fresh, as_of, schemas.STAMP), wh.location(spark, key), schema,
                  wh.parts(part), wh.fmt)
@@ -86,15 +101,16 @@ def merge_increment(spark: SparkSession, wh, as_of: _dt.datetime | str | None =
     each stream that had new ones.
     """
     ledger, landed, done = Ledger(spark, wh.control("merge_ledger")), wh.landing(), {}
-    for stream, path, key, record, schema, part in (
+    for stream, path, key, record, schema, part, time in (
             ("cases", landing_cases or landed.cases, "case_dly", schemas.CASE,
-             schemas.CASE_DLY_MERGE, "create_date"),
+             schemas.CASE_DLY_MERGE, "create_date", "last_modified_timestamp"),
             ("surveys", landing_surveys or landed.surveys, "survey_dly", schemas.SURVEY,
-             schemas.SURVEY_DLY_MERGE, "survey_date")):
+             schemas.SURVEY_DLY_MERGE, "survey_date", "survey_timestamp")):
         before, newest = ledger.through(stream), newest_batch(spark, path)
         if newest is None or (before is not None and newest <= before):
             continue
-        merge_rows(spark, wh, key, read_landed(spark, path, record, before, newest), schema, part, as_of)
+        merge_rows(spark, wh, key, read_landed(spark, path, record, before, newest), schema, part,
+                   time, as_of)
         ledger.consumed(stream, newest)
         done[stream] = newest
     return done

@@ -246,3 +246,22 @@ def test_bucketed_table_in_a_fresh_catalog(spark, tmp_dir):
     own = opened._name(opened.current().folder)
     spark.sql(f"DROP TABLE {own}")                           # external: the files stay
     assert name and rows(opened.read()) == rows(df.select("k", "v")) and opened.buckets == 5
+
+
+def test_new_rows_are_dealt_once(spark):
+    new = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], "n int, t string")
+    old = spark.createDataFrame([(2, None), (3, "d")], "n int, t string")
+    fresh = inc.rows_not_in(new, old.hint("merge"), ["n", "t"])
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert sorted(map(tuple, fresh.collect())) == [(1, "a"), (3, "c")]
+
+
+def test_only_the_range_of_the_new_rows_is_compared(spark):
+    t = lambda *days: spark.createDataFrame(
+        [(d and dt.datetime(2001, 1, d, 0, 0, 0, 5),) for d in days], "t timestamp_ntz")
+    old = t(1, 2, 3, 4, None)
+    assert [r.t.day for r in old.where(inc.within_range(t(2, 3), "t")).collect()] == [2, 3]
+    assert old.where(inc.within_range(t(None, 4), "t")).count() == 2
+    assert old.where(inc.within_range(t(None), "t")).count() == 1
+    assert old.where(inc.within_range(t(1).where("false"), "t")).count() == 0
