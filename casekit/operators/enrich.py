@@ -153,7 +153,7 @@ def prepare(dims: Sequence[DimSpec]) -> Callable[[DataFrame], DataFrame]:
     small = [spec.broadcast is True or fits.get(i, False) for i, spec in enumerate(dims)]
 
     def join(fact: DataFrame) -> DataFrame:
-        # All fact-side keys in one projection, then the joins, then one drop.
+        # All fact-side keys in one projection, then the joins, then the columns in their order.
         key_cols, all_tmp = [], []
         for spec, (dim, tmp_keys) in zip(dims, prepared):
             types = {f.name: f.dataType for f in dim.schema.fields}
@@ -165,9 +165,17 @@ def prepare(dims: Sequence[DimSpec]) -> Callable[[DataFrame], DataFrame]:
                     key_cols.append(expr.try_cast(types[t]).alias(t))
                 all_tmp.append(t)
         out = fact.select("*", *key_cols)
-        for spec, (dim, tmp_keys), fit in zip(dims, prepared, small):
-            out = out.join(F.broadcast(dim) if fit else dim, on=tmp_keys, how=spec.how)
-        return out.drop(*all_tmp)
+        names = [*fact.columns, *[c for dim, tmp_keys in prepared for c in dim.columns if c not in tmp_keys]]
+        order = range(len(dims))
+        if len({n.lower() for n in names}) == len(names):
+            # shuffle joins come first: the fact moves without the columns of the other dimensions
+            order = sorted(order, key=lambda i: small[i])
+        for i in order:
+            dim, tmp_keys = prepared[i]
+            out = out.join(F.broadcast(dim) if small[i] else dim, on=tmp_keys, how=dims[i].how)
+        if list(order) == list(range(len(dims))):
+            return out.drop(*all_tmp)
+        return out.select(*[F.col(f"`{n}`") for n in names])
     return join
 
 

@@ -36,19 +36,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def cases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One case version per line item (typed timestamps, string keys)."""
+    # joined on the case number, so that what goes on by it finds its rows dealt already
     li = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
-        "l_linestatus", "l_shipdate")
+        F.col("l_orderkey").cast("string").alias("case_no"), "l_partkey", "l_suppkey",
+        "l_linenumber", "l_returnflag", "l_linestatus", "l_shipdate")
     o = table(spark, sf_dir, "orders").select(
-        "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
-    j = li.join(o, li["l_orderkey"] == o["o_orderkey"], "inner")
+        F.col("o_orderkey").cast("string").alias("case_no"), "o_custkey", "o_orderdate",
+        "o_orderpriority")
+    j = li.join(o, "case_no", "inner")
     return j.select(
         F.when(F.col("l_linestatus") == "O", "Open").otherwise("Closed").alias("status"),
         F.col("l_returnflag").alias("category"),
         F.concat(F.col("l_returnflag"), (F.col("l_linenumber") % 4).cast("string"))
          .alias("sub_category"),
         F.col("l_shipdate").alias("last_modified_timestamp"),
-        F.col("l_orderkey").cast("string").alias("case_no"),
+        "case_no",
         F.col("o_orderdate").alias("create_timestamp"),
         F.col("o_custkey").cast("string").alias("created_employee_key"),
         F.col("l_suppkey").cast("string").alias("call_center_id"),

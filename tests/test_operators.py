@@ -183,3 +183,18 @@ def test_kpi_feedback_absent_class_gives_no_row(spark):
            for r in kpi_feedback(wide, as_of).collect()}
     assert got == {("Positive", "1HR"): 1, ("Positive", "1Day"): 1, ("Positive", "Week"): 1,
                    ("Positive", "1Month"): 1, ("Negative", "Week"): 1, ("Negative", "1Month"): 1}
+
+
+def test_shuffle_joins_come_before_broadcast_joins(spark):
+    from casekit.operators.enrich import DimSpec, enrich
+    fact = spark.createDataFrame([(1, 1, "x"), (2, None, "y")], "a int, b int, c string")
+    small = spark.createDataFrame([(1, "s")], "k int, small string")
+    large = spark.createDataFrame([(1, "l")], "k int, large string")
+    out = enrich(fact, [DimSpec(small, ["a"], ["k"], broadcast=True),
+                        DimSpec(large.hint("merge"), ["b"], ["k"], max_broadcast_bytes=0)])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("small#") < plan.index("large#")
+    joins = [line for line in plan.splitlines() if "Join" in line]
+    assert "strategy=broadcast" in joins[0] and "strategy=broadcast" not in joins[1]   # the outer one comes first
+    assert out.columns == ["a", "b", "c", "small", "large"]
+    assert sorted(map(tuple, out.collect())) == [(1, 1, "x", "s", "l"), (2, None, "y", None, None)]
