@@ -176,12 +176,35 @@ def rank_key(time: str, ties: list[str]) -> Column:
     return F.concat(stamp, *turned)
 
 
+_EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
+
+
+def ranked_record(time: str, ties: list[str]) -> Column:
+    """A record of a case as a struct that is smaller the earlier it stands in: ``time``
+    descending, ``ties`` ascending, NULL last.  The record is read from it (``unranked``), so
+    that it is not held a second time beside its rank."""
+    key = [F.col(time).isNull().alias("t_null"), F.expr(f"{_EPOCH} - `{time}`").alias("t")]
+    for n, c in enumerate(ties):
+        # whole seconds decide; the time itself goes in last
+        value = trunc_seconds(c) if c == "create_timestamp" else F.col(c)
+        key += [F.col(c).isNull().alias(f"n{n}"), value.alias(f"v{n}")]
+    return F.struct(*key, F.col("create_timestamp").alias("created"))
+
+
+def unranked(ranked: str, time: str, ties: list[str]) -> list[Column]:
+    """The fields of a ``ranked_record``, without its case number."""
+    fields = {c: F.col(f"{ranked}.v{n}") for n, c in enumerate(ties)}
+    fields["create_timestamp"] = F.col(f"{ranked}.created")
+    fields[time] = F.expr(f"{_EPOCH} - `{ranked}`.`t`")
+    return [f.alias(c) for c, f in fields.items()]
+
+
 def newest_versions_stream(cases: DataFrame, expire_after: str | None = None, salts: int = 8,
                            time: str = "last_modified_timestamp", arrival: str = "ingest_ts") -> DataFrame:
     """A stream of the newest version of each case that a batch brings news of.
 
-    Without ``expire_after`` the state is that of an aggregate, the greatest rank and its
-    record: a batch is reduced to one row per case and task before the shuffle, so a case with
+    Without ``expire_after`` the state is that of an aggregate, the record that ranks first,
+    held once (``ranked_record``): a batch is reduced to one row per case and task before the shuffle, so a case with
     very many records costs no more than another, and each case that a batch touches comes out
     with its newest version so far.
 
@@ -196,9 +219,8 @@ def newest_versions_stream(cases: DataFrame, expire_after: str | None = None, sa
     names = schemas.CASE.fieldNames()
     wait = _milliseconds(expire_after) if expire_after else None
     if not wait:
-        newest = cases.groupBy("case_no").agg(
-            F.max_by(F.struct(*names), rank_key(time, ties)).alias("newest"))
-        return newest.select("newest.*")
+        newest = cases.groupBy("case_no").agg(F.min(ranked_record(time, ties)).alias("newest"))
+        return newest.select("case_no", *unranked("newest", time, ties)).select(*names)
     keyed = cases.withWatermark(arrival, "0 seconds").select(
         *names, rank_key(time, ties).alias("__rank"), F.unix_millis(arrival).alias("__at"),
         F.pmod(F.xxhash64(*names), F.lit(salts)).alias("__salt"), arrival)

@@ -14,7 +14,7 @@ from casekit.plans.jobs import Warehouse, following_priority, refresh_dimension
 from casekit.sources import driver_views as dv
 from casekit.streaming import (count_first_seen, counted_kinds, cumulative_counts, decode_cases,
                                decode_surveys, join_streams, land_newest, land_stream, merged_sketches,
-                               newest_landed, rocksdb_state, sketch_counts, stream_messages)
+                               newest_landed, newest_versions_stream, rocksdb_state, sketch_counts, stream_messages)
 from casekit.streaming.live import replace_batch
 
 SF = "/root/testdata/sf0.001"
@@ -111,6 +111,31 @@ def test_newest_version_in_any_cut(spark, tmp_dir, seed):
     assert landed.count() < cases.count()                # versions that are not newer come out nowhere
 
 
+def test_rank_without_times_and_fields(spark):
+    """Records without a time or another field rank last, as in the newest version of a case."""
+    null = F.lit(None)
+    k = F.col("product_code").cast("int")
+    cases = cases_of(spark, 300, 3).select(*[
+        F.when(F.pmod(F.xxhash64(k, F.lit(n)), F.lit(3)) == 0, null).otherwise(
+            F.when(k % 7 == 0, "").otherwise(F.col(c)) if c in ("category", "status") else F.col(c)).alias(c)
+        if c not in ("case_no", "product_code") else F.col(c)
+        for n, c in enumerate(schemas.CASE_COLUMNS)])
+    untimed = cases.where("case_no = '7'").withColumn("case_no", F.lit("x")).withColumn(
+        "last_modified_timestamp", null.cast("timestamp_ntz"))
+    cases = cases.unionByName(untimed)
+    assert rows(newest_landed(newest_versions_stream(cases))) == rows(latest_cases(cases))
+
+
+def test_newest_version_is_held_once(spark, tmp_dir):
+    """The state of a case is its newest record, without a text of its rank beside it."""
+    messages = empty(spark, f"{tmp_dir}/in")
+    with rocksdb_state(spark, 2):
+        feed(spark, f"{tmp_dir}/in", cases_of(spark, 30))
+        land_newest(decode_cases(messages), f"{tmp_dir}/out", f"{tmp_dir}/ck", ONCE).awaitTermination(120)
+    held = spark.read.format("statestore").load(f"{tmp_dir}/ck").schema["value"].dataType
+    assert [f.dataType.typeName() for f in held.fields if f.dataType.typeName() == "string"] == []
+
+
 def test_cumulative_counts_exact_and_sketched(spark, tmp_dir):
     cases = dv.cases(spark, SF)
     messages = empty(spark, f"{tmp_dir}/in")
