@@ -297,10 +297,14 @@ def _survey_messages(frame):
 #: Message files are compressed; a file that cannot be split stays within some 130 MB of text
 #: (messages of 20 records).
 MESSAGE_FILES = {"compression": "lz4", "maxRecordsPerFile": 20_000}
+#: Those of a cut are smaller, so that one micro-batch gives every core the same work.
+CUT_MESSAGES = 5_000
+#: A cut is one micro-batch, however many files it has.
+ALL_FILES = 2**31 - 1
 
 
-def _write_text(frame, path, mode="overwrite"):
-    frame.write.mode(mode).options(**MESSAGE_FILES).text(path)
+def _write_text(frame, path, mode="overwrite", **more):
+    frame.write.mode(mode).options(**{**MESSAGE_FILES, **more}).text(path)
 
 
 def q_json_decode_explode(spark, d):
@@ -592,8 +596,8 @@ CUTS = 3
 
 
 def _append_messages(frame, path, ts_format="yyyy-MM-dd HH:mm:ss"):
-    """Records as JSON arrays, in as many files as there are tasks."""
-    _write_text(encode_arrays(text_fields(frame, ts_format), 20), path, "append")
+    """Records as JSON arrays, in files of at most ``CUT_MESSAGES``."""
+    _write_text(encode_arrays(text_fields(frame, ts_format), 20), path, "append", maxRecordsPerFile=CUT_MESSAGES)
 
 
 def _cuts(frame, key, path, ts_format="yyyy-MM-dd HH:mm:ss"):
@@ -615,13 +619,13 @@ def _case_stream(spark, d, base, key="case_no"):
     """The case messages as a stream, and the cuts that feed it."""
     cuts = _cuts(dv.cases(spark, d), key, f"{base}/in")
     _touch(spark, f"{base}/in")
-    return stream_messages(spark, "text", f"{base}/in"), cuts
+    return stream_messages(spark, "text", f"{base}/in", max_files=ALL_FILES), cuts
 
 
 def _survey_stream(spark, d, base):
     cuts = _cuts(dv.surveys(spark, d), "survey_id", f"{base}/surveys", SURVEY_TS)
     _touch(spark, f"{base}/surveys")
-    return stream_messages(spark, "text", f"{base}/surveys"), cuts
+    return stream_messages(spark, "text", f"{base}/surveys", max_files=ALL_FILES), cuts
 
 
 def _touch(spark, path):
@@ -824,7 +828,8 @@ def q_stream_dedup(spark, d):
     cuts = [lambda part=part, b=b: _write_text(_survey_messages(
         part.where(F.col("survey_id").cast("long") % 2 == b)), f"{base}/in", "append")
         for part in (dv.survey_history(spark, d), dv.survey_increment(spark, d)) for b in (0, 1)]
-    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/in"), keep=("ingest_ts",))
+    surveys = decode_surveys(stream_messages(spark, "text", f"{base}/in", max_files=ALL_FILES),
+                             keep=("ingest_ts",))
     out = dedup_stream(surveys, ["survey_id"])
     with rocksdb_state(spark):
         _run_in_cuts(cuts, lambda: land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE))

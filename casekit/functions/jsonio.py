@@ -106,7 +106,9 @@ def decode_json(df: DataFrame, schema: T.StructType, value_col: str = "value",
         parsed = _pieces(df, schema, value_col)
         recs = F.when(F.col("__pieces").isNull(), F.col("__recs")).otherwise(
             F.transform(F.filter("__pieces", lambda p: p["raw"].isNull()), lambda p: p["rec"]))
-        good = parsed.select(*keep, F.explode_outer(recs).alias("__r")).where("__r IS NOT NULL")
+        # the choice in a step before, for beside it the explode would run without code of its own
+        chosen = parsed.select(*keep, recs.alias("__chosen"))
+        good = chosen.select(*keep, F.explode_outer("__chosen").alias("__r")).where("__r IS NOT NULL")
         return _typed(good.select(*keep, "__r.*"), df, schema, keep, [])
     if bad != "quarantine":
         raise ValueError("bad must be 'drop' or 'quarantine'")

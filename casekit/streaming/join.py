@@ -35,6 +35,8 @@ def join_case_survey(cases: DataFrame, surveys: DataFrame) -> DataFrame:
 
 #: Published files are compressed (``options`` may say otherwise).
 FILE_OPTIONS = {"compression": "lz4"}
+#: Records in a published file at most: readers cannot split it.
+FILE_RECORDS = 100_000
 
 
 def publish_batch(df: DataFrame, batch_id: int, fmt: str = "text", path: str | None = None,
@@ -54,9 +56,10 @@ def publish_batch(df: DataFrame, batch_id: int, fmt: str = "text", path: str | N
         (out.withColumn("key", F.lit(str(batch_id))).write.format("kafka")
          .options(**(options or {})).save())
     else:
+        messages = max(1, FILE_RECORDS // (max_rows if envelope == "array" else 1))
         (out.withColumn("batch_id", F.lit(batch_id)).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id")
-         .format(fmt).options(**{**FILE_OPTIONS, **(options or {})}).save(path))
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").format(fmt)
+         .options(**{**FILE_OPTIONS, "maxRecordsPerFile": messages, **(options or {})}).save(path))
 
 
 def publish_json(df: DataFrame, checkpoint: str, fmt: str = "text", path: str | None = None,

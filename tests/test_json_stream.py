@@ -258,3 +258,26 @@ def test_damaged_messages(spark):
     msgs = [json.dumps([_survey()]), json.dumps(_survey()), "[]", "[{}, 7]", "[null]", '[{"Q1": 1}', "{bad}"]
     df = spark.createDataFrame([(m,) for m in msgs], "value string")
     assert sorted(r.value for r in damaged_messages(df, schemas.SURVEY).collect()) == sorted(msgs[3:])
+
+
+def test_published_files_are_bounded(spark, tmp_dir, monkeypatch):
+    """A published file cannot be split by its readers: many records make several files."""
+    import glob
+
+    from casekit.streaming import join
+    monkeypatch.setattr(join, "FILE_RECORDS", 100)
+    frame = spark.range(500).selectExpr("CAST(id AS string) AS case_no").coalesce(1)
+    join.publish_batch(frame, 0, path=f"{tmp_dir}/out", envelope="array", max_rows=50)
+    assert len(glob.glob(f"{tmp_dir}/out/batch_id=0/part-*")) == 5
+    assert sorted(r.value.count("{") for r in spark.read.text(f"{tmp_dir}/out").collect()) == [50] * 10
+
+
+def test_a_cut_of_many_files_is_one_batch(spark, tmp_dir):
+    import __spark_entry__ as E
+    from casekit.streaming import decode_cases, publish_json, published_rows
+    messages, _ = E._case_stream(spark, "/root/testdata/sf0.001", tmp_dir)
+    (spark.range(0, 1001, 1, 1).selectExpr("""concat('[{"case_no":"', id, '"}]') AS value""")
+     .write.mode("append").option("maxRecordsPerFile", 1).text(f"{tmp_dir}/in"))
+    q = publish_json(decode_cases(messages), f"{tmp_dir}/ck", path=f"{tmp_dir}/out", trigger={"availableNow": True})
+    q.awaitTermination(120)
+    assert published_rows(q) == [(0, 1001)]
