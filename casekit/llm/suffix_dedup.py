@@ -50,6 +50,7 @@ from .ngram_join import NO_ID, mixed
 from .suffix_array import common_prefixes, packed8, suffix_array
 
 GRAM = 32
+BLOCK = 1 << 15                 # positions hashed at a time
 WINDOWS = 1 << 16               # of hot anchors, held at a time
 RESULT = ("id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, "
           "removed array<struct<start:long,end:long>>, kept binary")
@@ -59,20 +60,29 @@ _M = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19
 
 def gram_hashes(buf: np.ndarray) -> np.ndarray:
     """Hash of the 32 bytes from each position; the last 31 positions are meaningless."""
-    eight = packed8(buf)
     n = len(buf)
     out = np.zeros(n, np.uint64)
-    if n >= GRAM:
-        m = n - GRAM + 1
-        x = eight[:m] * _M[0]
-        for k in (1, 2, 3):
-            x ^= x >> np.uint64(29)
-            x += eight[8 * k:8 * k + m]
-            x *= _M[k]
-        out[:m] = mixed(x)
+    m = n - GRAM + 1
+    for a in range(0, m, BLOCK):                 # blocks whose columns stay in the cache
+        b = min(a + BLOCK, m)
+        out[a:b] = _block_hashes(buf[a:b + GRAM - 1])
     return out
 
 
+def _block_hashes(buf: np.ndarray) -> np.ndarray:
+    """Hashes of the 32-byte strings of a short buffer."""
+    eight = packed8(buf)
+    m = len(buf) - GRAM + 1
+    x = eight[:m] * _M[0]
+    high = np.empty_like(x)
+    for k in (1, 2, 3):
+        np.right_shift(x, np.uint64(29), out=high)
+        x ^= high
+        x += eight[8 * k:8 * k + m]
+        x *= _M[k]
+    return mixed(x)
+
+
 def window_hashes(grams: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` bytes from each place, from the hashes of 32-byte strings."""
     steps = [*range(0, width - GRAM, GRAM), width - GRAM]
@@ -83,40 +93,58 @@ def window_hashes(grams: np.ndarray, at: np.ndarray, width: int) -> np.ndarray:
 
 
 def sliding_least(x: np.ndarray, w: int) -> np.ndarray:
-    """Least value of each window of ``w`` (van Herk): len(x) - w + 1 values."""
-    n = len(x)
-    pad = -n % w
-    y = np.concatenate([x, np.full(pad, np.iinfo(np.uint64).max, np.uint64)]).reshape(-1, w)
-    ahead = np.minimum.accumulate(y, axis=1).ravel()
-    back = np.minimum.accumulate(y[:, ::-1], axis=1)[:, ::-1].ravel()
-    return np.minimum(back[:n - w + 1], ahead[w - 1:n])
+    """Least value of each window of ``w``, by windows of doubling width: len(x) - w + 1 values."""
+    k = 1
+    while 2 * k <= w:
+        x = np.minimum(x[:-k], x[k:])
+        k *= 2
+    return np.minimum(x[:len(x) - (w - k)], x[w - k:]) if k < w else x
+
+
+def anchor_runs(buf: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of windows of one buffer that have the same anchor occurrence, texts aside: first
+    window, the anchor's place and its hash.  Goes in blocks whose columns stay in the cache."""
+    # the position in the block below the hash breaks ties to the left
+    low = np.uint64((1 << 26) - 1)
+    w = width - GRAM + 1
+    windows = len(buf) - width + 1
+    starts, anchors, hashes, last = [], [], [], -1
+    for a in range(0, windows, BLOCK):
+        b = min(a + BLOCK, windows)
+        h = _block_hashes(buf[a:b + width - 1])
+        keyed = (h & ~low) | np.arange(len(h), dtype=np.uint64)
+        least = sliding_least(keyed, w)
+        new = np.ones(b - a, bool)
+        np.not_equal(least[1:], least[:-1], out=new[1:])
+        lo = np.flatnonzero(new)
+        at = (least[lo] & low).astype(np.int64)
+        if at[0] + a == last:                    # the run goes on from the block before
+            lo, at = lo[1:], at[1:]
+        if len(at):
+            last = at[-1] + a
+        starts.append(lo + a)
+        anchors.append(at + a)
+        hashes.append(h[at])
+    return tuple(np.concatenate(c) for c in (starts, anchors, hashes))
 
 
 def segments(buf: np.ndarray, ends: np.ndarray, width: int) -> tuple[np.ndarray, ...]:
     """Segments of the texts that lie one after the other in ``buf``: text number, start in
     the text, end in the text (of the last window), anchor hash.  ``ends``: text offsets."""
-    none = (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
-    n = len(buf)
-    if n < width:
-        return none
-    hashes = gram_hashes(buf)
-    # the position below the hash breaks ties to the left; 2 ** 26 bytes a slice at most
-    assert n < 1 << 26
-    keyed = (hashes & ~np.uint64((1 << 26) - 1)) | np.arange(n, dtype=np.uint64)
-    w = width - GRAM + 1
-    anchor = (sliding_least(keyed[:n - GRAM + 1], w) & np.uint64((1 << 26) - 1)).astype(np.int64)
-    sizes = np.diff(ends)
-    first = ragged(ends[:-1], np.maximum(sizes - width + 1, 0))      # window starts
-    if not len(first):
-        return none
-    owner = np.repeat(np.arange(len(sizes)), np.maximum(sizes - width + 1, 0))
-    at = anchor[first]
-    new = np.ones(len(first), bool)
-    new[1:] = (at[1:] != at[:-1]) | (owner[1:] != owner[:-1])
-    lo = np.flatnonzero(new)
-    hi = np.concatenate([lo[1:], [len(first)]]) - 1
-    text = owner[lo]
-    return text, first[lo] - ends[text], first[hi] - ends[text] + width, hashes[at[lo]]
+    if len(buf) < width:
+        return (np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),)
+    start, _, anchor = anchor_runs(buf, width)
+    stop = np.append(start[1:], len(buf) - width + 1)
+    # the windows of each text are cut out of the runs
+    first, over = ends[:-1], ends[1:] - width + 1
+    text = np.flatnonzero(over > first)
+    lo = np.searchsorted(start, first[text], side="right") - 1
+    n = np.searchsorted(start, over[text], side="left") - lo
+    run = ragged(lo, n)
+    text = np.repeat(text, n)
+    begin = np.maximum(start[run], first[text])
+    end = np.minimum(stop[run], over[text])
+    return text, begin - first[text], end - 1 - first[text] + width, anchor[run]
 
 
 def joined(texts) -> tuple[np.ndarray, np.ndarray]:
@@ -488,9 +516,14 @@ def resolve(rows: DataFrame, width: int, shard_bytes: int) -> DataFrame:
             if size >= shard_bytes:
                 yield from flush_shard()
 
-        def segs_of(data, rows, i, h, start):
-            return zip(data.take(pa.array(rows)).to_pylist(),
-                       zip(i[rows].tolist(), h[rows].tolist(), start[rows].tolist()))
+        def groups_to_shard(data, rows, counts, i, h, start, sizes):
+            """Groups of ``counts`` rows each, one after the other in ``rows``."""
+            texts = data.take(pa.array(rows)).to_pylist()
+            places = list(zip(i[rows].tolist(), h[rows].tolist(), start[rows].tolist()))
+            ends = np.cumsum(counts)
+            total = np.concatenate([[0], np.cumsum(sizes[rows])])
+            for a, b in zip((ends - counts).tolist(), ends.tolist()):
+                yield from to_shard(zip(texts[a:b], places[a:b]), int(total[b] - total[a]))
 
         def group_bounds(key):
             starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
@@ -507,10 +540,8 @@ def resolve(rows: DataFrame, width: int, shard_bytes: int) -> DataFrame:
             # (one segment alone cannot repeat itself: equal windows have equal anchors)
             lo, hi = group_bounds(key[first])
             several = hi - lo > 1
-            for a, b in zip(lo[several].tolist(), hi[several].tolist()):
-                own = first[a:b]
-                yield from to_shard(segs_of(data, own, i, h, start),
-                                    int((end[own] - start[own]).sum()))
+            yield from groups_to_shard(data, first[np.repeat(several, hi - lo)], (hi - lo)[several],
+                                       i, h, start, end - start)
 
         def settle_windows(t):
             """Whole hashes of hot windows: those that met another go to a shard."""
@@ -522,8 +553,8 @@ def resolve(rows: DataFrame, width: int, shard_bytes: int) -> DataFrame:
             rows = rows[new]
             lo, hi = group_bounds(key[rows])
             several = hi - lo > 1
-            for a, b in zip(lo[several].tolist(), hi[several].tolist()):
-                yield from to_shard(segs_of(data, rows[a:b], i, h, start), (b - a) * width)
+            yield from groups_to_shard(data, rows[np.repeat(several, hi - lo)], (hi - lo)[several],
+                                       i, h, start, np.full(len(i), width))
 
         def whole_groups(held, t):
             """Rows of finished groups, and the rows of the group that may go on."""
@@ -559,39 +590,56 @@ def resolve(rows: DataFrame, width: int, shard_bytes: int) -> DataFrame:
             .mapInArrow(run, _SPAN))
 
 
-def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[list[int]] = []
-    for a, b in sorted(spans):
-        if out and a <= out[-1][1]:
-            out[-1][1] = max(out[-1][1], b)
-        else:
-            out.append([a, b])
-    return [tuple(x) for x in out]
+def merged_spans(text: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of several texts, those that overlap or touch made one: text, start, end,
+    in order."""
+    order = np.lexsort((start, text))
+    text, start, end = text[order], start[order], end[order]
+    if not len(text):
+        return text, start, end
+    # texts are set apart, so that the furthest end so far is one running maximum
+    apart = text * (int(end.max()) + 2)
+    reach = np.maximum.accumulate(end + apart)
+    new = np.ones(len(text), bool)
+    new[1:] = start[1:] + apart[1:] > reach[:-1]
+    lo = np.flatnonzero(new)
+    hi = np.append(lo[1:], len(text)) - 1
+    return text[lo], start[lo], reach[hi] - apart[lo]
 
 
 def cut_texts(texts: DataFrame) -> DataFrame:
     """``(id, h, text, spans)`` to what is removed and kept."""
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
-        span = pa.struct([("start", pa.int64()), ("end", pa.int64())])
-        schema = pa.schema([("id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()),
-                            ("n_spans", pa.int64()), ("kept_sha256", pa.string()),
-                            ("removed", pa.list_(span)), ("kept", pa.binary())])
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                rows = []
-                for i, h, text, spans in zip(*(c.to_pylist() for c in b.slice(at, 512).columns)):
-                    raw = text.encode("utf-8", "surrogatepass")
-                    gone = merged_spans([(s["start"], s["end"]) for s in spans or () if s["h"] == h])
-                    kept, last = [], 0
-                    for s, e in gone:
-                        kept.append(raw[last:s])
-                        last = e
-                    data = b"".join([*kept, raw[last:]])
-                    rows.append({"id": i, "n_bytes": len(raw), "n_removed": len(raw) - len(data),
-                                 "n_spans": len(gone), "kept_sha256": hashlib.sha256(data).hexdigest(),
-                                 "removed": [{"start": s, "end": e} for s, e in gone], "kept": data})
-                yield pa.RecordBatch.from_pylist(rows, schema=schema)
+            for at, to in slices(b.column(2)):
+                yield cut(pa, *(b.column(k)[at:to] for k in range(4)))
+
+    def cut(pa, ids, h, texts, spans):
+        buf, ends = joined(texts)
+        sizes, n = np.diff(ends), len(ids)
+        each = spans.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        of = np.repeat(np.arange(n), each)
+        own, start, end = (c.to_numpy() for c in spans.flatten().flatten())
+        mine = own == h.to_numpy()[of]                   # not of another text with this id
+        of, start, end = merged_spans(of[mine], start[mine], end[mine])
+        keep = np.ones(len(buf), bool)
+        for x, y in zip((ends[of] + start).tolist(), (ends[of] + end).tolist()):
+            keep[x:y] = False
+        data = buf[keep]
+        count = np.bincount(of, minlength=n)
+        gone = np.bincount(of, end - start, minlength=n).astype(np.int64)
+        left = np.concatenate([[0], np.cumsum(sizes - gone)])
+        raw = memoryview(data)
+        digests = [hashlib.sha256(raw[x:y]).hexdigest() for x, y in zip(left[:-1].tolist(), left[1:].tolist())]
+        removed = pa.ListArray.from_arrays(
+            pa.array(np.concatenate([[0], np.cumsum(count)]), pa.int32()),
+            pa.StructArray.from_arrays([pa.array(start), pa.array(end)], ["start", "end"]))
+        kept = pa.Array.from_buffers(pa.binary(), n, [
+            None, pa.py_buffer(left.astype(np.int32)), pa.py_buffer(data)])
+        return pa.RecordBatch.from_arrays(
+            [ids, pa.array(sizes), pa.array(gone), pa.array(count), pa.array(digests, pa.string()),
+             removed, kept], ["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed", "kept"])
 
     return texts.select("id", "h", "text", "spans").mapInArrow(run, RESULT)
 

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pytest
 
+from casekit.llm import suffix_array as sa_module
 from casekit.llm import suffix_dedup as sd
 from casekit.llm.suffix_array import common_prefixes, suffix_array
 
@@ -117,3 +118,57 @@ def test_binary_search():
     hit = sd.binary_search(words, sd._words(np.ascontiguousarray(probe).view("V12").ravel(), 12))
     at = {r.tobytes(): k for k, r in enumerate(rows)}
     assert hit.tolist() == [at.get(p.tobytes(), -1) for p in probe]
+
+
+@pytest.mark.parametrize("block", [3, 40, 1 << 15])
+def test_segments_in_blocks(monkeypatch, block):
+    """Hashed in short blocks, the segments are those of one pass over each text."""
+    monkeypatch.setattr(sd, "BLOCK", block)
+    rng = random.Random(5)
+    texts = [bytes(rng.choices(b"ab", k=k)) for k in (0, 120, 99, 100, 36, 0, 400, 3, 101)]
+    texts += [b"a" * 150, texts[1] * 2]
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    ends = np.cumsum([0, *map(len, texts)])
+    hashes = sd.gram_hashes(buf)
+    for width in (33, 100):
+        want = []
+        for k, t in enumerate(texts):
+            last = None
+            for p in range(len(t) - width + 1):
+                places = range(ends[k] + p, ends[k] + p + width - sd.GRAM + 1)
+                at = min(places, key=lambda q: (hashes[q] >> np.uint64(26), q))
+                if at == last:
+                    want[-1] = (k, want[-1][1], p + width, int(hashes[at]))
+                else:
+                    want.append((k, p, p + width, int(hashes[at])))
+                last = at
+        assert list(zip(*(c.tolist() for c in sd.segments(buf, ends, width)))) == want
+
+
+def test_suffix_array_in_chunks(monkeypatch):
+    """Groups larger and smaller than a chunk; numbers that fill 64 bits or do not."""
+    monkeypatch.setattr(sa_module, "CHUNK", 5)
+    rng = random.Random(6)
+    for alphabet in (b"a", b"ab", bytes(range(256))):
+        s = bytes(rng.choices(alphabet, k=300)) * 2
+        assert suffix_array(np.frombuffer(s, np.uint8)).tolist() == sorted(range(600), key=lambda i: s[i:])  # noqa: B023
+
+
+def test_prefixes_compare_only_where_a_stretch_begins(monkeypatch):
+    """A text that stands twice is compared once, not at each of its positions."""
+    pairs = []
+    shared = sa_module._shared
+    monkeypatch.setattr(sa_module, "_shared", lambda buf, p, *a: (pairs.append(len(p)), shared(buf, p, *a))[1])
+    text = np.random.default_rng(0).integers(0, 256, 5000).astype(np.uint8)
+    buf = np.concatenate([text, text])
+    lcp = common_prefixes(buf, suffix_array(buf), 100)
+    assert (lcp >= 100).sum() == 4901 and pairs[0] < 5100
+
+
+def test_merged_spans():
+    rng = random.Random(7)
+    spans = [(rng.randrange(5), a := rng.randrange(60), a + rng.randint(1, 12)) for _ in range(40)]
+    covered = {(t, p) for t, a, b in spans for p in range(a, b)}
+    got = list(zip(*(c.tolist() for c in sd.merged_spans(*(np.array(c) for c in zip(*spans))))))
+    assert got == sorted(got) and {(t, p) for t, a, b in got for p in range(a, b)} == covered
+    assert all(x[0] != y[0] or x[2] < y[1] for x, y in zip(got, got[1:]))
