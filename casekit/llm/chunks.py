@@ -18,7 +18,7 @@ import os
 import re
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain, repeat
 
 import numpy as np
 
@@ -54,6 +54,54 @@ def ragged(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return at
 
 
+class Values:
+    """One or more integers of each of many strings, in a few arrays for all."""
+
+    def __init__(self):
+        self.slot: dict[str, int] = {}
+        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
+        self.start, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32)
+
+    def __len__(self) -> int:
+        return len(self.slot)
+
+    @staticmethod
+    def _room(a: np.ndarray, n: int) -> np.ndarray:
+        return a if n <= len(a) else np.concatenate([a, np.empty(max(n, 2 * len(a)) - len(a), a.dtype)])
+
+    def add(self, new: list[str], values: np.ndarray, sizes: np.ndarray) -> None:
+        """Distinct strings that are not known yet, and their values one after the other."""
+        n = len(self.slot)
+        self.flat = self._room(self.flat, self.used + len(values))
+        self.start, self.size = self._room(self.start, n + len(new)), self._room(self.size, n + len(new))
+        self.flat[self.used:self.used + len(values)] = values
+        self.start[n:n + len(new)] = self.used + np.cumsum(sizes) - sizes
+        self.size[n:n + len(new)] = sizes
+        self.used += len(values)
+        self.slot.update(zip(new, range(n, n + len(new))))
+
+    def slots(self, keys: list[str], compute: Callable) -> np.ndarray:
+        """Places of the strings; ``compute(new ones) -> (flat values, sizes)``."""
+        out = np.fromiter(map(self.slot.get, keys, repeat(-1)), np.int64, len(keys))
+        missing = np.flatnonzero(out < 0)
+        if len(missing):
+            again = [keys[k] for k in missing.tolist()]
+            new = list(dict.fromkeys(again))
+            self.add(new, *compute(new))
+            out[missing] = np.fromiter(map(self.slot.get, again), np.int64, len(again))
+        return out
+
+    def __getitem__(self, slots: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of the strings at these places, and how many each has."""
+        sizes = self.size[slots]
+        return self.flat[ragged(self.start[slots], sizes)], sizes
+
+
+def strings(texts) -> list[str]:
+    """An Arrow string array without nulls as a list (``to_pylist`` makes an Arrow scalar of each)."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
+
+
 class ChunkTable:
     """Values of chunks (one or more integers each), computed once per distinct chunk.
 
@@ -65,42 +113,18 @@ class ChunkTable:
                  max_entries: int = 1_000_000):
         self.compute, self.whole, self.max_entries = compute, whole, max_entries
         self.special = re.compile("|".join(map(re.escape, special))) if special else None
-        self._empty()
-
-    def _empty(self) -> None:
-        self.slot: dict[str, int] = {}
-        self.flat, self.used = np.empty(1 << 16, np.uint32), 0
-        self.start, self.size = np.empty(1 << 16, np.int64), np.empty(1 << 16, np.int32)
-
-    @staticmethod
-    def _room(a: np.ndarray, n: int) -> np.ndarray:
-        return a if n <= len(a) else np.concatenate([a, np.empty(max(n, 2 * len(a)) - len(a), a.dtype)])
+        self.known = Values()
 
     def _slots(self, chunks: list[str]) -> np.ndarray:
-        """Places of distinct chunks in the table; new ones are computed."""
-        slot = self.slot
-        out = np.fromiter(map(slot.get, chunks, repeat(-1)), np.int64, len(chunks))
-        missing = np.flatnonzero(out < 0)
-        if len(missing):
-            new = [chunks[k] for k in missing.tolist()]
-            values, sizes = self.compute(new)
-            n = len(slot)
-            self.flat = self._room(self.flat, self.used + len(values))
-            self.start, self.size = self._room(self.start, n + len(new)), self._room(self.size, n + len(new))
-            self.flat[self.used:self.used + len(values)] = values
-            self.start[n:n + len(new)] = self.used + np.cumsum(sizes) - sizes
-            self.size[n:n + len(new)] = sizes
-            self.used += len(values)
-            slot.update(zip(new, range(n, n + len(new))))
-            out[missing] = np.arange(n, n + len(new))
-        return out
+        """Places of chunks in the table; new ones are computed."""
+        return self.known.slots(chunks, self.compute)
 
     def __call__(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """Values of all texts of an Arrow string array, and the offsets of each text."""
         import pyarrow as pa
         import pyarrow.compute as pc
-        if len(self.slot) > self.max_entries:
-            self._empty()
+        if len(self.known) > self.max_entries:
+            self.known = Values()
         texts = texts.cast(pa.string()).fill_null("")
         n = len(texts)
         if not n:
@@ -119,11 +143,10 @@ class ChunkTable:
         rest = values.filter(pa.array(~head)).dictionary_encode()
         slots = np.empty(len(values), np.int64)
         # a chunk after a space is looked up with its space
-        slots[head] = self._slots(heads.dictionary.to_pylist())[heads.indices.to_numpy()]
-        slots[~head] = self._slots([" " + c for c in rest.dictionary.to_pylist()])[
+        slots[head] = self._slots(strings(heads.dictionary))[heads.indices.to_numpy()]
+        slots[~head] = self._slots([" " + c for c in strings(rest.dictionary)])[
             rest.indices.to_numpy()] if len(rest) else 0
-        sizes = self.size[slots]
-        ids = self.flat[ragged(self.start[slots], sizes)]
+        ids, sizes = self.known[slots]
         ends = np.concatenate([[0], np.cumsum(sizes)])[offsets]
         if len(odd_at):
             pieces = np.split(ids, ends[1:-1])
@@ -135,15 +158,16 @@ class ChunkTable:
                     own = self._slots(list(dict.fromkeys(chunks := split_chunks(text))))
                     at = dict(zip(dict.fromkeys(chunks), own.tolist()))
                     own = np.fromiter((at[c] for c in chunks), np.int64, len(chunks))
-                    pieces[k] = self.flat[ragged(self.start[own], self.size[own])]
+                    pieces[k] = self.known[own][0]
             ids = np.concatenate(pieces)
             ends = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
         return ids, ends.astype(np.int64)
 
 
-#: Letters of ASCII and Latin-1, with what may follow them at a sure pre-token boundary.
-_WORD = re.compile(r" ?[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+")
-_AFTER = frozenset("!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n\r\t")
+_LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
+_AFTER = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~\n\r\t"
+#: A word of letters of ASCII and Latin-1 up to a sure pre-token boundary.
+_WORD = re.compile(f" ?[{_LETTERS}]++(?=[{re.escape(_AFTER)}]|\\Z)")
 
 
 class PieceEncoder:
@@ -153,44 +177,41 @@ class PieceEncoder:
 
     def __init__(self, tok, lower: bool, max_entries: int = 400_000):
         self.tok, self.model, self.lower, self.max_entries = tok, tok.model, lower, max_entries
-        self.bytes_as = {b: ord(c) for b, c in enumerate(byte_symbols())}
-        self.space = byte_symbols()[ord(" ")]
-        self.known: dict[str, bytes] = {}
+        # line breaks keep words apart
+        self.bytes_as = {b: ord(c) for b, c in enumerate(byte_symbols()) if b != ord("\n")}
+        self.known = Values()
 
-    def _word(self, word: str) -> bytes:
+    def _words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of plain words, and how many each has."""
+        text = "\n".join(words)
         if self.lower:
-            word = word.lstrip(" ").lower()
-        if word.isascii():               # letters stand for themselves
-            word = word.replace(" ", self.space)
-        else:
-            word = word.encode().decode("latin-1").translate(self.bytes_as)
-        return array("I", [t.id for t in self.model.tokenize(word)]).tobytes()
+            text = text.replace(" ", "").lower()
+        symbols = text.encode().decode("latin-1").translate(self.bytes_as).split("\n")
+        ids, sizes = array("I"), []
+        for found in map(self.model.tokenize, symbols):
+            ids.extend([t.id for t in found])
+            sizes.append(len(found))
+        return np.frombuffer(ids, np.uint32), np.array(sizes, np.int64)
+
+    def _others(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of any other texts."""
+        found = []
+        for at in range(0, len(texts), 4096):
+            found += [e.ids for e in self.tok.encode_batch_fast(texts[at:at + 4096], add_special_tokens=False)]
+        return (np.fromiter(chain.from_iterable(found), np.uint32),
+                np.fromiter(map(len, found), np.int64, len(found)))
 
     def __call__(self, chunks: list[str]) -> tuple[np.ndarray, np.ndarray]:
         if len(self.known) > self.max_entries:
-            self.known = {}
-        known, word, cut, rest = self.known, _WORD.match, [], {}
-        for c in chunks:
-            m = word(c)
-            end = m.end() if m else 0
-            if end and (end == len(c) or c[end] in _AFTER):
-                head, tail = c[:end], c[end:]
-                if head not in known:
-                    known[head] = self._word(head)
-            else:
-                head, tail = "", c
-            if tail not in known:
-                rest[tail] = None
-            cut.append((head, tail))
-        fresh = list(rest)
-        for at in range(0, len(fresh), 4096):
-            part = fresh[at:at + 4096]
-            found = self.tok.encode_batch_fast(part, add_special_tokens=False)
-            known.update((c, array("I", e.ids).tobytes()) for c, e in zip(part, found))
-        known.setdefault("", b"")
-        pieces = [known[h] + known[t] for h, t in cut]
-        return (np.frombuffer(b"".join(pieces), np.uint32),
-                np.fromiter(map(len, pieces), np.int64, len(pieces)) // 4)
+            self.known = Values()
+        known = self.known
+        if not len(known):
+            known.add([""], np.empty(0, np.uint32), np.zeros(1, np.int64))
+        heads = [m[0] if m else "" for m in map(_WORD.match, chunks)]
+        tails = [c[len(h):] for c, h in zip(chunks, heads)]
+        both = np.column_stack([known.slots(heads, self._words), known.slots(tails, self._others)])
+        values, sizes = known[both.ravel()]
+        return values, sizes.reshape(-1, 2).sum(axis=1)
 
 
 def byte_symbols() -> list[str]:

@@ -251,3 +251,34 @@ def test_chat_round_trip(spark):
         assert (got.n_turns, got.loss_chars, got.formatted_chars) == (len(own), len(loss), chars)
         assert got.loss_sha256 == hashlib.sha256(loss.encode()).hexdigest()
     assert chat_format.digest_conversations(chat_format.write_conversations(df.limit(0))).count() == 0
+
+
+def test_values_of_strings_are_computed_once():
+    asked = []
+
+    def compute(new):
+        asked.append(len(new))
+        return np.array([ord(c) for s in new for c in s], np.uint32), np.array([len(s) for s in new])
+
+    known = chunks.Values()
+    keys = ["ab", "", "c", "ab", *map(str, range(70_000)), "c"]
+    for _ in range(2):
+        flat, sizes = known[known.slots(keys, compute)]
+        assert "".join(map(chr, flat)) == "".join(keys) and sizes.tolist() == [*map(len, keys)]
+    assert asked == [70_003]
+
+
+def test_words_go_to_the_merge_model_once():
+    """Whatever follows a word; what is no plain word up to a sure boundary goes whole."""
+    from types import SimpleNamespace
+
+    from tokenizers import Tokenizer
+    tok = Tokenizer.from_file(chunks.tokenizer_path("byte_bpe_50k.json"))
+    enc, seen = chunks.PieceEncoder(tok, False), []
+    enc.model = SimpleNamespace(tokenize=lambda w: (seen.append(w), tok.model.tokenize(w))[1])
+    parts = [" onre***", " onre", "onre.\nNt", " onre7", " été,", " été́", "", " ", "\n", " don't"]
+    for _ in range(2):
+        values, sizes = enc(parts)
+        want = [tok.encode(c, add_special_tokens=False).ids for c in parts]
+        assert values.tolist() == sum(want, []) and sizes.tolist() == [*map(len, want)]
+    assert seen == ["Ġonre", "onre", "ĠÃ©tÃ©", "Ġdon"]
