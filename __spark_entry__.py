@@ -768,7 +768,7 @@ def q_stream_join_state(spark, d):
     surveys, survey_cuts = _survey_stream(spark, d, base)
     out = join_streams(decode_cases(cases, keep=("ingest_ts",)), decode_surveys(surveys, keep=("ingest_ts",)),
                        within="30 days")
-    with rocksdb_state(spark, idle_batches=False):
+    with rocksdb_state(spark, idle_batches=False, lean=True):
         _run_in_cuts(zip(case_cuts, survey_cuts),
                      lambda: land_stream(out, f"{base}/landing", f"{base}/ckpt", trigger=ONCE))
     return read_landing(spark, f"{base}/landing", schemas.CASE_SURVEY)

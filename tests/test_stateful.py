@@ -197,3 +197,23 @@ def test_settings_of_the_state_end_with_it(spark):
     with rocksdb_state(spark, 2, idle_batches=False):
         assert (spark.conf.get(idle), spark.conf.get(counted)) == ("false", "false")
     assert (spark.conf.get(idle), spark.conf.get(counted, None)) == before
+
+
+def test_a_lean_state_is_checkpointed_as_changes(spark, tmp_dir):
+    """Two runs leave the changes of their own batch each, no files of the whole state."""
+    cases, surveys = cases_of(spark), surveys_of(spark)
+    cm, sm = empty(spark, f"{tmp_dir}/c"), empty(spark, f"{tmp_dir}/s")
+    out = join_streams(decode_cases(cm, keep=("ingest_ts",)), decode_surveys(sm, keep=("ingest_ts",)))
+    freed = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(freed)
+    with rocksdb_state(spark, 2, idle_batches=False, lean=True):
+        for b in (0, 1):
+            feed(spark, f"{tmp_dir}/c", cases.where(F.col("product_code").cast("long") % 2 == b))
+            feed(spark, f"{tmp_dir}/s", surveys.where(F.col("survey_id").cast("long") % 2 == b))
+            land_stream(out, f"{tmp_dir}/land", f"{tmp_dir}/ck", trigger=ONCE).awaitTermination(120)
+    assert spark.conf.get(freed) == before
+    want = cases.join(surveys, "case_no").select(*schemas.CASE_SURVEY.fieldNames())
+    assert rows(spark.read.parquet(f"{tmp_dir}/land").select(*want.columns)) == rows(want)
+    state = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(f"{tmp_dir}/ck/state")
+    kinds = {r.path.rsplit("/", 1)[-1].split(".", 1)[-1] for r in state.select("path").collect()}
+    assert "changelog" in kinds and not kinds & {"zip", "sst"}
