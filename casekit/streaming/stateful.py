@@ -25,6 +25,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from casekit import schemas
 from casekit.functions.casting import conform, trunc_seconds
+from casekit.functions.texts import pack_texts, split_texts, unpacked_text
 from casekit.operators.merge import latest_per_key
 from casekit.session import state_partitions
 from casekit.streaming.live import replace_batch
@@ -37,9 +38,7 @@ _STATE_CONF = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
                "spark.sql.streaming.stateStore.rocksdb.trackTotalNumberOfRows": "false"}
 
 #: What keeps a large state small on disk (``rocksdb_state``).
-_LEAN_CONF = {"spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-              "spark.sql.streaming.stateStore.compression.codec": "zstd",
-              "spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
+_LEAN_CONF = {"spark.sql.streaming.stateStore.rocksdb.compression": "zstd",
               "spark.sql.streaming.stateStore.rocksdb.blockSizeKB": "16",
               "spark.sql.streaming.stateStore.maintenanceInterval": "10s",
               "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
@@ -55,11 +54,9 @@ def rocksdb_state(spark: SparkSession, partitions: int | None = None,
     goes in the next batch that has records, and the whole state is looked through half as
     often.  That is right where expiry sends out no rows, as in an inner join.
 
-    With ``lean`` a large state takes less disk, for some more CPU: a batch's checkpoint holds
-    its changes, written once, and not every file that a compaction wrote anew (a query that is
-    resumed replays at most the changes since the last snapshot); files of the state are zstd in
-    blocks of 16 KB; copies that a stopped query left with the executors go within seconds, and
-    shuffle files with the batch that wrote them."""
+    With ``lean`` a large state takes less disk: its files are zstd in blocks of 16 KB, copies
+    that a stopped query left with the executors go within seconds, and shuffle files with the
+    batch that wrote them."""
     conf = {**_STATE_CONF, **({} if idle_batches else {"spark.sql.streaming.noDataMicroBatches.enabled": "false"}),
             **(_LEAN_CONF if lean else {})}
     old = {key: spark.conf.get(key, None) for key in conf}
@@ -84,7 +81,12 @@ def join_streams(cases: DataFrame, surveys: DataFrame, within: str = "1 hour",
     newest arrival of the stream that lags, less ``delay``) says that no partner can come any
     more.  With ``salts`` the surveys of one case are dealt over so many state partitions and
     its case records are repeated on each, for cases that hold a large share of all records.
+
+    A case's texts travel and lie in state as one (``pack_texts``), which halves its record.
     """
+    texts = [f.name for f in schemas.CASE.fields if f.dataType == T.StringType() and f.name != "case_no"]
+    packed = [pack_texts(texts).alias("__texts"), *[c for c in cases.columns if c not in texts]]
+    cases = cases.select(*packed)
     c = cases.withColumnRenamed(arrival, "__case_at").withWatermark("__case_at", delay).alias("c")
     s = surveys.withColumnRenamed(arrival, "__survey_at").withWatermark("__survey_at", delay)
     cond = ((F.col("c.case_no") == F.col("s.case_no"))
@@ -95,9 +97,12 @@ def join_streams(cases: DataFrame, surveys: DataFrame, within: str = "1 hour",
             "__salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))).alias("c")
         s = s.withColumn("__salt", F.pmod(F.xxhash64("survey_id", "__survey_at"), F.lit(salts)))
         cond = cond & (F.col("c.__salt") == F.col("s.__salt"))
-    cols = [F.col(f"c.{n}").alias(n) for n in schemas.CASE_COLUMNS]
-    cols += [F.col(f"s.{n}").alias(n) for n in schemas.SURVEY_COLUMNS if n != "case_no"]
-    return c.join(s.alias("s"), cond).select(*cols)
+    both = c.join(s.alias("s"), cond).select(
+        split_texts("c.__texts").alias("__parts"),
+        *[F.col(f"c.{n}").alias(n) for n in schemas.CASE_COLUMNS if n not in texts],
+        *[F.col(f"s.{n}").alias(n) for n in schemas.SURVEY_COLUMNS if n != "case_no"])
+    fields = {n: unpacked_text("__parts", k).alias(n) for k, n in enumerate(texts)}
+    return both.select(*[fields.get(n, F.col(n)) for n in schemas.CASE_SURVEY.fieldNames()])
 
 
 # ------------------------------------------------------------- cumulative counts
