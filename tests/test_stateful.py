@@ -225,4 +225,5 @@ def test_a_lean_state_is_small_and_whole(spark, tmp_dir):
     folder = f"{tmp_dir}/ck/state/0/0/left-keyWithIndexToValue/2.zip"
     with zipfile.ZipFile(io.BytesIO(spark.read.format("binaryFile").load(folder).first().content)) as z:
         options = "".join(z.read(n).decode() for n in z.namelist() if "OPTIONS" in n)
-    assert "compression=kZSTD" in options and "block_size=16384" in options
+    for chosen in ("compression=kZSTD", "block_size=16384", "allow_fallocate=false"):
+        assert chosen in options
